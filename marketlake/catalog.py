@@ -72,7 +72,7 @@ def catalogue_frame(spark: SparkSession, rows: Sequence[tuple] = EXCHANGE_CATALO
 
 def _lenient_date(c):
     # 'yyyy-M-d' with or without zero padding; anything else -> NULL
-    return F.coalesce(F.try_to_date(c, F.lit("yyyy-M-d")), F.try_to_date(c, F.lit("yyyy/M/d")))
+    return F.coalesce(F.try_to_date(c, "yyyy-M-d"), F.try_to_date(c, "yyyy/M/d"))
 
 
 def expected_items(catalogue: DataFrame) -> DataFrame:

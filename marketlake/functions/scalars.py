@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Freshness thresholds in days (OK <= 1, LAGGING <= 5, else STALE).
 DEFAULT_OK_DAYS = 1
@@ -67,7 +68,7 @@ def minguo_to_iso_text(c) -> Column:
 
 
 def minguo_to_date(c) -> Column:
-    return F.try_to_date(minguo_to_iso_text(c), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(minguo_to_iso_text(c), "yyyy-MM-dd")
 
 
 # N5 ----------------------------------------------------------------------
@@ -84,7 +85,7 @@ def parse_date_strict(c, fmt: str | None = None) -> Column:
 
 
 def parse_date_tolerant(c, fmt: str = "yyyy-MM-dd") -> Column:
-    return F.try_to_date(_c(c).cast("string"), F.lit(fmt))
+    return F.try_to_date(_c(c).cast("string"), fmt)
 
 
 # N7 ----------------------------------------------------------------------
@@ -184,7 +185,7 @@ def is_nan_like(c) -> Column:
 def normalize_key(c) -> Column:
     """Parsable label -> 'YYYY-MM-DD', otherwise NULL."""
     x = F.trim(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in KEY_FORMATS])
+    parsed = F.coalesce(*[F.try_to_timestamp(x, f) for f in KEY_FORMATS])
     return F.date_format(parsed, "yyyy-MM-dd")
 
 
@@ -194,11 +195,11 @@ def matches_ymd(c) -> Column:
 
 def is_valid_key(c) -> Column:
     x = _c(c)
-    return matches_ymd(x) & F.try_to_date(x, F.lit("yyyy-MM-dd")).isNotNull()
+    return matches_ymd(x) & F.try_to_date(x, "yyyy-MM-dd").isNotNull()
 
 
 # N15 ---------------------------------------------------------------------
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode NFKC normalisation (no Spark built-in); apply to distinct values."""
     return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else None)

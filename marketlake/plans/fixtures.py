@@ -87,16 +87,18 @@ def landed_documents(spark: SparkSession, base: str) -> DataFrame:
                                                F.month("l_shipdate"), F.dayofmonth("l_shipdate"))
                                ).alias("row"),
                        F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_returnflag"),
-                       F.col("l_quantity")))
-    flags = (lines.groupBy("d", "page", "l_returnflag")
+                       F.col("l_quantity"), F.col("l_shipdate"), F.col("l_extendedprice"), F.col("l_discount")))
+    flags = (lines.groupBy("d", "page", "l_orderkey", "l_returnflag")
                   .agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("qty"),
                        F.count(F.lit(1)).alias("n")))
     o_doc = orders.groupBy("d", "page").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "row"))).alias("o"))
     l_doc = lines.groupBy("d", "page").agg(
-        F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "row"))).alias("l"))
+        F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", "l_shipdate", "l_quantity",
+                                             "l_extendedprice", "l_discount", "l_returnflag", "row"))).alias("l"))
     f_doc = flags.groupBy("d", "page").agg(F.sort_array(F.collect_list(
-        F.struct("l_returnflag", F.array("l_returnflag", _commas(F.col("qty"), 2),
-                                         F.col("n").cast("string")).alias("row")))).alias("f"))
+        F.struct("l_orderkey", "l_returnflag",
+                 F.array(F.col("l_orderkey").cast("string"), "l_returnflag", _commas(F.col("qty"), 2),
+                         F.col("n").cast("string")).alias("row")))).alias("f"))
     docs = o_doc.join(l_doc, ["d", "page"], "left").join(f_doc, ["d", "page"], "left")
     ymd = F.date_format("d", "yyyyMMdd")
     minguo = F.format_string("%d年%02d月%02d日", F.year("d") - 1911, F.month("d"), F.dayofmonth("d"))
@@ -127,7 +129,7 @@ def landed_documents(spark: SparkSession, base: str) -> DataFrame:
 DOC_ITEM = "orders_daily"
 ORDER_HEADER_RAW = ["訂單編號", "客戶</br>代號", "狀態", "總金額", "優先序"]
 LINE_HEADER_RAW = ["訂單編號", "項次", "數量", "金額", "折扣", "退貨", "出貨日期"]
-FLAG_HEADER_RAW = ["退貨", "數量", "筆數"]
+FLAG_HEADER_RAW = ["訂單編號", "退貨", "數量", "筆數"]
 
 
 # F4 ----------------------------------------------------------------------
