@@ -12,6 +12,7 @@ columns at plan time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import unicodedata
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -54,37 +55,67 @@ def raise_first_error(errors: DataFrame) -> None:
 
 
 # X1 / X2 / X5 -------------------------------------------------------------
-def _alias_map(aliases: dict) -> tuple[Column, Column]:
-    roles, ranks = [], []
-    for role, names in aliases.items():
-        for rank, name in enumerate(names):
-            roles += [F.lit(name), F.lit(role)]
-            ranks += [F.lit(name), F.lit(rank)]
-    return F.create_map(*roles), F.create_map(*ranks)
-
-
-def _containers(docs: DataFrame) -> DataFrame:
-    obj = docs.where("is_object")
-    root = obj.select(*IDS, F.lit(0).alias("container"), F.col("doc").alias("c"))
-    tabs = (obj.select(*IDS, F.posexplode(F.try_variant_get("doc", "$.tables", "array<variant>")).alias("p", "c"))
-               .select(*IDS, (F.col("p") + 1).alias("container"), "c"))
-    return root.unionByName(tabs)
-
-
-def _key_values(docs: DataFrame) -> DataFrame:
-    c = _containers(docs)
-    return c.select(*IDS, "container",
-                    F.explode(F.try_variant_get("c", "$", "map<string,variant>")).alias("key", "val"))
-
-
-def _typed_block(df: DataFrame) -> DataFrame:
-    return df.select(
-        *IDS, "container", "kind", "k",
-        F.try_variant_get("title", "$", "string").alias("title"),
-        F.try_variant_get("fields", "$", "array<string>").alias("fields"),
-        F.try_variant_get("data", "$", "array<array<string>>").alias("data"),
-        F.try_variant_get("groups", "$", "string").alias("groups"),
-        F.try_variant_get("notes", "$", "string").alias("notes"))
+# All block logic runs inside each document row with higher-order functions:
+# no shuffle regroups document content, whatever the number of documents.
+
+def _main_block_keys(m: Column) -> Column:
+    """Sorted suffix numbers of main-block keys, with the gap rule applied:
+    0 and 1 may be missing, from 2 on the numbering stops at the first gap."""
+    aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
+    pat = "^(" + "|".join(aliases) + ")([1-9][0-9]*)?$"
+    ks = F.array_sort(F.array_distinct(F.transform(
+        F.filter(F.map_keys(m), lambda x: x.rlike(pat)),
+        lambda x: F.coalesce(F.regexp_extract(x, pat, 2).try_cast("int"), F.lit(0)))))
+    return F.filter(ks, lambda k: (k < 2) | (F.size(F.filter(ks, lambda j: (j >= 2) & (j < k))) == k - 2))
+
+
+def _block(m: Column, container: Column, kind: str, k: Column, aliases: dict, suffix: Column) -> Column:
+    def pick(role):
+        names = aliases.get(role, [])
+        vals = [F.try_element_at(m, F.concat(F.lit(a), suffix)) for a in names]
+        if not vals:
+            return F.lit(None).cast("variant")
+        return F.coalesce(*vals) if len(vals) > 1 else vals[0]
+    return F.struct(container.cast("int").alias("container"), F.lit(kind).alias("kind"), k.cast("int").alias("k"),
+                    *[pick(r).alias(r) for r in ROLES])
+
+
+def _container_blocks(m: Column, container: Column) -> Column:
+    main = F.transform(_main_block_keys(m), lambda k: _block(
+        m, container, KIND_MAIN, k, catalog.MAIN_BLOCK_ALIASES,
+        F.when(k == 0, F.lit("")).otherwise(k.cast("string"))))
+    credit_keys = [a for names in catalog.CREDIT_BLOCK_ALIASES.values() for a in names]
+    has_credit = F.exists(F.map_keys(m), lambda x: x.isin(credit_keys))
+    credit = _block(m, container, KIND_CREDIT, F.lit(0), catalog.CREDIT_BLOCK_ALIASES, F.lit(""))
+    return F.concat(main, F.when(has_credit, F.array(credit)).otherwise(F.array().cast(_BLOCK_ARRAY)))
+
+
+_BLOCK_ARRAY = ("array<struct<container:int,kind:string,k:int,title:variant,fields:variant,data:variant,"
+                "groups:variant,notes:variant>>")
+
+
+def _legacy_blocks(m: Column) -> Column:
+    pat = r"^fields(\d+)$"
+    idx = F.array_sort(F.array_distinct(F.transform(F.filter(F.map_keys(m), lambda x: x.rlike(pat)),
+                                                    lambda x: F.regexp_extract(x, pat, 1).try_cast("int"))))
+    return F.transform(idx, lambda i: F.struct(
+        F.lit(0).alias("container"), F.lit(KIND_LEGACY).alias("kind"), i.cast("int").alias("k"),
+        F.try_element_at(m, F.concat(F.lit("subtitle"), i.cast("string"))).alias("title"),
+        F.try_element_at(m, F.concat(F.lit("fields"), i.cast("string"))).alias("fields"),
+        F.try_element_at(m, F.concat(F.lit("data"), i.cast("string"))).alias("data"),
+        F.lit(None).cast("variant").alias("groups"), F.lit(None).cast("variant").alias("notes")))
+
+
+def block_array(doc: Column) -> Column:
+    """X1 + X2 for one document: array of raw blocks (VARIANT payloads)."""
+    m = F.try_variant_get(doc, "$", "map<string,variant>")
+    tabs = F.filter(F.transform(F.coalesce(F.try_variant_get(doc, "$.tables", "array<variant>"),
+                                           F.array().cast("array<variant>")),
+                                lambda t: F.try_variant_get(t, "$", "map<string,variant>")),
+                    lambda t: t.isNotNull())
+    nested = F.flatten(F.transform(tabs, lambda t, i: _container_blocks(t, i + 1)))
+    x1 = F.concat(_container_blocks(m, F.lit(0)), nested)
+    return F.when(m.isNull(), F.array().cast(_BLOCK_ARRAY)).when(F.size(x1) > 0, x1).otherwise(_legacy_blocks(m))
 
 
 def extract_subtables(docs: DataFrame) -> DataFrame:
@@ -95,56 +126,20 @@ def extract_subtables(docs: DataFrame) -> DataFrame:
     credit block; then the same inside every element of ``tables``.  The
     first alias present wins (title before subtitle).  Documents where this
     finds nothing fall back to the legacy scan of ``fieldsN``/``dataN``/
-    ``subtitleN`` (non-empty fields and data only).
+    ``subtitleN`` (blocks without fields or data are dropped).
 
     Output: item, source_file, date_key, container, kind, k, title, fields,
     data, groups, notes.
     """
-    kv = _key_values(docs)
-    alias = F.regexp_extract("key", r"^(.*?)([1-9][0-9]*)?$", 1)
-    suffix = F.regexp_extract("key", r"^(.*?)([1-9][0-9]*)?$", 2)
-    m_role, m_rank = _alias_map(catalog.MAIN_BLOCK_ALIASES)
-    c_role, c_rank = _alias_map(catalog.CREDIT_BLOCK_ALIASES)
-    kv2 = kv.select(*IDS, "container", "key", "val", alias.alias("alias"), suffix.alias("suffix"))
-    main_role = F.element_at(m_role, F.col("alias"))
-    credit_role = F.when(F.col("suffix") == "", F.element_at(c_role, F.col("key")))
-    tagged = kv2.select(
-        *IDS, "container", "val",
-        F.when(main_role.isNotNull(), F.lit(KIND_MAIN)).when(credit_role.isNotNull(), F.lit(KIND_CREDIT)).alias("kind"),
-        F.coalesce(main_role, credit_role).alias("role"),
-        F.when(main_role.isNotNull(), F.element_at(m_rank, F.col("alias")))
-         .otherwise(F.element_at(c_rank, F.col("key"))).alias("rank"),
-        F.when(main_role.isNotNull(), F.coalesce(F.col("suffix").try_cast("int"), F.lit(0)))
-         .otherwise(F.lit(0)).alias("k"),
-    ).where(F.col("kind").isNotNull())
-    blocks = tagged.groupBy(*IDS, "container", "kind", "k").agg(
-        *[F.expr(f"min_by(val, rank) FILTER (WHERE role = '{r}')").alias(r) for r in ROLES])
-    part = Window.partitionBy(*IDS, "container", "kind")
-    rn = F.row_number().over(part.orderBy("k"))
-    n_low = F.count(F.when(F.col("k") < 2, 1)).over(part.rowsBetween(Window.unboundedPreceding,
-                                                                      Window.unboundedFollowing))
-    kept = (blocks.withColumn("_pos", rn - n_low)
-                  .where((F.col("kind") == KIND_CREDIT) | (F.col("k") < 2) | (F.col("_pos") == F.col("k") - 1))
-                  .drop("_pos"))
-    x1 = _typed_block(kept)
-
-    # Legacy fieldsN / dataN / subtitleN of the document root
-    lm = F.regexp_extract("key", r"^(fields|data|subtitle)(\d+)$", 1)
-    ln = F.regexp_extract("key", r"^(fields|data|subtitle)(\d+)$", 2).try_cast("int")
-    leg = (kv.where(F.col("container") == 0)
-             .select(*IDS, "container", "key", "val", lm.alias("role"), ln.alias("k"))
-             .where((F.col("role") != "") & (F.col("key") == F.concat("role", F.col("k").cast("string")))))
-    leg_blocks = leg.groupBy(*IDS, "container", "k").agg(
-        F.expr("min_by(val, k) FILTER (WHERE role = 'subtitle')").alias("title"),
-        F.expr("min_by(val, k) FILTER (WHERE role = 'fields')").alias("fields"),
-        F.expr("min_by(val, k) FILTER (WHERE role = 'data')").alias("data"),
-        F.lit(None).cast("variant").alias("groups"), F.lit(None).cast("variant").alias("notes"),
-        F.count(F.when(F.col("role") == "fields", 1)).alias("_has_fields"))
-    leg_blocks = leg_blocks.where("_has_fields > 0").drop("_has_fields").withColumn("kind", F.lit(KIND_LEGACY))
-    x2 = _typed_block(leg_blocks).where(_non_empty())
-    found = x1.select(*IDS).distinct()
-    x2 = x2.join(found, [x2[c].eqNullSafe(found[c]) for c in IDS], "left_anti")
-    return x1.unionByName(x2)
+    b = docs.select(*IDS, F.explode(block_array(F.col("doc"))).alias("b")).select(*IDS, "b.*")
+    typed = b.select(
+        *IDS, "container", "kind", "k",
+        F.try_variant_get("title", "$", "string").alias("title"),
+        F.try_variant_get("fields", "$", "array<string>").alias("fields"),
+        F.try_variant_get("data", "$", "array<array<string>>").alias("data"),
+        F.try_variant_get("groups", "$", "string").alias("groups"),
+        F.try_variant_get("notes", "$", "string").alias("notes"))
+    return typed.where((F.col("kind") != KIND_LEGACY) | _non_empty())
 
 
 def _non_empty() -> Column:
@@ -156,10 +151,15 @@ def skip_empty(blocks: DataFrame) -> DataFrame:
     return blocks.where(_non_empty())
 
 
-def documents_without_tables(docs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Documents that yield no sub-table at all, or are not objects (Q4 rows)."""
-    has = blocks.select(*IDS).distinct()
-    none = docs.join(has, [docs[c].eqNullSafe(has[c]) for c in IDS], "left_anti")
+def documents_without_tables(docs: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+    """Documents that yield no sub-table at all, or are not objects (Q4 rows).
+    Evaluated per document row (no join)."""
+    def usable(b):
+        f = F.coalesce(F.size(F.try_variant_get(b["fields"], "$", "array<string>")), F.lit(0))
+        d = F.coalesce(F.size(F.try_variant_get(b["data"], "$", "array<array<string>>")), F.lit(0))
+        return (b["kind"] != KIND_LEGACY) | ((f > 0) & (d > 0))
+    n = F.size(F.filter(block_array(F.col("doc")), usable))
+    none = docs.where(n == 0)
     return none.select(*IDS, error_struct(
         F.when(F.col("is_object"), F.lit("no sub-table found")).otherwise(F.lit("document is not an object")),
         file=F.col("source_file"), item=F.col("item")).alias("error"))
@@ -203,35 +203,44 @@ def trim_rows(blocks: DataFrame) -> DataFrame:
 
 
 # X8 / N15 -----------------------------------------------------------------
-def match_subtitles(blocks: DataFrame, subtitles: DataFrame) -> DataFrame:
-    """Per (item, title): the one configured subtitle contained in the
-    NFKC-normalised, stripped title.
+_SUB_ARRAY = "array<struct<sub:string,norm:string>>"
 
-    NFKC runs in a pandas UDF on distinct titles only; the configured
-    subtitles are configuration (bounded) and are broadcast.  Output adds
-    ``subitem`` (NULL on error), ``n_hits`` and ``match_error``.
+
+def subtitle_config(catalogue: DataFrame) -> dict[str, list[str]]:
+    """item -> configured subtitles (configuration rows, bounded)."""
+    return {r["item"]: list(r["subtitle"] or []) for r in catalogue.select("item", "subtitle").collect()}
+
+
+def match_titles(df: DataFrame, config: dict[str, Sequence[str]], item_col: str = "item",
+                 title_col: str = "title") -> DataFrame:
+    """X8 per row: the one configured subtitle contained in the NFKC-normalised,
+    stripped title.
+
+    The configuration is normalised once on the driver and inlined as a
+    literal map; only the title column goes through the NFKC pandas UDF
+    (Arrow batches).  No join, no shuffle.  Adds ``title_norm``, ``n_hits``,
+    ``subitem`` (NULL on error) and ``match_error``.
     """
-    titles = blocks.select("item", "title").distinct().withColumn("title_norm", S.nfkc_strip("title"))
-    subs = subtitles.select(F.col("item").alias("s_item"), "subtitle", S.nfkc_strip("subtitle").alias("sub_norm"))
-    conf = subs.groupBy("s_item").agg(F.count_if(F.col("sub_norm") != "").alias("n_conf"))
-    cand = titles.join(F.broadcast(subs), (titles.item == subs.s_item) & (F.col("sub_norm") != "")
-                       & F.col("title_norm").contains(F.col("sub_norm")), "left")
-    per = cand.groupBy("item", "title", "title_norm").agg(
-        F.count("sub_norm").alias("n_hits"), F.min("subtitle").alias("any_hit"))
-    per = per.join(F.broadcast(conf), per.item == conf.s_item, "left").drop("s_item")
-    err = (F.when(F.col("title").isNull(), F.lit("title is null"))
+    entries = []
+    for item, subs in config.items():
+        arr = F.array(*[F.struct(F.lit(x).alias("sub"),
+                                 F.lit(unicodedata.normalize("NFKC", x).strip()).alias("norm")) for x in subs]) \
+            if subs else F.array().cast(_SUB_ARRAY)
+        entries += [F.lit(item), arr.cast(_SUB_ARRAY)]
+    subs = F.try_element_at(F.create_map(*entries), F.col(item_col)) if entries else F.lit(None).cast(_SUB_ARRAY)
+    out = df.withColumn("title_norm", S.nfkc_strip(title_col))
+    hits = F.filter(F.coalesce(subs, F.array().cast(_SUB_ARRAY)),
+                    lambda x: (x["norm"] != "") & F.col("title_norm").contains(x["norm"]))
+    n_conf = F.size(F.filter(F.coalesce(subs, F.array().cast(_SUB_ARRAY)), lambda x: x["norm"] != ""))
+    out = out.withColumn("_hits", hits).withColumn("n_hits", F.size("_hits"))
+    err = (F.when(F.col(title_col).isNull(), F.lit("title is null"))
             .when(F.col("title_norm") == "", F.lit("title is blank"))
-            .when(F.coalesce(F.col("n_conf"), F.lit(0)) == 0, F.lit("no subtitles configured for item"))
+            .when(n_conf == 0, F.lit("no subtitles configured for item"))
             .when(F.col("n_hits") == 0, F.lit("no configured subtitle in title"))
             .when(F.col("n_hits") > 1, F.lit("several configured subtitles in title")))
-    return per.select("item", "title", "title_norm", "n_hits",
-                      F.when(err.isNull(), F.col("any_hit")).alias("subitem"), err.alias("match_error"))
-
-
-def attach_subitem(blocks: DataFrame, matches: DataFrame) -> DataFrame:
-    m = matches.select(F.col("item").alias("_mi"), F.col("title").alias("_mt"), "subitem", "match_error")
-    return (blocks.join(m, (blocks.item == m._mi) & blocks.title.eqNullSafe(m._mt), "left")
-                  .drop("_mi", "_mt"))
+    return (out.withColumn("match_error", err)
+               .withColumn("subitem", F.when(F.col("match_error").isNull(), F.col("_hits")[0]["sub"]))
+               .drop("_hits"))
 
 
 # P1 / P2 / P6 / X4 (header lists: plan-time metadata) ----------------------

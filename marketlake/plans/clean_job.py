@@ -41,11 +41,10 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     """
     specs = dict(specs or {})
     blocks_all = ig.extract_subtables(docs)
-    blocks = ig.skip_empty(blocks_all)
-    matches = ig.match_subtitles(blocks, catalog.dim_subtitle(catalogue))
     # every sub-table reads the matched blocks: keep them (recomputed from
     # lineage if an executor holding them is lost)
-    blocks = ig.attach_subitem(blocks, matches).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = ig.match_titles(ig.skip_empty(blocks_all), ig.subtitle_config(catalogue))
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     errors = [
         blocks.where(F.col("match_error").isNotNull()).select(
             *ig.IDS, ig.error_struct(F.col("match_error"), file=F.col("source_file"), item=F.col("item"),

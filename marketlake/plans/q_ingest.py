@@ -182,5 +182,4 @@ FROM h""")
 def x8_title_match(spark, base):
     """Exactly one configured subtitle must be contained in the normalised title."""
     t = fx.messy_titles(spark, base).select(F.lit("parts").alias("item"), F.col("raw_title").alias("title"))
-    subs = spark.createDataFrame([("parts", s) for s in PART_SUBTITLES], "item string, subtitle string")
-    return ig.match_subtitles(t, subs)
+    return ig.match_titles(t.distinct(), {"parts": PART_SUBTITLES})
