@@ -106,13 +106,19 @@ def _legacy_blocks(m: Column) -> Column:
         F.lit(None).cast("variant").alias("groups"), F.lit(None).cast("variant").alias("notes")))
 
 
-def block_array(doc: Column) -> Column:
-    """X1 + X2 for one document: array of raw blocks (VARIANT payloads)."""
-    m = F.try_variant_get(doc, "$", "map<string,variant>")
-    tabs = F.filter(F.transform(F.coalesce(F.try_variant_get(doc, "$.tables", "array<variant>"),
+def _with_maps(docs: DataFrame, *extra: str) -> DataFrame:
+    """The document as a map of top-level keys plus the maps of its ``tables``
+    elements, materialised once per row (lambdas below only look them up)."""
+    m = F.try_variant_get("doc", "$", "map<string,variant>")
+    tabs = F.filter(F.transform(F.coalesce(F.try_variant_get("doc", "$.tables", "array<variant>"),
                                            F.array().cast("array<variant>")),
                                 lambda t: F.try_variant_get(t, "$", "map<string,variant>")),
                     lambda t: t.isNotNull())
+    return docs.select(*IDS, *extra, m.alias("_m"), tabs.alias("_tabs"))
+
+
+def block_array(m: Column, tabs: Column) -> Column:
+    """X1 + X2 for one document: array of raw blocks (VARIANT payloads)."""
     nested = F.flatten(F.transform(tabs, lambda t, i: _container_blocks(t, i + 1)))
     x1 = F.concat(_container_blocks(m, F.lit(0)), nested)
     return F.when(m.isNull(), F.array().cast(_BLOCK_ARRAY)).when(F.size(x1) > 0, x1).otherwise(_legacy_blocks(m))
@@ -131,7 +137,8 @@ def extract_subtables(docs: DataFrame) -> DataFrame:
     Output: item, source_file, date_key, container, kind, k, title, fields,
     data, groups, notes.
     """
-    b = docs.select(*IDS, F.explode(block_array(F.col("doc"))).alias("b")).select(*IDS, "b.*")
+    d = _with_maps(docs)
+    b = d.select(*IDS, F.explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b")).select(*IDS, "b.*")
     typed = b.select(
         *IDS, "container", "kind", "k",
         F.try_variant_get("title", "$", "string").alias("title"),
@@ -158,8 +165,9 @@ def documents_without_tables(docs: DataFrame, blocks: DataFrame | None = None) -
         f = F.coalesce(F.size(F.try_variant_get(b["fields"], "$", "array<string>")), F.lit(0))
         d = F.coalesce(F.size(F.try_variant_get(b["data"], "$", "array<array<string>>")), F.lit(0))
         return (b["kind"] != KIND_LEGACY) | ((f > 0) & (d > 0))
-    n = F.size(F.filter(block_array(F.col("doc")), usable))
-    none = docs.where(n == 0)
+    d = _with_maps(docs, "is_object")
+    n = F.size(F.filter(block_array(F.col("_m"), F.col("_tabs")), usable))
+    none = d.where(n == 0)
     return none.select(*IDS, error_struct(
         F.when(F.col("is_object"), F.lit("no sub-table found")).otherwise(F.lit("document is not an object")),
         file=F.col("source_file"), item=F.col("item")).alias("error"))

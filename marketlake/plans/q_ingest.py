@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import catalog
 from ..functions import scalars as S
 from ..operators import ingest as ig
+from ..operators import store as st
 from ..sources import documents as docsrc
 from . import fixtures as fx
 from .clean_job import clean_documents
@@ -32,8 +33,23 @@ DOC_KEY_SQL = ("'source/orders_daily/orders_daily_' || strftime({d}, '%Y%m%d') |
                "CAST(CAST(FLOOR({k} / 1000) AS BIGINT) AS VARCHAR) || '.json'")
 
 
+_LANDED: dict[tuple, str] = {}
+
+
+def landed(spark, base):
+    """The landed documents of ``base``, written once per session as a table
+    in the shared checkpoint folder - the way documents land before a clean
+    job reads them."""
+    key = (spark.sparkContext.applicationId, base)
+    if key not in _LANDED:
+        path = st.scratch_path(spark, "landed")
+        fx.landed_documents(spark, base).write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(_LANDED[key])
+
+
 def documents(spark, base):
-    return docsrc.documents_from_text(fx.landed_documents(spark, base))
+    return docsrc.documents_from_text(landed(spark, base))
 
 
 def _clean(spark, base, cat_rows=DOC_CATALOGUE):
