@@ -167,7 +167,7 @@ def cleaned_manifest(spark: SparkSession, base: str) -> DataFrame:
         F.col("l_orderkey").cast("string").alias("subitem"),
         F.concat(F.lit("cleaned/"), "o_orderpriority", F.lit("/"), F.col("l_orderkey").cast("string"),
                  F.lit(".parquet")).alias("path"),
-        (F.col("amt") * 10).cast("bigint").alias("size_bytes"),
+        F.floor(F.col("amt") * 10).cast("bigint").alias("size_bytes"),
         F.col("mtime").cast("timestamp").alias("mtime"))
     schema = (per_order.groupBy("o_orderpriority")
                        .agg(F.max("mtime").alias("mtime"), F.count(F.lit(1)).alias("n"))
@@ -262,7 +262,7 @@ def error_log_cells(spark: SparkSession, base: str) -> DataFrame:
     """
     r = response_log(spark, base)
     reason = S.classify_error(F.col("status_code"), F.col("exception_type"))
-    new_gen = r.col("k") % 2 == 0
+    new_gen = F.col("k") % 2 == 0
     rec = F.struct(
         F.col("event_id"),
         F.when(new_gen, reason).alias("error_reason"),
