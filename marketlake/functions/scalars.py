@@ -174,7 +174,7 @@ def response_outcome(status_code, stat, exception_type=None) -> Column:
 
 # N14 ---------------------------------------------------------------------
 # Text formats accepted when normalising a date key.
-KEY_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy-MM-dd HH:mm:ss", "yyyy.MM.dd")
+KEY_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy-M-d", "yyyy/M/d", "yyyy-MM-dd HH:mm:ss", "yyyy.MM.dd")
 
 
 def is_nan_like(c) -> Column:
@@ -185,7 +185,7 @@ def is_nan_like(c) -> Column:
 def normalize_key(c) -> Column:
     """Parsable label -> 'YYYY-MM-DD', otherwise NULL."""
     x = F.trim(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(x, f) for f in KEY_FORMATS])
+    parsed = F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in KEY_FORMATS])
     return F.date_format(parsed, "yyyy-MM-dd")
 
 

@@ -221,9 +221,23 @@ def present_cells(spark: SparkSession, base: str) -> DataFrame:
     return ev.select(F.to_date("ts").alias("date"), F.col("event_type").alias("item")).distinct()
 
 
-# Raw labels of an old status log, including broken ones.
-RAW_STATUS_LABELS = ["2024-01-02", "2024/01/03", "20240104", "2024-1-5", "2024-02-30",
-                     "nan", "", "NaT", "hello", "2024-01-02"]
+# How each dataset wrote the date label of an old status log (F5);
+# 'error' used a day-first form that no key rule accepts.
+LABEL_STYLE = {"click": "yyyy-MM-dd", "view": "yyyy/MM/dd", "purchase": "yyyyMMdd", "signup": "yyyy-M-d",
+               "error": "dd.MM.yyyy"}
+
+
+def raw_status_log(spark: SparkSession, base: str) -> DataFrame:
+    """Long status log (label, item, status) with mixed label formats:
+    'succeed' when the day holds an event >= PRESENT_MIN_VALUE, else 'wait'."""
+    ev = read_table(spark, base, "events")
+    per = (ev.groupBy(F.to_date("ts").alias("d"), F.col("event_type").alias("item"))
+             .agg(F.max("value").alias("mv")))
+    label = F.lit(None).cast("string")
+    for item, fmt in LABEL_STYLE.items():
+        label = F.when(F.col("item") == item, F.date_format("d", fmt)).otherwise(label)
+    return per.select(label.alias("label"), "item",
+                      F.when(F.col("mv") >= PRESENT_MIN_VALUE, F.lit("succeed")).otherwise(F.lit("wait")).alias("status"))
 
 
 # F6 ----------------------------------------------------------------------
