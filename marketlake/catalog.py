@@ -86,3 +86,78 @@ def expected_items(catalogue: DataFrame) -> DataFrame:
 def dim_subtitle(catalogue: DataFrame) -> DataFrame:
     """(item, subtitle_pos, subtitle) - one row per configured sub-table."""
     return catalogue.select("item", F.posexplode("subtitle").alias("subtitle_pos", "subtitle"))
+
+
+# Global header rename applied to every landed table (P1), in
+# the order configured for the collector.
+GLOBAL_RENAME = {
+    "指數代號及名稱": "名稱",
+    "STO代號及名稱": "名稱",
+    "每日收盤行情(全部)": "每日收盤行情",
+    "公開發行日": "發行日",
+    "上市日": "發行日",
+    "登錄日": "發行日",
+    "掛牌日": "發行日",
+    "價格指數(跨市場)": "價格指數_跨市場",
+    "價格指數(臺灣指數公司)": "價格指數_臺灣指數公司",
+    "報酬指數(臺灣證券交易所)": "報酬指數_臺灣證券交易所",
+    "報酬指數(跨市場)": "報酬指數_跨市場",
+    "報酬指數(臺灣指數公司)": "報酬指數_臺灣指數公司",
+    "價格指數(臺灣證券交易所)": "價格指數_臺灣證券交易所",
+    "上市認購(售)權證": "上市認購售權證",
+    "上櫃認購(售)權證": "上櫃認購售權證",
+    "認購(售)權證": "認購售權證",
+    "臺灣存託憑證(TDR)": "台灣存託憑證",
+    "受益證券-不動產投資信託": "受益證券_不動產投資信託",
+    "國際證券辨識號碼(ISIN Code)": "ISINCode",
+    "受益證券-資產基礎證券": "受益證券_資產基礎證券",
+    "黃金期貨(USD)": "黃金期貨USD",
+    "成交金額(元)": "成交金額_元",
+    "成交股數(股)": "成交股數_股",
+    "漲跌百分比(%)": "漲跌百分比%",
+    "自營商買進股數(自行買賣)": "自營商買進股數_自行買賣",
+    "自營商賣出股數(自行買賣)": "自營商賣出股數_自行買賣",
+    "自營商買賣超股數(自行買賣)": "自營商買賣超股數_自行買賣",
+    "自營商買進股數(避險)": "自營商買進股數_避險",
+    "自營商賣出股數(避險)": "自營商賣出股數_避險",
+    "自營商買賣超股數(避險)": "自營商買賣超股數_避險",
+    "殖利率(%)": "殖利率%",
+    "外陸資買進股數(不含外資自營商)": "外陸資買進股數_不含外資自營商",
+    "外陸資賣出股數(不含外資自營商)": "外陸資賣出股數_不含外資自營商",
+    "外陸資買賣超股數(不含外資自營商)": "外陸資買賣超股數_不含外資自營商",
+    "現金(券)償還": "現金券償還",
+    "證券代號": "代號",
+    "股票代號": "代號",
+    "指數代號": "代號",
+    "證券名稱": "名稱",
+    "股票名稱": "名稱",
+    "有價證券名稱": "名稱",
+    "有價證券代號及名稱": "名稱",
+    "報酬指數": "名稱",
+    "指數": "名稱",
+    "成交統計": "名稱",
+    "類型": "名稱",
+    "項目": "名稱",
+    "單位名稱": "名稱",
+    "日期": "date",
+    "融資(交易單位)": "融資_交易單位",
+    "融券(交易單位)": "融券_交易單位",
+    "融資金額(仟元)": "融資金額仟元",
+}
+
+# Per-dataset header rename (P2), (item, sub-table) -> {old: new}.
+DATASET_RENAME = {
+    ("信用額度總量管制餘額表", "信用額度總量管制餘額表"): {
+        "借券賣出_賣出": "借券賣出_當日賣出",
+        "借券賣出_庫存異動": "借券賣出_當日還券",
+        "借券賣出_今日餘額": "借券賣出_當日餘額",
+        "借券賣出_可使用額度": "借券賣出_次一營業日可限額",
+    },
+    ("三大法人買賣超日報", "三大法人買賣超日報"): {
+        "外資買進股數": "外陸資買進股數_不含外資自營商",
+        "外資賣出股數": "外陸資賣出股數_不含外資自營商",
+        "外資買賣超股數": "外陸資買賣超股數_不含外資自營商",
+        "自營商買進股數": "自營商買進股數_自行買賣",
+        "自營商賣出股數": "自營商賣出股數_自行買賣",
+    },
+}

@@ -295,41 +295,34 @@ def error_log_cells(spark: SparkSession, base: str) -> DataFrame:
 
 
 # F7 ----------------------------------------------------------------------
-# The market models of the security list, the ISIN slice that
-# yields the local code ([start, stop), 0-based) and the column rename.
-MARKET_MODELS = [
-    ("listed", 2, 6),
-    ("otc", 2, 6),
-    ("emerging", 2, 6),
-]
+# Number of market models the listing pages cycle through.
+LIST_MODELS = 3
 LIST_HEADER = ["有價證券代號及名稱", "國際證券辨識號碼(ISIN Code)", "上市日", "市場別", "產業別", "CFICode", "備註"]
 
 
-def listing_pages(spark: SparkSession, base: str) -> DataFrame:
+def listing_pages(spark: SparkSession, base: str, lower_type_model: str | None = None) -> DataFrame:
     """HTML pages of a security list built from ``part``: a navigation table
-    first, the listing as the second <table>, a ragged row to be dropped."""
+    first, the listing as the second <table>, a ragged row to be dropped.
+    The market model travels in the URL (``strMode``)."""
     p = read_table(spark, base, "part")
     page = F.floor(F.col("p_partkey") / F.lit(LIST_PAGE_PARTS)).cast("bigint")
-    model = F.get(F.array(*[F.lit(m[0]) for m in MARKET_MODELS]), F.pmod(page, F.lit(len(MARKET_MODELS))))
+    model = (F.pmod(page, F.lit(LIST_MODELS)) + 1).cast("string")
     isin = F.concat(F.lit("TW"), F.lpad(F.col("p_partkey").cast("string"), 6, "0"), F.lit("00"),
-                    F.upper(F.substring(F.regexp_replace("p_brand", "[^0-9]", ""), 1, 1)), F.lit("0"))
+                    F.substring(F.regexp_replace("p_brand", "[^0-9]", ""), 1, 1), F.lit("0"))
     cells = F.array(
         F.concat(F.lpad(F.col("p_partkey").cast("string"), 6, "0"), F.lit("　"), F.col("p_name")),
-        isin,
-        F.lit("2001/01/01"),
-        model,
-        F.col("p_type"),
-        F.lit("ESVUFR"),
-        F.col("p_brand"))
+        isin, F.lit("2001/01/01"), model,
+        F.when(model == F.lit(lower_type_model), F.lower("p_type")).otherwise(F.col("p_type"))
+        if lower_type_model else F.col("p_type"),
+        F.lit("ESVUFR"), F.col("p_brand"))
     row_html = F.concat(F.lit("<tr>"), F.array_join(F.transform(cells, lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))), ""),
                         F.lit("</tr>"))
     rows = p.select(page.alias("page"), model.alias("model"), F.col("p_partkey"), row_html.alias("tr"))
     head = "<tr>" + "".join(f"<td>{h}</td>" for h in LIST_HEADER) + "</tr>"
-    return (rows.groupBy("page")
-                .agg(F.first("model").alias("model"),
-                     F.sort_array(F.collect_list(F.struct("p_partkey", "tr"))).alias("trs"))
+    return (rows.groupBy("page", "model")
+                .agg(F.sort_array(F.collect_list(F.struct("p_partkey", "tr"))).alias("trs"))
                 .select(F.col("page").alias("page_id"),
-                        F.concat(F.lit("https://listing.example/"), F.col("model"), F.lit("?page="),
+                        F.concat(F.lit("https://listing.example/isin?strMode="), F.col("model"), F.lit("&page="),
                                  F.col("page").cast("string")).alias("url"),
                         F.concat(F.lit("<html><body><table><tr><td>nav</td></tr></table><table>"), F.lit(head),
                                  F.array_join(F.transform("trs", lambda x: x["tr"]), "\n"),
@@ -376,3 +369,36 @@ def messy_titles(spark: SparkSession, base: str) -> DataFrame:
 
 # Frequency of each keyed-fact dataset (dataset = return flag).
 FACT_ITEM_FREQ = [("A", "D"), ("N", "D"), ("R", "ME")]
+
+
+# F3b ---------------------------------------------------------------------
+# Header of a monthly single-security history document; the
+# documents of even months omit it (the reader falls back to this default).
+HISTORY_HEADER = ["日期", "成交金額", "成交筆數", "漲跌(+/-)", "漲跌價差"]
+
+
+def monthly_history_docs(spark: SparkSession, base: str) -> DataFrame:
+    """One JSON document per (customer, month, page of order keys): the
+    customer's orders as daily rows with Minguo dates, comma numbers and a
+    separate sign column."""
+    o = read_table(spark, base, "orders")
+    d = F.to_date("o_orderdate")
+    page = F.floor(F.col("o_orderkey") / F.lit(DOC_PAGE_ORDERS)).cast("bigint")
+    row = F.array(F.format_string("%d/%02d/%02d", F.year(d) - 1911, F.month(d), F.dayofmonth(d)),
+                  _commas(F.col("o_totalprice"), 2), _commas(F.col("o_orderkey"), 0),
+                  F.when(F.col("o_orderstatus") == "F", F.lit("-")).otherwise(F.lit("+")),
+                  _commas(F.floor("o_totalprice") / 100, 2))
+    g = (o.select(F.col("o_custkey").cast("string").alias("symbol"), F.date_format(d, "yyyyMM").alias("ym"),
+                  page.alias("page"), "o_orderkey", row.alias("row"))
+          .groupBy("symbol", "ym", "page")
+          .agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "row"))).alias("rows")))
+    odd = F.substring("ym", 5, 2).cast("int") % 2 == 1
+    body = F.struct(F.lit("OK").alias("stat"),
+                    F.when(odd, F.array(*[F.lit(h) for h in HISTORY_HEADER])).alias("fields"),
+                    F.transform("rows", lambda x: x["row"]).alias("data"),
+                    F.struct(F.struct(F.col("symbol").alias("stockNo"), F.concat("ym", F.lit("01")).alias("date"))
+                             .alias("payload")).alias("crawlerdic"))
+    return g.select(F.lit("stock_history").alias("item"),
+                    F.concat(F.lit("source/stock_history/"), "symbol", F.lit("_"), "ym", F.lit("_p"),
+                             F.col("page").cast("string"), F.lit(".json")).alias("source_file"),
+                    F.to_json(body, {"ignoreNullFields": "true"}).alias("json"))
