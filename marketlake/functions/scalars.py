@@ -116,7 +116,7 @@ def _micros(ts) -> Column:
 
 def days_lag(mtime, today) -> Column:
     """floor((today 00:00 - mtime) / 1 day); a file touched later today gives -1."""
-    today_ts = F.to_date(_c(today) if not isinstance(today, str) else F.lit(today)).cast("timestamp")
+    today_ts = F.to_date(today if isinstance(today, Column) else F.lit(str(today))).cast("timestamp")
     return F.floor((F.unix_micros(today_ts) - _micros(mtime)) / F.lit(MICROS_PER_DAY)).cast("bigint")
 
 

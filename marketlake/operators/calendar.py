@@ -146,12 +146,12 @@ def rename_label(log: DataFrame, old_label: str, new_key: str, label_col: str =
     _dt.date.fromisoformat(new_key)
     lab = F.col(label_col)
     old_key = S.normalize_key(F.lit(old_label))
-    hit = (lab == F.lit(old_label)) | (lab == old_key)
+    hit = F.coalesce(lab == F.lit(old_label), F.lit(False)) | F.coalesce(lab == old_key, F.lit(False))
     if log.where(hit).isEmpty():
         raise KeyError(f"label not found: {old_label!r}")
     if not overwrite and not log.where(lab == F.lit(new_key)).isEmpty():
         raise KeyError(f"target label exists: {new_key!r}")
-    kept = log.where(~hit & (lab != F.lit(new_key))) if overwrite else log.where(~hit)
+    kept = log.where(~hit & ~F.coalesce(lab == F.lit(new_key), F.lit(False))) if overwrite else log.where(~hit)
     return kept.unionByName(log.where(hit).withColumn(label_col, F.lit(new_key)))
 
 

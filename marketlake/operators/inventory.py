@@ -218,7 +218,7 @@ def overall_summary(today, source_detail: DataFrame, cleaned_detail: DataFrame,
     out = parts[0].withColumn("_k", F.lit(1))
     for p in parts[1:]:
         out = out.join(F.broadcast(p.withColumn("_k", F.lit(1))), "_k")  # one-row frames
-    return out.drop("_k").withColumn("as_of", F.to_date(F.lit(today)) if isinstance(today, str) else today)
+    return out.drop("_k").withColumn("as_of", today if isinstance(today, Column) else F.to_date(F.lit(str(today))))
 
 
 def schema_coverage(cleaned_summary: DataFrame) -> DataFrame:

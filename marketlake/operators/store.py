@@ -131,7 +131,7 @@ def latest_date_only(df: DataFrame, freq_col: Column | str | None = None, freq:
     Daily, flagged or date-less frames pass through.  The per-document maximum
     is a group-by joined back (documents are bounded; no window buffer).
     """
-    if update_old_non_daily or date_col not in df.columns:
+    if update_old_non_daily or date_col not in df.columns or (freq_col is None and freq in (DAILY, None)):
         return df
     f = F.col(freq_col) if isinstance(freq_col, str) else (freq_col if freq_col is not None else F.lit(freq))
     mx = df.groupBy(*doc_cols).agg(F.max(date_col).alias("_max_date"))
@@ -196,6 +196,7 @@ def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequen
     new_b = with_bucket(new, bucket_mode, freq, date_col)
     try:
         existing = spark.read.parquet(path)
+        existing = existing.withColumn("bucket", F.col("bucket").cast("string"))
     except Exception:  # noqa: BLE001 - no table yet
         existing = None
     if existing is None:

@@ -20,6 +20,8 @@ def read_cleaned(spark: SparkSession, path: str, codes: Sequence[str] | None = N
     range (bucket keys sort like their dates), so whole partitions are pruned
     and the rest of the predicate is pushed into the Parquet reader."""
     df = spark.read.parquet(path)
+    if "bucket" in df.columns:
+        df = df.withColumn("bucket", F.col("bucket").cast("string"))
     cond = F.lit(True)
     if bucket_mode and bucket_mode != "all":
         if start is not None:
