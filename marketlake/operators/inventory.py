@@ -286,3 +286,14 @@ def error_profile_by_item(flat: DataFrame) -> DataFrame:
     return flat.groupBy("item").agg(F.min(d).alias("first_date"), F.max(d).alias("last_date"),
                                     F.count(F.lit(1)).alias("n_errors"),
                                     F.array_sort(F.collect_set("error_reason")).alias("reasons"))
+
+
+# A7 -------------------------------------------------------------------------
+def summarize_cleaning_log(log: DataFrame | None) -> DataFrame | None:
+    """Counts by (item, subitem, status) when those columns exist, else the
+    log itself; no log -> None."""
+    if log is None:
+        return None
+    if {"item", "subitem", "status"} <= set(log.columns):
+        return log.groupBy("item", "subitem", "status").agg(F.count(F.lit(1)).alias("count"))
+    return log

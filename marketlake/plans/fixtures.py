@@ -402,3 +402,36 @@ def monthly_history_docs(spark: SparkSession, base: str) -> DataFrame:
                     F.concat(F.lit("source/stock_history/"), "symbol", F.lit("_"), "ym", F.lit("_p"),
                              F.col("page").cast("string"), F.lit(".json")).alias("source_file"),
                     F.to_json(body, {"ignoreNullFields": "true"}).alias("json"))
+
+
+# F3c ---------------------------------------------------------------------
+# Raw grouped header of a margin-style table (F3c); the groups
+# repeat the same names, so only the configured spans tell them apart.
+MARGIN_ITEM = "信用交易統計"
+MARGIN_SUBTITLE = "融資融券彙總"
+MARGIN_HEADER_RAW = ["股票代號", "股票名稱", "買進", "賣出", "現金償還", "前日餘額", "今日餘額", "限額",
+                     "買進", "賣出", "現券償還", "前日餘額", "今日餘額", "限額", "資券互抵", "註記"]
+
+
+def grouped_header_docs(spark: SparkSession, base: str) -> DataFrame:
+    """One document per (ship date, page of order keys) whose table has a
+    grouped header with repeated names (line items as rows)."""
+    li = read_table(spark, base, "lineitem")
+    d = F.to_date("l_shipdate")
+    page = F.floor(F.col("l_orderkey") / F.lit(DOC_PAGE_ORDERS)).cast("bigint")
+    s = lambda c: F.col(c).cast("string")
+    row = F.array(s("l_orderkey"), s("l_linenumber"), s("l_quantity"), _commas(F.col("l_extendedprice"), 2),
+                  s("l_discount"), s("l_tax"), s("l_partkey"), s("l_suppkey"),
+                  s("l_suppkey"), s("l_partkey"), s("l_tax"), s("l_discount"), _commas(F.col("l_extendedprice"), 2),
+                  s("l_quantity"), s("l_returnflag"), s("l_linestatus"))
+    g = (li.select(d.alias("d"), page.alias("page"), F.struct(row.alias("row")).alias("r"))
+           .groupBy("d", "page").agg(F.sort_array(F.collect_list("r")).alias("rows")))
+    minguo = F.format_string("%d年%02d月%02d日", F.year("d") - 1911, F.month("d"), F.dayofmonth("d"))
+    body = F.struct(F.lit("OK").alias("stat"), F.concat(minguo, F.lit(" " + MARGIN_SUBTITLE)).alias("title"),
+                    F.array(*[F.lit(h) for h in MARGIN_HEADER_RAW]).alias("fields"),
+                    F.transform("rows", lambda x: x["row"]).alias("data"),
+                    F.struct(F.struct(F.date_format("d", "yyyyMMdd").alias("date")).alias("payload")).alias("crawlerdic"))
+    return g.select(F.lit(MARGIN_ITEM).alias("item"),
+                    F.concat(F.lit(f"source/{MARGIN_ITEM}/"), F.date_format("d", "yyyyMMdd"), F.lit("_p"),
+                             F.col("page").cast("string"), F.lit(".json")).alias("source_file"),
+                    F.to_json(body).alias("json"))

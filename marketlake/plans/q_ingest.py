@@ -199,3 +199,29 @@ def x8_title_match(spark, base):
     """Exactly one configured subtitle must be contained in the normalised title."""
     t = fx.messy_titles(spark, base).select(F.lit("parts").alias("item"), F.col("raw_title").alias("title"))
     return ig.match_titles(t.distinct(), {"parts": PART_SUBTITLES})
+
+
+_MARGIN_COLS = ["date", "代號", "名稱"] + [f"{g}_{h}" for g, hs in (
+    ("融資", ["買進", "賣出", "現金償還", "前日餘額", "今日餘額", "限額"]),
+    ("融券", ["買進", "賣出", "現券償還", "前日餘額", "今日餘額", "限額"])) for h in hs] + ["資券互抵", "註記"]
+
+
+@register("x4_grouped_header", """
+SELECT DISTINCT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, CAST(l_orderkey AS VARCHAR) AS "代號",
+  CAST(l_linenumber AS VARCHAR) AS "名稱",
+  l_quantity AS "融資_買進", l_extendedprice AS "融資_賣出", l_discount AS "融資_現金償還", l_tax AS "融資_前日餘額",
+  CAST(l_partkey AS DOUBLE) AS "融資_今日餘額", CAST(l_suppkey AS DOUBLE) AS "融資_限額",
+  CAST(l_suppkey AS DOUBLE) AS "融券_買進", CAST(l_partkey AS DOUBLE) AS "融券_賣出", l_tax AS "融券_現券償還",
+  l_discount AS "融券_前日餘額", l_extendedprice AS "融券_今日餘額", l_quantity AS "融券_限額",
+  l_returnflag AS "資券互抵", l_linestatus AS "註記"
+FROM lineitem""")
+def x4_grouped_header(spark, base):
+    """Grouped header (repeated names) resolved by the configured column spans;
+    the exchange catalogue identifies the sub-table; global rename gives the key names."""
+    docs = docsrc.documents_from_text(fx.grouped_header_docs(spark, base))
+    num = [c for c in _MARGIN_COLS if c.startswith(("融資_", "融券_"))]
+    spec = ig.TableSpec(item=fx.MARGIN_ITEM, subitem=fx.MARGIN_SUBTITLE, float_cols=num,
+                        spans=catalog.FIELD_SPANS[fx.MARGIN_SUBTITLE], pk=list(_MARGIN_COLS))
+    res = clean_documents(docs, catalog.catalogue_frame(spark), {fx.MARGIN_SUBTITLE: spec},
+                          global_rename=catalog.GLOBAL_RENAME)
+    return res.tables[fx.MARGIN_SUBTITLE].select(*_MARGIN_COLS)

@@ -362,3 +362,13 @@ def n12_n13_response_classes(spark, base):
     r = fx.response_log(spark, base)
     return r.select("event_id", S.classify_error(F.col("status_code"), F.col("exception_type")).alias("error_class"),
                     S.response_outcome(F.col("status_code"), F.col("stat"), F.col("exception_type")).alias("outcome"))
+
+
+@register("a7_cleaning_log_summary", f"""WITH {SRC_CTE}
+SELECT item, CAST(year(mtime) AS VARCHAR) AS subitem,
+       CASE WHEN item = '1-URGENT' THEN 'failed' ELSE 'success' END AS status, COUNT(*) AS count
+FROM src WHERE year(mtime) >= 1996 GROUP BY ALL""")
+def a7_cleaning_log_summary(spark, base):
+    """Cleaning-log counts by (item, subitem, status); here the log is the job state by year."""
+    js = fx.job_state(spark, base).withColumn("subitem", F.substring("date", 1, 4))
+    return inv.summarize_cleaning_log(js)
