@@ -25,6 +25,7 @@ def test_every_query_has_sql_or_is_marked():
     assert set(s) <= set(q)
     assert len(q) >= 90
     assert set(q) - set(s) == {"q3_schema_drift", "d1_driver_tree_nodes"}
+    assert "x4_grouped_header" in s and "a7_cleaning_log_summary" in s
 
 
 def _norm(v):
