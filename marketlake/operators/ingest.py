@@ -12,6 +12,7 @@ columns at plan time.
 from __future__ import annotations
 
 from collections.abc import Sequence
+import functools
 import unicodedata
 from dataclasses import dataclass, field
 
@@ -117,13 +118,82 @@ def _with_maps(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select(*IDS, *extra, m.alias("_m"), tabs.alias("_tabs"))
 
 
-def block_array(m: Column, tabs: Column) -> Column:
-    """X1 + X2 for one document: array of raw blocks (VARIANT payloads)."""
+# Numbered blocks up to FAST_K are resolved with fixed, code-generated
+# expressions; a container using a higher number takes the general
+# (higher-order function) path, so no block is ever dropped.
+FAST_K = 9
+
+
+def _present(m: Column, names: Sequence[str], suffix: str) -> Column:
+    return functools.reduce(lambda a, b: a | b, [F.map_contains_key(m, f"{n}{suffix}") for n in names])
+
+
+def _fixed_block(m: Column, container: Column, kind: str, k: int, aliases: dict, suffix: str) -> Column:
+    def pick(role):
+        names = aliases.get(role, [])
+        if not names:
+            return F.lit(None).cast("variant")
+        vals = [F.try_element_at(m, F.lit(f"{a}{suffix}")) for a in names]
+        return F.coalesce(*vals) if len(vals) > 1 else vals[0]
+    return F.struct(container.cast("int").alias("container"), F.lit(kind).alias("kind"), F.lit(k).alias("k"),
+                    *[pick(r).alias(r) for r in ROLES])
+
+
+def _needs_general(m: Column) -> Column:
+    aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
+    pat = "(?:^|\u0001)(?:" + "|".join(aliases) + ")([1-9][0-9]*)(?=\u0001|$)"
+    nums = F.regexp_extract_all(F.array_join(F.map_keys(m), "\u0001"), F.lit(pat), 1).try_cast("array<bigint>")
+    return F.coalesce(F.array_max(nums) > FAST_K, F.lit(False))
+
+
+def _fast_blocks(m: Column, container: Column) -> tuple[Column, Column]:
+    """(array of blocks with NULL holes, number of blocks) for blocks 0..FAST_K
+    and the credit block - plain expressions, no lambdas."""
+    aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
+    blocks, flags = [], []
+    chain = F.lit(True)
+    for k in range(FAST_K + 1):
+        sfx = "" if k == 0 else str(k)
+        here = _present(m, aliases, sfx)
+        if k >= 2:
+            chain = chain & here
+            ok = chain
+        else:
+            ok = here
+        flags.append(ok)
+        blocks.append(F.when(ok, _fixed_block(m, container, KIND_MAIN, k, catalog.MAIN_BLOCK_ALIASES, sfx)))
+    credit_names = [a for names in catalog.CREDIT_BLOCK_ALIASES.values() for a in names]
+    has_credit = _present(m, credit_names, "")
+    flags.append(has_credit)
+    blocks.append(F.when(has_credit, _fixed_block(m, container, KIND_CREDIT, 0, catalog.CREDIT_BLOCK_ALIASES, "")))
+    n = functools.reduce(lambda a, b: a + b, [f.cast("int") for f in flags])
+    return F.array(*blocks), n
+
+
+def _container_any(m: Column, container: Column) -> Column:
+    """Blocks of one nested container (inside a lambda): fast or general."""
+    fast, _ = _fast_blocks(m, container)
+    return F.when(_needs_general(m), _container_blocks(m, container)).otherwise(
+        F.filter(fast, lambda b: b.isNotNull()))
+
+
+def block_array_general(m: Column, tabs: Column) -> Column:
     nested = F.flatten(F.transform(tabs, lambda t, i: _container_blocks(t, i + 1)))
     x1 = F.concat(_container_blocks(m, F.lit(0)), nested)
     return F.when(m.isNull(), F.array().cast(_BLOCK_ARRAY)).when(F.size(x1) > 0, x1).otherwise(_legacy_blocks(m))
 
 
+def block_array(m: Column, tabs: Column) -> Column:
+    """X1 + X2 for one document: array of raw blocks (VARIANT payloads); may
+    hold NULL entries (dropped after explode)."""
+    root, n_root = _fast_blocks(m, F.lit(0))
+    nested = F.flatten(F.transform(tabs, lambda t, i: _container_any(t, i + 1)))
+    fast = (F.when(m.isNull(), F.array().cast(_BLOCK_ARRAY))
+             .when(n_root + F.size(nested) > 0, F.concat(root, nested))
+             .otherwise(_legacy_blocks(m)))
+    return F.when(m.isNotNull() & _needs_general(m), block_array_general(m, tabs)).otherwise(fast)
+
+
 def extract_subtables(docs: DataFrame) -> DataFrame:
     """X1 + X2: every sub-table block of every document.
 
@@ -138,7 +208,8 @@ def extract_subtables(docs: DataFrame) -> DataFrame:
     data, groups, notes.
     """
     d = _with_maps(docs)
-    b = d.select(*IDS, F.explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b")).select(*IDS, "b.*")
+    b = (d.select(*IDS, F.explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b"))
+          .where(F.col("b").isNotNull()).select(*IDS, "b.*"))
     typed = b.select(
         *IDS, "container", "kind", "k",
         F.try_variant_get("title", "$", "string").alias("title"),
@@ -166,7 +237,7 @@ def documents_without_tables(docs: DataFrame, blocks: DataFrame | None = None) -
         d = F.coalesce(F.size(F.try_variant_get(b["data"], "$", "array<array<string>>")), F.lit(0))
         return (b["kind"] != KIND_LEGACY) | ((f > 0) & (d > 0))
     d = _with_maps(docs, "is_object")
-    n = F.size(F.filter(block_array(F.col("_m"), F.col("_tabs")), usable))
+    n = F.size(F.filter(block_array(F.col("_m"), F.col("_tabs")), lambda b: b.isNotNull() & usable(b)))
     none = d.where(n == 0)
     return none.select(*IDS, error_struct(
         F.when(F.col("is_object"), F.lit("no sub-table found")).otherwise(F.lit("document is not an object")),
@@ -219,6 +290,24 @@ def subtitle_config(catalogue: DataFrame) -> dict[str, list[str]]:
     return {r["item"]: list(r["subtitle"] or []) for r in catalogue.select("item", "subtitle").collect()}
 
 
+# Distinct titles that need Python NFKC are broadcast only up to this many;
+# beyond it they are joined with a shuffle.
+NFKC_BROADCAST_MAX = 200_000
+
+
+def attach_normalized_titles(df: DataFrame, title_col: str = "title") -> DataFrame:
+    t = F.col(title_col)
+    stable = t.rlike(S.NFKC_STABLE)
+    todo = df.where(~stable & t.isNotNull()).select(t.alias("_t")).distinct()
+    n = todo.count()
+    if n == 0:
+        return df.withColumn("title_norm", F.trim(t))
+    lookup = todo.withColumn("_n", S.nfkc_strip(F.col("_t")))
+    lookup = F.broadcast(lookup) if n <= NFKC_BROADCAST_MAX else lookup
+    j = df.join(lookup, t == F.col("_t"), "left")
+    return j.withColumn("title_norm", F.when(stable, F.trim(t)).otherwise(F.col("_n"))).drop("_t", "_n")
+
+
 def match_titles(df: DataFrame, config: dict[str, Sequence[str]], item_col: str = "item",
                  title_col: str = "title") -> DataFrame:
     """X8 per row: the one configured subtitle contained in the NFKC-normalised,
@@ -236,7 +325,7 @@ def match_titles(df: DataFrame, config: dict[str, Sequence[str]], item_col: str
             if subs else F.array().cast(_SUB_ARRAY)
         entries += [F.lit(item), arr.cast(_SUB_ARRAY)]
     subs = F.try_element_at(F.create_map(*entries), F.col(item_col)) if entries else F.lit(None).cast(_SUB_ARRAY)
-    out = df.withColumn("title_norm", S.nfkc_strip(title_col))
+    out = attach_normalized_titles(df, title_col)
     hits = F.filter(F.coalesce(subs, F.array().cast(_SUB_ARRAY)),
                     lambda x: (x["norm"] != "") & F.col("title_norm").contains(x["norm"]))
     n_conf = F.size(F.filter(F.coalesce(subs, F.array().cast(_SUB_ARRAY)), lambda x: x["norm"] != ""))
@@ -405,14 +494,17 @@ def finalize(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
 
 
 def parse_any_date(c: Column) -> Column:
-    """ISO ('yyyy-M-d'), compact ('yyyyMMdd'), slashed ('yyyy/M/d') or
-    Minguo ('yyy/mm/dd') text -> DATE; NULL when none fits.  The text is first
-    rewritten to one ISO form so a single parser runs per value."""
+    """Compact ('yyyyMMdd'), Minguo ('yyy/mm/dd'), ISO ('yyyy-M-d') or
+    slashed ('yyyy/M/d') text -> DATE; NULL when none fits.  Each form is
+    recognised by a cheap pattern test and parsed by one parser."""
     t = F.trim(c.cast("string"))
-    iso = (F.when(t.rlike(r"^\d{2,3}/\d{1,2}/\d{1,2}$"), S.minguo_to_iso_text(t))
-            .when(t.rlike(r"^\d{8}$"), F.regexp_replace(t, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3"))
-            .otherwise(F.regexp_replace(t, "/", "-")))
-    return F.try_to_date(iso, "yyyy-M-d")
+    parts = F.split(t, "/")
+    minguo = F.concat_ws("-", (F.get(parts, 0).try_cast("int") + F.lit(1911)).cast("string"),
+                         F.get(parts, 1), F.get(parts, 2))
+    return F.coalesce(
+        F.when(t.rlike(r"^\d{8}$"), F.try_to_date(t, "yyyyMMdd")),
+        F.when(t.rlike(r"^\d{2,3}/\d{1,2}/\d{1,2}$"), F.try_to_date(minguo, "yyyy-M-d")),
+        F.try_to_date(F.regexp_replace(t, "/", "-"), "yyyy-M-d"))
 
 
 # P7 ------------------------------------------------------------------------

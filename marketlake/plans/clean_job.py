@@ -40,11 +40,10 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     ``strict`` raises on the first one instead.
     """
     specs = dict(specs or {})
-    blocks_all = ig.extract_subtables(docs)
-    # every sub-table reads the matched blocks: keep them (recomputed from
-    # lineage if an executor holding them is lost)
+    # every sub-table reads the blocks: keep them (recomputed from lineage if
+    # an executor holding them is lost)
+    blocks_all = ig.extract_subtables(docs).persist(StorageLevel.MEMORY_AND_DISK)
     blocks = ig.match_titles(ig.skip_empty(blocks_all), ig.subtitle_config(catalogue))
-    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     errors = [
         blocks.where(F.col("match_error").isNotNull()).select(
             *ig.IDS, ig.error_struct(F.col("match_error"), file=F.col("source_file"), item=F.col("item"),
@@ -70,7 +69,7 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
         err = err.unionByName(e)
     if strict:
         ig.raise_first_error(err)
-    return CleanResult(tables, err, blocks)
+    return CleanResult(tables, err, blocks_all)
 
 
 def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state_path: str,
