@@ -229,16 +229,15 @@ def skip_empty(blocks: DataFrame) -> DataFrame:
     return blocks.where(_non_empty())
 
 
-def documents_without_tables(docs: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
-    """Documents that yield no sub-table at all, or are not objects (Q4 rows).
-    Evaluated per document row (no join)."""
-    def usable(b):
-        f = F.coalesce(F.size(F.try_variant_get(b["fields"], "$", "array<string>")), F.lit(0))
-        d = F.coalesce(F.size(F.try_variant_get(b["data"], "$", "array<array<string>>")), F.lit(0))
-        return (b["kind"] != KIND_LEGACY) | ((f > 0) & (d > 0))
-    d = _with_maps(docs, "is_object")
-    n = F.size(F.filter(block_array(F.col("_m"), F.col("_tabs")), lambda b: b.isNotNull() & usable(b)))
-    none = d.where(n == 0)
+def documents_without_tables(docs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Documents that yield no usable sub-table, or are not objects (Q4 rows).
+
+    Only the document keys take part (narrow columns on both sides): a
+    NULL-safe anti join of the documents against the keys found in
+    ``blocks`` (the output of ``extract_subtables``)."""
+    has = blocks.select(*IDS).distinct()
+    d = docs.select(*IDS, "is_object")
+    none = d.join(has, [d[c].eqNullSafe(has[c]) for c in IDS], "left_anti")
     return none.select(*IDS, error_struct(
         F.when(F.col("is_object"), F.lit("no sub-table found")).otherwise(F.lit("document is not an object")),
         file=F.col("source_file"), item=F.col("item")).alias("error"))

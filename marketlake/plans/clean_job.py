@@ -10,7 +10,6 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from ..operators import ingest as ig
 from ..operators import store as st
 from ..sources import documents as docsrc
 from ..sources import manifest as mf
+from ..session import cut_lineage
 
 ARRIVAL_ORDER = ["source_file", "container", "block_k", "row_pos"]
 
@@ -40,9 +40,9 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     ``strict`` raises on the first one instead.
     """
     specs = dict(specs or {})
-    # every sub-table reads the blocks: keep them (recomputed from lineage if
-    # an executor holding them is lost)
-    blocks_all = ig.extract_subtables(docs).persist(StorageLevel.MEMORY_AND_DISK)
+    # every sub-table reads the blocks: write them once into the shared
+    # checkpoint folder (reliable: a lost executor does not recompute them)
+    blocks_all = cut_lineage(ig.extract_subtables(docs))
     blocks = ig.match_titles(ig.skip_empty(blocks_all), ig.subtitle_config(catalogue))
     errors = [
         blocks.where(F.col("match_error").isNotNull()).select(

@@ -66,7 +66,6 @@ def clean_batch_writer(target_root: str, catalogue_rows, specs: dict, bucket_mod
             st.upsert_into_table(spark, body, f"{target_root.rstrip('/')}/{item}/{subitem}", pk,
                                  order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
                                  freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily)
-        res.blocks.unpersist()
     return run
 
 
