@@ -20,6 +20,9 @@ ORACLE_SQL: dict[str, str] = {}
 def register(name: str, sql: str | None = None):
     def deco(fn):
         def run(spark: SparkSession, base: str) -> DataFrame:
+            # the plans do day arithmetic on zone-less timestamps: pin UTC
+            if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+                spark.conf.set("spark.sql.session.timeZone", "UTC")
             return presentable(fn(spark, base))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
