@@ -372,3 +372,16 @@ def a7_cleaning_log_summary(spark, base):
     """Cleaning-log counts by (item, subitem, status); here the log is the job state by year."""
     js = fx.job_state(spark, base).withColumn("subitem", F.substring("date", 1, 4))
     return inv.summarize_cleaning_log(js)
+
+
+@register("s2_table_file_manifest", """
+SELECT 'sf0.01' AS item, regexp_extract(file, '([^/]+)\\.parquet$', 1) AS subitem, 'tables' AS layer
+FROM glob('/root/testdata/sf0.01/*.parquet')""")
+def s2_table_file_manifest(spark, base):
+    """File manifest (binaryFile listing, no content read) of the folder that
+    holds the supplied tables: one row per table file below its scale folder."""
+    import os
+    from ..sources.manifest import scan_manifest
+    root = os.path.dirname(base.rstrip("/"))
+    m = scan_manifest(spark, root, layer="tables", suffix=".parquet")
+    return m.where(F.col("item") == os.path.basename(base.rstrip("/"))).select("item", "subitem", "layer")
