@@ -40,6 +40,8 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     ``strict`` raises on the first one instead.
     """
     specs = dict(specs or {})
+    # the global header rename always applies (pass {} to switch it off)
+    global_rename = catalog.GLOBAL_RENAME if global_rename is None else global_rename
     # every sub-table reads the blocks: write them once into the shared
     # checkpoint folder (reliable: a lost executor does not recompute them)
     blocks_all = cut_lineage(ig.extract_subtables(docs))
