@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from marketlake.session import read_table
 
+from . import chat, mixing
 from . import quality_rules as qr
-from . import simhash
+from . import secrets, simhash, url_filters
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -62,3 +63,75 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 def op6(spark: SparkSession, base: str) -> DataFrame:
     return qr.judge_lines(read_table(spark, base, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op3_source_mixing")
+def op3(spark: SparkSession, base: str) -> DataFrame:
+    pieces = mixing.mix_pieces(read_table(spark, base, "documents"))
+    return mixing.mix_summary(pieces).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op4_secret_scans")
+def op4(spark: SparkSession, base: str) -> DataFrame:
+    found = secrets.scan_secrets(read_table(spark, base, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex",
+                        F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans")).alias("spans"))
+
+
+@register("op7_url_filters", sql=r"""
+with recursive
+part as (select page_id, url, html, coalesce(url, '') as u, position('://' in coalesce(url, '')) as pos from pages),
+tail as (select page_id, url, html, case when pos > 0 then substr(u, pos + 3) else '' end as rest from part),
+p as (select page_id, html, url,
+             translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path,
+             regexp_extract(rest, '^[^/?#]*([^#]*)', 1) as tail from tail),
+rules(rule, rhost, rpath, said) as (values ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+             ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+link as (select host || tail as a, replace(t, '&amp;', '&') as t from (
+             select host, tail, unnest([
+               regexp_extract(regexp_extract(html, '(?i)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
+                              '(?i)\bhref\s*=\s*["'']?([^"''\s>]+)', 1),
+               regexp_extract(regexp_extract(html, '(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
+                              '(?i)\burl\s*=\s*["'']?([^"''\s>]+)', 1)]) as t
+             from p where host <> '') where regexp_matches(t, '(?i)^https?://[^/?#]')),
+edge as (select a, translate(regexp_extract(substr(t, position('://' in t) + 3), '^[^/?#]*'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                   || regexp_extract(substr(t, position('://' in t) + 3), '^[^/?#]*([^#]*)', 1) as b from link),
+both_ways as (select a, b from edge union select b, a from edge),
+reach as (select a, b from both_ways union select reach.a, w.b from reach join both_ways w on w.a = reach.b),
+node_rule as (select node, arg_max(said, length(rule)) as said
+              from (select distinct b as node from reach) n join rules
+                on (split_part(regexp_extract(node, '^[^/?#]*'), '/', 1) = rhost
+                    or ends_with(regexp_extract(node, '^[^/?#]*'), '.' || rhost))
+               and starts_with(regexp_extract(node, '^[^/?#]*([^?#]*)', 1), rpath) group by node),
+alias as (select reach.a as node, case when bool_or(said = 'allow') then 'allow' when bool_or(said = 'block') then 'block'
+                 else 'allow' end as verdict
+          from reach left join node_rule on node_rule.node = reach.b group by reach.a),
+own as (select page_id, host, path, host || tail as node, arg_max(rule, length(rule)) as rule, arg_max(said, length(rule)) as said
+        from p left join rules on (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+        group by page_id, host, path, tail)
+select page_id, host, path, rule, coalesce(said, alias.verdict, 'allow') as verdict
+from own left join alias using (node)
+""")
+def op7(spark: SparkSession, base: str) -> DataFrame:
+    return url_filters.judge_urls(read_table(spark, base, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op10_chat_formatting", sql=r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+           union all select -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+           union all select -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+e as (select *, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') as etext,
+             regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g') as erole from c)
+select conv_id, count(*)::bigint as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length('<|im_start|>' || erole || chr(10) || etext || '<|im_end|>' || chr(10)))::bigint as formatted_chars
+from e group by conv_id
+""")
+def op10(spark: SparkSession, base: str) -> DataFrame:
+    rows = chat.with_control_conversation(read_table(spark, base, "conversations"))
+    return chat.digest(chat.format_conversations(rows))
