@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketlake.llm import quality_rules, simhash
+from marketlake.llm import decontaminate, mixing, quality_rules, secrets, simhash
 from marketlake.llm.shared import scratch_dir
 
 
@@ -18,7 +18,24 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return simhash.keep_one_per_group(docs)
 
 
-STAGES = [("quality_rules", quality_stage), ("near_dedup", near_dedup_stage)]
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, benchmark)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return secrets.redact_documents(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with their share and its pieces."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES = [("quality_rules", quality_stage), ("near_dedup", near_dedup_stage),
+          ("decontamination", decontamination_stage), ("secrets", secrets_stage), ("mixing", mixing_stage)]
 
 ORACLE_SQL = None
 

@@ -122,7 +122,8 @@ def judge_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     n_chars: str = "n_chars") -> DataFrame:
     """The kept documents with their failing lines removed, in the columns of ``docs``."""
-    kept = judge_lines(docs, doc_id, text).where("kept")
+    # explode, not where: a filter would be pushed below the projections and inline them into itself
+    kept = judge_lines(docs, doc_id, text).withColumn("one", F.explode(F.when(F.col("kept"), F.array(F.lit(1)))))
     cols = []
     for c in docs.columns:
         value = F.col("row").getField(c)

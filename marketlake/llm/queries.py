@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from marketlake.session import read_table
 
-from . import chat, mixing
+from . import chat, decontaminate, mixing, quality_fm
 from . import quality_rules as qr
-from . import secrets, simhash, url_filters
+from . import secrets, simhash, suffix_dedup, url_filters, warc
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -135,3 +135,32 @@ from e group by conv_id
 def op10(spark: SparkSession, base: str) -> DataFrame:
     rows = chat.with_control_conversation(read_table(spark, base, "conversations"))
     return chat.digest(chat.format_conversations(rows))
+
+
+@register("op2_quality_classifier")
+def op2(spark: SparkSession, base: str) -> DataFrame:
+    return quality_fm.score_quality(read_table(spark, base, "documents"), read_table(spark, base, "labels"))
+
+
+@register("op5_warc", sql="""
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, octet_length(encode(html))::bigint as payload_bytes, sha1(html) as payload_digest from p),
+m as (select payload_digest, max(page_id) as top from d where payload_bytes >= 1000 group by 1)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id < top then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id < top then top end as refers_to
+from d left join m using (payload_digest)
+""")
+def op5(spark: SparkSession, base: str) -> DataFrame:
+    return warc.archive_pages(read_table(spark, base, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op8_benchmark_decontamination")
+def op8(spark: SparkSession, base: str) -> DataFrame:
+    return decontaminate.find_contamination(read_table(spark, base, "documents"), read_table(spark, base, "benchmark"))
+
+
+@register("op9_suffix_array_dedup")
+def op9(spark: SparkSession, base: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, base, "documents"))
