@@ -100,6 +100,7 @@ class FactorisationMachine:
         rate = np.clip(labels.mean(), 0.5 / (len(labels) + 1), 1 - 0.5 / (len(labels) + 1))
         self.bias = float(np.log(rate / (1 - rate)))
         if labels.min() == labels.max():
+            self.factors[:] = 0
             return self
         rng = np.random.default_rng(SEED)
         square_l, square_f, square_b = np.full(len(self.linear), 1e-3), np.full(self.factors.shape, 1e-3), 1e-3
@@ -176,6 +177,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows
         "doc_id", "label", "f.*").toPandas().sort_values("doc_id", kind="stable")
     machine = FactorisationMachine()
     if not len(got):
+        machine.factors[:] = 0
         return machine
     data = [(np.asarray(b, np.int32), np.asarray(v, np.float32), np.asarray(s, np.float64))
             for b, v, s in zip(got["bucket"], got["value"], got["stats"])]
