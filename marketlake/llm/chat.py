@@ -64,18 +64,20 @@ def reply_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
         "tree", "node", F.when(F.col("known"), F.col("parent")).alias("up"), "score", F.lit(0).cast("long").alias("depth"))
     link = stored(link.withColumn("depth", F.when(F.col("up").isNull(), 0).otherwise(1).cast("long")), "links")
     n_nodes = link.count()
+    # score and depth cover the part of the path below ``up``; messages that have reached their root are set aside
+    names = ("tree", "node", "up", "score", "depth")
+    rooted, open_ = link.where("up is null").select(*names), link.where("up is not null").select(*names)
     levels, reach = [], 1
-    # score and depth cover the part of the path below ``up``
-    while reach <= n_nodes and not link.where("up is not null").isEmpty():
-        levels.append(link.where("up is not null").select("tree", "node", "up"))
-        above = link.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
-                            F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        link = stored(link.join(above, ["tree", "up"], "left").select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-            (F.col("depth") + F.coalesce("depth2", F.lit(0).cast("long"))).alias("depth")), "links")
+    while reach <= n_nodes and not open_.isEmpty():
+        levels.append(open_.select("tree", "node", "up"))
+        above = rooted.unionAll(open_).select("tree", F.col("node").alias("up"), F.col("up").alias("up2"),
+                                              F.col("score").alias("score2"), F.col("depth").alias("depth2"))
+        link = stored(open_.join(above, ["tree", "up"]).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("score2")).alias("score"),
+            (F.col("depth") + F.col("depth2")).alias("depth")), "links")
+        rooted, open_ = rooted.unionAll(link.where("up is null")), link.where("up is not null")
         reach *= 2
-    rooted = link.where("up is null").select("tree", "node", "score", "depth")
+    rooted = rooted.select("tree", "node", "score", "depth")
     inner = m.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
     leaves = rooted.join(inner, ["tree", "node"], "left_anti")
     if branches == 1:
