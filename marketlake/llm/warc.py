@@ -225,14 +225,14 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
     records = records.select(shard("page_id").alias("shard"), F.col("page_id").isNotNull().alias("known"), "page_id",
                              "is_payload", "digest", "refers_to", "url", "html")
     # equal rows (same id and payload) in a fixed order: the payload's hash decides
-    placed = (records.repartition(len(borders) + 1, "shard")
+    placed = (records.repartitionById(len(borders) + 1, "shard")
               .sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "is_payload", "digest", F.xxhash64("html"), "url"))
     columns = placed.columns
     if columns != ["shard", "known", "page_id", "is_payload", "digest", "refers_to", "url", "html"]:
         raise ValueError(columns)
     report = stored(placed.mapInPandas(_writer(folder, roll_bytes), MANIFEST), "warc-report")
     manifest_path = f"{folder}/_manifest"
-    report.repartition("file").mapInPandas(_committer(folder), MANIFEST).write.parquet(manifest_path)
+    report.repartition(max(1, min(report.count(), MAX_SHARDS)), "file").mapInPandas(_committer(folder), MANIFEST).write.parquet(manifest_path)
     for info in fs.get_file_info(pafs.FileSelector(path)):
         if info.base_name.startswith(".shard-") and info.base_name.endswith(".tmp"):
             fs.delete_file(info.path)  # of attempts that were lost
@@ -280,7 +280,9 @@ def _reader(folder: str):
 
 def read_archives(folder: str, manifest: DataFrame) -> DataFrame:
     """One row per record of the manifest's files; block and payload digests are checked."""
-    return manifest.select("file").repartition("file").mapInPandas(_reader(folder), READ)
+    # a number, so that adaptive execution does not gather the few bytes of file names in one task
+    return manifest.select("file").repartition(max(1, min(manifest.count(), MAX_SHARDS)), "file").mapInPandas(
+        _reader(folder), READ)
 
 
 def archive_pages(pages: DataFrame, **params) -> DataFrame:
