@@ -19,6 +19,8 @@ from ..functions import scalars as S
 from ..session import cut_lineage, ensure_checkpoint_dir
 
 DAILY = "D"
+#: spellings of a daily frequency, in any case
+DAILY_NAMES = ("D", "1D", "DAY", "DAILY")
 JOB_STATE_COLUMNS = ["file", "path", "dir", "hash", "source_mtime", "source_size", "status", "date", "item",
                      "last_processed_at"]
 
@@ -96,12 +98,21 @@ def insert_only_new_keys(existing: DataFrame, new: DataFrame, pk: Sequence[str])
 
 
 # U3 ----------------------------------------------------------------------
+def is_daily(freq: str | None) -> bool:
+    return freq is not None and freq.strip().upper() in DAILY_NAMES
+
+
+def is_daily_col(freq: Column) -> Column:
+    """Null-free: an unknown frequency is not daily."""
+    return F.coalesce(F.upper(F.trim(freq)).isin(*DAILY_NAMES), F.lit(False))
+
+
 def apply_write_policy(existing: DataFrame | None, new: DataFrame, pk: Sequence[str], freq: str,
                        update_old_non_daily: bool = False, order_cols: Sequence[str] = ()) -> DataFrame:
-    """daily -> upsert; non-daily with the flag -> upsert; otherwise insert-only."""
+    """daily -> upsert; unknown frequency (None) or the flag -> upsert; other frequencies insert-only."""
     if existing is None:
         return dedup_keep_last(new, pk, order_cols)
-    if freq == DAILY or update_old_non_daily:
+    if freq is None or is_daily(freq) or update_old_non_daily:
         return upsert(existing, new, pk, order_cols)
     fresh = dedup_keep_last(insert_only_new_keys(existing, new, pk), pk, order_cols)
     return union_by_name([existing, fresh])
@@ -111,9 +122,10 @@ def apply_write_policy_by_item(existing: DataFrame, new: DataFrame, pk: Sequence
                                item_col: str = "item", update_old_non_daily: bool = False,
                                order_cols: Sequence[str] = ()) -> DataFrame:
     """U3 for a frame holding several datasets: the frequency comes from the
-    (small, fixed) catalogue, broadcast; both policies run in one plan."""
+    (small, fixed) catalogue, broadcast; both policies run in one plan.  Items
+    that the catalogue does not know (null frequency) are upserted."""
     cat = F.broadcast(dim_item.select(F.col("item").alias(item_col), "freq"))
-    upd = F.col("freq") == DAILY if not update_old_non_daily else F.lit(True)
+    upd = (is_daily_col(F.col("freq")) | F.col("freq").isNull()) if not update_old_non_daily else F.lit(True)
     ex = existing.join(cat, item_col, "left")
     nw = new.join(cat, item_col, "left")
     daily = upsert(ex.where(upd).drop("freq"), nw.where(upd).drop("freq"), pk, order_cols)
@@ -131,13 +143,16 @@ def latest_date_only(df: DataFrame, freq_col: Column | str | None = None, freq:
     Daily, flagged or date-less frames pass through.  The per-document maximum
     is a group-by joined back (documents are bounded; no window buffer).
     """
-    if update_old_non_daily or date_col not in df.columns or (freq_col is None and freq in (DAILY, None)):
+    if update_old_non_daily or date_col not in df.columns or (freq_col is None and (freq is None or is_daily(freq))):
         return df
     f = F.col(freq_col) if isinstance(freq_col, str) else (freq_col if freq_col is not None else F.lit(freq))
-    mx = df.groupBy(*doc_cols).agg(F.max(date_col).alias("_max_date"))
-    j = df.join(mx, list(doc_cols), "left")
-    keep = (f == DAILY) | f.isNull() | F.col(date_col).eqNullSafe(F.col("_max_date"))
-    return j.where(keep).drop("_max_date")
+    doc_names = [f"_doc_{c}" for c in doc_cols]
+    mx = df.groupBy(*[F.col(c).alias(n) for c, n in zip(doc_cols, doc_names)]).agg(F.max(date_col).alias("_max_date"))
+    same = F.lit(True)
+    for c, n in zip(doc_cols, doc_names):  # rows of a null document are one document
+        same = same & df[c].eqNullSafe(mx[n])
+    keep = is_daily_col(f) | f.isNull() | F.col(date_col).eqNullSafe(F.col("_max_date"))
+    return df.join(mx, same, "left").where(keep).drop("_max_date", *doc_names)
 
 
 # L3 ----------------------------------------------------------------------
@@ -168,15 +183,16 @@ def with_bucket(df: DataFrame, bucket_mode: str = "year", freq: str = DAILY, dat
 
 
 def write_bucketed(df: DataFrame, path: str, bucket_mode: str = "year", freq: str = DAILY,
-                   date_col: str = "date", mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> None:
+                   date_col: str = "date", mode: str = "overwrite", max_records_per_file: int = 5_000_000,
+                   key_cols: Sequence[str] = ()) -> None:
     """Parquet sink partitioned by bucket.
 
-    Range partitioning on (bucket, date) splits a hot bucket over several
-    tasks instead of one; dynamic partition overwrite rewrites only the
-    buckets present in ``df``.
+    Range partitioning on (bucket, date, all other plain columns named in
+    ``key_cols``) splits a hot bucket, and a batch of one date, over several
+    tasks; dynamic partition overwrite rewrites only the buckets present in ``df``.
     """
     out = with_bucket(df, bucket_mode, freq, date_col) if "bucket" not in df.columns else df
-    order = ["bucket", date_col] if date_col in out.columns else ["bucket"]
+    order = list(dict.fromkeys(["bucket", *([date_col] if date_col in out.columns else []), *key_cols]))
     n = int(out.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (out.repartitionByRange(n, *order)
         .write.mode(mode)
@@ -186,6 +202,13 @@ def write_bucketed(df: DataFrame, path: str, bucket_mode: str = "year", freq: st
         .parquet(path))
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the folder is there and holds data; any other failure to look rises."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(where) and len(fs.listStatus(where)) > 0
+
+
 def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequence[str],
                       order_cols: Sequence[str] = (), bucket_mode: str = "year", freq: str = DAILY,
                       update_old_non_daily: bool = False, date_col: str = "date") -> DataFrame:
@@ -194,20 +217,18 @@ def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequen
     shared checkpoint folder first, so the overwrite never reads the files it
     replaces and a lost executor recomputes from the checkpoint."""
     new_b = with_bucket(new, bucket_mode, freq, date_col)
-    try:
-        existing = spark.read.parquet(path)
-        existing = existing.withColumn("bucket", F.col("bucket").cast("string"))
-    except Exception:  # noqa: BLE001 - no table yet
-        existing = None
-    if existing is None:
+    if not table_exists(spark, path):
         merged = dedup_keep_last(new_b, pk, order_cols)
     else:
-        touched = new_b.select("bucket").distinct()
-        ex = existing.join(touched, "bucket", "left_semi")
+        # columns that only some files have are kept; an unreadable file raises
+        existing = spark.read.option("mergeSchema", "true").parquet(path)
+        # bucket keys are years, months or days: a short list that prunes the scan
+        touched = [r["bucket"] for r in new_b.select("bucket").distinct().collect()]
+        ex = existing.withColumn("bucket", F.col("bucket").cast("string")).where(F.col("bucket").isin(touched))
         merged = apply_write_policy(ex, new_b, pk, freq, update_old_non_daily, order_cols)
     merged = cut_lineage(merged)
-    write_bucketed(merged, path, bucket_mode, freq, date_col, mode="overwrite")
-    return spark.read.parquet(path)
+    write_bucketed(merged, path, bucket_mode, freq, date_col, mode="overwrite", key_cols=pk)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

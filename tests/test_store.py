@@ -82,3 +82,34 @@ def test_bucketed_upsert_is_idempotent(spark, tmpdir_path):
     got = {(r.date, r.v) for r in spark.read.parquet(path).collect()}
     assert got == {(D(2023, 5, 1), 1.0), (D(2024, 5, 1), 9.0)}
     assert sorted(r.bucket for r in spark.read.parquet(path).select("bucket").distinct().collect()) == ["2023", "2024"]
+
+
+def test_table_upsert_loses_nothing(spark, tmpdir_path):
+    import glob
+    import pytest
+    path = f"{tmpdir_path}/t"
+    day = F.to_date(F.lit("2024-01-05"))
+    first = spark.createDataFrame([(1, "keep"), (2, "keep")], "code int, b string").withColumn("date", day)
+    st.upsert_into_table(spark, first, path, ["code", "date"])
+    second = spark.createDataFrame([(3, 1.5), (None, 2.5)], "code int, c double").withColumn("date", day)
+    got = st.upsert_into_table(spark, second, path, ["code", "date"])
+    assert {(r.code, r.b, r.c) for r in got.collect()} == {(1, "keep", None), (2, "keep", None), (3, None, 1.5), (None, None, 2.5)}
+    many = spark.range(20000).select(F.col("id").cast("int").alias("code"), F.lit("x").alias("b"), day.alias("date"))
+    st.upsert_into_table(spark, many, f"{tmpdir_path}/m", ["code", "date"])
+    assert len(glob.glob(f"{tmpdir_path}/m/bucket=*/*.parquet")) > 1
+    for f in glob.glob(f"{path}/bucket=*/*.parquet"):
+        with open(f, "wb") as out:
+            out.write(b"broken")
+    with pytest.raises(Exception):
+        st.upsert_into_table(spark, first, path, ["code", "date"])
+    assert glob.glob(f"{path}/bucket=*/*.parquet")
+
+
+def test_policy_keeps_unknown_items_and_null_documents(spark):
+    dim = spark.createDataFrame([("d", "daily"), ("m", "M")], "item string, freq string")
+    old = spark.createDataFrame([("d", 1, "old"), ("m", 1, "old"), ("unk", 1, "old")], "item string, k int, v string")
+    new = spark.createDataFrame([("d", 1, "new"), ("m", 1, "new"), ("unk", 1, "new"), ("unk", 2, "new")], "item string, k int, v string")
+    got = st.apply_write_policy_by_item(old, new, ["item", "k"], dim)
+    assert {tuple(r) for r in got.select("item", "k", "v").collect()} == {("d", 1, "new"), ("m", 1, "old"), ("unk", 1, "new"), ("unk", 2, "new")}
+    rows = spark.createDataFrame([("f", 1), ("f", 2), (None, 3)], "source_file string, date int")
+    assert {tuple(r) for r in st.latest_date_only(rows, freq="M").collect()} == {("f", 2), (None, 3)}
