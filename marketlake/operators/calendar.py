@@ -156,13 +156,13 @@ def rename_label(log: DataFrame, old_label: str, new_key: str, label_col: str =
 
 
 def show_rows(log: DataFrame, labels: Sequence[str], label_col: str = "label") -> DataFrame:
-    """Rows of the given labels, matched raw or by normalised key."""
+    """Rows of the given labels; a label that no row bears as it stands is matched by its normalised key."""
     spark = log.sparkSession
     g = spark.createDataFrame([(x,) for x in labels], "_g string")
     g = g.select("_g", S.normalize_key(F.col("_g")).alias("_gk"))
-    lab = log[label_col]
-    cond = (lab == g["_g"]) | (lab == g["_gk"])
-    return log.join(F.broadcast(g), cond, "left_semi")
+    borne = log.select(F.col(label_col).alias("_g"), F.lit(True).alias("_raw")).distinct()
+    sought = g.join(borne, "_g", "left").select(F.when(F.col("_raw"), F.col("_g")).otherwise(F.col("_gk")).alias("_sought"))
+    return log.join(sought, log[label_col] == F.col("_sought"), "left_semi")
 
 
 # Q3 -------------------------------------------------------------------------

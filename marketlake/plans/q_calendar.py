@@ -140,9 +140,11 @@ def q2_delete_given_labels(spark, base):
 
 
 @register("l7_show_rows", f"""WITH {LOG_CTE}
-SELECT label, item, status FROM lg WHERE label IN ('2024-01-05', '20240106', '2024-01-06')""")
+SELECT label, item, status FROM lg WHERE label IN (
+  SELECT CASE WHEN g.raw IN (SELECT label FROM lg) THEN g.raw ELSE g.key END
+  FROM (VALUES ('2024-01-05', '2024-01-05'), ('20240106', '2024-01-06')) g(raw, key))""")
 def l7_show_rows(spark, base):
-    """Rows of the given labels, matched raw or through their normalised key."""
+    """Rows of the given labels, matched raw, else through their normalised key."""
     return cal.show_rows(fx.raw_status_log(spark, base), ["2024-01-05", "20240106"])
 
 
