@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MODES = ("raw", "previous", "diff", "diff_percent")
 REASON_THRESHOLD, REASON_END, REASON_EXHAUSTED = "threshold", "end_date", "exhausted"
@@ -174,8 +175,8 @@ def cumulative_to_threshold(df: DataFrame, value_col: str, start_date, threshold
         rows = rows.join(entities.select("code", threshold_col), "code")
     order = d.asc() if fwd else d.desc()
     w = Window.partitionBy("code").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    v = F.col(value_col).cast("decimal(38,2)") if dict(df.dtypes).get(value_col, "").startswith("decimal") \
-        else F.col(value_col).cast("double")
+    kind = df.schema[value_col].dataType
+    v = F.col(value_col).cast(f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else "double")
     rows = rows.withColumn("_cum", F.sum(F.coalesce(v, F.lit(0))).over(w))
     rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("code").orderBy(order)))
     t = F.col(threshold_col) if threshold_col is not None else (F.lit(threshold) if threshold is not None else None)

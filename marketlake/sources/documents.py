@@ -18,7 +18,7 @@ DATE_KEY_PATH = "$.crawlerdic.payload.date"
 
 
 def _finish(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
-    doc = F.parse_json(F.col("json"))
+    doc = F.try_parse_json(F.col("json"))  # malformed text: null, quarantined later as no object
     out = df.select("item", "source_file", doc.alias("doc"))
     out = out.select(
         "item", "source_file",

@@ -83,3 +83,13 @@ def test_alignment_drops_all_null(spark):
     assert [(r.date, r.a_value, r.b_value) for r in out] == [(D(2024, 1, 2), 1.0, None), (D(2024, 1, 3), None, 1.0)]
     wide = sig.align_entities_wide(p, ["a", "b"], "value", "raw").orderBy("date").collect()
     assert len(wide) == 3 and wide[1]["a"] == 2.0 and wide[1]["b"] == 5.0
+
+
+def test_cumulative_keeps_the_scale_of_decimals(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from marketlake.operators import signals as sg
+    df = spark.createDataFrame([("a", dt.date(2024, 1, d), Decimal("0.0040")) for d in (1, 2)],
+                               "code string, date date, value decimal(10,4)")
+    out = sg.cumulative_to_threshold(df, value_col="value", threshold=0.008, start_date=dt.date(2024, 1, 1)).collect()
+    assert "0.008" in str(out) and "exhausted" not in str(out)
