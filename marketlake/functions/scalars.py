@@ -79,11 +79,6 @@ def apply_sign(value, sign) -> Column:
 
 
 # N6 ----------------------------------------------------------------------
-def parse_date_strict(c, fmt: str | None = None) -> Column:
-    """Date parse that raises on bad input (ANSI)."""
-    return F.to_date(_c(c), fmt) if fmt else F.to_date(_c(c))
-
-
 def parse_date_tolerant(c, fmt: str = "yyyy-MM-dd") -> Column:
     return F.try_to_date(_c(c).cast("string"), fmt)
 

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 import functools
+import statistics
 import unicodedata
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import catalog
@@ -58,16 +59,30 @@ def raise_first_error(errors: DataFrame) -> None:
 # X1 / X2 / X5 -------------------------------------------------------------
 # All block logic runs inside each document row with higher-order functions:
 # no shuffle regroups document content, whatever the number of documents.
+_BLOCK_ARRAY = ("array<struct<container:int,kind:string,k:bigint,title:variant,fields:variant,data:variant,"
+                "groups:variant,notes:variant>>")
+
+
+def _no_blocks() -> Column:
+    return F.array().cast(_BLOCK_ARRAY)
+
+
+def _suffix_numbers(m: Column, pattern: str, bare: int | None = None) -> Column:
+    """Sorted distinct numbers at the end of the keys that fit ``pattern`` (group 1);
+    a key without a number counts as ``bare``, a number beyond BIGINT is no block."""
+    found = F.transform(F.filter(F.map_keys(m), lambda x: x.rlike(pattern)),
+                        lambda x: F.regexp_extract(x, pattern, 1))
+    numbers = F.transform(found, lambda x: F.when(x == "", F.lit(bare).cast("bigint")).otherwise(x.try_cast("bigint")))
+    return F.array_sort(F.array_distinct(F.filter(numbers, lambda k: k.isNotNull())))
+
 
 def _main_block_keys(m: Column) -> Column:
-    """Sorted suffix numbers of main-block keys, with the gap rule applied:
-    0 and 1 may be missing, from 2 on the numbering stops at the first gap."""
+    """Numbers of the main blocks: 0 and 1 may be missing, from 2 on the
+    numbering stops at the first gap (the n-th number from 2 on must be n + 2)."""
     aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
-    pat = "^(" + "|".join(aliases) + ")([1-9][0-9]*)?$"
-    ks = F.array_sort(F.array_distinct(F.transform(
-        F.filter(F.map_keys(m), lambda x: x.rlike(pat)),
-        lambda x: F.coalesce(F.regexp_extract(x, pat, 2).try_cast("int"), F.lit(0)))))
-    return F.filter(ks, lambda k: (k < 2) | (F.size(F.filter(ks, lambda j: (j >= 2) & (j < k))) == k - 2))
+    ks = _suffix_numbers(m, "^(?:" + "|".join(aliases) + ")([1-9][0-9]*|)$", bare=0)
+    return F.concat(F.filter(ks, lambda k: k < 2),
+                    F.filter(F.filter(ks, lambda k: k >= 2), lambda k, i: k == i + 2))
 
 
 def _block(m: Column, container: Column, kind: str, k: Column, aliases: dict, suffix: Column) -> Column:
@@ -77,7 +92,7 @@ def _block(m: Column, container: Column, kind: str, k: Column, aliases: dict, su
         if not vals:
             return F.lit(None).cast("variant")
         return F.coalesce(*vals) if len(vals) > 1 else vals[0]
-    return F.struct(container.cast("int").alias("container"), F.lit(kind).alias("kind"), k.cast("int").alias("k"),
+    return F.struct(container.cast("int").alias("container"), F.lit(kind).alias("kind"), k.cast("bigint").alias("k"),
                     *[pick(r).alias(r) for r in ROLES])
 
 
@@ -88,23 +103,19 @@ def _container_blocks(m: Column, container: Column) -> Column:
     credit_keys = [a for names in catalog.CREDIT_BLOCK_ALIASES.values() for a in names]
     has_credit = F.exists(F.map_keys(m), lambda x: x.isin(credit_keys))
     credit = _block(m, container, KIND_CREDIT, F.lit(0), catalog.CREDIT_BLOCK_ALIASES, F.lit(""))
-    return F.concat(main, F.when(has_credit, F.array(credit)).otherwise(F.array().cast(_BLOCK_ARRAY)))
+    return F.concat(main, F.when(has_credit, F.array(credit)).otherwise(_no_blocks()))
 
 
-_BLOCK_ARRAY = ("array<struct<container:int,kind:string,k:int,title:variant,fields:variant,data:variant,"
-                "groups:variant,notes:variant>>")
+def _legacy_blocks(m: Column) -> Column:
+    """``fieldsN`` / ``dataN`` / ``subtitleN`` of any number; blocks without fields or data are dropped."""
+    blocks = F.transform(_suffix_numbers(m, r"^fields(\d+)$"), lambda i: _block(
+        m, F.lit(0), KIND_LEGACY, i, {"title": ["subtitle"], "fields": ["fields"], "data": ["data"]}, i.cast("string")))
+    return F.filter(blocks, lambda b: (_length(b["fields"], "array<string>") > 0)
+                    & (_length(b["data"], "array<array<string>>") > 0))
 
 
-def _legacy_blocks(m: Column) -> Column:
-    pat = r"^fields(\d+)$"
-    idx = F.array_sort(F.array_distinct(F.transform(F.filter(F.map_keys(m), lambda x: x.rlike(pat)),
-                                                    lambda x: F.regexp_extract(x, pat, 1).try_cast("int"))))
-    return F.transform(idx, lambda i: F.struct(
-        F.lit(0).alias("container"), F.lit(KIND_LEGACY).alias("kind"), i.cast("int").alias("k"),
-        F.try_element_at(m, F.concat(F.lit("subtitle"), i.cast("string"))).alias("title"),
-        F.try_element_at(m, F.concat(F.lit("fields"), i.cast("string"))).alias("fields"),
-        F.try_element_at(m, F.concat(F.lit("data"), i.cast("string"))).alias("data"),
-        F.lit(None).cast("variant").alias("groups"), F.lit(None).cast("variant").alias("notes")))
+def _length(value: Column, kind: str) -> Column:
+    return F.coalesce(F.size(F.try_variant_get(value, "$", kind)), F.lit(0))
 
 
 def _with_maps(docs: DataFrame, *extra: str) -> DataFrame:
@@ -118,83 +129,15 @@ def _with_maps(docs: DataFrame, *extra: str) -> DataFrame:
     return docs.select(*IDS, *extra, m.alias("_m"), tabs.alias("_tabs"))
 
 
-# Numbered blocks up to FAST_K are resolved with fixed, code-generated
-# expressions; a container using a higher number takes the general
-# (higher-order function) path, so no block is ever dropped.
-FAST_K = 9
-
-
-def _present(m: Column, names: Sequence[str], suffix: str) -> Column:
-    return functools.reduce(lambda a, b: a | b, [F.map_contains_key(m, f"{n}{suffix}") for n in names])
-
-
-def _fixed_block(m: Column, container: Column, kind: str, k: int, aliases: dict, suffix: str) -> Column:
-    def pick(role):
-        names = aliases.get(role, [])
-        if not names:
-            return F.lit(None).cast("variant")
-        vals = [F.try_element_at(m, F.lit(f"{a}{suffix}")) for a in names]
-        return F.coalesce(*vals) if len(vals) > 1 else vals[0]
-    return F.struct(container.cast("int").alias("container"), F.lit(kind).alias("kind"), F.lit(k).alias("k"),
-                    *[pick(r).alias(r) for r in ROLES])
-
-
-def _needs_general(m: Column) -> Column:
-    aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
-    pat = "(?:^|\u0001)(?:" + "|".join(aliases) + ")([1-9][0-9]*)(?=\u0001|$)"
-    nums = F.regexp_extract_all(F.array_join(F.map_keys(m), "\u0001"), F.lit(pat), 1).try_cast("array<bigint>")
-    return F.coalesce(F.array_max(nums) > FAST_K, F.lit(False))
-
-
-def _fast_blocks(m: Column, container: Column) -> tuple[Column, Column]:
-    """(array of blocks with NULL holes, number of blocks) for blocks 0..FAST_K
-    and the credit block - plain expressions, no lambdas."""
-    aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
-    blocks, flags = [], []
-    chain = F.lit(True)
-    for k in range(FAST_K + 1):
-        sfx = "" if k == 0 else str(k)
-        here = _present(m, aliases, sfx)
-        if k >= 2:
-            chain = chain & here
-            ok = chain
-        else:
-            ok = here
-        flags.append(ok)
-        blocks.append(F.when(ok, _fixed_block(m, container, KIND_MAIN, k, catalog.MAIN_BLOCK_ALIASES, sfx)))
-    credit_names = [a for names in catalog.CREDIT_BLOCK_ALIASES.values() for a in names]
-    has_credit = _present(m, credit_names, "")
-    flags.append(has_credit)
-    blocks.append(F.when(has_credit, _fixed_block(m, container, KIND_CREDIT, 0, catalog.CREDIT_BLOCK_ALIASES, "")))
-    n = functools.reduce(lambda a, b: a + b, [f.cast("int") for f in flags])
-    return F.array(*blocks), n
-
-
-def _container_any(m: Column, container: Column) -> Column:
-    """Blocks of one nested container (inside a lambda): fast or general."""
-    fast, _ = _fast_blocks(m, container)
-    return F.when(_needs_general(m), _container_blocks(m, container)).otherwise(
-        F.filter(fast, lambda b: b.isNotNull()))
-
-
-def block_array_general(m: Column, tabs: Column) -> Column:
-    nested = F.flatten(F.transform(tabs, lambda t, i: _container_blocks(t, i + 1)))
-    x1 = F.concat(_container_blocks(m, F.lit(0)), nested)
-    return F.when(m.isNull(), F.array().cast(_BLOCK_ARRAY)).when(F.size(x1) > 0, x1).otherwise(_legacy_blocks(m))
-
-
 def block_array(m: Column, tabs: Column) -> Column:
-    """X1 + X2 for one document: array of raw blocks (VARIANT payloads); may
-    hold NULL entries (dropped after explode)."""
-    root, n_root = _fast_blocks(m, F.lit(0))
-    nested = F.flatten(F.transform(tabs, lambda t, i: _container_any(t, i + 1)))
-    fast = (F.when(m.isNull(), F.array().cast(_BLOCK_ARRAY))
-             .when(n_root + F.size(nested) > 0, F.concat(root, nested))
-             .otherwise(_legacy_blocks(m)))
-    return F.when(m.isNotNull() & _needs_general(m), block_array_general(m, tabs)).otherwise(fast)
+    """X1 + X2 for one document: array of raw blocks (VARIANT payloads)."""
+    nested = F.flatten(F.transform(tabs, lambda t, i: _container_blocks(t, i + 1)))
+    found = F.array(F.concat(_container_blocks(m, F.lit(0)), nested))  # one element: evaluated once
+    return F.when(m.isNull(), _no_blocks()).otherwise(F.transform(
+        found, lambda x1: F.when(F.size(x1) > 0, x1).otherwise(_legacy_blocks(m)))[0])
 
 
-def extract_subtables(docs: DataFrame) -> DataFrame:
+def extract_subtables(docs: DataFrame, keep_bare: bool = False) -> DataFrame:
     """X1 + X2: every sub-table block of every document.
 
     Main blocks use the bare names, then suffixes 1, 2, ...; blocks 0 and 1
@@ -205,19 +148,20 @@ def extract_subtables(docs: DataFrame) -> DataFrame:
     ``subtitleN`` (blocks without fields or data are dropped).
 
     Output: item, source_file, date_key, container, kind, k, title, fields,
-    data, groups, notes.
+    data, groups, notes.  ``keep_bare`` adds one row of NULL ``kind`` for each
+    document without any block, and the column ``is_object``.
     """
-    d = _with_maps(docs)
-    b = (d.select(*IDS, F.explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b"))
-          .where(F.col("b").isNotNull()).select(*IDS, "b.*"))
-    typed = b.select(
-        *IDS, "container", "kind", "k",
+    extra = ["is_object"] if keep_bare else []
+    d = _with_maps(docs, *extra)
+    explode = F.explode_outer if keep_bare else F.explode
+    b = d.select(*IDS, *extra, explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b")).select(*IDS, *extra, "b.*")
+    return b.select(
+        *IDS, *extra, "container", "kind", "k",
         F.try_variant_get("title", "$", "string").alias("title"),
         F.try_variant_get("fields", "$", "array<string>").alias("fields"),
         F.try_variant_get("data", "$", "array<array<string>>").alias("data"),
         F.try_variant_get("groups", "$", "string").alias("groups"),
         F.try_variant_get("notes", "$", "string").alias("notes"))
-    return typed.where((F.col("kind") != KIND_LEGACY) | _non_empty())
 
 
 def _non_empty() -> Column:
@@ -229,57 +173,47 @@ def skip_empty(blocks: DataFrame) -> DataFrame:
     return blocks.where(_non_empty())
 
 
-def documents_without_tables(docs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Documents that yield no usable sub-table, or are not objects (Q4 rows).
-
-    Only the document keys take part (narrow columns on both sides): a
-    NULL-safe anti join of the documents against the keys found in
-    ``blocks`` (the output of ``extract_subtables``)."""
-    has = blocks.select(*IDS).distinct()
-    d = docs.select(*IDS, "is_object")
-    none = d.join(has, [d[c].eqNullSafe(has[c]) for c in IDS], "left_anti")
-    return none.select(*IDS, error_struct(
-        F.when(F.col("is_object"), F.lit("no sub-table found")).otherwise(F.lit("document is not an object")),
-        file=F.col("source_file"), item=F.col("item")).alias("error"))
+def no_table_error() -> Column:
+    """Q4: why a document yields no sub-table at all (rows of NULL ``kind``)."""
+    return F.when(F.col("is_object"), F.lit("no sub-table found")).otherwise(F.lit("document is not an object"))
 
 
 # X6 / X7 ------------------------------------------------------------------
+# Key classes and the texts that name them.
+KEY_CLASSES = {"col": ("field",), "value": ("data", "list"), "title": ("title",)}
+
+
+def _keys_of_class(m: Column, marks: Sequence[str]) -> Column:
+    return F.array_sort(F.filter(F.map_keys(m), lambda k: functools.reduce(
+        lambda a, b: a | b, [F.lower(k).contains(x) for x in marks])))
+
+
 def classify_keys(docs: DataFrame) -> DataFrame:
-    """Top-level keys sorted and classed by substring: 'field' -> col,
-    'data' or 'list' -> value, 'title' -> title; the n-th key of each class pairs up."""
-    kv = docs.where("is_object").select(*IDS, F.explode(F.map_keys(
-        F.try_variant_get("doc", "$", "map<string,variant>"))).alias("key"))
-    low = F.lower("key")
-    cls = (F.when(low.contains("field"), F.lit("col")).when(low.contains("data") | low.contains("list"), F.lit("value"))
-            .when(low.contains("title"), F.lit("title")))
-    return kv.select(*IDS, "key", cls.alias("key_class")).where(F.col("key_class").isNotNull())
+    """Top-level keys classed by substring: 'field' -> col, 'data' or
+    'list' -> value, 'title' -> title; a key may be of several classes."""
+    m = F.try_variant_get("doc", "$", "map<string,variant>")
+
+    def named(keys: Column, name: str) -> Column:
+        return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(name).alias("key_class")))
+    by_class = F.flatten(F.array(*[named(_keys_of_class(m, marks), name) for name, marks in KEY_CLASSES.items()]))
+    return docs.where("is_object").select(*IDS, F.explode(by_class).alias("k")).select(*IDS, "k.key", "k.key_class")
 
 
 def tables_by_key_class(docs: DataFrame) -> DataFrame:
     """X6 productdict: pair the n-th col / value / title keys (sorted) of each
-    document into (title, fields, data); empty values are skipped."""
-    keys = classify_keys(docs)
-    w = Window.partitionBy(*IDS, "key_class").orderBy("key")
-    ranked = keys.withColumn("n", F.row_number().over(w))
-    grp = ranked.groupBy(*IDS, "n").agg(
-        F.first(F.when(F.col("key_class") == "col", F.col("key")), ignorenulls=True).alias("fields_key"),
-        F.first(F.when(F.col("key_class") == "value", F.col("key")), ignorenulls=True).alias("data_key"),
-        F.first(F.when(F.col("key_class") == "title", F.col("key")), ignorenulls=True).alias("title_key"))
-    d = docs.select(*IDS, F.try_variant_get("doc", "$", "map<string,variant>").alias("m"))
-    j = grp.join(d, [grp[c].eqNullSafe(d[c]) for c in IDS]).select(grp["*"], "m")
+    document into (title, fields, data), within the row; empty values are skipped."""
+    m = F.col("m")
+    d = docs.where("is_object").select(*IDS, F.try_variant_get("doc", "$", "map<string,variant>").alias("m"))
+    keys = F.arrays_zip(*[_keys_of_class(m, marks).alias(name) for name, marks in KEY_CLASSES.items()])
+    j = d.select(*IDS, "m", F.posexplode(keys).alias("at", "key"))
     out = j.select(
-        *IDS, "n",
-        F.try_variant_get(F.element_at("m", F.col("title_key")), "$", "string").alias("title"),
-        F.try_variant_get(F.element_at("m", F.col("fields_key")), "$", "array<string>").alias("fields"),
-        F.try_variant_get(F.element_at("m", F.col("data_key")), "$", "array<array<string>>").alias("data"))
+        *IDS, (F.col("at") + 1).alias("n"),
+        F.try_variant_get(F.try_element_at(m, F.col("key.title")), "$", "string").alias("title"),
+        F.try_variant_get(F.try_element_at(m, F.col("key.col")), "$", "array<string>").alias("fields"),
+        F.try_variant_get(F.try_element_at(m, F.col("key.value")), "$", "array<array<string>>").alias("data"))
     return out.where(_non_empty())
 
 
-def trim_rows(blocks: DataFrame) -> DataFrame:
-    """Cut every row to the header length (surplus cells dropped)."""
-    return blocks.withColumn("data", F.transform("data", lambda r: F.slice(r, 1, F.size("fields"))))
-
-
 # X8 / N15 -----------------------------------------------------------------
 _SUB_ARRAY = "array<struct<sub:string,norm:string>>"
 
@@ -289,37 +223,25 @@ def subtitle_config(catalogue: DataFrame) -> dict[str, list[str]]:
     return {r["item"]: list(r["subtitle"] or []) for r in catalogue.select("item", "subtitle").collect()}
 
 
-# Distinct titles that need Python NFKC are broadcast only up to this many;
-# beyond it they are joined with a shuffle.
-NFKC_BROADCAST_MAX = 200_000
-
-
 def attach_normalized_titles(df: DataFrame, title_col: str = "title") -> DataFrame:
-    t = F.col(title_col)
-    stable = t.rlike(S.NFKC_STABLE)
-    todo = df.where(~stable & t.isNotNull()).select(t.alias("_t")).distinct()
-    n = todo.count()
-    if n == 0:
-        return df.withColumn("title_norm", F.trim(t))
-    lookup = todo.withColumn("_n", S.nfkc_strip(F.col("_t")))
-    lookup = F.broadcast(lookup) if n <= NFKC_BROADCAST_MAX else lookup
-    j = df.join(lookup, t == F.col("_t"), "left")
-    return j.withColumn("title_norm", F.when(stable, F.trim(t)).otherwise(F.col("_n"))).drop("_t", "_n")
+    """Adds ``title_norm``; only titles that NFKC may change go through the Arrow function."""
+    return df.withColumn("title_norm", S.nfkc_strip_fast(F.col(title_col)))
 
 
 def match_titles(df: DataFrame, config: dict[str, Sequence[str]], item_col: str = "item",
-                 title_col: str = "title") -> DataFrame:
+                 title_col: str = "title", rename: dict | None = None) -> DataFrame:
     """X8 per row: the one configured subtitle contained in the NFKC-normalised,
-    stripped title.
+    stripped title, under the name that ``rename`` gives it.
 
     The configuration is normalised once on the driver and inlined as a
     literal map; only the title column goes through the NFKC pandas UDF
     (Arrow batches).  No join, no shuffle.  Adds ``title_norm``, ``n_hits``,
     ``subitem`` (NULL on error) and ``match_error``.
     """
+    rename = rename or {}
     entries = []
     for item, subs in config.items():
-        arr = F.array(*[F.struct(F.lit(x).alias("sub"),
+        arr = F.array(*[F.struct(F.lit(rename.get(x, x)).alias("sub"),
                                  F.lit(unicodedata.normalize("NFKC", x).strip()).alias("norm")) for x in subs]) \
             if subs else F.array().cast(_SUB_ARRAY)
         entries += [F.lit(item), arr.cast(_SUB_ARRAY)]
@@ -346,39 +268,33 @@ def normalize_names(cols: Sequence[str], rename: dict | None = None) -> list[str
     return [str(rename.get(c, c)).replace("</br>", "") for c in cols]
 
 
-def unique_by_suffix(cols: Sequence[str]) -> list[str]:
-    seen: dict[str, int] = {}
-    out = []
-    for c in cols:
-        seen[c] = seen.get(c, 0) + 1
-        out.append(c if seen[c] == 1 else f"{c}__{seen[c]}")
-    return out
+def occurrences(names: Sequence[str]) -> list[int]:
+    """How often each position's name has stood up to there, itself included."""
+    return [list(names[:i + 1]).count(n) for i, n in enumerate(names)]
 
 
 def repair_duplicate_names(cols: Sequence[str], prefixes: Sequence[str] = ()) -> list[str]:
-    """From the first duplicated name on, prefix equal chunks with the
-    group prefixes when the tail divides evenly; else '__2', '__3' suffixes."""
-    cols = [str(c) for c in cols]
-    counts: dict[str, int] = {}
-    for c in cols:
-        counts[c] = counts.get(c, 0) + 1
-    dups = [c for c in dict.fromkeys(cols) if counts[c] > 1]
-    if not dups:
-        return cols
-    prefixes = [p.strip() for p in prefixes if p and p.strip()]
-    if len(prefixes) >= 2:
-        first = max(dups, key=lambda c: (counts[c], -cols.index(c)))
-        start = cols.index(first)
-        tail = cols[start:]
-        if len(tail) % len(prefixes) == 0:
-            size = len(tail) // len(prefixes)
-            fixed = cols[:start] + [f"{prefixes[i // size]}_{c}" for i, c in enumerate(tail)]
-            if len(set(fixed)) == len(fixed):
-                return fixed
-    fixed = unique_by_suffix(cols)
-    if len(set(fixed)) != len(fixed):
-        raise DataCleanError("duplicate column names cannot be repaired", value=cols)
-    return fixed
+    """Unique names for a header that repeats names.
+
+    The repeated part runs from the first place of the most repeated name
+    (leftmost of equals) to the end.  If it splits into as many equal segments
+    as there are group prefixes (two or more), each name takes its segment's
+    prefix; otherwise, or if that leaves repeats, the n-th place of a name gets '__n'.
+    """
+    names, groups = [str(c) for c in cols], [p.strip() for p in prefixes if p and p.strip()]
+    rank = occurrences(names)
+    if max(rank, default=1) == 1:
+        return names
+    begin = names.index(statistics.mode(names))
+    candidates = []
+    if len(groups) > 1 and (len(names) - begin) % len(groups) == 0:
+        length = (len(names) - begin) // len(groups)
+        candidates.append(names[:begin] + [f"{groups[at // length]}_{n}" for at, n in enumerate(names[begin:])])
+    candidates.append([n if r == 1 else f"{n}__{r}" for n, r in zip(names, rank)])
+    for header in candidates:
+        if max(occurrences(header)) == 1:
+            return header
+    raise DataCleanError("duplicate column names cannot be repaired", value=names)
 
 
 def grouped_header(cols: Sequence[str], spans: Sequence[tuple], prefixed: Sequence[str] | None = None) -> list[str]:
@@ -428,35 +344,41 @@ def final_header(fields: Sequence[str], spec: TableSpec | None, global_rename: d
     return repair_duplicate_names(cols, prefixes)
 
 
+def default_spec(item: str, subitem: str) -> TableSpec:
+    """The shipped configuration of a sub-table: numbers, header rename, grouped header."""
+    return TableSpec(item=item, subitem=subitem, rename=catalog.DATASET_RENAME.get((item, subitem), {}),
+                     float_cols=list(catalog.NUMERIC_COLUMNS.get((item, subitem), ())),
+                     spans=catalog.FIELD_SPANS.get(subitem))
+
+
 def header_variants(blocks: DataFrame) -> list[tuple]:
-    """Distinct (subitem, fields) header lists: schema metadata, not data."""
-    rows = blocks.where(F.col("subitem").isNotNull()).select("subitem", "fields").distinct().collect()
-    return [(r["subitem"], list(r["fields"])) for r in rows]
+    """Distinct (item, subitem, fields) header lists: schema metadata, not data."""
+    rows = blocks.where(F.col("subitem").isNotNull()).select("item", "subitem", "fields").distinct().collect()
+    return sorted((r["item"], r["subitem"], list(r["fields"])) for r in rows)
 
 
 # X3 + finalize -------------------------------------------------------------
 def frame_up(blocks: DataFrame, spec: TableSpec, variants: Sequence[tuple],
              global_rename: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """X3/X4 + P1-P6 + N3-N6: one typed frame for ``spec.subitem``.
+    """X3/X4 + P1-P6 + N3-N6: one typed frame for (``spec.item``, ``spec.subitem``).
 
     Returns (table, errors).  The table carries ``source_file``, ``block_k``
     and ``row_pos`` (arrival order for keep-last).  Cells are picked by
-    header position; short rows give NULL, surplus cells are dropped.
+    header position; short rows give NULL, surplus cells are dropped (X7).
     """
-    spark = blocks.sparkSession
-    mine = [(list(f), final_header(f, spec, global_rename)) for s, f in variants if s == spec.subitem]
+    mine = [(list(f), final_header(f, spec, global_rename)) for i, s, f in variants
+            if (i, s) == (spec.item, spec.subitem)]
     if not mine:
         raise DataCleanError("no header seen for sub-table", item=spec.item, subitem=spec.subitem)
-    names: list[str] = []
-    for _, fin in mine:
-        for c in fin:
-            if c not in names and not c.startswith("_pad"):
-                names.append(c)
-    hdr = spark.createDataFrame([(f, fin) for f, fin in mine], "fields array<string>, final array<string>")
-    b = (blocks.where(F.col("subitem") == spec.subitem)
-               .join(F.broadcast(hdr), "fields"))
-    rows = b.select(*IDS, "subitem", F.col("k").alias("block_k"), "container", "final",
-                    F.posexplode("data").alias("row_pos", "row"))
+    names = list(dict.fromkeys(c for _, fin in mine for c in fin if not c.startswith("_pad")))
+    # the known headers are plan-time metadata: each gives its final names as a literal
+    final = F.lit(None).cast("array<string>")
+    for header, fin in mine:
+        same = F.col("fields") == F.array(*[F.lit(c).cast("string") for c in header])
+        final = F.when(same, F.array(*[F.lit(c) for c in fin])).otherwise(final)
+    rows = (blocks.where((F.col("item") == spec.item) & (F.col("subitem") == spec.subitem))
+            .select(*IDS, "subitem", F.col("k").alias("block_k"), "container", final.alias("final"), "data")
+            .select(*IDS, "subitem", "block_k", "container", "final", F.posexplode("data").alias("row_pos", "row")))
     cells = [F.get(F.col("row"), F.array_position(F.col("final"), F.lit(c)).cast("int") - 1).alias(c)
              for c in names]
     df = rows.select(*IDS, "subitem", "container", "block_k", "row_pos", *cells)
@@ -504,14 +426,3 @@ def parse_any_date(c: Column) -> Column:
         F.when(t.rlike(r"^\d{8}$"), F.try_to_date(t, "yyyyMMdd")),
         F.when(t.rlike(r"^\d{2,3}/\d{1,2}/\d{1,2}$"), F.try_to_date(minguo, "yyyy-M-d")),
         F.try_to_date(F.regexp_replace(t, "/", "-"), "yyyy-M-d"))
-
-
-# P7 ------------------------------------------------------------------------
-def wide_to_long(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str] | None = None,
-                 var: str = "item", val: str = "status") -> DataFrame:
-    cols = list(value_cols) if value_cols is not None else [c for c in df.columns if c not in ids]
-    return df.unpivot(list(ids), cols, var, val)
-
-
-def long_to_wide(df: DataFrame, index: str, column: str, value: str, values: Sequence[str]) -> DataFrame:
-    return df.groupBy(index).pivot(column, list(values)).agg(F.first(value))

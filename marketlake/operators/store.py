@@ -54,15 +54,6 @@ def dedup_keep_last(df: DataFrame, pk: Sequence[str], order_cols: Sequence[str])
     return out.select(*[F.col(c) for c in pk], *[F.col(f"_m._p.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
-def dedup_with_report(df: DataFrame, pk: Sequence[str], order_cols: Sequence[str]):
-    """(deduplicated frame, Observation) - the observation holds rows_out once
-    the frame has been acted on; rows removed = rows_in - rows_out."""
-    from pyspark.sql import Observation
-    obs = Observation(f"dedup_{uuid.uuid4().hex[:8]}")
-    out = dedup_keep_last(df, pk, order_cols).observe(obs, F.count(F.lit(1)).alias("rows_out"))
-    return out, obs
-
-
 # W8 ----------------------------------------------------------------------
 def latest_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per group: the row with the greatest ``order_cols``."""
@@ -204,11 +195,36 @@ def write_bucketed(df: DataFrame, path: str, bucket_mode: str = "year", freq: st
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the folder is there and holds data; any other failure to look rises."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, where = _file_system(spark, path)
     return fs.exists(where) and len(fs.listStatus(where)) > 0
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replace a whole small table: the new copy is complete beside the old one
+    before that goes, and ``read_replaced`` finds it if a run ends in between."""
+    fresh = path.rstrip("/") + ".next"
+    df.write.mode("overwrite").parquet(fresh)
+    fs, old = _file_system(spark, path)
+    fs.delete(old, True)
+    if not fs.rename(_file_system(spark, fresh)[1], old):
+        raise OSError(f"cannot move {fresh} to {path}")
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table kept by ``replace_table``; None before the first run."""
+    fresh = path.rstrip("/") + ".next"
+    if table_exists(spark, path):
+        return spark.read.parquet(path)
+    if table_exists(spark, f"{fresh}/_SUCCESS"):
+        return spark.read.parquet(fresh)
+    return None
+
+
 def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequence[str],
                       order_cols: Sequence[str] = (), bucket_mode: str = "year", freq: str = DAILY,
                       update_old_non_daily: bool = False, date_col: str = "date") -> DataFrame:

@@ -18,84 +18,112 @@ from ..operators import ingest as ig
 from ..operators import store as st
 from ..sources import documents as docsrc
 from ..sources import manifest as mf
-from ..session import cut_lineage
 
 ARRIVAL_ORDER = ["source_file", "container", "block_k", "row_pos"]
 
 
+QUARANTINE = "quarantine"
+
+
 @dataclass
 class CleanResult:
-    tables: dict[str, DataFrame]
+    tables: dict[tuple[str, str], DataFrame]  # (item, subitem) -> cleaned frame
     errors: DataFrame
-    blocks: DataFrame
+    keys: dict[tuple[str, str], list[str]]
+
+
+def block_table(docs: DataFrame, catalogue: DataFrame, global_rename: dict) -> DataFrame:
+    """Non-empty blocks with their sub-table, or the reason why they have none
+    (documents without any block included), written once as Parquet in the
+    shared folder, one partition per sub-table: a table's scan reads its own
+    partition only and a lost executor recomputes no document."""
+    blocks = ig.extract_subtables(docs, keep_bare=True)
+    bare = F.col("kind").isNull()
+    blocks = ig.match_titles(blocks.where(bare | (F.size("fields") > 0) & (F.size("data") > 0)),
+                             ig.subtitle_config(catalogue), rename=global_rename)
+    blocks = blocks.select(*ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem",
+                           F.when(bare, ig.no_table_error()).otherwise(F.col("match_error")).alias("reason"))
+    kept = blocks.withColumns({f"p_{c}": F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("-"))
+                               for c in ("item", "subitem")})
+    path = st.scratch_path(docs.sparkSession, "blocks")
+    kept.write.partitionBy("p_item", "p_subitem").parquet(path)
+    return docs.sparkSession.read.schema(kept.schema).parquet(path)
 
 
 def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.TableSpec] | None = None,
                     global_rename: dict | None = None, strict: bool = False,
                     update_old_non_daily: bool = False) -> CleanResult:
-    """Clean a frame of documents (S1 output) into one frame per sub-table.
+    """Clean a frame of documents (S1 output) into one frame per (item, sub-table).
 
-    ``specs`` maps sub-table name -> TableSpec; sub-tables without a spec are
-    framed with defaults.  Errors of every kind land in one quarantine frame;
-    ``strict`` raises on the first one instead.
+    ``specs`` holds the TableSpecs to use (each names its item and sub-table);
+    other sub-tables take the shipped configuration.  Errors of every kind land
+    in one quarantine frame; ``strict`` raises on the first one instead.
     """
-    specs = dict(specs or {})
-    # the global header rename always applies (pass {} to switch it off)
+    by_table = {(x.item, x.subitem): x for x in (specs or {}).values()}
+    # the global rename of headers and sub-tables always applies (pass {} to switch it off)
     global_rename = catalog.GLOBAL_RENAME if global_rename is None else global_rename
-    # every sub-table reads the blocks: write them once into the shared
-    # checkpoint folder (reliable: a lost executor does not recompute them)
-    blocks_all = cut_lineage(ig.extract_subtables(docs))
-    blocks = ig.match_titles(ig.skip_empty(blocks_all), ig.subtitle_config(catalogue))
-    errors = [
-        blocks.where(F.col("match_error").isNotNull()).select(
-            *ig.IDS, ig.error_struct(F.col("match_error"), file=F.col("source_file"), item=F.col("item"),
-                                     value=F.col("title")).alias("error")),
-        ig.documents_without_tables(docs, blocks_all),
-    ]
-    good = blocks.where(F.col("subitem").isNotNull())
-    variants = ig.header_variants(good)
+    blocks = block_table(docs, catalogue, global_rename)
+    errors = [blocks.where("p_subitem = '-' and reason is not null").select(*ig.IDS, ig.error_struct(
+        F.col("reason"), file=F.col("source_file"), item=F.col("item"), value=F.col("title")).alias("error"))]
+    variants = ig.header_variants(blocks)
     # configuration rows (bounded by the catalogue, not by the data)
     freq = {r["item"]: r["freq"] for r in catalogue.select("item", "freq").collect()}
-    owner = {r["subtitle"]: r["item"] for r in catalog.dim_subtitle(catalogue).collect()}
-    tables = {}
-    for subitem in sorted({s for s, _ in variants}):
-        spec = specs.get(subitem) or ig.TableSpec(item=owner.get(subitem, ""), subitem=subitem)
-        t, e = ig.frame_up(good, spec, variants, global_rename)
+    tables, keys = {}, {}
+    for item, subitem in sorted({(i, s) for i, s, _ in variants}):
+        spec = by_table.get((item, subitem)) or ig.default_spec(item, subitem)
+        own = blocks.where((F.col("p_item") == item) & (F.col("p_subitem") == subitem))
+        t, e = ig.frame_up(own, spec, variants, global_rename)
         errors.append(e)
-        t = st.latest_date_only(t, freq=freq.get(spec.item, st.DAILY), doc_cols=("source_file", "subitem"),
+        t = st.latest_date_only(t, freq=freq.get(item, st.DAILY), doc_cols=("source_file", "subitem"),
                                 update_old_non_daily=update_old_non_daily)
-        pk = spec.pk or st.infer_key(t.columns, code_col="代號", name_col="名稱")
-        tables[subitem] = st.dedup_keep_last(t, pk, ARRIVAL_ORDER)
-    err = errors[0]
-    for e in errors[1:]:
-        err = err.unionByName(e)
+        keys[item, subitem] = spec.pk or st.infer_key(t.columns, code_col="代號", name_col="名稱")
+        tables[item, subitem] = st.dedup_keep_last(t, keys[item, subitem], ARRIVAL_ORDER)
+    err = st.union_by_name(errors)
     if strict:
         ig.raise_first_error(err)
-    return CleanResult(tables, err, blocks_all)
+    return CleanResult(tables, err, keys)
+
+
+def store_result(spark: SparkSession, res: CleanResult, target_root: str, freq: dict[str, str],
+                 batch: str, bucket_mode: str = "year", update_old_non_daily: bool = False) -> DataFrame:
+    """Write a batch's quarantine, then upsert its tables (U3 + S4).
+
+    The quarantine is partitioned by batch, so a batch that runs again replaces
+    its own errors.  Returns the batch's stored errors.
+    """
+    root = target_root.rstrip("/")
+    (res.errors.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch").parquet(f"{root}/{QUARANTINE}"))
+    for (item, subitem), t in res.tables.items():
+        body = t.drop("item", "date_key", "subitem", "container", "block_k")
+        st.upsert_into_table(spark, body, f"{root}/{item}/{subitem}", res.keys[item, subitem],
+                             order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
+                             freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily)
+    stored = spark.read.schema("item string, source_file string, date_key string, error struct<message:string,"
+                               "file:string,item:string,subitem:string,column:string,value:string,hint:string>,"
+                               "batch string").parquet(f"{root}/{QUARANTINE}")
+    return stored.where(F.col("batch") == batch)
 
 
 def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state_path: str,
                   catalogue: DataFrame, specs: dict[str, ig.TableSpec] | None = None,
-                  items: Sequence[str] | None = None, batch_size: int | None = None,
+                  items: Sequence[str] | None = None, batch_size: int = 10_000,
                   bucket_mode: str = "year", update_old_non_daily: bool = False,
                   strict: bool = True) -> dict:
     """One incremental round: files new or changed since the last success
-    (J2), at most ``batch_size`` of them, cleaned and upserted per sub-table
-    (U3 + S4), then their job state upserted (U4).  Returns counters."""
+    (J2), at most ``batch_size`` of them (the others wait for the next round),
+    cleaned and upserted per sub-table (U3 + S4), then their job state (U4).
+    Without ``strict``, files with quarantined errors get the status 'failed'
+    and come up again; all others are marked 'success'.  Returns counters."""
     files = mf.scan_manifest(spark, source_root, layer="source", suffix=".json")
     files = st.dataset_subset(files, items)
-    try:
-        state = spark.read.parquet(state_path)
-    except Exception:  # noqa: BLE001 - first run
-        state = None
+    state = st.read_replaced(spark, state_path)
     if state is not None:
         pending = st.needs_processing(files, state).where("needs_processing").drop("needs_processing")
     else:
         pending = files
-    pending = pending.orderBy("path")
-    if batch_size:
-        pending = pending.limit(batch_size)
     # the batch's file list (bounded by batch_size) becomes the read list
+    pending = pending.orderBy("path").limit(batch_size)
     batch = [r["path"] for r in pending.select("path").collect()]
     if not batch:
         return {"files": 0, "tables": 0, "errors": 0}
@@ -105,23 +133,16 @@ def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state
     docs = docsrc.documents_from_text(raw)
     res = clean_documents(docs, catalogue, specs, strict=strict, update_old_non_daily=update_old_non_daily)
     freq = {r["item"]: r["freq"] for r in catalogue.select("item", "freq").collect()}
-    for subitem, t in res.tables.items():
-        spec = (specs or {}).get(subitem)
-        item = spec.item if spec else (t.select("item").first() or {"item": "unknown"})["item"]
-        pk = (spec.pk if spec and spec.pk else st.infer_key(t.columns, code_col="代號", name_col="名稱"))
-        body = t.drop("item", "date_key", "subitem", "container", "block_k")
-        st.upsert_into_table(spark, body, f"{target_root.rstrip('/')}/{item}/{subitem}", pk,
-                             order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
-                             freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily)
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    new_state = pending.select(
+    errors = store_result(spark, res, target_root, freq, now.strftime("%Y%m%dT%H%M%S%f"), bucket_mode,
+                          update_old_non_daily)
+    bad = errors.select(F.col("source_file").alias("path"), F.lit("failed").alias("bad")).distinct()
+    new_state = pending.join(bad, "path", "left").select(
         F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "path",
         F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("dir"),
         st.S.file_fingerprint(F.col("size_bytes"), F.col("mtime")).alias("hash"),
         F.col("mtime").alias("source_mtime"), F.col("size_bytes").alias("source_size"),
-        F.lit("success").alias("status"), F.lit(None).cast("string").alias("date"),
+        F.coalesce("bad", F.lit("success")).alias("status"), F.lit(None).cast("string").alias("date"),
         F.col("item"), F.lit(now).alias("last_processed_at"))
-    merged = st.upsert_job_state(state, new_state)
-    merged = st.cut_lineage(merged)
-    merged.write.mode("overwrite").parquet(state_path)
-    return {"files": len(batch), "tables": len(res.tables)}
+    st.replace_table(spark, st.upsert_job_state(state, new_state), state_path)
+    return {"files": len(batch), "tables": len(res.tables), "errors": errors.count()}

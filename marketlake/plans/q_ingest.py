@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from .. import catalog
 from ..functions import scalars as S
 from ..operators import ingest as ig
-from ..operators import store as st
 from ..sources import documents as docsrc
 from . import fixtures as fx
 from .clean_job import clean_documents
@@ -33,23 +32,8 @@ DOC_KEY_SQL = ("'source/orders_daily/orders_daily_' || strftime({d}, '%Y%m%d') |
                "CAST(CAST(FLOOR({k} / 1000) AS BIGINT) AS VARCHAR) || '.json'")
 
 
-_LANDED: dict[tuple, str] = {}
-
-
-def landed(spark, base):
-    """The landed documents of ``base``, written once per session as a table
-    in the shared checkpoint folder - the way documents land before a clean
-    job reads them."""
-    key = (spark.sparkContext.applicationId, base)
-    if key not in _LANDED:
-        path = st.scratch_path(spark, "landed")
-        fx.landed_documents(spark, base).write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
-    return spark.read.parquet(_LANDED[key])
-
-
 def documents(spark, base):
-    return docsrc.documents_from_text(landed(spark, base))
+    return docsrc.documents_from_text(fx.landed_documents(spark, base))
 
 
 def _clean(spark, base, cat_rows=DOC_CATALOGUE):
@@ -74,7 +58,7 @@ ln AS (SELECT o.f, COUNT(*) AS n_lines, COUNT(DISTINCT (l.l_orderkey, l.l_return
 
 @register("x1_subtable_blocks", f"""
 WITH {_DOCS_CTE}
-SELECT docs.f AS source_file, 0 AS container, 'main' AS kind, 0 AS k, {MINGUO_SQL.format('docs.d')} || ' 訂單彙總' AS title,
+SELECT docs.f AS source_file, 0 AS container, 'main' AS kind, CAST(0 AS BIGINT) AS k, {MINGUO_SQL.format('docs.d')} || ' 訂單彙總' AS title,
        5 AS n_fields, n_orders AS n_rows FROM docs
 UNION ALL
 SELECT docs.f, 0, 'main', 1, {MINGUO_SQL.format('docs.d')} || ' 明細', 7, COALESCE(ln.n_lines, 0)
@@ -105,7 +89,7 @@ SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, CAST(o_orderkey AS VA
 FROM orders""")
 def d6_clean_orders(spark, base):
     """Cleaned main table of the documents = the orders table."""
-    t = _clean(spark, base).tables["訂單彙總"]
+    t = _clean(spark, base).tables[fx.DOC_ITEM, "訂單彙總"]
     return t.select("date", "代號", "客戶代號", "狀態", "總金額", "優先序")
 
 
@@ -119,7 +103,7 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
 JOIN orders ON l_orderkey = o_orderkey WHERE rn = 1""")
 def d6_clean_lines(spark, base):
     """Numbered sub-table: comma numbers, Minguo ship dates, keep-last on the declared key."""
-    t = _clean(spark, base).tables["明細"]
+    t = _clean(spark, base).tables[fx.DOC_ITEM, "明細"]
     return t.select("date", "代號", "項次", "數量", "金額", "折扣", "退貨", "出貨日期")
 
 
@@ -131,7 +115,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 GROUP BY o_orderdate, l_orderkey, l_returnflag""")
 def d6_clean_flags(spark, base):
     """Sub-table nested in ``tables``; its date comes from the request metadata."""
-    t = _clean(spark, base).tables["退貨統計"]
+    t = _clean(spark, base).tables[fx.DOC_ITEM, "退貨統計"]
     return t.select("date", "代號", "退貨", "數量", "筆數")
 
 
@@ -224,4 +208,4 @@ def x4_grouped_header(spark, base):
                         spans=catalog.FIELD_SPANS[fx.MARGIN_SUBTITLE], pk=list(_MARGIN_COLS))
     res = clean_documents(docs, catalog.catalogue_frame(spark), {fx.MARGIN_SUBTITLE: spec},
                           global_rename=catalog.GLOBAL_RENAME)
-    return res.tables[fx.MARGIN_SUBTITLE].select(*_MARGIN_COLS)
+    return res.tables[fx.MARGIN_ITEM, fx.MARGIN_SUBTITLE].select(*_MARGIN_COLS)

@@ -7,8 +7,6 @@ Output: layer, item, subitem, path, size_bytes, size_mb, mtime.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,14 +20,11 @@ def empty_manifest(spark: SparkSession) -> DataFrame:
 
 def scan_manifest(spark: SparkSession, base: str, layer: str = "", suffix: str = ".parquet") -> DataFrame:
     """Missing base -> empty frame with the fixed columns."""
-    local = base.split("://", 1)[-1] if base.startswith("file:") else base
-    if "://" not in base and not os.path.exists(local):
-        return empty_manifest(spark)
-    try:
-        raw = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-               .option("pathGlobFilter", f"*{suffix}").load(base))
-    except Exception:  # noqa: BLE001 - nothing to list
-        return empty_manifest(spark)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return empty_manifest(spark)  # any other failure to look rises
+    raw = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+           .option("pathGlobFilter", f"*{suffix}").load(base))
     return manifest_from_paths(raw.select("path", "length", "modificationTime"), base, layer, suffix)
 
 

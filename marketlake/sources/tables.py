@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import bucket_key
 
 
-def table_path(root: str, item: str, subitem: str) -> str:
-    return f"{root.rstrip('/')}/{item}/{subitem}"
-
-
 def read_cleaned(spark: SparkSession, path: str, codes: Sequence[str] | None = None, start=None, end=None,
                  bucket_mode: str | None = None, code_col: str = "code", date_col: str = "date") -> DataFrame:
     """Scan a bucketed table.  The date range is also turned into a bucket
@@ -35,7 +31,3 @@ def read_cleaned(spark: SparkSession, path: str, codes: Sequence[str] | None = N
     if end is not None:
         cond = cond & (F.col(date_col) <= F.to_date(F.lit(end)))
     return df.where(cond)
-
-
-def read_item_table(spark: SparkSession, root: str, item: str, subitem: str, **kw) -> DataFrame:
-    return read_cleaned(spark, table_path(root, item, subitem), **kw)

@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import store as st
 from ..sources import documents as docsrc
 
 RECORD_SCHEMA = "item string, source_file string, json string"
@@ -46,9 +45,10 @@ def document_stream(spark: SparkSession, root: str, layout: str = "records",
 def clean_batch_writer(target_root: str, catalogue_rows, specs: dict, bucket_mode: str = "year",
                        update_old_non_daily: bool = False) -> Callable[[DataFrame, int], None]:
     """foreachBatch function: clean the batch's documents and upsert every
-    sub-table into ``target_root/<item>/<subitem>``."""
+    sub-table into ``target_root/<item>/<subitem>``; errors go to
+    ``target_root/quarantine``."""
     from .. import catalog
-    from ..plans.clean_job import clean_documents
+    from ..plans.clean_job import clean_documents, store_result
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -58,14 +58,8 @@ def clean_batch_writer(target_root: str, catalogue_rows, specs: dict, bucket_mod
         freq = {r[0]: r[1] for r in catalogue_rows}
         docs = docsrc.documents_from_text(batch)
         res = clean_documents(docs, cat, specs, strict=False, update_old_non_daily=update_old_non_daily)
-        for subitem, t in res.tables.items():
-            spec = specs.get(subitem)
-            item = spec.item if spec else catalogue_rows[0][0]
-            pk = spec.pk if spec and spec.pk else st.infer_key(t.columns, code_col="代號", name_col="名稱")
-            body = t.drop("item", "date_key", "subitem", "container", "block_k")
-            st.upsert_into_table(spark, body, f"{target_root.rstrip('/')}/{item}/{subitem}", pk,
-                                 order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
-                                 freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily)
+        # errors are stored before the batch is committed; a replay replaces them
+        store_result(spark, res, target_root, freq, f"stream-{batch_id}", bucket_mode, update_old_non_daily)
     return run
 
 

@@ -39,3 +39,21 @@ def test_incremental_clean_job(spark, tmpdir_path):
     assert got[("2024-01-04", "0050")] == 40.25 and got[("2024-01-02", "0050")] == 1000.5 and len(got) == 4
     st = spark.read.parquet(state)
     assert st.where("status = 'success'").count() == 3
+
+
+def test_errors_are_stored_and_files_marked_failed(spark, tmpdir_path):
+    """Q4: without strict a broken file goes to quarantine, stays 'failed' and comes up again."""
+    src, out, state = f"{tmpdir_path}/source", f"{tmpdir_path}/cleaned", f"{tmpdir_path}/state"
+    os.makedirs(f"{src}/quotes")
+    with open(f"{src}/quotes/quotes_20240102.json", "w") as fh:
+        json.dump(_doc("20240102", [["0050", "1"]]), fh)
+    with open(f"{src}/quotes/quotes_20240103.json", "w") as fh:
+        fh.write("{broken")
+    cat = catalog.catalogue_frame(spark, [("quotes", "D", "2024-01-01", ["Quotes"], "Q")])
+    r = run_clean_job(spark, src, out, state, catalogue=cat, strict=False)
+    assert r == {"files": 2, "tables": 1, "errors": 1}
+    got = {x.file: x.status for x in spark.read.parquet(state).collect()}
+    assert got == {"quotes_20240102.json": "success", "quotes_20240103.json": "failed"}
+    q = spark.read.parquet(f"{out}/quarantine").collect()
+    assert [x.error.message for x in q] == ["document is not an object"]
+    assert run_clean_job(spark, src, out, state, catalogue=cat, strict=False)["files"] == 1

@@ -36,6 +36,38 @@ def test_legacy_fallback(spark):
     assert blocks(spark, doc) == [(0, "legacy", 5, "five")]
 
 
+def test_high_numbers(spark):
+    doc = {f"fields{k}": ["a"] for k in range(1, 14)} | {"title99999999999999999999": "x", "data99999999999": [["1"]]}
+    assert blocks(spark, doc) == [(0, "main", k, None) for k in range(1, 14)]
+    legacy = {"fields3000000000": ["a"], "data3000000000": [["1"]], "subtitle3000000000": "far"}
+    assert blocks(spark, legacy) == [(0, "legacy", 3000000000, "far")]
+
+
+def test_key_classes(spark):
+    d = docs_of(spark, [("it", {"fields": ["a"], "creditList": [["1"]], "dataTitle": "t"}), ("it", [1])])
+    got = sorted((r.key, r.key_class) for r in ig.classify_keys(d).collect())
+    assert got == [("creditList", "value"), ("dataTitle", "title"), ("dataTitle", "value"), ("fields", "col")]
+    t = ig.tables_by_key_class(docs_of(spark, [("it", {"fields": ["a"], "creditList": [["1"]], "creditTitle": "t"})]))
+    assert [(r.n, r.title, r.fields, r.data) for r in t.collect()] == [(1, "t", ["a"], [["1"]])]
+
+
+def test_same_title_in_two_items_and_shipped_types(spark):
+    cat = catalog.catalogue_frame(spark)
+    quotes = {"title": "112年 價格指數(跨市場)", "fields": ["指數", "收盤指數", "漲跌(+/-)"],
+              "data": [["x", "1,000.5", "+", "surplus"]], "crawlerdic": {"payload": {"date": "20240102"}}}
+    credit = {"title": "信用交易統計", "fields": ["項目", "買進"], "data": [["y", "7"]],
+              "crawlerdic": {"payload": {"date": "20240102"}}}
+    res = clean_documents(docs_of(spark, [("每日收盤行情", quotes), ("信用交易統計", credit)]), cat)
+    assert sorted(res.tables) == [("信用交易統計", "信用交易統計"), ("每日收盤行情", "價格指數_跨市場")]
+    q = res.tables["每日收盤行情", "價格指數_跨市場"]
+    assert q.columns[:3] == ["date", "名稱", "收盤指數"] and "漲跌(+/-)" not in q.columns
+    assert [r["收盤指數"] for r in q.collect()] == [1000.5]
+    two = catalog.catalogue_frame(spark, [("a", "D", "2024-01-01", ["Same"], "A"), ("b", "D", "2024-01-01", ["Same"], "B")])
+    doc = {"title": "Same", "fields": ["證券代號"], "data": [["1"]], "crawlerdic": {"payload": {"date": "20240102"}}}
+    res = clean_documents(docs_of(spark, [("a", doc), ("b", doc)]), two)
+    assert {k: t.count() for k, t in res.tables.items()} == {("a", "Same"): 1, ("b", "Same"): 1}
+
+
 def test_title_null_is_present(spark):
     doc = {"title": None, "subtitle": "sub", "fields": ["a"], "data": [["1"]]}
     assert blocks(spark, doc) == [(0, "main", 0, None)]
@@ -43,7 +75,10 @@ def test_title_null_is_present(spark):
 
 def test_header_helpers():
     assert ig.normalize_names(["a</br>b", "日期"], catalog.GLOBAL_RENAME) == ["ab", "date"]
-    assert ig.unique_by_suffix(["a", "b", "a", "a"]) == ["a", "b", "a__2", "a__3"]
+    assert ig.repair_duplicate_names(["a", "b", "a", "a"]) == ["a", "b", "a__2", "a__3"]
+    assert ig.repair_duplicate_names([]) == [] and ig.repair_duplicate_names(["x", "y"], ["g", "h"]) == ["x", "y"]
+    with pytest.raises(ig.DataCleanError):
+        ig.repair_duplicate_names(["a", "a", "a__2"])
     cols = ["代號", "名稱", "買進", "賣出", "買進", "賣出"]
     assert ig.repair_duplicate_names(cols, ["融資", "融券"]) == ["代號", "名稱", "融資_買進", "融資_賣出", "融券_買進", "融券_賣出"]
     assert ig.repair_duplicate_names(cols[:5], ["融資", "融券"]) == ["代號", "名稱", "買進", "賣出", "買進__2"]
@@ -65,10 +100,10 @@ def test_clean_end_to_end_with_errors(spark):
              "Totals": ig.TableSpec(item="it", subitem="Totals", int_cols=["成交金額_元"])}
     res = clean_documents(docs_of(spark, [("it", good), ("it", bad_title), ("it", [1, 2])]), cat, specs,
                           global_rename=catalog.GLOBAL_RENAME)
-    q = res.tables["Quotes"].orderBy("代號").collect()
+    q = res.tables["it", "Quotes"].orderBy("代號").collect()
     # duplicate header repaired with a suffix; keep-last on (代號, date); short row -> NULL cells
     assert [(r["代號"], r["收盤價"], r["收盤價__2"]) for r in q] == [("0050", 99.0, "3"), ("0051", None, "2")]
-    t = res.tables["Totals"].collect()
+    t = res.tables["it", "Totals"].collect()
     assert t[0]["成交金額_元"] == 1000 and str(t[0]["date"]) == "2024-01-02"
     msgs = sorted(r.error.message for r in res.errors.collect())
     assert msgs == ["document is not an object", "no configured subtitle in title"]
