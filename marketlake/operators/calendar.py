@@ -78,19 +78,29 @@ def label_checks(log: DataFrame, label_col: str = "label") -> DataFrame:
         S.is_valid_key(lab).alias("valid_key"))
 
 
-def key_audit(log: DataFrame, label_col: str = "label") -> DataFrame:
-    """Q1: total labels, unparsable count and labels, duplicated count and labels
-    (labels are the rows of the wide matrix, i.e. distinct (label) here)."""
-    per = log.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
+def key_problems(log: DataFrame, label_col: str = "label", item_col: str = "item") -> DataFrame:
+    """Q1 labels: (label, key, n_rows, bad, duplicated).
+
+    The rows of the wide matrix are its labels; a label stands there as often
+    as its most frequent (label, item) cell is repeated."""
+    cells = log.groupBy(label_col, item_col).agg(F.count(F.lit(1)).alias("_n"))
+    per = cells.groupBy(label_col).agg(F.max("_n").alias("n_rows"))
     key = S.normalize_key(F.col(label_col))
-    dup_key = log.select(label_col).distinct().groupBy(key.alias("_k")).agg(F.count(F.lit(1)).alias("_m"))
-    out = per.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(key.isNull()).alias("bad_count"),
-        F.array_sort(F.collect_set(F.when(key.isNull(), F.col(label_col)))).alias("bad_labels"))
-    coll = dup_key.where("_k IS NOT NULL AND _m > 1").agg(F.count(F.lit(1)).alias("n_key_collisions"))
-    # both sides are single-row aggregates: join them on a constant key
-    return out.withColumn("_j", F.lit(1)).join(F.broadcast(coll.withColumn("_j", F.lit(1))), "_j").drop("_j")
+    return per.select(label_col, key.alias("key"), "n_rows", key.isNull().alias("bad"), (F.col("n_rows") > 1).alias("duplicated"))
+
+
+def key_audit(log: DataFrame, label_col: str = "label", item_col: str = "item") -> DataFrame:
+    """Q1: matrix rows in all, with an unparsable label, with a repeated label; keys that several labels share.
+
+    The labels themselves are rows of ``key_problems``."""
+    rows = key_problems(log, label_col, item_col)
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    per_key = rows.groupBy("key").agg(
+        F.sum("n_rows").alias("total"), F.sum(F.when(F.col("bad"), F.col("n_rows"))).alias("bad"),
+        F.sum(F.when(F.col("duplicated"), F.col("n_rows"))).alias("dup"), F.count(F.lit(1)).alias("labels"))
+    return per_key.agg(count("total").alias("total"), count("bad").alias("bad_count"),
+                       count("dup").alias("duplicate_count"),
+                       F.count_if(F.col("key").isNotNull() & (F.col("labels") > 1)).alias("n_key_collisions"))
 
 
 def normalize_labels(log: DataFrame, label_col: str = "label") -> DataFrame:
@@ -115,7 +125,8 @@ def list_invalid_labels(log: DataFrame, label_col: str = "label", item_col: str
                      F.when(is_str, F.concat(F.lit("'"), lab, F.lit("'"))).otherwise(F.lit("nan")).alias("label_repr"),
                      F.when(is_str, F.lit("str")).otherwise(F.lit("float")).alias("type"),
                      is_str.alias("is_str"), m.alias("matches_ymd"), valid.alias("valid_date"), "wait_cols")
-    return rep.where(~(F.col("is_str") & F.col("matches_ymd") & F.col("valid_date")))
+    return (rep.where(~(F.col("is_str") & F.col("matches_ymd") & F.col("valid_date")))
+            .orderBy("is_str", "matches_ymd", "valid_date", "label_repr"))
 
 
 def delete_labels(log: DataFrame, labels: DataFrame, label_col: str = "label") -> DataFrame:
@@ -126,9 +137,9 @@ def delete_labels(log: DataFrame, labels: DataFrame, label_col: str = "label") -
     drop_bad = given.where(S.is_nan_like(F.col("_g"))).limit(1).withColumn("_bad", F.lit(True)).select("_bad")
     to_drop = given.unionByName(keys).distinct()
     out = log.join(to_drop, log[label_col].eqNullSafe(to_drop["_g"]), "left_anti")
-    flagged = (out.withColumn("_j", F.lit(1))
-                  .join(F.broadcast(drop_bad.withColumn("_j", F.lit(1))), "_j", "left").drop("_j"))
-    return flagged.where(~(F.coalesce("_bad", F.lit(False)) & S.normalize_key(F.col(label_col)).isNull())).drop("_bad")
+    drop_bad = drop_bad.agg(F.count(F.lit(1)).alias("_bad"))  # one row
+    flagged = out.crossJoin(F.broadcast(drop_bad))
+    return flagged.where(~((F.col("_bad") > 0) & S.normalize_key(F.col(label_col)).isNull())).drop("_bad")
 
 
 def delete_bad_labels(log: DataFrame, label_col: str = "label") -> DataFrame:
@@ -145,10 +156,17 @@ def rename_label(log: DataFrame, old_label: str, new_key: str, label_col: str =
         raise ValueError(f"not a valid 'YYYY-MM-DD' key: {new_key!r}")
     _dt.date.fromisoformat(new_key)
     lab = F.col(label_col)
-    old_key = S.normalize_key(F.lit(old_label))
-    hit = F.coalesce(lab == F.lit(old_label), F.lit(False)) | F.coalesce(lab == old_key, F.lit(False))
-    if log.where(hit).isEmpty():
+    candidates = [lab == F.lit(old_label), lab == S.normalize_key(F.lit(old_label))]
+    hit = next((c for c in candidates if not log.where(c).isEmpty()), None)
+    if hit is None and (old_label is None or old_label.strip().lower() in ("", "nan", "nat")):
+        # a NaN-like label names the only unparsable one
+        bad = log.select(lab).distinct().where(S.normalize_key(lab).isNull()).limit(2).collect()
+        if len(bad) > 1:
+            raise KeyError("several unparsable labels; name one")
+        hit = lab.eqNullSafe(F.lit(bad[0][0])) if bad else None
+    if hit is None:
         raise KeyError(f"label not found: {old_label!r}")
+    hit = F.coalesce(hit, F.lit(False))
     if not overwrite and not log.where(lab == F.lit(new_key)).isEmpty():
         raise KeyError(f"target label exists: {new_key!r}")
     kept = log.where(~hit & ~F.coalesce(lab == F.lit(new_key), F.lit(False))) if overwrite else log.where(~hit)
@@ -181,6 +199,17 @@ def schema_drift(df: DataFrame, declared: T.StructType) -> DataFrame:
     return spark.createDataFrame(rows, "column string, expected string, actual string, state string")
 
 
+def drift_losses(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """Q3: ``schema_drift`` with the rows of each column and how many of them the declared type cannot hold."""
+    held = [f for f in declared.fields if f.name in df.columns]
+    counted = df.agg(F.count(F.lit(1)).alias("_n"), *[
+        F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name) for f in held])
+    lost = counted.select("_n", F.map_from_arrays(F.array(*[F.lit(f.name) for f in held]), F.array(*[F.col(f.name) for f in held])).alias("_lost"))
+    return schema_drift(df, declared).crossJoin(F.broadcast(lost)).select(
+        "column", "expected", "actual", "state", F.col("_n").alias("n_rows"),
+        F.coalesce(F.try_element_at("_lost", F.col("column")), F.lit(0)).cast("bigint").alias("n_lost"))
+
+
 def cast_to_declared(df: DataFrame, declared: T.StructType) -> DataFrame:
     """Migrate drifted columns to the declared types (e.g. int -> double,
     date text -> DATE); missing declared columns are added as NULL."""

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 
@@ -181,44 +182,69 @@ def unexpected_items(expected: DataFrame, source_summary: DataFrame, cleaned_sum
                         F.coalesce("in_cleaned", F.lit(False)).alias("in_cleaned")))
 
 
-def overall_summary(today, source_detail: DataFrame, cleaned_detail: DataFrame, relation_status: DataFrame,
-                    cleaned_summary: DataFrame, expected_status: DataFrame | None = None,
-                    unexpected: DataFrame | None = None) -> DataFrame:
-    """A5: one KPI row; every input is reduced by a global aggregate to one
-    row first, and the one-row frames are put side by side."""
-    has_src = F.coalesce(F.col("source_path") != "", F.lit(False))
-    has_cln = F.coalesce(F.col("cleaned_path") != "", F.lit(False))
-    orphan_true, orphan_all = split_orphan_pairs_by_item(relation_status)
-    parts = [
-        cleaned_summary.agg(F.countDistinct("item").alias("n_items_cleaned")),
-        source_detail.agg(F.count(F.lit(1)).alias("n_source_files")),
-        cleaned_detail.agg(F.count(F.lit(1)).alias("n_cleaned_files")),
-        relation_status.agg(
-            F.count(F.lit(1)).alias("n_pairs_total"), F.count_if(has_src).alias("n_pairs_source"),
-            F.count_if(has_cln).alias("n_pairs_cleaned"),
-            F.count_if(F.col("relation") == "both").alias("n_pairs_both"),
-            F.count_if(F.col("relation") == "source_only").alias("n_pairs_source_only"),
-            F.count_if(F.col("relation") == "cleaned_only").alias("n_pairs_cleaned_only"),
-            F.count_if(F.col("relation") == "source_only").alias("n_missing_pairs")),
-        orphan_all.agg(F.count(F.lit(1)).alias("n_orphan_pairs"),
-                       F.count_if(~F.col("has_source_for_item")).alias("n_true_orphan_pairs")),
-    ]
-    if expected_status is not None:
-        parts.append(expected_status.agg(
-            F.count(F.lit(1)).alias("n_items_expected"),
-            F.count_if("has_source").alias("n_items_expected_in_source"),
-            F.count_if("has_cleaned").alias("n_items_expected_in_cleaned"),
-            F.count_if("missing_source").alias("n_items_expected_missing_source"),
-            F.count_if("missing_cleaned").alias("n_items_expected_missing_cleaned"),
-            F.count_if("has_schema").alias("n_items_expected_with_schema"),
-            F.count_if("missing_schema").alias("n_items_expected_missing_schema")))
-    if unexpected is not None:
-        parts.append(unexpected.agg(F.count_if("in_source").alias("n_items_unexpected_source"),
-                                    F.count_if("in_cleaned").alias("n_items_unexpected_cleaned")))
-    out = parts[0].withColumn("_k", F.lit(1))
-    for p in parts[1:]:
-        out = out.join(F.broadcast(p.withColumn("_k", F.lit(1))), "_k")  # one-row frames
-    return out.drop("_k").withColumn("as_of", today if isinstance(today, Column) else F.to_date(F.lit(str(today))))
+def item_kpis(source_detail: DataFrame, cleaned_detail: DataFrame) -> DataFrame:
+    """One row per item: files and reconciled pairs of both layers (one scan of each manifest).
+
+    Both manifests are reduced together, first per (item, sub-item), then per
+    item.  Data files are unique per pair, as J4 demands; NULL keys match nothing.
+    """
+    def side(detail: DataFrame, layer: str) -> DataFrame:
+        data = F.col("file_role") != "schema"
+        return detail.select(
+            "item", "subitem", F.lit(layer).alias("layer"), data.alias("data"), F.col("path").isNotNull().alias("named"),
+            F.coalesce(data & (F.col("path") != ""), F.lit(False)).alias("there"))
+    both = side(source_detail, "source").unionByName(side(cleaned_detail, "cleaned"))
+    alone = F.when(F.col("item").isNull() | F.col("subitem").isNull(), F.col("layer"))
+    src, cln = F.col("layer") == "source", F.col("layer") == "cleaned"
+    pairs = both.groupBy("item", "subitem", alone.alias("alone")).agg(
+        F.count_if(src).alias("source_rows"), F.count_if(cln).alias("cleaned_rows"),
+        F.count_if(src & F.col("named")).alias("source_files"),
+        F.count_if(cln & F.col("data")).alias("data_rows"),
+        F.count_if(cln & F.col("data") & F.col("named")).alias("data_files"),
+        F.count_if(cln & ~F.col("data") & F.col("named")).alias("schema_files"),
+        F.count_if(cln & ~F.col("data")).alias("schema_rows"),
+        F.max("data").alias("is_pair"), F.max(src & F.col("there")).alias("in_src"), F.max(cln & F.col("there")).alias("in_cln"))
+    sums = ("source_rows", "cleaned_rows", "source_files", "data_rows", "data_files", "schema_files", "schema_rows")
+    return pairs.groupBy("item").agg(
+        *[F.sum(c).alias(c) for c in sums], F.count_if("is_pair").alias("pairs"),
+        F.count_if("in_src").alias("pairs_source"), F.count_if("in_cln").alias("pairs_cleaned"),
+        F.count_if(F.col("in_src") & F.col("in_cln")).alias("pairs_both"),
+        F.count_if(F.col("in_src") & ~F.col("in_cln")).alias("pairs_source_only"),
+        F.count_if(~F.col("in_src") & F.col("in_cln")).alias("pairs_cleaned_only"))
+
+
+def overall_summary(today, source_detail: DataFrame, cleaned_detail: DataFrame,
+                    expected: DataFrame | None = None) -> DataFrame:
+    """A5: one KPI row, derived from one row per item; ``expected`` (catalogue) adds the coverage columns."""
+    items = item_kpis(source_detail, cleaned_detail)
+    if expected is not None:
+        items = items.join(expected.select("item", F.lit(True).alias("listed")), "item", "full_outer")
+    # items that hold schema files only count where no item has a data file (A2)
+    any_data = items.agg((F.coalesce(F.sum(F.when(F.col("item").isNotNull(), F.col("data_rows"))), F.lit(0)) > 0).alias("any_data"))
+    items = items.crossJoin(F.broadcast(any_data))  # one row
+    known = F.col("item").isNotNull()
+    cleaned = F.coalesce(known & ((F.col("data_rows") > 0) | (~F.col("any_data") & (F.col("schema_rows") > 0))), F.lit(False))
+    orphans = F.col("pairs_cleaned_only")
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    kpis = [F.count_if(cleaned).alias("n_items_cleaned"),
+            total("source_rows").alias("n_source_files"), total("cleaned_rows").alias("n_cleaned_files"),
+            total("pairs").alias("n_pairs_total"), total("pairs_source").alias("n_pairs_source"),
+            total("pairs_cleaned").alias("n_pairs_cleaned"), total("pairs_both").alias("n_pairs_both"),
+            total("pairs_source_only").alias("n_pairs_source_only"), total("pairs_cleaned_only").alias("n_pairs_cleaned_only"),
+            total("pairs_source_only").alias("n_missing_pairs"), total(orphans).alias("n_orphan_pairs"),
+            total(F.when(~known | (F.col("pairs_source") == 0), orphans)).alias("n_true_orphan_pairs")]
+    if expected is not None:
+        listed = F.coalesce("listed", F.lit(False))
+        in_source = F.coalesce(F.col("source_files") > 0, F.lit(False))
+        in_cleaned = F.coalesce(F.col("data_files") > 0, F.lit(False)) & cleaned
+        schema = cleaned & F.coalesce(F.col("schema_files") > 0, F.lit(False))
+        kpis += [F.count_if(listed).alias("n_items_expected")]
+        for name, flag in (("in_source", in_source), ("in_cleaned", in_cleaned), ("missing_source", ~in_source),
+                           ("missing_cleaned", ~in_cleaned), ("with_schema", schema), ("missing_schema", ~schema)):
+            kpis.append(F.count_if(listed & flag).alias(f"n_items_expected_{name}"))
+        kpis += [F.count_if(~listed & known & F.coalesce(F.col("source_rows") > 0, F.lit(False))).alias("n_items_unexpected_source"),
+                 F.count_if(~listed & cleaned).alias("n_items_unexpected_cleaned")]
+    return items.agg(*kpis).withColumn("as_of", today if isinstance(today, Column) else F.to_date(F.lit(str(today))))
 
 
 def schema_coverage(cleaned_summary: DataFrame) -> DataFrame:
@@ -253,9 +279,11 @@ def flatten_error_log(cells: DataFrame, date_col: str = "date", item_col: str =
                       errors_col: str = "errors") -> DataFrame:
     """(date, item, errors ARRAY<STRUCT>) -> one row per error, with the
     reason / message coalesced over the record generations (N17)."""
-    e = cells.select(F.col(date_col).alias("date"), F.col(item_col).alias("item"),
-                     F.explode(errors_col).alias("e"))
-    fields = set(e.select("e.*").columns)
+    kind = cells.schema[errors_col].dataType
+    one = kind.elementType if isinstance(kind, T.ArrayType) else kind
+    listed = F.col(errors_col) if isinstance(kind, T.ArrayType) else F.array(F.col(errors_col))
+    e = cells.select(F.col(date_col).alias("date"), F.col(item_col).alias("item"), F.explode(listed).alias("e"))
+    fields = set(one.fieldNames()) if isinstance(one, T.StructType) else set()  # bare values name no reason
 
     def f(name):
         return F.col(f"e.{name}") if name in fields else F.lit(None).cast("string")
@@ -268,22 +296,26 @@ def flatten_error_log(cells: DataFrame, date_col: str = "date", item_col: str =
 
 
 def error_reason_stats(flat: DataFrame) -> DataFrame:
-    """A6 by (reason, item); NULL groups kept."""
-    return flat.groupBy("error_reason", "item").agg(F.count(F.lit(1)).alias("count"))
+    """A6 by (reason, item), most frequent first (T3); NULL groups kept."""
+    return (flat.groupBy("error_reason", "item").agg(F.count(F.lit(1)).alias("count"))
+            .orderBy(F.desc("count"), "error_reason", "item"))
 
 
 def error_date_stats(flat: DataFrame) -> DataFrame:
-    return flat.groupBy("date").agg(F.count(F.lit(1)).alias("n_errors"))
+    """A6 by date, oldest first, NULL last."""
+    return flat.groupBy("date").agg(F.count(F.lit(1)).alias("n_errors")).orderBy(F.asc_nulls_last("date"))
 
 
 def error_item_stats(flat: DataFrame) -> DataFrame:
-    return flat.groupBy("item").agg(F.count(F.lit(1)).alias("n_errors"))
+    """A6 by item, most errors first."""
+    return flat.groupBy("item").agg(F.count(F.lit(1)).alias("n_errors")).orderBy(F.desc("n_errors"), "item")
 
 
 def error_profile_by_item(flat: DataFrame) -> DataFrame:
-    """First / last date (log date, else data date), count, distinct reasons (sorted)."""
-    d = F.coalesce(F.col("log_date"), F.col("date"))
-    return flat.groupBy("item").agg(F.min(d).alias("first_date"), F.max(d).alias("last_date"),
+    """Count, distinct reasons (sorted) and first / last date: of the item's
+    log dates if it has any, else of its data dates."""
+    return flat.groupBy("item").agg(F.coalesce(F.min("log_date"), F.min("date")).alias("first_date"),
+                                    F.coalesce(F.max("log_date"), F.max("date")).alias("last_date"),
                                     F.count(F.lit(1)).alias("n_errors"),
                                     F.array_sort(F.collect_set("error_reason")).alias("reasons"))
 

@@ -104,13 +104,21 @@ def align_pair(df: DataFrame, code_a: Column | str, code_b: Column | str, value_
 
 def align_pair_ranked(df: DataFrame, pair: DataFrame, value_col: str, mode: str = "diff",
                       start=None, end=None) -> DataFrame:
-    """Like ``align_pair`` with the two codes given by a one-row frame (a_code, b_code)."""
-    sig = build_signal(df, value_col, mode, start, end)
-    a = sig.join(F.broadcast(pair.select(F.col("a_code").alias("code"))), "code")
-    b = sig.join(F.broadcast(pair.select(F.col("b_code").alias("code"))), "code")
-    out = (a.select("date", F.col("code").alias("a_code"), F.col("value").alias("a_value"))
-            .join(b.select("date", F.col("code").alias("b_code"), F.col("value").alias("b_value")),
-                  "date", "full_outer"))
+    """Like ``align_pair`` with the two codes given by a one-row frame (a_code, b_code).
+
+    Only the pair's rows enter the lag; the two sides meet in one aggregation
+    by date (each code has one row a date)."""
+    side = F.broadcast(pair.select(F.explode(F.array(
+        F.struct(F.lit("a").alias("side"), F.col("a_code").alias("code")),
+        F.struct(F.lit("b").alias("side"), F.col("b_code").alias("code")))).alias("s")).select("s.*"))
+    codes = side.groupBy("code").agg(F.collect_list("side").alias("sides"))
+    signal = build_signal(df.join(F.broadcast(codes).drop("sides"), "code", "left_semi"), value_col, mode, start, end)
+    signal = signal.join(F.broadcast(codes), "code")
+
+    def of(side_name: str, c: str) -> Column:
+        return F.max(F.when(F.array_contains("sides", side_name), F.col(c)))
+    out = signal.groupBy("date").agg(of("a", "code").alias("a_code"), of("a", "value").alias("a_value"),
+                                     of("b", "code").alias("b_code"), of("b", "value").alias("b_value"))
     return out.dropna(how="all", subset=["a_value", "b_value"])
 
 

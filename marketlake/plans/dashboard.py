@@ -16,7 +16,7 @@ from ..operators import inventory as inv
 
 def build_dashboard(spark: SparkSession, source_manifest: DataFrame, cleaned_manifest: DataFrame,
                     catalogue: DataFrame, today, error_cells: DataFrame | None = None,
-                    item_top_n: int = 20, top_rows: int = 50) -> dict[str, DataFrame]:
+                    item_top_n: int = 20, top_rows: int = 50, cleaning_log: DataFrame | None = None) -> dict[str, DataFrame]:
     def sized(m):
         return m if "size_mb" in m.columns else m.withColumn("size_mb", F.col("size_bytes") / F.lit(1024 * 1024))
     sd = inv.with_freshness(sized(source_manifest), today, detect_schema=False)
@@ -41,9 +41,13 @@ def build_dashboard(spark: SparkSession, source_manifest: DataFrame, cleaned_man
         "missing_top": inv.head_pairs(missing, top_rows), "orphan_top": inv.head_pairs(orphan_true, top_rows),
         "schema_detail": cd.where("is_schema"), "schema_item_summary": inv.schema_count_by_item(cd),
         "expected_item_master": expected, "expected_item_status": est, "unexpected_items": unexp,
-        "overall_summary": inv.overall_summary(today, sd, cd, rel, csum, est, unexp),
+        "overall_summary": inv.overall_summary(today, sd, cd, expected),
     }
+    out["today"] = spark.range(1).select(F.to_date(F.lit(str(today))).alias("today"))
+    if cleaning_log is not None:
+        out["log_summary"] = inv.summarize_cleaning_log(cleaning_log)
     if error_cells is not None:
+        out["error_log"] = error_cells
         flat = inv.flatten_error_log(error_cells)
         out.update({"error_log_flat": flat, "error_reason_summary": inv.error_reason_stats(flat),
                     "error_date_summary": inv.error_date_stats(flat),

@@ -133,21 +133,21 @@ FLAG_HEADER_RAW = ["訂單編號", "退貨", "數量", "筆數"]
 
 
 # F4 ----------------------------------------------------------------------
-def source_manifest(spark: SparkSession, base: str) -> DataFrame:
+def source_manifest(spark: SparkSession, base: str, gaps: bool = False) -> DataFrame:
     """Source file list: one landed file per order, grouped by priority.
 
-    Orders in status 'P' have not been landed, so their cleaned files have no
-    source partner (cleaned-only pairs).
+    With ``gaps`` (reconciliation) orders in status 'P' are listed without a
+    path: their cleaned files have no source partner (cleaned-only pairs).
     """
-    o = read_table(spark, base, "orders").where(F.col("o_orderstatus") != "P")
+    o = read_table(spark, base, "orders")
     mtime = F.timestamp_add("SECOND", (F.floor("o_totalprice") % F.lit(86400)),
                            F.col("o_orderdate")).cast("timestamp")
     return o.select(
         F.lit("source").alias("layer"),
         F.col("o_orderpriority").alias("item"),
         F.col("o_orderkey").cast("string").alias("subitem"),
-        F.concat(F.lit("source/"), "o_orderpriority", F.lit("/"), F.col("o_orderkey").cast("string"),
-                 F.lit(".json")).alias("path"),
+        F.when(F.lit(not gaps) | (F.col("o_orderstatus") != "P"), F.concat(
+            F.lit("source/"), "o_orderpriority", F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".json"))).alias("path"),
         (F.col("o_totalprice").cast("decimal(18,2)") * 100).cast("bigint").alias("size_bytes"),
         mtime.alias("mtime"))
 

@@ -19,8 +19,7 @@ def expected_with_today(spark, base):
     """Catalogue rows with ``today`` = the last event date (derived from the data)."""
     ex = catalog.expected_items(event_catalogue(spark))
     ev = spark.read.parquet(f"{base}/events.parquet")
-    today = ev.agg(F.max(F.to_date("ts")).alias("today")).withColumn("_j", F.lit(1))
-    return ex.withColumn("_j", F.lit(1)).join(F.broadcast(today), "_j").drop("_j")
+    return ex.crossJoin(F.broadcast(ev.agg(F.max(F.to_date("ts")).alias("today"))))  # one row
 
 
 def status_matrix(spark, base):
@@ -97,16 +96,33 @@ lg AS (SELECT CASE item WHEN 'click' THEN strftime(d, '%Y-%m-%d') WHEN 'view' TH
               {_KEY_SQL} AS key, d FROM per)"""
 
 
-@register("q1_key_audit", f"""WITH {LOG_CTE},
-l AS (SELECT DISTINCT label, key FROM lg)
-SELECT COUNT(*) AS total, COUNT(*) FILTER (WHERE key IS NULL) AS bad_count,
-       array_to_string(list_sort(list(label) FILTER (WHERE key IS NULL)), ',') AS bad_labels,
+# the waiting cells a second time: labels that stand in several matrix rows
+_TWICE_CTE = """
+tw AS (SELECT label, item, key FROM lg UNION ALL SELECT label, item, key FROM lg WHERE status = 'wait'),
+cell AS (SELECT label, item, ANY_VALUE(key) AS key, COUNT(*) AS n FROM tw GROUP BY label, item),
+l AS (SELECT label, ANY_VALUE(key) AS key, MAX(n) AS n_rows FROM cell GROUP BY label)"""
+
+
+def _log_with_repeats(spark, base):
+    log = fx.raw_status_log(spark, base)
+    return log.unionByName(log.where("status = 'wait'"))
+
+
+@register("q1_key_audit", f"""WITH {LOG_CTE}, {_TWICE_CTE}
+SELECT CAST(SUM(n_rows) AS BIGINT) AS total, CAST(COALESCE(SUM(n_rows) FILTER (WHERE key IS NULL), 0) AS BIGINT) AS bad_count,
+       CAST(COALESCE(SUM(n_rows) FILTER (WHERE n_rows > 1), 0) AS BIGINT) AS duplicate_count,
        (SELECT COUNT(*) FROM (SELECT key FROM l WHERE key IS NOT NULL GROUP BY key HAVING COUNT(*) > 1)) AS n_key_collisions
 FROM l""")
 def q1_key_audit(spark, base):
-    """Totals, unparsable labels and key collisions of a status log."""
-    a = cal.key_audit(fx.raw_status_log(spark, base))
-    return a.withColumn("bad_labels", F.array_join("bad_labels", ","))
+    """Matrix rows of a status log in all, with unparsable and with repeated labels, and key collisions."""
+    return cal.key_audit(_log_with_repeats(spark, base))
+
+
+@register("q1_key_problems", f"""WITH {LOG_CTE}, {_TWICE_CTE}
+SELECT label, key, n_rows, key IS NULL AS bad, n_rows > 1 AS duplicated FROM l""")
+def q1_key_problems(spark, base):
+    """The labels behind the audit."""
+    return cal.key_problems(_log_with_repeats(spark, base))
 
 
 @register("q2_invalid_labels", f"""WITH {LOG_CTE}
@@ -160,10 +176,15 @@ DECLARED_PANEL = T.StructType([T.StructField("code", T.StringType()), T.StructFi
                                T.StructField("note", T.StringType())])
 
 
-@register("q3_schema_drift")
+@register("q3_schema_drift", """
+WITH p AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) FROM events))
+SELECT c AS "column", expected, actual, state, n AS n_rows, CAST(0 AS BIGINT) AS n_lost
+FROM (VALUES ('code', 'string', 'string', 'ok'), ('date', 'date', 'date', 'ok'),
+             ('value', 'double', 'decimal(28,2)', 'mismatch'), ('n_events', 'int', 'bigint', 'mismatch'),
+             ('note', 'string', NULL, 'missing')) v(c, expected, actual, state), p""")
 def q3_schema_drift(spark, base):
-    """Declared vs actual column types of the panel (plan metadata; no SQL form)."""
-    return cal.schema_drift(fx.entity_day_panel(spark, base), DECLARED_PANEL)
+    """Declared vs actual column types of the panel, with the rows that the declared type cannot hold."""
+    return cal.drift_losses(fx.entity_day_panel(spark, base), DECLARED_PANEL)
 
 
 @register("q3_cast_to_declared", """

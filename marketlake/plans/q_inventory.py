@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .. import catalog
 from ..functions import scalars as S
 from ..operators import inventory as inv
+from ..operators import store as st
+from ..sources.manifest import scan_manifest
 from . import fixtures as fx
 from .q_store import SRC_CTE
 from .registry import register
@@ -23,8 +25,8 @@ INVENTORY_CATALOGUE = [
 
 
 # Spark side -------------------------------------------------------------------
-def source_detail(spark, base):
-    m = fx.source_manifest(spark, base).withColumn("size_mb", F.col("size_bytes") / F.lit(1024 * 1024))
+def source_detail(spark, base, gaps=False):
+    m = fx.source_manifest(spark, base, gaps).withColumn("size_mb", F.col("size_bytes") / F.lit(1024 * 1024))
     return inv.with_freshness(m, TODAY, detect_schema=False)
 
 
@@ -34,7 +36,7 @@ def cleaned_detail(spark, base):
 
 
 def relation(spark, base):
-    return inv.merge_source_cleaned(source_detail(spark, base), cleaned_detail(spark, base), validate=False)
+    return inv.merge_source_cleaned(source_detail(spark, base, gaps=True), cleaned_detail(spark, base), validate=False)
 
 
 def expected(spark):
@@ -69,7 +71,7 @@ rel0 AS (SELECT COALESCE(s.item, c.item) AS item, COALESCE(s.subitem, c.subitem)
                 s.days_lag AS source_days_lag, s.status AS source_status,
                 c.path AS cleaned_path, c.size_mb AS cleaned_size_mb, c.mtime AS cleaned_mtime,
                 c.days_lag AS cleaned_days_lag, c.status AS cleaned_status
-         FROM (SELECT * FROM sd WHERE file_role <> 'schema') s
+         FROM (SELECT * REPLACE (CASE WHEN landed THEN path END AS path) FROM sd WHERE file_role <> 'schema') s
          FULL OUTER JOIN (SELECT * FROM cd WHERE file_role <> 'schema') c ON s.item = c.item AND s.subitem = c.subitem),
 rel AS (SELECT *, CASE WHEN COALESCE(source_path <> '', FALSE) AND COALESCE(cleaned_path <> '', FALSE) THEN 'both'
                        WHEN COALESCE(source_path <> '', FALSE) THEN 'source_only'
@@ -161,7 +163,7 @@ _REL_OUT = (f"item, subitem, source_path, source_size_mb, {TS.format('source_mti
 @register("j4_reconciliation", f"WITH {REL_CTE} SELECT {_REL_OUT} FROM rel")
 def j4_reconciliation(spark, base):
     """1:1 full outer source-vs-cleaned reconciliation per (item, subitem)."""
-    return inv.merge_source_cleaned(source_detail(spark, base), cleaned_detail(spark, base), validate=True)
+    return inv.merge_source_cleaned(source_detail(spark, base, gaps=True), cleaned_detail(spark, base), validate=True)
 
 
 @register("j5_missing_cleaned", f"WITH {REL_CTE} SELECT item, subitem, source_path FROM rel WHERE relation = 'source_only'")
@@ -198,11 +200,17 @@ def a4_relation_counts(spark, base):
     return inv.relation_counts(relation(spark, base))
 
 
-@register("s7_expected_items", f"""WITH ex(item, freq, datemin, n_expected_subitems, code) AS (VALUES {_CAT_VALUES})
-SELECT item, freq, CAST(datemin AS VARCHAR) AS datemin, n_expected_subitems, code FROM ex""")
+@register("s7_expected_items", f"""WITH ex(item, freq, datemin, n_expected_subitems, code) AS (VALUES {_CAT_VALUES}),
+o AS (SELECT o_orderpriority AS item, COUNT(*) AS n_orders, MIN(CAST(o_orderdate AS DATE)) AS first_order FROM orders GROUP BY 1)
+SELECT ex.item, freq, CAST(datemin AS VARCHAR) AS datemin, n_expected_subitems, code, COALESCE(n_orders, 0) AS n_orders,
+       first_order < datemin AS starts_early FROM ex LEFT JOIN o USING (item)""")
 def s7_expected_items(spark, base):
-    """The dataset catalogue as a table; unparsable first dates become NULL."""
-    return expected(spark)
+    """The dataset catalogue (unparsable first dates become NULL) beside what the orders table holds of each item."""
+    o = spark.read.parquet(f"{base}/orders.parquet").groupBy(F.col("o_orderpriority").alias("item")).agg(
+        F.count(F.lit(1)).alias("n_orders"), F.min(F.to_date("o_orderdate")).alias("first_order"))
+    return expected(spark).join(o, "item", "left").select(
+        "item", "freq", "datemin", "n_expected_subitems", "code", F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+        (F.col("first_order") < F.col("datemin")).alias("starts_early"))
 
 
 @register("j7_expected_coverage", f"""WITH {EXP_CTE}
@@ -252,12 +260,7 @@ SELECT '{TODAY}' AS as_of,
   (SELECT COUNT(*) FILTER (WHERE in_cleaned) FROM unexp) AS n_items_unexpected_cleaned""")
 def a5_overall_summary(spark, base):
     """One KPI row of the warehouse."""
-    sd, cd = source_detail(spark, base), cleaned_detail(spark, base)
-    rel = inv.merge_source_cleaned(sd, cd, validate=False)
-    ssum, csum = inv.summarize_source_by_item(sd), inv.summarize_cleaned_by_item(cd)
-    ex = expected(spark)
-    return inv.overall_summary(TODAY, sd, cd, rel, csum, inv.expected_item_status(ex, ssum, csum),
-                               inv.unexpected_items(ex, ssum, csum))
+    return inv.overall_summary(TODAY, source_detail(spark, base, gaps=True), cleaned_detail(spark, base), expected(spark))
 
 
 @register("a10_schema_coverage", f"""WITH {CSUM_CTE}
@@ -344,8 +347,8 @@ def a6_error_item_stats(spark, base):
 
 
 @register("a9_error_profile", f"""WITH {ERR_CTE}
-SELECT item, CAST(MIN(COALESCE(log_date, date)) AS VARCHAR) AS first_date,
-       CAST(MAX(COALESCE(log_date, date)) AS VARCHAR) AS last_date, COUNT(*) AS n_errors,
+SELECT item, CAST(COALESCE(MIN(log_date), MIN(date)) AS VARCHAR) AS first_date,
+       CAST(COALESCE(MAX(log_date), MAX(date)) AS VARCHAR) AS last_date, COUNT(*) AS n_errors,
        array_to_string(list_sort(list_distinct(list(error_reason))), ',') AS reasons
 FROM flat GROUP BY item""")
 def a9_error_profile(spark, base):
@@ -375,13 +378,11 @@ def a7_cleaning_log_summary(spark, base):
 
 
 @register("s2_table_file_manifest", """
-SELECT 'sf0.01' AS item, regexp_extract(file, '([^/]+)\\.parquet$', 1) AS subitem, 'tables' AS layer
-FROM glob('/root/testdata/sf0.01/*.parquet')""")
+SELECT DISTINCT 'source' AS layer, 'item=' || o_orderpriority AS item, TRUE AS has_content FROM orders""")
 def s2_table_file_manifest(spark, base):
-    """File manifest (binaryFile listing, no content read) of the folder that
-    holds the supplied tables: one row per table file below its scale folder."""
-    import os
-    from ..sources.manifest import scan_manifest
-    root = os.path.dirname(base.rstrip("/"))
-    m = scan_manifest(spark, root, layer="tables", suffix=".parquet")
-    return m.where(F.col("item") == os.path.basename(base.rstrip("/"))).select("item", "subitem", "layer")
+    """File manifest (listing, no content read) of a folder that the orders table was landed in, a folder an item."""
+    path = st.scratch_path(spark, "manifest")
+    (spark.read.parquet(f"{base}/orders.parquet").withColumn("item", F.col("o_orderpriority"))
+     .write.partitionBy("item").parquet(path))
+    m = scan_manifest(spark, path, layer="source", suffix=".parquet")
+    return m.groupBy("layer", "item").agg((F.sum("size_bytes") > 0).alias("has_content"))

@@ -93,8 +93,8 @@ def j8_align_top_pair(spark, base):
     """Daily change of the two busiest entities aligned on date (outer)."""
     panel = entity_day_panel(spark, base)
     top = sig.top_entities(panel, 2)
-    pair = (top.where("rank = 1").select(F.col("code").alias("a_code"))
-               .crossJoin(top.where("rank = 2").select(F.col("code").alias("b_code"))))
+    pair = top.agg(F.max(F.when(F.col("rank") == 1, F.col("code"))).alias("a_code"),
+                   F.max(F.when(F.col("rank") == 2, F.col("code"))).alias("b_code"))
     return sig.align_pair_ranked(panel, pair, "value", "diff")
 
 

@@ -23,10 +23,10 @@ TS = "strftime({0}, '%Y-%m-%d %H:%M:%S.%f')"
 
 SRC_CTE = """src AS (
   SELECT 'source' AS layer, o_orderpriority AS item, CAST(o_orderkey AS VARCHAR) AS subitem,
-         'source/' || o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR) || '.json' AS path,
+         'source/' || o_orderpriority || '/' || CAST(o_orderkey AS VARCHAR) || '.json' AS path, o_orderstatus <> 'P' AS landed,
          CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS size_bytes,
          o_orderdate + to_seconds(CAST(FLOOR(o_totalprice) AS BIGINT) % 86400) AS mtime
-  FROM orders WHERE o_orderstatus <> 'P')"""
+  FROM orders)"""
 FP = "CAST({0} AS VARCHAR) || '-' || CAST(CAST(FLOOR(epoch_us({1}) / 1000000) AS BIGINT) AS VARCHAR)"
 STATE_CTE = f"""state AS (
   SELECT path,

@@ -33,8 +33,17 @@ def test_labels(spark):
                                  ("2024-02-30", "a", "wait")], "label string, item string, status string")
     inv = {r.label: (r.matches_ymd, r.valid_date, r.wait_cols) for r in cal.list_invalid_labels(log).collect()}
     assert inv == {"2024/01/03": (False, False, ""), "bad": (False, False, "b"), "2024-02-30": (True, False, "a")}
-    a = cal.key_audit(log).collect()[0]
-    assert (a.total, a.bad_count, list(a.bad_labels)) == (4, 2, ["2024-02-30", "bad"])
+    # not valid text of the form first, then the rest (T4)
+    assert [r.label for r in cal.list_invalid_labels(log).collect()] == ["2024/01/03", "bad", "2024-02-30"]
+    again = log.unionByName(log.where("label = 'bad'"))
+    a = cal.key_audit(again).collect()[0]
+    assert (a.total, a.bad_count, a.duplicate_count, a.n_key_collisions) == (5, 3, 2, 0)
+    assert {r.label for r in cal.key_problems(again).where("bad").collect()} == {"2024-02-30", "bad"}
+    assert [r.label for r in cal.key_problems(again).where("duplicated").collect()] == ["bad"]
+    with pytest.raises(KeyError):
+        cal.rename_label(log, "nan", "2024-01-05")     # two unparsable labels
+    one = cal.rename_label(log.where("label != 'bad'"), "nan", "2024-01-05")
+    assert sorted(r.label for r in one.collect()) == ["2024-01-02", "2024-01-05", "2024/01/03"]
     assert cal.delete_bad_labels(log).count() == 2
     renamed = cal.rename_label(log, "bad", "2024-01-05")
     assert sorted(r.label for r in renamed.collect()) == ["2024-01-02", "2024-01-05", "2024-02-30", "2024/01/03"]

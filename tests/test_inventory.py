@@ -62,3 +62,17 @@ def test_error_flatten_generations(spark):
     assert [(r.error_reason, r.error_message) for r in flat] == [("timeout", "m1"), ("old", "msg2")]
     empty = cells.withColumn("errors", F.array().cast(cells.schema["errors"].dataType))
     assert inv.flatten_error_log(empty).count() == 0
+
+
+def test_error_statistics(spark):
+    """T3 order, A9 dates per item, D2 over bare values."""
+    cells = spark.createDataFrame([("2024-01-02", "a", ["boom", "bang"]), ("2024-01-01", "b", ["x"])],
+                                  "date string, item string, errors array<string>")
+    flat = inv.flatten_error_log(cells.withColumn("date", F.to_date("date")))
+    assert {(r.item, r.error_reason, r.error_message) for r in flat.collect()} == {("a", "unknown", ""), ("b", "unknown", "")}
+    assert [(r["item"], r["count"]) for r in inv.error_reason_stats(flat).collect()] == [("a", 2), ("b", 1)]
+    assert [str(r.date) for r in inv.error_date_stats(flat).collect()] == ["2024-01-01", "2024-01-02"]
+    logged = flat.withColumn("log_date", F.when((F.col("item") == "a") & (F.rand(1) < 2), F.to_date(F.lit("2024-03-01"))))
+    rows = {r.item: (str(r.first_date), str(r.last_date)) for r in inv.error_profile_by_item(logged.unionByName(
+        logged.where("item = 'a'").withColumn("log_date", F.lit(None).cast("date")))).collect()}
+    assert rows == {"a": ("2024-03-01", "2024-03-01"), "b": ("2024-01-01", "2024-01-01")}

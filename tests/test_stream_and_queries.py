@@ -25,7 +25,7 @@ def test_every_query_has_sql_or_is_marked():
     assert set(s) <= set(q)
     assert len(q) >= 90
     own = {n for n in q if n != "pipeline" and not n.startswith("op")}  # training-data queries have tests of their own
-    assert own - set(s) <= {"q3_schema_drift", "d1_driver_tree_nodes"}
+    assert own - set(s) <= {"d1_driver_tree_nodes"}
     assert "x4_grouped_header" in s and "a7_cleaning_log_summary" in s
 
 
