@@ -21,6 +21,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .store import scratch_path
 
 ROOT = "root"
 
@@ -33,12 +36,18 @@ class DriverTree:
 
 
 def _facts(df: DataFrame, dims: Sequence[str], target_col: str, time_col: str, base_period, comp_period) -> DataFrame:
-    t = F.col(time_col)
-    amt = F.col(target_col).cast("decimal(38,2)")
-    return (df.where(t.isin(base_period, comp_period))
-              .select(*[F.col(d).cast("string").alias(d) for d in dims],
-                      F.when(t == base_period, amt).otherwise(F.lit(0)).alias("_base"),
-                      F.when(t == comp_period, amt).otherwise(F.lit(0)).alias("_comp")))
+    """The fact at the grain of the dimensions, written once: every level of the tree reads this table."""
+    t, kind = F.col(time_col), df.schema[target_col].dataType
+    exact = isinstance(kind, T.DecimalType)
+    amt = F.col(target_col).cast(T.DecimalType(38, kind.scale) if exact else "double")
+    zero = F.lit(0).cast(T.DecimalType(38, kind.scale) if exact else "double")
+    grain = (df.where(t.isin(base_period, comp_period))
+             .groupBy(*[F.col(d).cast("string").alias(d) for d in dims])
+             .agg(F.sum(F.when(t == base_period, amt).otherwise(zero)).alias("_base"),
+                  F.sum(F.when(t == comp_period, amt).otherwise(zero)).alias("_comp")))
+    path = scratch_path(df.sparkSession, "drivers")
+    grain.write.parquet(path)
+    return df.sparkSession.read.schema(grain.schema).parquet(path)
 
 
 def level_pivots(rows: DataFrame, dims: Sequence[str], used: DataFrame | None = None) -> DataFrame:
@@ -76,7 +85,6 @@ def driver_tree(df: DataFrame, base_period, comp_period, dims: Sequence[str], ta
             break
         used = spark.createDataFrame(used_rows, "node_id string, dim string") if used_rows else None
         piv = level_pivots(rows, dims, used)
-        piv = piv.persist()
         all_pivots = piv if all_pivots is None else all_pivots.unionByName(piv)
         best = (piv.withColumn("_r", F.row_number().over(
                     Window.partitionBy("node_id").orderBy(F.desc("abs_delta"), F.asc("dim"))))
@@ -114,9 +122,7 @@ def driver_tree(df: DataFrame, base_period, comp_period, dims: Sequence[str], ta
          for (n, p, d, path, b, c, dl) in node_rows],
         "node_id string, parent_id string, depth int, split_dim string, path string, base double, comp double, "
         "delta double, share_of_root double")
-    pivots = all_pivots if all_pivots is not None else spark.createDataFrame(
-        [], "node_id string, dim string, value string, base decimal(38,2), comp decimal(38,2), "
-            "delta decimal(38,2), abs_delta decimal(38,2)")
+    pivots = all_pivots if all_pivots is not None else level_pivots(rows, dims).limit(0)
     root = {"node_id": ROOT, "split_dim": split_of.get(ROOT), "base": float(base0), "comp": float(comp0),
             "delta": float(root_delta),
             "summary": f"change {float(root_delta):,.2f} from {base_period} to {comp_period}"

@@ -68,7 +68,8 @@ def d7_security_master(spark, base):
 def u5_master_renew(spark, base):
     """A later crawl of one market overwrites the master's rows by ISIN."""
     old = build_security_master(fx.listing_pages(spark, base))
-    new = build_security_master(fx.listing_pages(spark, base, lower_type_model="2")).where(F.col("model") == 2)
+    crawl = fx.listing_pages(spark, base, lower_type_model="2")
+    new = build_security_master(crawl.where(F.col("url").rlike("strMode=2(&|$)")))  # pages of one market, before parsing
     return renew_master(old, new)
 
 
@@ -93,7 +94,45 @@ def d1_driver_pivots_root(spark, base):
     return tree.pivots.where(F.col("node_id") == drv.ROOT)
 
 
-@register("d1_driver_tree_nodes")
+def _tree_sql(depth: int, top_k: int, share: float) -> str:
+    """The driver tree as one CTE chain a level (r: rows of a node, p: pivots, b: best dimension, c: children)."""
+    dims, cols = fx.DRIVER_DIMS, ", ".join(fx.DRIVER_DIMS)
+    of_split = "CASE c.split_dim " + " ".join(f"WHEN '{d}' THEN r.{d}" for d in dims) + " END"
+    ctes = [f"""g AS (SELECT {cols}, SUM(CASE WHEN period = 1998 THEN amount ELSE 0 END) AS base,
+       SUM(CASE WHEN period = 1999 THEN amount ELSE 0 END) AS comp FROM f GROUP BY {cols})""",
+            "t AS (SELECT SUM(base) AS base, SUM(comp) AS comp, SUM(comp) - SUM(base) AS delta FROM g)",
+            f"r0 AS (SELECT 'root' AS node_id, CAST([] AS VARCHAR[]) AS used, {cols}, base, comp FROM g)"]
+    for k in range(depth):
+        pivots = " UNION ALL ".join(
+            f"SELECT node_id, '{d}' AS dim, {d} AS value, SUM(base) AS base, SUM(comp) AS comp, SUM(comp) - SUM(base) AS delta "
+            f"FROM r{k} WHERE NOT list_contains(used, '{d}') GROUP BY node_id, {d}" for d in dims)
+        ctes += [f"p{k} AS ({pivots})",
+                 f"""b{k} AS (SELECT node_id, dim AS split_dim FROM (SELECT *, ROW_NUMBER() OVER (
+  PARTITION BY node_id ORDER BY abs(delta) DESC, dim) AS rn FROM p{k}) WHERE rn = 1)""",
+                 f"""c{k} AS (SELECT x.node_id AS parent_id, split_dim, value, x.base, x.comp, x.delta,
+  CASE x.node_id WHEN 'root' THEN '' ELSE x.node_id || '/' END || split_dim || '=' || value AS node_id
+  FROM (SELECT p.*, split_dim, ROW_NUMBER() OVER (PARTITION BY p.node_id ORDER BY abs(delta) DESC, value) AS rn
+        FROM p{k} p JOIN b{k} b ON p.node_id = b.node_id AND p.dim = b.split_dim) x, t
+  WHERE rn <= {top_k} AND abs(x.delta) >= abs(CAST(t.delta AS DOUBLE)) * {share})""",
+                 f"""r{k + 1} AS (SELECT c.node_id, list_append(r.used, c.split_dim) AS used, {', '.join('r.' + d for d in dims)},
+  r.base, r.comp FROM r{k} r JOIN c{k} c ON c.parent_id = r.node_id AND {of_split} = c.value)"""]
+    ctes.append("n AS (SELECT 'root' AS node_id, NULL AS parent_id, 0 AS depth, base, comp, delta FROM t" + "".join(
+        f" UNION ALL SELECT node_id, parent_id, {k + 1}, base, comp, delta FROM c{k}" for k in range(depth)) + ")")
+    ctes.append("s AS (" + " UNION ".join(f"SELECT parent_id AS node_id, split_dim FROM c{k}" for k in range(depth)) + ")")
+    return ",\n".join(ctes) + """
+SELECT n.node_id, parent_id, depth, s.split_dim, CASE n.node_id WHEN 'root' THEN '' ELSE n.node_id END AS path,
+       CAST(n.base AS DOUBLE) AS base, CAST(n.comp AS DOUBLE) AS comp, CAST(n.delta AS DOUBLE) AS delta,
+       CAST(n.delta AS DOUBLE) / CAST(t.delta AS DOUBLE) AS share_of_root
+FROM n LEFT JOIN s ON n.node_id = s.node_id, t"""
+
+
+@register("d1_driver_tree_nodes", f"""
+WITH f AS (SELECT year(o_orderdate) AS period, c_mktsegment, o_orderpriority, r_name, l_returnflag,
+                  CAST(l_extendedprice AS DECIMAL(18,2)) AS amount
+           FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+           JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+           WHERE year(o_orderdate) IN (1998, 1999)),
+{_tree_sql(3, 5, 0.05)}""")
 def d1_driver_tree_nodes(spark, base):
     """Nodes of the driver tree (depth <= 3, top 5 children, 5% of the root change)."""
     tree = drv.driver_tree(fx.two_period_fact(spark, base), 1998, 1999, fx.DRIVER_DIMS, "amount", "period",

@@ -24,14 +24,14 @@ def build_security_master(pages: DataFrame, rename: dict | None = None, slices:
     """
     rename = catalog.GLOBAL_RENAME if rename is None else rename
     slices = catalog.ISIN_CODE_SLICE if slices is None else slices
-    rows = scan_listing_pages(pages)
+    # the pages are parsed once; headers and cells are then read from this table
+    path = st.scratch_path(pages.sparkSession, "listing")
+    parsed = scan_listing_pages(pages)
+    parsed.write.parquet(path)
+    rows = pages.sparkSession.read.schema(parsed.schema).parquet(path)
     rows = rows.withColumn("header", F.transform("header", lambda h: F.coalesce(F.try_element_at(_map(rename), h), h)))
     headers = [list(r["header"]) for r in rows.select("header").distinct().collect()]
-    names: list[str] = []
-    for h in headers:
-        for c in h:
-            if c not in names:
-                names.append(c)
+    names = list(dict.fromkeys(c for h in sorted(headers) for c in h))
     cells = [S.strip_ideographic_space(F.get(F.col("cells"), F.array_position("header", F.lit(c)).cast("int") - 1)).alias(c)
              for c in names]
     model = F.regexp_extract("url", r"strMode=(\d+)", 1).try_cast("int")
