@@ -2,18 +2,23 @@
 
 All of them are built-in Spark expressions and stay inside whole-stage
 codegen; the only Python function here is NFKC normalisation, which Spark has
-no built-in for and which callers apply to distinct values only.
+no built-in for; ``nfkc_strip_fast`` sends it only the values that it may change.
 """
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Freshness thresholds in days (OK <= 1, LAGGING <= 5, else STALE).
 DEFAULT_OK_DAYS = 1
 DEFAULT_WARN_DAYS = 5

@@ -8,11 +8,16 @@ from the header are dropped; cell text is stripped.
 
 from __future__ import annotations
 
+import sys
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 
+# workers need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 OUT_SCHEMA = "page_id bigint, url string, row_no int, header array<string>, cells array<string>"
 
 
