@@ -219,14 +219,15 @@ def overall_summary(today, source_detail: DataFrame, cleaned_detail: DataFrame,
     items = item_kpis(source_detail, cleaned_detail)
     if expected is not None:
         items = items.join(expected.select("item", F.lit(True).alias("listed")), "item", "full_outer")
-    # items that hold schema files only count where no item has a data file (A2)
-    any_data = items.agg((F.coalesce(F.sum(F.when(F.col("item").isNotNull(), F.col("data_rows"))), F.lit(0)) > 0).alias("any_data"))
-    items = items.crossJoin(F.broadcast(any_data))  # one row
     known = F.col("item").isNotNull()
-    cleaned = F.coalesce(known & ((F.col("data_rows") > 0) | (~F.col("any_data") & (F.col("schema_rows") > 0))), F.lit(False))
+    with_data, with_schema = (F.coalesce(known & (F.col(c) > 0), F.lit(False)) for c in ("data_rows", "schema_rows"))
+
+    def count_cleaned(count) -> Column:
+        """Items that hold schema files only count where no item has a data file (A2)."""
+        return F.when(F.max(with_data), count(with_data)).otherwise(count(with_schema))
     orphans = F.col("pairs_cleaned_only")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
-    kpis = [F.count_if(cleaned).alias("n_items_cleaned"),
+    kpis = [count_cleaned(F.count_if).alias("n_items_cleaned"),
             total("source_rows").alias("n_source_files"), total("cleaned_rows").alias("n_cleaned_files"),
             total("pairs").alias("n_pairs_total"), total("pairs_source").alias("n_pairs_source"),
             total("pairs_cleaned").alias("n_pairs_cleaned"), total("pairs_both").alias("n_pairs_both"),
@@ -236,14 +237,16 @@ def overall_summary(today, source_detail: DataFrame, cleaned_detail: DataFrame,
     if expected is not None:
         listed = F.coalesce("listed", F.lit(False))
         in_source = F.coalesce(F.col("source_files") > 0, F.lit(False))
-        in_cleaned = F.coalesce(F.col("data_files") > 0, F.lit(False)) & cleaned
-        schema = cleaned & F.coalesce(F.col("schema_files") > 0, F.lit(False))
+        in_cleaned = with_data & F.coalesce(F.col("data_files") > 0, F.lit(False))
+        schema = F.coalesce(F.col("schema_files") > 0, F.lit(False))
         kpis += [F.count_if(listed).alias("n_items_expected")]
         for name, flag in (("in_source", in_source), ("in_cleaned", in_cleaned), ("missing_source", ~in_source),
-                           ("missing_cleaned", ~in_cleaned), ("with_schema", schema), ("missing_schema", ~schema)):
+                           ("missing_cleaned", ~in_cleaned)):
             kpis.append(F.count_if(listed & flag).alias(f"n_items_expected_{name}"))
-        kpis += [F.count_if(~listed & known & F.coalesce(F.col("source_rows") > 0, F.lit(False))).alias("n_items_unexpected_source"),
-                 F.count_if(~listed & cleaned).alias("n_items_unexpected_cleaned")]
+        kpis += [count_cleaned(lambda held: F.count_if(listed & held & schema)).alias("n_items_expected_with_schema"),
+                 count_cleaned(lambda held: F.count_if(listed & ~(held & schema))).alias("n_items_expected_missing_schema"),
+                 F.count_if(~listed & known & F.coalesce(F.col("source_rows") > 0, F.lit(False))).alias("n_items_unexpected_source"),
+                 count_cleaned(lambda held: F.count_if(~listed & held)).alias("n_items_unexpected_cleaned")]
     return items.agg(*kpis).withColumn("as_of", today if isinstance(today, Column) else F.to_date(F.lit(str(today))))
 
 
