@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,13 +43,16 @@ def with_freshness(manifest: DataFrame, today, ok_days: int = S.DEFAULT_OK_DAYS,
 
 
 # A1 / A2 / A3 / A8 ----------------------------------------------------------
-def _summary_aggs() -> list[Column]:
-    return [F.countDistinct("subitem").alias("n_subitems"), F.count("path").alias("n_files"),
-            F.to_date(F.min("mtime")).alias("min_mtime"), F.to_date(F.max("mtime")).alias("max_mtime"),
-            F.max("days_lag").alias("max_days_lag"),
-            F.count_if(F.col("status") == S.STATUS_OK).alias("n_ok"),
-            F.count_if(F.col("status") == S.STATUS_LAGGING).alias("n_lagging"),
-            F.count_if(F.col("status") == S.STATUS_STALE).alias("n_stale")]
+def _summary_aggs(of: Column | None = None) -> list[Column]:
+    """The summary columns over the rows that fit ``of`` (default: all)."""
+    of = F.lit(True) if of is None else of
+
+    def own(c: str) -> Column:
+        return F.when(of, F.col(c))
+    return [F.countDistinct(own("subitem")).alias("n_subitems"), F.count(own("path")).alias("n_files"),
+            F.to_date(F.min(own("mtime"))).alias("min_mtime"), F.to_date(F.max(own("mtime"))).alias("max_mtime"),
+            F.max(own("days_lag")).alias("max_days_lag"),
+            *[F.count_if(of & (F.col("status") == x)).alias(f"n_{x.lower()}") for x in STATUSES]]
 
 
 def summarize_source_by_item(detail: DataFrame) -> DataFrame:
@@ -61,21 +64,14 @@ def summarize_cleaned_by_item(detail: DataFrame) -> DataFrame:
     """A2: as A1 over data files plus n_schema_files / has_schema.
 
     Items holding only schema files appear only when no data file exists at
-    all (then with zero counts)."""
-    d = detail.where(F.col("item").isNotNull())
-    data = d.where(~F.col("is_schema"))
-    schema_cnt = schema_count_by_item(d)
-    if data.isEmpty():  # one-row probe
-        items = schema_cnt.select("item")
-        base = items.select("item", F.lit(0).cast("bigint").alias("n_subitems"), F.lit(0).cast("bigint").alias("n_files"),
-                            F.lit(None).cast("date").alias("min_mtime"), F.lit(None).cast("date").alias("max_mtime"),
-                            F.lit(None).cast("bigint").alias("max_days_lag"),
-                            *[F.lit(0).cast("bigint").alias(c) for c in ("n_ok", "n_lagging", "n_stale")])
-    else:
-        base = data.groupBy("item").agg(*_summary_aggs())
-    out = base.join(schema_cnt, "item", "left")
-    return out.withColumn("n_schema_files", F.coalesce("n_schema_files", F.lit(0)).cast("bigint")) \
-              .withColumn("has_schema", F.col("n_schema_files") > 0)
+    all (then with zero counts); that is decided on the rows per item."""
+    schema = F.col("is_schema")
+    per = detail.where(F.col("item").isNotNull()).groupBy("item").agg(
+        *_summary_aggs(~schema), F.count(F.when(schema, F.col("path"))).alias("n_schema_files"),
+        (F.count_if(~schema) > 0).alias("_data"))
+    any_data = F.max("_data").over(Window.partitionBy(F.lit(1)))  # one row an item
+    return (per.withColumn("_any", any_data).where("_data or not _any").drop("_data", "_any")
+            .withColumn("has_schema", F.col("n_schema_files") > 0))
 
 
 def schema_count_by_item(detail: DataFrame) -> DataFrame:

@@ -76,3 +76,18 @@ def test_error_statistics(spark):
     rows = {r.item: (str(r.first_date), str(r.last_date)) for r in inv.error_profile_by_item(logged.unionByName(
         logged.where("item = 'a'").withColumn("log_date", F.lit(None).cast("date")))).collect()}
     assert rows == {"a": ("2024-03-01", "2024-03-01"), "b": ("2024-01-01", "2024-01-01")}
+
+
+def test_schema_only_items(spark):
+    """A2: items with schema files only appear only where no item has a data file."""
+    rows = [("a", "_schema", "a/schema/_schema.json", dt.datetime(2024, 1, 1), True, 1, "OK"),
+            ("b", "x", "b/x.parquet", dt.datetime(2024, 1, 2), False, 0, "OK"),
+            ("b", "_schema", "b/schema/_schema.json", dt.datetime(2024, 1, 1), True, 1, "OK")]
+    d = spark.createDataFrame(rows, "item string, subitem string, path string, mtime timestamp, is_schema boolean, "
+                                    "days_lag bigint, status string")
+    got = [(r.item, r.n_files, r.n_schema_files, r.has_schema) for r in inv.summarize_cleaned_by_item(d).collect()]
+    assert got == [("b", 1, 1, True)]
+    only = {(r.item, r.n_files, r.n_schema_files, r.max_days_lag)
+            for r in inv.summarize_cleaned_by_item(d.where("is_schema")).collect()}
+    assert only == {("a", 0, 1, None), ("b", 0, 1, None)}
+    assert inv.summarize_cleaned_by_item(d.limit(0)).collect() == []
