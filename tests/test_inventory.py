@@ -78,7 +78,7 @@ def test_error_statistics(spark):
     assert rows == {"a": ("2024-03-01", "2024-03-01"), "b": ("2024-01-01", "2024-01-01")}
 
 
-def test_schema_only_items(spark):
+def test_schema_only_beside_data(spark):
     """A2: items with schema files only appear only where no item has a data file."""
     rows = [("a", "_schema", "a/schema/_schema.json", dt.datetime(2024, 1, 1), True, 1, "OK"),
             ("b", "x", "b/x.parquet", dt.datetime(2024, 1, 2), False, 0, "OK"),
