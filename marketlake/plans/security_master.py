@@ -44,5 +44,7 @@ def build_security_master(pages: DataFrame, rename: dict | None = None, slices:
 
 
 def renew_master(old: DataFrame | None, new: DataFrame, key: str = "ISINCode") -> DataFrame:
-    """New rows overwrite old ones by key; no old list -> new only."""
+    """New rows overwrite old ones by key; no old list -> new only; a crawl without any listing changes nothing."""
+    if old is not None and set(new.columns) <= {"page_id", "row_no", "model"}:  # no header was seen
+        return old
     return st.upsert(old, new, [key])
