@@ -1,15 +1,18 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
 Texts are compared case-folded, with every run of ASCII non-alphanumerics as one
-blank.  Items are cut into pieces of 80 to 160 characters (bytes of the normal
+blank.  Items are cut into overlapping pieces of two lengths, a quarter of a
+piece apart, and into 80 to 160 characters end to end (bytes of the normal
 form).  A piece of m characters may occur with up to k = m * MAX_EDITS edits.
 Such an occurrence keeps at least m - Q + 1 - k * Q of the piece's q-grams, on
 diagonals (text position - piece position) at most k apart.  Shared q-grams are
-counted per piece in overlapping diagonal bands (each band spans two strides, so
-any k + 1 neighbouring diagonals lie in one band whole); a gram counts once per
+counted per piece in overlapping diagonal bands (each band spans two strides of
+k + 1, so any k + 1 neighbouring diagonals lie in one band whole); a gram counts once per
 place in the piece and in the text.  Bands that reach the bound are verified by a
-banded edit-distance alignment.  A document is contaminated by an
-item when verified pieces make up at least MIN_COVERED of the item.
+banded edit-distance alignment, and grow at both ends as far as item and text
+agree.  A document is contaminated by an item when the characters of the item
+that lie in any verified piece make up at least MIN_COVERED of it.  ``edits`` is
+the sum over the fewest pieces that cover these characters.
 
 The benchmark is the stated query set: it is read in blocks of at most
 BLOCK_BYTES of text, each block's q-gram index (bounded by that size) goes to
@@ -42,7 +45,9 @@ Q = 10
 MAX_EDITS = 0.08
 MIN_SHARED = 8
 MIN_ITEM = 40
+#: a piece of an end-to-end cut has PIECE to 2 * PIECE characters; lengths of the overlapping ones
 PIECE = 80
+OVERLAPPING = (40, 80)
 MIN_COVERED = 0.5
 BLOCK_BYTES = 16 << 20
 #: characters of normal form scanned at once
@@ -78,25 +83,35 @@ def original_offsets(text: str) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+def piece_borders(n: int) -> list[tuple[int, int]]:
+    """The pieces (begin, end) of an item of ``n`` characters."""
+    cuts = np.linspace(0, n, max(1, n // PIECE) + 1).astype(int).tolist()
+    out = set(zip(cuts[:-1], cuts[1:]))
+    for size in OVERLAPPING:
+        if size < n:
+            out.update((a, a + size) for a in [*range(0, n - size, size // 4), n - size])
+    return sorted(out)
+
+
 class PieceIndex:
     """q-grams of the pieces of a block of items."""
 
     def __init__(self, items: Iterable[tuple[int, str]]):
-        self.pieces, self.owner, self.item_chars = [], [], {}
+        self.pieces, self.owner, self.begin, self.forms, self.item_chars = [], [], [], {}, {}
         for n, (item, text) in enumerate(items):
             form = normal_form(text or "")
             if item is None or len(form) < MIN_ITEM:
                 continue
-            cuts = np.linspace(0, len(form), max(1, len(form) // PIECE) + 1).astype(int)
-            self.item_chars[n] = (item, len(form))
-            for a, z in zip(cuts[:-1], cuts[1:]):
+            self.item_chars[n], self.forms[n] = (item, len(form)), form
+            for a, z in piece_borders(len(form)):
                 self.pieces.append(form[a:z])
                 self.owner.append(n)
+                self.begin.append(a)
         sizes = np.array([len(p) for p in self.pieces], dtype=np.int64)
         self.edits = np.minimum((sizes * MAX_EDITS).astype(np.int64), (sizes - Q + 1 - MIN_SHARED) // Q)
         self.bound = sizes - Q + 1 - self.edits * Q
         self.reach = int((sizes + self.edits).max(initial=0))
-        self.stride = int(self.edits.max(initial=0)) + 1
+        self.stride = self.edits + 1
         grams, piece, at = [np.zeros(0, dtype="<u8")], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         for i, p in enumerate(self.pieces):
             g = windows(p)
@@ -208,16 +223,20 @@ def occurrences(form: bytes, index: PieceIndex) -> list[tuple[int, int, int, int
         entry = np.arange(ends[-1]) - np.repeat(ends - times, times) + np.repeat(index.first[which], times)
         piece = index.piece[entry]
         place, place_in_piece = np.repeat(at, times), index.at[entry]
-        stride = index.stride
+        stride = index.stride[piece]
         low_band = (place - place_in_piece + longest) // stride  # diagonals start at -longest
-        n_bands = (len(part) + longest) // stride + 2
+        n_bands = (len(part) + longest) // int(index.stride.min()) + 2
         lower = piece * n_bands + low_band
-        keys, counts = np.unique(np.concatenate([lower, lower - 1]), return_counts=True)
-        for key in keys[counts >= index.bound[keys // n_bands]].tolist():
+        both = np.concatenate([lower, lower - 1])
+        order = np.argsort(both, kind="stable")
+        keys, first, counts = np.unique(both[order], return_index=True, return_counts=True)
+        many = counts >= index.bound[keys // n_bands]
+        for key, f, c in zip(keys[many].tolist(), first[many].tolist(), counts[many].tolist()):
             p, band = divmod(key, n_bands)
-            own = (lower == key) | (lower - 1 == key)
+            own = order[f:f + c] % len(lower)
             if min(len(np.unique(place_in_piece[own])), len(np.unique(place[own]))) < index.bound[p]:
                 continue
+            stride = int(index.stride[p])
             low = band * stride - longest
             hit = band_alignment(index.pieces[p], part, low, low + 2 * stride - 1, int(index.edits[p]))
             if hit:
@@ -228,6 +247,42 @@ def occurrences(form: bytes, index: PieceIndex) -> list[tuple[int, int, int, int
     return [(p, b, z, e) for (p, z), (b, e) in sorted(found.items())]
 
 
+def agreeing(x: bytes, y: bytes) -> int:
+    """Length of the common beginning."""
+    n, size = 0, 32
+    while x[n:n + size] == y[n:n + size] and min(len(x), len(y)) > n:
+        n, size = min(n + size, len(x), len(y)), 2 * size
+    for i, j in zip(x[n:n + size], y[n:n + size]):
+        if i != j:
+            break
+        n += 1
+    return n
+
+
+def grown(form: bytes, item: bytes, a: int, z: int, begin: int, end: int) -> tuple[int, int, int, int]:
+    """A piece a..z of an item, found at begin..end, with what agrees on both sides."""
+    reach = len(item)
+    left = agreeing(item[:a][::-1], form[max(0, begin - reach):max(0, begin)][::-1])
+    right = agreeing(item[z:], form[end:end + reach])
+    return a - left, z + right, begin - left, end + right
+
+
+def covering(pieces: list[tuple[int, int, int]]) -> tuple[int, int]:
+    """(characters, edits) of pieces (begin, end, edits) of an item: their union, and the edits of the fewest that make it up."""
+    covered = edits = upto = 0
+    ordered, i = sorted(pieces), 0
+    while i < len(ordered):
+        if ordered[i][0] > upto:
+            upto = ordered[i][0]
+        reach, cost = upto, 0
+        while i < len(ordered) and ordered[i][0] <= upto:
+            if (ordered[i][1], -ordered[i][2]) > (reach, -cost):
+                reach, cost = ordered[i][1], ordered[i][2]
+            i += 1
+        covered, edits, upto = covered + reach - upto, edits + (cost if reach > upto else 0), reach
+    return covered, edits
+
+
 def contaminations(text: str | None, index: PieceIndex) -> list[list[int]]:
     """[item, start, end, edits, covered, item characters] for every item that contaminates the text."""
     if not text or not index.pieces:
@@ -241,13 +296,14 @@ def contaminations(text: str | None, index: PieceIndex) -> list[list[int]]:
     out, offsets = [], None
     for n, mine in best.items():
         item, chars = index.item_chars[n]
-        covered = sum(len(index.pieces[p]) for p in mine)
+        parts = [(*grown(form, index.forms[n], index.begin[p], index.begin[p] + len(index.pieces[p]), b, z), e)
+                 for p, (b, z, e) in mine.items()]
+        covered, edits = covering([(a, z, e) for a, z, _, _, e in parts])
         if covered >= MIN_COVERED * chars:
             offsets = original_offsets(text) if offsets is None else offsets
-            start, end = min(x[0] for x in mine.values()), max(x[1] for x in mine.values())
+            start, end = min(x[2] for x in parts), max(x[3] for x in parts)
             start, end = max(0, start), min(len(offsets), end)
-            out.append([item, int(offsets[start]), int(offsets[end - 1]) + 1, sum(x[2] for x in mine.values()),
-                        covered, chars])
+            out.append([item, int(offsets[start]), int(offsets[end - 1]) + 1, edits, covered, chars])
     return sorted(out)
 
 
