@@ -1,8 +1,10 @@
 """Secret scans with a randomness test battery (DataFrame functions only).
 
 Base patterns (assignments, access keys, long hex) are found by regular
-expressions.  Beyond them, every run of 20 or more symbols of a secret's usual
-alphabets is tested: its encoding is inferred from the symbols it uses, then
+expressions.  Beyond them, every run of 20 or more symbols of base64 and every
+such run of base64url is tested (where both alphabets meet, as in paths and
+urls, neither loses its run to the other's separators; a run of both counts
+once): its encoding is inferred from the symbols it uses, then
 
 * chi-squared uniformity over that alphabet.  Its lower tail under ordinary
   text - noncentral chi-squared, the noncentrality n * (k * coincidence - 1) of
@@ -20,7 +22,7 @@ Offsets are code points, ends exclusive; everything is computed within the row.
 
 Defined results: null text = empty text: no spans; nested or overlapping finds of
 different kinds are all listed, except that a random run overlapping a base find is
-not added; repeated rows are scanned alike; ties (equal starts) are listed in
+not added, nor one within a longer random run that is listed; repeated rows are scanned alike; ties (equal starts) are listed in
 the order of kinds; empty table: no rows; other columns pass through.
 """
 
@@ -39,9 +41,8 @@ ASSIGN_VALUE = 8
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 
-RUN_CHARS = r"A-Za-z0-9+/_\-"
 MIN_RUN = 20
-RUN = rf"(?<![{RUN_CHARS}])[{RUN_CHARS}]{{{MIN_RUN},}}"
+RUNS = tuple(rf"(?<![{c}])[{c}]{{{MIN_RUN},}}" for c in ("A-Za-z0-9+/", r"A-Za-z0-9_\-"))
 
 # inferred encodings, narrowest first: pattern, alphabet, rate at which two symbols of ordinary text coincide
 LOWER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
@@ -187,7 +188,7 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
         "assign": F.when(F.col("t").rlike(ASSIGN_HEAD), _spans(F.col("t"), ASSIGN, 2, ASSIGN_VALUE)).otherwise(none),
         "access": F.when(F.col("t").contains("AKIA"), _spans(F.col("t"), ACCESS)).otherwise(none),
         "hex": F.when(F.col("t").rlike(HEX), _spans(F.col("t"), HEX)).otherwise(none),
-        "run": F.when(F.col("t").rlike(RUN), _spans(F.col("t"), RUN)).otherwise(none)})
+        "run": F.array_union(*[F.when(F.col("t").rlike(run), _spans(F.col("t"), run)).otherwise(none) for run in RUNS])})
     bare = [_of_kind(F.col(k), i) for i, k in enumerate(KINDS[:3])]
     d = d.select(*(["row"] if keep_row else []), "doc_id",
                  *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
@@ -196,8 +197,10 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
     d = stored(d, "secrets")
     limits = _thresholds(d.select(F.explode("run").alias("r")).select("r.size", "r.bin"))
     d = d.crossJoin(F.broadcast(limits))
-    added = F.filter("run", lambda r: (r["bin"] >= F.coalesce(F.try_element_at("threshold", r["size"]), F.lit(MAX_BIN + 1)))
+    found = F.filter("run", lambda r: (r["bin"] >= F.coalesce(F.try_element_at("threshold", r["size"]), F.lit(MAX_BIN + 1)))
                      & ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
+    added = _let(found, lambda f: F.filter(f, lambda r: ~F.exists(f, lambda o: (
+        o["start"] <= r["start"]) & (o["end"] >= r["end"]) & (o["end"] - o["start"] > r["end"] - r["start"]))))
     return d.withColumn("spans", F.array_sort(F.concat("base", _of_kind(added, 3)))).drop("run", "threshold")
 
 

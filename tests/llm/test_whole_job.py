@@ -1,8 +1,9 @@
 """Cases in which an operator did less than its whole job."""
 
 import random
+import string
 
-from marketlake.llm import decontaminate
+from marketlake.llm import decontaminate, secrets
 
 
 def prose_of(rng):
@@ -37,3 +38,23 @@ def test_op8_union_of_pieces():
         covered, edits = decontaminate.covering(pieces)
         assert covered == len({x for a, z, _ in pieces for x in range(a, z)})
         assert min(e for *_, e in pieces) <= edits <= sum(e for *_, e in pieces)
+
+
+def test_op4_keys_in_paths_and_urls(spark):
+    rng = random.Random(13)
+    forms = ("https://host/my-team/{}", "/srv/my_app/{}", "--key/{}", "/srv/app/data/{}", "my-team-key-{}", "https://host/a_b/{}/file-name?x=1", "a {} b")
+    keys = [(f, "".join(rng.choices(string.ascii_letters + string.digits, k=40))) for f in forms for _ in range(20)]
+    plain = ["https://host/my-team/some-long_article/with-a-title-of_many/words", "/usr/share/my_app/some-directory/and_another/file"] * 10
+    texts = [f"see {f.format(k)} end" for f, k in keys] + plain
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [(s.start, s.end) for s in r.spans if s.kind == 3] for r in secrets.scan_secrets(df).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact_documents(df).collect()}
+    found = 0
+    for i, (_, key) in enumerate(keys):
+        at = texts[i].index(key)
+        hit = any(a <= at and at + 40 <= z for a, z in spans[i])
+        assert hit == (key not in clean[i])
+        found += hit
+        assert not any(a <= b and y <= z and (a, z) != (b, y) for a, z in spans[i] for b, y in spans[i])
+    assert found >= len(keys) - 3
+    assert all(not spans[i] and clean[i] == texts[i] for i in range(len(keys), len(texts)))
