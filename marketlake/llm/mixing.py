@@ -12,6 +12,8 @@
 4. Every shard draws as many blocks of a source as its leaf says, from a hashed
    permutation of the source's blocks (disjoint ranges); ``position`` shuffles a
    shard's pieces locally.
+5. ``write_mix`` cuts the pieces out of the texts and writes them by shard in
+   that order; the pieces of one whole copy, end to end, are the text itself.
 
 Hot sources: word offsets are summed within (source, hash slice), a slice
 holding about ROWS_PER_SLICE documents, and only the slices' totals are summed
@@ -30,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import col, n_words_of, stored, whole_row
+from .shared import BLANK, WORD, col, n_words_of, stored, whole_row
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -39,6 +41,7 @@ SEED = 42
 SHARDS = 64
 BLOCKS_PER_SHARD = 64
 ROWS_PER_SLICE = 4096
+MIX_COLUMNS = ("size", "source_size", "target", "taken", "pieces")
 
 
 def _let(value: Column, body) -> Column:
@@ -189,7 +192,34 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", source: str = "sour
                     & wide["src"].eqNullSafe(twins["source_"]))
     nth = Window.partitionBy("id", "hash", "src").orderBy("hash")
     hit = hit.withColumn("mix", F.get("mixes", F.row_number().over(nth) - 1)).where("mix is not null")
-    names = {c: (f"{c}_of_document" if c in ("size", "source_size", "target", "taken", "pieces") else c)
-             for c in docs.columns}
-    return hit.select(*[F.col("doc").getField(c).alias(n) for c, n in names.items()],
-                      "mix.size", "mix.source_size", "mix.target", "mix.taken", "mix.pieces")
+    return hit.select(*[F.col("doc").getField(c).alias(_kept_name(c)) for c in docs.columns],
+                      *[f"mix.{c}" for c in MIX_COLUMNS])
+
+
+def _kept_name(name: str) -> str:
+    """Name of a column of the documents beside those of the mix."""
+    return f"{name}_of_document" if name in MIX_COLUMNS else name
+
+
+def mixed_texts(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
+                **params) -> DataFrame:
+    """The texts of the mix: one row per piece with doc_id, source, copy, word_from, word_to, shard, position, text.
+
+    A word carries the blanks after it, a document's first word also those before it.
+    """
+    d = mixed_documents(docs, doc_id, source, text, **params)
+    words = F.regexp_extract_all(col(_kept_name(text)), F.lit(f"{BLANK}*{WORD}{BLANK}*"), F.lit(0))
+
+    def cut(p: Column) -> Column:
+        return F.struct(*[p[c].alias(c) for c in ("copy", "word_from", "word_to", "shard", "position")], F.array_join(F.slice(
+            F.col("words"), (p["word_from"] + 1).cast("int"), (p["word_to"] - p["word_from"]).cast("int")), "").alias("text"))
+    d = d.select(col(_kept_name(doc_id)).alias("doc_id"), col(_kept_name(source)).alias("source"), "pieces", words.alias("words"))
+    return d.select("doc_id", "source", F.explode(F.transform("pieces", cut)).alias("piece")).select("doc_id", "source", "piece.*")
+
+
+def write_mix(docs: DataFrame, path: str, shards: int = SHARDS, **params) -> DataFrame:
+    """Write ``mixed_texts`` as Parquet, one file per shard, ordered by position; returns the written table."""
+    texts = mixed_texts(docs, shards=shards, **params).repartition(shards, "shard")
+    texts = texts.sortWithinPartitions("shard", "position", "doc_id", "copy", "word_from", "text")
+    texts.write.partitionBy("shard").parquet(path)
+    return docs.sparkSession.read.schema(texts.schema).parquet(path)

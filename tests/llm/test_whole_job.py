@@ -1,9 +1,16 @@
 """Cases in which an operator did less than its whole job."""
 
+import glob
 import random
+import re
 import string
+from collections import Counter, defaultdict
 
-from marketlake.llm import decontaminate, secrets
+import pytest
+
+from marketlake.llm import decontaminate, mixing, secrets
+
+SF = "/root/testdata/sf0.001"
 
 
 def prose_of(rng):
@@ -58,3 +65,40 @@ def test_op4_keys_in_paths_and_urls(spark):
         assert not any(a <= b and y <= z and (a, z) != (b, y) for a, z in spans[i] for b, y in spans[i])
     assert found >= len(keys) - 3
     assert all(not spans[i] and clean[i] == texts[i] for i in range(len(keys), len(texts)))
+
+
+@pytest.mark.parametrize("size_column", [False, True])
+def test_op3_texts_of_the_mix(spark, tmpdir_path, size_column):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    if size_column:  # repeated rows, odd blanks, a name that the mix uses too
+        rows = [(i // 2, f"  a{i} b\n\nc  d " * 40, "xy"[i % 3 == 0]) for i in range(40)] + [(99, None, "x"), (99, "", None)] + [(7, "same text here", "x")] * 2
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumnRenamed("text", "size")
+    text = docs.columns[1]
+    names = {"text": text}
+    out = mixing.write_mix(docs, f"{tmpdir_path}/mix", shards=8, **names)
+    pieces = out.collect()
+    # the words by source are the targets, the shards are even, the words are those of the pieces
+    summary = mixing.mix_summary(mixing.mix_pieces(docs, shards=8, **names)).collect()
+    target, taken = {r.source: r.target for r in summary}, Counter()
+    for p in pieces:
+        n = len(re.findall(r"[^\x20\x09-\x0D]+", p.text))
+        assert n == p.word_to - p.word_from
+        taken[p.source] += n
+    assert all(abs(taken[s] - t) <= 1 for s, t in target.items())
+    # pieces of a whole copy, end to end, are a text
+    texts, whole, groups = Counter(r[0] for r in docs.select(text).collect()), Counter(), defaultdict(list)
+    for r in summary:
+        for p in r.pieces:
+            groups[r.source, r.row, p.copy].append((p.word_from, p.word_to, p.shard, p.position))
+    by_place = {(p.source, p.shard, p.position, p.word_from): p.text for p in pieces}
+    size = {(r.source, r.row): r.size for r in summary}
+    for (source, row, _), parts in groups.items():
+        if sum(z - a for a, z, *_ in parts) == size[source, row]:
+            whole["".join(by_place[source, shard, at, a] for a, _, shard, at in sorted(parts))] += 1
+    assert whole and set(whole) <= set(texts) and all(n <= 2 * texts[t] for t, n in whole.items())
+    # a file per shard, in the order of position
+    files = glob.glob(f"{tmpdir_path}/mix/shard=*/*.parquet")
+    assert len(files) == len({p.shard for p in pieces})
+    for f in files:
+        order = [r.position for r in spark.read.parquet(f).coalesce(1).collect()]
+        assert order == sorted(order)
