@@ -14,10 +14,12 @@ agree.  A document is contaminated by an item when the characters of the item
 that lie in any verified piece make up at least MIN_COVERED of it.  ``edits`` is
 the sum over the fewest pieces that cover these characters.
 
-The benchmark is the stated query set: it is read in blocks of at most
-BLOCK_BYTES of text, each block's q-gram index (bounded by that size) goes to
-the tasks, and every whole document is scanned once per block.  No document is
-shuffled; a very long text is scanned in overlapping stretches.
+The benchmark is the stated query set: it is read in blocks of about BLOCK_BYTES
+of text (whole items), each block's q-gram index (some 170 bytes per byte of
+items) goes to the tasks, and every whole document is scanned once per block.
+With several blocks each one's finds are stored before the next is built.  No
+document is shuffled; a very long text is scanned in overlapping stretches, and
+shared grams are followed to at most SLICE of their places at a time.
 
 Defined results: null or empty texts match nothing; items under MIN_ITEM
 characters of normal form or with a null id are not searched; repeated items and documents
@@ -37,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from .shared import col, whole_row
+from .shared import col, scratch_dir, whole_row
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -49,9 +51,11 @@ MIN_ITEM = 40
 PIECE = 80
 OVERLAPPING = (40, 80)
 MIN_COVERED = 0.5
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 1 << 19
 #: characters of normal form scanned at once
 STRETCH = 1 << 20
+#: places of shared grams in pieces held at once
+SLICE = 1 << 20
 
 KEEP = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
@@ -120,34 +124,60 @@ class PieceIndex:
         order = np.argsort(grams, kind="stable")
         self.grams, first = np.unique(grams[order], return_index=True)
         self.first = np.append(first, len(order))
-        self.piece, self.at = piece[order], at[order]
+        # sorted by gram, then piece
+        self.key = np.repeat(np.arange(len(self.grams)), np.diff(self.first)) * len(self.pieces) + piece[order]
+        self.at = at[order].astype(np.int32)
         # slot -> gram; grams that meet in a slot go to the next table
         self.longest = max(map(len, self.pieces), default=0)
-        self.shift = np.uint64(64 - max(16, len(self.grams).bit_length() + 4))
         self.tables, left = [], np.arange(len(self.grams))
-        while len(left):
-            table = np.full(1 << (64 - int(self.shift)), -1, dtype=np.int32)
-            spot = self.slots(self.grams[left])
+        while len(left) or not self.tables:
+            shift = np.uint64(64 - max(16, len(left).bit_length() + 4))
+            table = np.full(1 << (64 - int(shift)), -1, dtype=np.int32)
+            spot = self.slots(self.grams[left], shift)
             table[spot] = left
-            self.tables.append(table)
+            self.tables.append((shift, table))
             left = left[table[spot] != left]
 
-    def slots(self, grams: np.ndarray) -> np.ndarray:
-        return ((grams * MIX) >> self.shift).astype(np.int32)
+    @staticmethod
+    def slots(grams: np.ndarray, shift: np.uint64) -> np.ndarray:
+        return ((grams * MIX) >> shift).astype(np.int32)
 
     def lookup(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(positions, gram numbers) of those of ``grams`` that are in the index, by position."""
-        spot = self.slots(grams)
-        at = np.flatnonzero(self.tables[0][spot] >= 0)
-        spot, mine = spot[at], grams[at]
+        shift, table = self.tables[0]
+        at = np.flatnonzero(table[self.slots(grams, shift)] >= 0)
+        mine = grams[at]
         found = np.full(len(at), -1, dtype=np.int64)
-        for table in self.tables:
-            number = table[spot]
+        for shift, table in self.tables:
+            number = table[self.slots(mine, shift)]
             same = (number >= 0) & (self.grams[number] == mine)
             found[same] = number[same]
         real = found >= 0
         return at[real], found[real]
 
+    def places(self, at: np.ndarray, which: np.ndarray, low: int, high: int):
+        """The places of grams in the pieces low..high - 1, in slices (text position, piece, place in the piece).
+
+        A slice holds every place of its pieces that any occurrence needs.
+        """
+        first = np.searchsorted(self.key, which * len(self.pieces) + low)
+        times = np.searchsorted(self.key, which * len(self.pieces) + high) - first
+        total = int(times.sum())
+        if not total:
+            return
+        if total > SLICE and high - low > 1:
+            middle = (low + high) // 2
+            yield from self.places(at, which, low, middle)
+            yield from self.places(at, which, middle, high)
+        elif total > SLICE and at[-1] - at[0] > 8 * self.longest:
+            # one piece: halves of the text that share more than any band of an occurrence spans
+            middle = (at[0] + at[-1]) // 2
+            for part in (at < middle + 2 * self.longest, at >= middle):
+                yield from self.places(at[part], which[part], low, high)
+        else:
+            entry = np.arange(total) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
+            yield np.repeat(at, times), self.key[entry] % len(self.pieces), self.at[entry].astype(np.int64)
+
 
 def windows(form: bytes) -> np.ndarray:
     """Each Q bytes of ``form`` as one number (two overlapping groups of 8 bytes, mixed)."""
@@ -207,43 +237,39 @@ def band_alignment(piece: bytes, form: bytes, low: int, high: int, most: int) ->
 
 
 def occurrences(form: bytes, index: PieceIndex) -> list[tuple[int, int, int, int]]:
-    """(piece, begin, end, edits) of every verified band in a normal form."""
-    found = {}
+    """(piece, begin, end, edits) of the verified bands in a normal form; of a piece none after one without edits."""
+    found, exact = {}, set()
     longest = index.longest
     for start in range(0, max(1, len(form)), STRETCH):
         part = form[start:start + STRETCH + 2 * longest]
         at, which = index.lookup(windows(part))
         near = dense(at, int(index.bound.min()), index.reach)
         at, which = at[near], which[near]
-        if not len(at):
-            continue
-        # one row per shared gram: text position, piece, diagonal
-        times = index.first[which + 1] - index.first[which]
-        ends = np.cumsum(times)
-        entry = np.arange(ends[-1]) - np.repeat(ends - times, times) + np.repeat(index.first[which], times)
-        piece = index.piece[entry]
-        place, place_in_piece = np.repeat(at, times), index.at[entry]
-        stride = index.stride[piece]
-        low_band = (place - place_in_piece + longest) // stride  # diagonals start at -longest
         n_bands = (len(part) + longest) // int(index.stride.min()) + 2
-        lower = piece * n_bands + low_band
-        both = np.concatenate([lower, lower - 1])
-        order = np.argsort(both, kind="stable")
-        keys, first, counts = np.unique(both[order], return_index=True, return_counts=True)
-        many = counts >= index.bound[keys // n_bands]
-        for key, f, c in zip(keys[many].tolist(), first[many].tolist(), counts[many].tolist()):
-            p, band = divmod(key, n_bands)
-            own = order[f:f + c] % len(lower)
-            if min(len(np.unique(place_in_piece[own])), len(np.unique(place[own]))) < index.bound[p]:
-                continue
-            stride = int(index.stride[p])
-            low = band * stride - longest
-            hit = band_alignment(index.pieces[p], part, low, low + 2 * stride - 1, int(index.edits[p]))
-            if hit:
-                edits, begin, end = hit
-                spot = (p, start + end)
-                if spot not in found or edits < found[spot][1]:
-                    found[spot] = (start + begin, edits)
+        for place, piece, place_in_piece in index.places(at, which, 0, len(index.pieces)):
+            stride = index.stride[piece]
+            low_band = (place - place_in_piece + longest) // stride  # diagonals start at -longest
+            lower = piece * n_bands + low_band
+            both = np.concatenate([lower, lower - 1])
+            order = np.argsort(both, kind="stable")
+            keys, first, counts = np.unique(both[order], return_index=True, return_counts=True)
+            many = counts >= index.bound[keys // n_bands]
+            for key, f, c in zip(keys[many].tolist(), first[many].tolist(), counts[many].tolist()):
+                p, band = divmod(key, n_bands)
+                if p in exact:
+                    continue
+                own = order[f:f + c] % len(lower)
+                if min(len(np.unique(place_in_piece[own])), len(np.unique(place[own]))) < index.bound[p]:
+                    continue
+                low, wide = band * int(index.stride[p]) - longest, 2 * int(index.stride[p])
+                hit = band_alignment(index.pieces[p], part, low, low + wide - 1, int(index.edits[p]))
+                if hit:
+                    edits, begin, end = hit
+                    spot = (p, start + end)
+                    if spot not in found or edits < found[spot][1]:
+                        found[spot] = (start + begin, edits)
+                    if not edits:
+                        exact.add(p)
     return [(p, b, z, e) for (p, z), (b, e) in sorted(found.items())]
 
 
@@ -315,29 +341,44 @@ def _search_udf(index):
     return search
 
 
-def with_contaminations(docs: DataFrame, benchmark: DataFrame, text: Column, item_id: str = "item_id",
-                        item_text: str = "text") -> Column:
-    """array<array<bigint>> per row of ``docs``: see ``contaminations``.  One column, all blocks of the benchmark."""
+def _blocks(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text"):
+    """(number of blocks, broadcast index) of each block of the benchmark, built one after another."""
     items = benchmark.select(col(item_id).cast("long").alias("item"), col(item_text).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
-    cols = []
     for b in range(blocks):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).orderBy("item", "text").collect()
-        index = docs.sparkSession.sparkContext.broadcast(PieceIndex([(r.item, r.text) for r in own]))
-        cols.append(_search_udf(index)(text))
-    return F.concat(*cols) if len(cols) > 1 else cols[0]
+        yield blocks, docs.sparkSession.sparkContext.broadcast(PieceIndex([(r.item, r.text) for r in own]))
+
+
+def _each_block(docs: DataFrame, benchmark: DataFrame, find) -> DataFrame:
+    """Rows of ``find(search)`` over all blocks of the benchmark; those of several blocks are stored block by block."""
+    path = scratch_dir(docs.sparkSession, "contamination")
+    for blocks, index in _blocks(docs, benchmark):
+        rows = find(_search_udf(index))
+        if blocks == 1:
+            return rows
+        rows.write.mode("append").parquet(path)
+        index.destroy()
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per contaminated (document, item): doc_id, item_id, start, end (code points), edits, covered, item_chars."""
-    d = docs.select(col(doc_id).alias("doc_id"), with_contaminations(docs, benchmark, col(text)).alias("hits"))
+    d = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
     names = ("item_id", "start", "end", "edits", "covered", "item_chars")
-    return d.select("doc_id", F.explode("hits").alias("hit")).select(
-        "doc_id", *[F.col("hit")[i].alias(n) for i, n in enumerate(names)])
+    return _each_block(d, benchmark, lambda search: d.select("doc_id", F.explode(search("text")).alias("hit")).select(
+        "doc_id", *[F.col("hit")[i].alias(n) for i, n in enumerate(names)]))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that no item contaminates, in the columns of ``docs``."""
-    d = docs.select(whole_row(docs).alias("row"), with_contaminations(docs, benchmark, col(text)).alias("hits"))
-    return d.where(F.size("hits") == 0).select("row.*")
+    d = docs.select(whole_row(docs).alias("row"), col(text).alias("text"))
+    blocks, index = next(_blocks(docs, benchmark))
+    if blocks == 1:
+        return d.where(F.size(_search_udf(index)("text")) == 0).select("row.*")
+    index.destroy()
+    # contamination is a matter of the text alone
+    d = d.withColumn("key", F.sha2("text", 256))
+    gone = _each_block(d, benchmark, lambda search: d.where(F.size(search("text")) > 0).select("key"))
+    return d.join(gone.distinct(), "key", "left_anti").select("row.*")

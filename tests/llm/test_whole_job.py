@@ -6,7 +6,9 @@ import re
 import string
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.llm import decontaminate, mixing, secrets
 
@@ -102,3 +104,50 @@ def test_op3_texts_of_the_mix(spark, tmpdir_path, size_column):
     for f in files:
         order = [r.position for r in spark.read.parquet(f).coalesce(1).collect()]
         assert order == sorted(order)
+
+
+def test_op8_blocks_one_at_a_time(spark, monkeypatch):
+    rng = random.Random(14)
+    prose = prose_of(rng)
+    items = [prose(40) for _ in range(40)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = [(i, f"{prose(30)} {items[i % 40][:150]} {prose(9)} {items[i % 40][150:] if i % 2 else ''}") for i in range(60)] + [(70, prose(50)), (71, None), (72, prose(9))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", F.lit("x"))
+    whole = sorted(decontaminate.find_contamination(df, bench).collect())
+    left = sorted(decontaminate.drop_contaminated(df, bench).collect())
+    alive, most, make = [0], [0], spark.sparkContext.broadcast
+
+    def counting(value):
+        b = make(value)
+        alive[0] += 1
+        most[0] = max(most[0], alive[0])
+        end = b.destroy
+        b.destroy = lambda *a: (alive.__setitem__(0, alive[0] - 1), end(*a))
+        return b
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counting)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 1500)
+    assert sorted(decontaminate.find_contamination(df, bench).collect()) == whole and len(whole) >= 30
+    assert sorted(decontaminate.drop_contaminated(df, bench).collect()) == left and len(left) + len(whole) == len(docs)
+    assert most == [1] and alive == [0]
+
+
+def test_op8_index_memory(monkeypatch):
+    rng = random.Random(15)
+    prose = prose_of(rng)
+    phrase = prose(9)
+    items = [(i, f"{prose(12)} {phrase} {prose(12)}") for i in range(400)] + [(900, "a" * 90)]
+    index = decontaminate.PieceIndex(items)
+    assert sum(t.nbytes for _, t in index.tables) < 1.5 * index.tables[0][1].nbytes or len(index.tables) == 1
+    text = f"{prose(20)} {items[7][1]} {phrase} {phrase} " + "a" * 5000 + f" {items[9][1]}"
+    want = decontaminate.contaminations(text, index)
+    assert {h[0] for h in want} == {7, 9, 900}
+    held, plain = [], np.repeat
+
+    def watched(a, times, **kw):
+        out = plain(a, times, **kw)
+        held.append(len(out))
+        return out
+    monkeypatch.setattr(decontaminate, "SLICE", 20_000)
+    monkeypatch.setattr(np, "repeat", watched)
+    assert decontaminate.contaminations(text, index) == want
+    assert len(held) > 3 and max(held) <= 80_000  # the rest are places of one piece in one short stretch
