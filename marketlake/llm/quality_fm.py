@@ -11,7 +11,7 @@ broadcast.  Scoring is one pass over the whole texts without a shuffle.
 
 Defined results: null or empty text: no words, statistics of nothing, scored all
 the same; null or missing n_chars: the text's own length; null labels are ignored, repeated labels vote
-(a draw counts as 1); null ids are never held out nor learned from; no usable
+(a draw counts as 1); of documents with one id the least by text hash is learned from; null ids are never held out nor learned from; no usable
 labels: every score 0.5 (one class only: its rate, smoothed); repeated rows score alike; empty
 table: no rows; other columns are not read.
 """
@@ -159,7 +159,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = TRAIN_ROWS) -> DataFrame:
-    """At most ``rows`` labelled documents that are not held out: doc_id, label, text, n_chars."""
+    """At most ``rows`` labelled documents that are not held out, one of each id: doc_id, label, text, n_chars."""
     votes = (labels.select(F.col("doc_id"), col(label).cast("double").alias("label"))
              .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label")))
@@ -168,7 +168,10 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     # cut by hash first, so that the ordered limit sees little more than it keeps
     near = votes.where(F.pmod(rank, F.lit(max(1, usable))) < 2 * rows) if usable else votes
     chosen = near.orderBy(F.pmod(rank, F.lit(max(1, usable))), "doc_id").limit(rows)
-    return docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text", "n_chars")
+    # of the documents of an id the least by text hash, so that a repeated id is one row
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text", "n_chars")).alias("doc")
+    return docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(least).select(
+        "doc_id", "label", "doc.text", "doc.n_chars")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAIN_ROWS) -> FactorisationMachine:

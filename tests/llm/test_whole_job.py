@@ -4,13 +4,14 @@ import glob
 import random
 import re
 import string
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketlake.llm import decontaminate, mixing, secrets
+from marketlake.llm import decontaminate, mixing, quality_fm, secrets
 
 SF = "/root/testdata/sf0.001"
 
@@ -151,3 +152,16 @@ def test_op8_index_memory(monkeypatch):
     monkeypatch.setattr(np, "repeat", watched)
     assert decontaminate.contaminations(text, index) == want
     assert len(held) > 3 and max(held) <= 80_000  # the rest are places of one piece in one short stretch
+
+
+def test_op2_repeated_id_is_one_training_row(spark):
+    free = [i for i in range(400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    hot, others = free[0], free[1:41]
+    rows = [(hot, f"copy {i % 50} of a hot document", float(i)) for i in range(300)] + [(i, f"text {i}", None) for i in others]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars double")
+    labels = spark.createDataFrame([(i, i % 2) for i in [hot, *others]], "doc_id long, quality int")
+    got = quality_fm.training_sample(docs, labels, "quality").collect()
+    assert Counter(r.doc_id for r in got) == Counter([hot, *others])
+    assert sorted(got) == sorted(quality_fm.training_sample(docs.repartition(7), labels, "quality").collect())
+    assert (hot, got[[r.doc_id for r in got].index(hot)].text) in {r[:2] for r in rows}
+    assert quality_fm.training_sample(docs, labels, "quality", rows=10).count() == 10
