@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.session import read_table
 
-from . import chat, decontaminate, mixing, quality_fm
+from . import bpe, chat, decontaminate, fill_middle, mixing, quality_fm
 from . import quality_rules as qr
 from . import secrets, simhash, suffix_dedup, url_filters, warc
 
@@ -164,3 +164,30 @@ def op8(spark: SparkSession, base: str) -> DataFrame:
 @register("op9_suffix_array_dedup")
 def op9(spark: SparkSession, base: str) -> DataFrame:
     return suffix_dedup.remove_repeats(read_table(spark, base, "documents"))
+
+
+@register("op11_bpe")
+def op11(spark: SparkSession, base: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, base, "documents").select("doc_id", "text")
+    return bpe.tokenize(docs, public_tokenizers.path("byte_bpe_50k.json")).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op13_fill_in_middle", sql="""
+with d as (select doc_id, coalesce(text, '') as t, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as s from documents),
+h as (select doc_id, t, length(t)::bigint as n, cast('0x' || s[1:8] as bigint) as h1, cast('0x' || s[9:16] as bigint) as h2,
+             cast('0x' || s[17:24] as bigint) as h3, cast('0x' || s[25:32] as bigint) as h4 from d),
+c as (select doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+             case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or h3 % 100 >= 90 then 'plain'
+                  when h4 % 100 < 20 then 'spm' else 'psm' end as form from h),
+p as (select *, substring(t, 1, a) as pre, substring(t, a + 1, b - a) as mid, substring(t, b + 1, n - b) as suf from c)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then t when 'psm' then '<P>' || pre || '<S>' || suf || '<M>' || mid
+              else '<S>' || suf || '<P>' || pre || '<M>' || mid end) as output_sha256, sha256(t) as restored_sha256 from p
+""")
+def op13(spark: SparkSession, base: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(read_table(spark, base, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                       F.sha2(fill_middle.restore_text(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
