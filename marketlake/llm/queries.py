@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake.session import read_table
 
-from . import bpe, chat, decontaminate, fill_middle, mixing, quality_fm
+from . import bpe, chat, decontaminate, fill_middle, merkle, mixing, quality_fm
 from . import quality_rules as qr
 from . import secrets, simhash, suffix_dedup, url_filters, warc
 
@@ -191,3 +191,52 @@ def op13(spark: SparkSession, base: str) -> DataFrame:
     made = fill_middle.fill_in_middle(read_table(spark, base, "documents").select("doc_id", "text"))
     return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
                        F.sha2(fill_middle.restore_text(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@register("op12_merkle_manifest", sql=r"""
+with recursive
+v as (select doc_id, source, text, coalesce(octet_length(encode(cast(doc_id as varchar))) || ':' || doc_id, '-') as a,
+             coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+             || coalesce(octet_length(encode(cast(n_chars as varchar))) || ':' || n_chars, '-') as b,
+             replace(text, chr(10), '') as cut,
+             list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda s: ascii(s)::bigint)),
+                         lambda c, byte: list_reduce(list_prepend(xor(c, byte), range(8)),
+                                                     lambda x, i: xor(x // 2, (x % 2) * 3988292384::bigint))) as register
+      from documents),
+leafs as (select doc_id, source, sha256(a || b || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+                 case when xor(register, 4294967295::bigint) % 2 = 0
+                      then sha256(a || b || coalesce(octet_length(encode(cut)) || ':' || cut, '-')) end as tampered from v),
+ranked as (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as idx,
+                  count(*) over (partition by source) as n from leafs),
+tree as (select source, 0 as level, idx, n, leaf as digest from ranked
+         union all
+         select source, level + 1, idx // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' order by idx))
+         from tree where n > 1 group by source, level, idx // 3),
+subroots as (select source, level as top, digest, row_number() over (order by source nulls first) - 1 as idx, count(*) over () as n
+             from tree where n = 1),
+crown as (select 0 as level, idx, n, digest from subroots
+          union all
+          select level + 1, idx // 3, (max(n) + 2) // 3, sha256(string_agg(digest, '' order by idx))
+          from crown where n > 1 group by level, idx // 3),
+nodes as (select source, level, idx, n, digest from tree where n > 1
+          union all
+          select s.source, s.top + c.level, c.idx, c.n, c.digest from subroots s, crown c where c.n > 1),
+runs as (select source, level, idx // 3 as run, list(idx order by idx) as places, list(digest order by idx) as digests
+         from nodes group by all),
+climb as (select doc_id, r.source, leaf, 0 as level, r.idx, coalesce(tampered, leaf) as folded, '' as proof, r.idx as leaf_idx from ranked r
+          union all
+          select doc_id, c.source, leaf, c.level + 1, case when c.level + 1 = s.top then s.idx else p.idx // 3 end,
+                 sha256(array_to_string(list_transform(list_zip(u.places, u.digests), lambda z: case when z[1] = p.idx then folded else z[2] end), '')),
+                 proof || array_to_string(list_transform(list_filter(list_zip(u.places, u.digests), lambda z: z[1] <> p.idx), lambda z: z[2]), ''),
+                 leaf_idx
+          from climb c join subroots s on s.source is not distinct from c.source
+          cross join lateral (select case when c.level = s.top then s.idx else c.idx end as idx) p
+          join runs u on u.source is not distinct from c.source and u.level = c.level and u.run = p.idx // 3),
+ends as (select doc_id, source, leaf, leaf_idx, arg_max(folded, level) as folded_root, arg_max(proof, level) as proof
+         from climb group by all)
+select e.doc_id, e.leaf, s.digest as subroot, (select digest from crown where n = 1) as root, sha256(e.proof) as proof_sha256,
+       e.folded_root, e.folded_root = (select digest from crown where n = 1) as verified
+from ends e join subroots s on s.source is not distinct from e.source
+""")
+def op12(spark: SparkSession, base: str) -> DataFrame:
+    return merkle.verify_tampered(read_table(spark, base, "documents"))
