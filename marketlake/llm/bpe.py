@@ -27,9 +27,7 @@ import heapq
 import json
 import sys
 from array import array
-from collections.abc import Iterable
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -185,17 +183,21 @@ class Merger:
         return [t for t in ids if t >= 0]
 
 
+def packed(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
 class Memo(dict):
-    """Tokens of short pieces.  When it is full it becomes the elder memo, from which pieces in use come back."""
+    """Tokens of short pieces as packed int32.  When it is full it becomes the elder memo, from which pieces in use come back."""
 
     def __init__(self, merger: Merger):
         super().__init__()
         self.merger, self.elder = merger, {}
 
-    def __missing__(self, piece: str) -> list[int]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.elder.get(piece)
         if ids is None:
-            ids = self.merger.merge(piece.encode())
+            ids = packed(self.merger.merge(piece.encode()))
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO:
                 self.elder = dict(self)
@@ -227,10 +229,10 @@ class Encoder:
         self.run = None  # the class of an open long piece
         self.window = b""  # its bytes that are not stable
 
-    def feed(self, chars: str) -> list[int]:
+    def feed(self, chars: str) -> array:
         return self._read(self.unread + chars, final=False)
 
-    def finish(self) -> list[int]:
+    def finish(self) -> array:
         out = self._read(self.unread, final=True)
         self._restart()
         return out
@@ -238,35 +240,34 @@ class Encoder:
     def encode(self, text: str) -> array:
         out = array("i")
         for at in range(0, len(text), SLICE):
-            out.extend(self.feed(text[at:at + SLICE]))
-        out.extend(self.finish())
-        return out
+            out += self.feed(text[at:at + SLICE])
+        return out + self.finish()
 
-    def _read(self, chars: str, final: bool) -> list[int]:
+    def _read(self, chars: str, final: bool) -> array:
         """Cut out special tokens; a place is decided once the longest of them could stand there."""
-        out: list[int] = []
+        out: list[bytes] = []
         decided = len(chars) if final else max(0, len(chars) - self.held_back)
         at = 0
         while self.marks and (m := self.marks.search(chars, at)) and m.start() < decided:
             out += self._split(chars[at:m.start()], final=True)
-            out.append(self.specials[m.group()])
+            out.append(packed([self.specials[m.group()]]))
             at = m.end()
         decided = max(at, decided)
         out += self._split(chars[at:decided], final)
         self.unread = chars[decided:]
-        return out
+        return array("i", b"".join(out))
 
-    def _split(self, chars: str, final: bool) -> list[int]:
+    def _split(self, chars: str, final: bool) -> list[bytes]:
         """Pieces of one segment; the last one stays open until its end is seen."""
         chars, out = self.open + chars, []
         if self.run is not None:
             end = self.run.match(chars).end() if chars else 0
             if end == len(chars) and not final:
                 self.open = chars[-1:]
-                return self._slide(chars[:-1])
+                return [self._slide(chars[:-1])]
             if end < len(chars) and chars[end - 1].isspace() and self.run is self.runs[0]:
                 end -= 1  # the last blank before a word is not of the run
-            out += self._slide(chars[:end]) + self.merger.merge(self.window)
+            out += [self._slide(chars[:end]), packed(self.merger.merge(self.window))]
             chars, self.run, self.window = chars[end:], None, b""
         pieces = self.pieces.findall(chars)
         self.open = ""
@@ -275,20 +276,20 @@ class Encoder:
             if len(pieces) > 1 and pieces[-2] == "'" and len(pieces[-1]) == 1:
                 self.open = pieces.pop()
             self.open = pieces.pop() + self.open
-        out += chain.from_iterable(map(self.memo.__getitem__, pieces))
+        out.append(b"".join(map(self.memo.__getitem__, pieces)))
         if final:
             self._open_segment()
         elif len(self.open) > LONG:
             self.run = next(r for r in self.runs if r.fullmatch(self.open[-1]))
             fed, self.open = self.open[:-1], self.open[-1:]
-            out += self._slide(fed)
+            out.append(self._slide(fed))
         return out
 
-    def _slide(self, chars: str) -> list[int]:
+    def _slide(self, chars: str) -> bytes:
         """Move characters of a long piece through the window; tokens that no further byte changes come out."""
         data, out, at, size = self.window + chars.encode(), [], 0, self.lookahead + self.step
         while len(data) - at >= size:
-            end = 0
+            end = stable = 0
             for i in self.merger.merge(data[at:at + size]):
                 end += len(self.merger.model.tokens[i])
                 if end > self.step:
@@ -297,25 +298,35 @@ class Encoder:
                 stable = end
             at += stable
         self.window = data[at:]
-        return out
+        return packed(out)
 
 
 class Decoder:
     """Tokens in, text out: bytes of an open character are kept until the next tokens."""
 
     def __init__(self, model: BpeModel):
-        self.bytes = dict(enumerate(t or b"" for t in model.tokens))
+        known = [t or b"" for t in model.tokens]
+        self.lengths = np.array([len(t) for t in known], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(known), np.uint8)
         self.state = codecs.getincrementaldecoder("utf-8")(errors="replace")
 
-    def feed(self, ids: Iterable[int]) -> str:
-        return self.state.decode(b"".join([self.bytes.get(i, b"") for i in ids]))
+    def feed(self, ids: np.ndarray) -> str:
+        """``ids``: integers; those that the vocabulary lacks give nothing."""
+        ids = ids[(ids >= 0) & (ids < len(self.lengths))]
+        lengths = self.lengths[ids]
+        # each output byte's place in the table: its token's start, counted on within the token
+        shift = self.starts[ids] - (np.cumsum(lengths) - lengths)
+        place = np.repeat(shift, lengths) + np.arange(int(lengths.sum()))
+        return self.state.decode(self.bytes[place].tobytes())
 
     def finish(self) -> str:
         rest = self.state.decode(b"", final=True)
         self.state.reset()
         return rest
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: np.ndarray) -> str:
+        ids = np.asarray(ids, np.int64)
         out = [self.feed(ids[at:at + SLICE]) for at in range(0, len(ids), SLICE)]
         return "".join([*out, self.finish()])
 
@@ -348,7 +359,10 @@ def decode_column(ids: Column, model: BpeModel) -> Column:
     def decode(rows: pa.Array) -> pa.Array:
         if not made:
             made.append(Decoder(model))
-        return pa.array([made[0].decode(r.as_py() or []) for r in rows], pa.string())
+        rows = rows.fill_null([]) if rows.null_count else rows
+        ends = rows.offsets.to_numpy()
+        ids = rows.values.fill_null(-1).to_numpy(zero_copy_only=False)
+        return pa.array([made[0].decode(ids[a:z]) for a, z in zip(ends[:-1], ends[1:])], pa.string())
 
     return decode(ids)
 

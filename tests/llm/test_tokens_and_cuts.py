@@ -33,7 +33,7 @@ def in_slices(encoder, text, rng, most):
         n = rng.randrange(1, most)
         out += encoder.feed(text[at:at + n])
         at += n
-    return out + encoder.finish()
+    return [*out, *encoder.finish()]
 
 
 def sha(text):
