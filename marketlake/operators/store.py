@@ -11,12 +11,14 @@ from __future__ import annotations
 import functools
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir
+from .keyed_log import KeyedLog, child_names, delete_folder, file_system, move_folder
 
 DAILY = "D"
 #: spellings of a daily frequency, in any case
@@ -168,8 +170,8 @@ def key_diagnostics(df: DataFrame, pk: Sequence[str]) -> DataFrame:
 
 # S4 ----------------------------------------------------------------------
 def with_bucket(df: DataFrame, bucket_mode: str = "year", freq: str = DAILY, date_col: str = "date") -> DataFrame:
-    """Bucket partition column; only daily datasets are split by date."""
-    mode = bucket_mode if (freq == DAILY and date_col in df.columns) else "all"
+    """Bucket partition column; only daily datasets (in any spelling) are split by date."""
+    mode = bucket_mode if (is_daily(freq) and date_col in df.columns) else "all"
     return df.withColumn("bucket", S.bucket_key(F.col(date_col), mode))
 
 
@@ -194,14 +196,8 @@ def write_bucketed(df: DataFrame, path: str, bucket_mode: str = "year", freq: st
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the folder is there and holds data; any other failure to look rises."""
-    fs, where = _file_system(spark, path)
-    return fs.exists(where) and len(fs.listStatus(where)) > 0
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+    """Whether the folder holds buckets; any other failure to look rises."""
+    return any(n.startswith("bucket=") for n in child_names(spark, path))
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
@@ -209,44 +205,164 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
     before that goes, and ``read_replaced`` finds it if a run ends in between."""
     fresh = path.rstrip("/") + ".next"
     df.write.mode("overwrite").parquet(fresh)
-    fs, old = _file_system(spark, path)
-    fs.delete(old, True)
-    if not fs.rename(_file_system(spark, fresh)[1], old):
-        raise OSError(f"cannot move {fresh} to {path}")
+    move_folder(spark, fresh, path)
 
 
 def read_replaced(spark: SparkSession, path: str) -> DataFrame | None:
     """The table kept by ``replace_table``; None before the first run."""
     fresh = path.rstrip("/") + ".next"
-    if table_exists(spark, path):
+    if child_names(spark, path):
         return spark.read.parquet(path)
-    if table_exists(spark, f"{fresh}/_SUCCESS"):
+    if "_SUCCESS" in child_names(spark, fresh):
         return spark.read.parquet(fresh)
     return None
 
 
+# U2 / U3 against a stored table --------------------------------------------
+# Everything a write needs is complete in <table>/_staging/<numbers>-<id> before the
+# first file of the table changes:
+#   new/bucket=*      the batch, one row per key
+#   rows/bucket=*     the new content of each touched bucket that still has rows
+#   emptied/bucket=*  buckets that lose their last row (empty folders)
+#   keys              keys that are new or have moved, for the key index
+#   ledger            what is known of the batch, for the batch ledger
+#   READY             all of it is there
+# ``finish_staged`` puts it in place and can be repeated; a write that was cut
+# off after READY is finished by the next one, before READY it is thrown away.
+# A table has one writer at a time.
+LEDGER_SCHEMA = "stream string, batch bigint, policy string, n_rows bigint, n_late bigint, n_stored bigint"
+NULL_BUCKET = "__HIVE_DEFAULT_PARTITION__"
+
+
+@dataclass(frozen=True)
+class BatchId:
+    """A micro-batch of a stream, or a round of a job."""
+
+    stream: str
+    batch: int
+
+
+def batch_ledger(spark: SparkSession, path: str) -> KeyedLog:
+    """The batches a table holds: late rows (their key was stored before), rows stored after the policy."""
+    return KeyedLog(spark, f"{path.rstrip('/')}/_index/ledger", ["stream", "batch"], LEDGER_SCHEMA)
+
+
+def key_index(spark: SparkSession, path: str, pk: Sequence[str], like: DataFrame) -> KeyedLog:
+    """The bucket of every stored key, kept with the table (types of the key as in ``like``)."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.select(*pk).schema)
+    return KeyedLog(spark, f"{path.rstrip('/')}/_index/keys", pk, f"{schema}, `bucket` string")
+
+
+def _buckets(spark: SparkSession, path: str) -> list[str]:
+    return [n for n in child_names(spark, path) if n.startswith("bucket=")]
+
+
+def _read_buckets(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """Some buckets of a table; columns that only some files have are kept, an unreadable file raises."""
+    df = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*[f"{path}/{n}" for n in names])
+    return df.withColumn("bucket", F.col("bucket").cast("string"))
+
+
+def finish_staged(spark: SparkSession, path: str, pk: Sequence[str] = ()) -> None:
+    """Complete a staged write of the table, or drop one that never was ready."""
+    for name in child_names(spark, f"{path}/_staging"):
+        stage = f"{path}/_staging/{name}"
+        there = child_names(spark, stage)
+        if "READY" in there:
+            for bucket in _buckets(spark, f"{stage}/rows"):
+                move_folder(spark, f"{stage}/rows/{bucket}", f"{path}/{bucket}")
+            for bucket in _buckets(spark, f"{stage}/emptied"):
+                delete_folder(spark, f"{path}/{bucket}")
+            # the generations are part of the name: a repetition writes the same ones
+            keys_gen, ledger_gen, _ = name.split("-", 2)
+            if "keys" in there:
+                keys = spark.read.parquet(f"{stage}/keys")
+                key_index(spark, path, pk, keys).append(keys, int(keys_gen))
+            if "ledger" in there:
+                batch_ledger(spark, path).append(spark.read.schema(LEDGER_SCHEMA).parquet(f"{stage}/ledger"), int(ledger_gen))
+        delete_folder(spark, stage)
+
+
+def _key_changes(spark: SparkSession, path: str, batch: DataFrame, pk: Sequence[str]) -> tuple[DataFrame, set[str]]:
+    """Keys of the batch that are new or move, with their bucket; the buckets that moving keys leave."""
+    index = key_index(spark, path, pk, batch)
+    place = F.coalesce(F.col("bucket"), F.lit(NULL_BUCKET)).alias("bucket")
+    if not index.exists():  # a table from before it had an index
+        stored = _read_buckets(spark, path, _buckets(spark, path)).select(*pk, place)
+        index.append(dedup_keep_last(stored, pk, ["bucket"]))
+    now = batch.select(*pk, place)
+    before = index.read().withColumnsRenamed({"bucket": "was", **{k: f"_{k}" for k in pk}})
+    same = functools.reduce(lambda a, b: a & b, [now[k].eqNullSafe(before[f"_{k}"]) for k in pk])
+    changed = now.join(before, same, "left").where(~F.col("was").eqNullSafe(F.col("bucket"))).select(*pk, "bucket", "was")
+    # bucket keys are years, months or days: a short list
+    left = {f"bucket={r['was']}" for r in changed.where("was is not null").select("was").distinct().collect()}
+    return changed.select(*pk, "bucket"), left
+
+
 def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequence[str],
                       order_cols: Sequence[str] = (), bucket_mode: str = "year", freq: str = DAILY,
-                      update_old_non_daily: bool = False, date_col: str = "date") -> DataFrame:
-    """U2/U3 against a stored table: only the buckets touched by ``new`` are
-    read, merged and rewritten.  The merged rows are checkpointed into the
-    shared checkpoint folder first, so the overwrite never reads the files it
-    replaces and a lost executor recomputes from the checkpoint."""
+                      update_old_non_daily: bool = False, date_col: str = "date",
+                      batch_id: BatchId | None = None) -> DataFrame:
+    """U2/U3 against a stored table: only the buckets touched by ``new`` are read, merged and rewritten.
+
+    Where the key does not hold the date, a key's bucket can change; a key index kept with the table
+    names the bucket it leaves, which is rewritten without it.  The batch is computed once; the merged
+    rows are written once, beside the table, and their folders moved in.  A ``batch_id`` that the
+    table's ledger knows already changes nothing.
+    """
+    path, pk = path.rstrip("/"), list(pk or [])
+    finish_staged(spark, path, pk)
+    ledger = batch_ledger(spark, path)
+    if batch_id and not ledger.read().where((F.col("stream") == batch_id.stream) & (F.col("batch") == batch_id.batch)).isEmpty():
+        return spark.read.option("mergeSchema", "true").parquet(path)
     new_b = with_bucket(new, bucket_mode, freq, date_col)
-    if not table_exists(spark, path):
-        merged = dedup_keep_last(new_b, pk, order_cols)
-    else:
-        # columns that only some files have are kept; an unreadable file raises
-        existing = spark.read.option("mergeSchema", "true").parquet(path)
-        # bucket keys are years, months or days: a short list that prunes the scan
-        touched = [r["bucket"] for r in new_b.select("bucket").distinct().collect()]
-        ex = existing.withColumn("bucket", F.col("bucket").cast("string")).where(F.col("bucket").isin(touched))
-        merged = apply_write_policy(ex, new_b, pk, freq, update_old_non_daily, order_cols)
-    merged = cut_lineage(merged)
-    write_bucketed(merged, path, bucket_mode, freq, date_col, mode="overwrite", key_cols=pk)
+    keyed = bool(pk) and all(k in new.columns for k in pk)
+    may_move = keyed and date_col in new.columns and date_col not in pk and is_daily(freq) and bucket_mode != "all"
+    keys_gen = key_index(spark, path, pk, new_b).next_generation() if may_move else 0
+    stage = f"{path}/_staging/{keys_gen}-{ledger.next_generation() if batch_id else 0}-{uuid.uuid4().hex[:12]}"
+    dedup_keep_last(new_b, pk, order_cols).write.partitionBy("bucket").parquet(f"{stage}/new")
+    touched = set(_buckets(spark, f"{stage}/new"))
+    if not touched:  # an empty batch
+        delete_folder(spark, stage)
+        return spark.read.option("mergeSchema", "true").parquet(path) if table_exists(spark, path) else new_b
+    batch = spark.read.schema(new_b.schema).parquet(f"{stage}/new")
+    existing = set(_buckets(spark, path))
+    if may_move:
+        changed, left = _key_changes(spark, path, batch, pk) if existing else (
+            batch.select(*pk, F.coalesce("bucket", F.lit(NULL_BUCKET)).alias("bucket")), set())
+        changed.write.parquet(f"{stage}/keys")
+        touched |= left
+    # the batch can meet rows of the touched buckets only
+    stored = _read_buckets(spark, path, sorted(touched & existing)) if touched & existing else None
+    merged = batch if stored is None else apply_write_policy(stored, batch, pk, freq, update_old_non_daily, order_cols)
+    _write_range(merged, f"{stage}/rows", date_col, pk)
+    for bucket in touched - set(_buckets(spark, f"{stage}/rows")):
+        _mark(spark, f"{stage}/emptied/{bucket}")
+    if batch_id:
+        late = batch.join(stored.select(*pk).distinct().withColumnsRenamed({k: f"_{k}" for k in pk}),
+                          functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in pk]),
+                          "left_semi").count() if keyed and stored is not None else 0
+        n, insert_only = batch.count(), freq is not None and not is_daily(freq) and not update_old_non_daily
+        row = (batch_id.stream, batch_id.batch, "insert" if insert_only else "upsert", n, late, n - late if insert_only else n)
+        spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.parquet(f"{stage}/ledger")
+    _mark(spark, f"{stage}/READY")
+    finish_staged(spark, path, pk)
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def _mark(spark: SparkSession, folder: str) -> None:
+    fs, where = file_system(spark, folder)
+    fs.mkdirs(where)
+
+
+def _write_range(df: DataFrame, path: str, date_col: str, pk: Sequence[str], max_records_per_file: int = 5_000_000) -> None:
+    """A bucket, or a batch of one date, over several tasks: range partitions on bucket, date and key."""
+    order = dict.fromkeys(["bucket", *([date_col] if date_col in df.columns else []), *[k for k in pk if k in df.columns]])
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (df.repartitionByRange(n, *order).write.option("maxRecordsPerFile", max_records_per_file)
+       .partitionBy("bucket").parquet(path))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -288,6 +404,13 @@ def any_pending(files: DataFrame, state: DataFrame, **kw) -> bool:
 
 
 # U4 ----------------------------------------------------------------------
+def job_state_log(spark: SparkSession, path: str) -> KeyedLog:
+    """The stored job state: a round adds its own rows, a NULL date / item keeps the earlier one."""
+    types = {"source_mtime": "timestamp", "source_size": "bigint", "last_processed_at": "timestamp"}
+    schema = ", ".join(f"{c} {types.get(c, 'string')}" for c in JOB_STATE_COLUMNS)
+    return KeyedLog(spark, path, ["path"], schema, keep_non_null=["date", "item"])
+
+
 def upsert_job_state(old: DataFrame | None, new: DataFrame) -> DataFrame:
     """Insert or update by path; a NULL date / item in the batch never
     overwrites a stored one.  Output in the fixed column order."""

@@ -85,11 +85,13 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
 
 
 def store_result(spark: SparkSession, res: CleanResult, target_root: str, freq: dict[str, str],
-                 batch: str, bucket_mode: str = "year", update_old_non_daily: bool = False) -> DataFrame:
+                 batch: str, bucket_mode: str = "year", update_old_non_daily: bool = False,
+                 batch_id: st.BatchId | None = None) -> DataFrame:
     """Write a batch's quarantine, then upsert its tables (U3 + S4).
 
     The quarantine is partitioned by batch, so a batch that runs again replaces
-    its own errors.  Returns the batch's stored errors.
+    its own errors.  With ``batch_id`` each table's ledger notes the batch, and a
+    table that has it already is left as it is.  Returns the batch's stored errors.
     """
     root = target_root.rstrip("/")
     (res.errors.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -98,7 +100,8 @@ def store_result(spark: SparkSession, res: CleanResult, target_root: str, freq:
         body = t.drop("item", "date_key", "subitem", "container", "block_k")
         st.upsert_into_table(spark, body, f"{root}/{item}/{subitem}", res.keys[item, subitem],
                              order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
-                             freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily)
+                             freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily,
+                             batch_id=batch_id)
     stored = spark.read.schema("item string, source_file string, date_key string, error struct<message:string,"
                                "file:string,item:string,subitem:string,column:string,value:string,hint:string>,"
                                "batch string").parquet(f"{root}/{QUARANTINE}")
@@ -117,9 +120,9 @@ def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state
     and come up again; all others are marked 'success'.  Returns counters."""
     files = mf.scan_manifest(spark, source_root, layer="source", suffix=".json")
     files = st.dataset_subset(files, items)
-    state = st.read_replaced(spark, state_path)
-    if state is not None:
-        pending = st.needs_processing(files, state).where("needs_processing").drop("needs_processing")
+    log = st.job_state_log(spark, state_path)
+    if log.exists():
+        pending = st.needs_processing(files, log.read()).where("needs_processing").drop("needs_processing")
     else:
         pending = files
     # the batch's file list (bounded by batch_size) becomes the read list
@@ -134,8 +137,9 @@ def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state
     res = clean_documents(docs, catalogue, specs, strict=strict, update_old_non_daily=update_old_non_daily)
     freq = {r["item"]: r["freq"] for r in catalogue.select("item", "freq").collect()}
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    errors = store_result(spark, res, target_root, freq, now.strftime("%Y%m%dT%H%M%S%f"), bucket_mode,
-                          update_old_non_daily)
+    # a round that was cut off before its state comes again under the same number
+    generation = log.next_generation()
+    errors = store_result(spark, res, target_root, freq, f"round-{generation}", bucket_mode, update_old_non_daily)
     bad = errors.select(F.col("source_file").alias("path"), F.lit("failed").alias("bad")).distinct()
     new_state = pending.join(bad, "path", "left").select(
         F.regexp_extract("path", r"[^/]+$", 0).alias("file"), "path",
@@ -144,5 +148,5 @@ def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state
         F.col("mtime").alias("source_mtime"), F.col("size_bytes").alias("source_size"),
         F.coalesce("bad", F.lit("success")).alias("status"), F.lit(None).cast("string").alias("date"),
         F.col("item"), F.lit(now).alias("last_processed_at"))
-    st.replace_table(spark, st.upsert_job_state(state, new_state), state_path)
+    log.append(new_state, generation)
     return {"files": len(batch), "tables": len(res.tables), "errors": errors.count()}

@@ -132,6 +132,34 @@ LINE_HEADER_RAW = ["訂單編號", "項次", "數量", "金額", "折扣", "退
 FLAG_HEADER_RAW = ["訂單編號", "退貨", "數量", "筆數"]
 
 
+# F3d: monthly documents in three landing rounds.  Fixed values: per round, the first month and the month after the last.
+MONTHLY_ITEM, MONTHLY_TABLE = "orders_monthly", "月報"
+MONTHLY_ROUNDS = [("1992-01-01", "1996-01-01"), ("1995-01-01", "1998-01-01"), ("1997-01-01", "2100-01-01")]
+MONTHLY_PAGE_CUSTOMERS = 500
+
+
+def monthly_documents(spark: SparkSession, base: str, number: int) -> DataFrame:
+    """Landed monthly statistics of one round, a document per (month, page of customers): an interim row of the
+    15th (orders counted) and one of the month's end (amount, revised by a unit an order and round).
+    The months that a round shares with the one before arrive late."""
+    start, stop = (F.to_date(F.lit(d)) for d in MONTHLY_ROUNDS[number])
+    month = F.trunc("o_orderdate", "MM")
+    per = (read_table(spark, base, "orders").select("o_custkey", month.alias("month"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"))
+           .where((F.col("month") >= start) & (F.col("month") < stop))
+           .groupBy("o_custkey", "month").agg(F.count("*").alias("n"), (F.sum("price") + F.lit(number) * F.count("*")).alias("amount")))
+    minguo = lambda d: F.format_string("%d/%02d/%02d", F.year(d) - 1911, F.month(d), F.dayofmonth(d))
+    row = lambda d, v: F.array(minguo(d), F.col("o_custkey").cast("string"), _commas(v, 2))
+    docs = (per.groupBy("month", F.floor(F.col("o_custkey") / MONTHLY_PAGE_CUSTOMERS).alias("page"))
+            .agg(F.sort_array(F.collect_list(F.struct("o_custkey", F.array(
+                row(F.date_add("month", 14), F.col("n")), row(F.last_day("month"), F.col("amount"))).alias("rows")))).alias("of")))
+    body = F.struct(
+        F.lit("OK").alias("stat"), F.lit(MONTHLY_TABLE).alias("title"), F.array(F.lit("日期"), F.lit("客戶代號"), F.lit("金額")).alias("fields"),
+        F.flatten("of.rows").alias("data"),
+        F.struct(F.struct(F.date_format(F.last_day("month"), "yyyyMMdd").alias("date")).alias("payload")).alias("crawlerdic"))
+    name = F.concat(F.lit(f"source/{MONTHLY_ITEM}/{MONTHLY_ITEM}_"), F.date_format("month", "yyyyMM"), F.lit("_p"), F.col("page").cast("string"), F.lit(f"_r{number}.json"))
+    return docs.select(F.lit(MONTHLY_ITEM).alias("item"), name.alias("source_file"), F.to_json(body).alias("json"))
+
+
 # F4 ----------------------------------------------------------------------
 def source_manifest(spark: SparkSession, base: str, gaps: bool = False) -> DataFrame:
     """Source file list: one landed file per order, grouped by priority.

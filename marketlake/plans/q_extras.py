@@ -10,6 +10,7 @@ from .. import catalog
 from ..functions import scalars as S
 from ..operators import drivers as drv
 from ..operators import store as st
+from ..operators.ingest import TableSpec
 from ..sources import documents as docsrc
 from ..sources.pages import scan_listing_pages
 from ..streaming.ingest_stream import start_ingest_stream
@@ -207,6 +208,38 @@ def st1_stream_clean_orders(spark, base):
     return t.select("date", "代號", "客戶代號", "狀態", "總金額", "優先序")
 
 
+# Catalogue and spec of the monthly documents (F3d).
+MONTHLY_CATALOGUE = [(fx.MONTHLY_ITEM, "ME", "1992-01-01", [fx.MONTHLY_TABLE], "M")]
+MONTHLY_SPECS = {fx.MONTHLY_TABLE: TableSpec(item=fx.MONTHLY_ITEM, subitem=fx.MONTHLY_TABLE, float_cols=["金額"],
+                                             rename={"日期": "date", "客戶代號": "代號"})}
+_ROUNDS_SQL = " UNION ALL ".join(f"SELECT *, {k} AS r FROM m WHERE month >= DATE '{a}' AND month < DATE '{b}'"
+                                 for k, (a, b) in enumerate(fx.MONTHLY_ROUNDS))
+
+
+@register("st2_stream_late_monthly", f"""
+WITH m AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS n,
+                  SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1, 2),
+r AS ({_ROUNDS_SQL}),
+v AS (SELECT o_custkey, last_day(month) AS date, CAST(total + r * n AS DOUBLE) AS amount, r, TRUE AS month_end FROM r
+      UNION ALL SELECT o_custkey, CAST(month + INTERVAL 14 DAY AS DATE), CAST(n AS DOUBLE), r, FALSE FROM r)
+SELECT 'insert' AS policy, CAST(date AS VARCHAR) AS date, CAST(o_custkey AS VARCHAR) AS code, arg_min(amount, r) AS amount
+FROM v WHERE month_end GROUP BY o_custkey, date
+UNION ALL
+SELECT 'upsert', CAST(date AS VARCHAR), CAST(o_custkey AS VARCHAR), arg_max(amount, r) FROM v GROUP BY o_custkey, date""")
+def st2_stream_late_monthly(spark, base):
+    """Monthly documents of three rounds through two streams over one landing folder: late months are
+    dropped (and only a document's latest date kept), or upserted by the stream with the backfill flag."""
+    root = st.scratch_path(spark, "late")
+    policies = {"insert": False, "upsert": True}
+    for number in range(len(fx.MONTHLY_ROUNDS)):
+        fx.monthly_documents(spark, base, number).write.mode("append").parquet(f"{root}/landing")
+        for policy, backfill in policies.items():
+            start_ingest_stream(spark, f"{root}/landing", f"{root}/{policy}", f"{root}/checkpoint-{policy}", MONTHLY_CATALOGUE,
+                                MONTHLY_SPECS, update_old_non_daily=backfill).awaitTermination()
+    return st.union_by_name([spark.read.parquet(f"{root}/{policy}/{fx.MONTHLY_ITEM}/{fx.MONTHLY_TABLE}").select(
+        F.lit(policy).alias("policy"), "date", F.col("代號").alias("code"), F.col("金額").alias("amount")) for policy in policies])
+
+
 @register("d3_dashboard_lag_top", """
 WITH per AS (SELECT o.o_orderpriority AS item, MAX(l.l_shipdate) AS mtime
              FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_orderpriority, l.l_orderkey),

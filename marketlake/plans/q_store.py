@@ -85,6 +85,21 @@ def u2_upsert_new_wins(spark, base):
     return st.upsert(ex, nw, fx.FACT_KEY, fx.FACT_ORDER)
 
 
+@register("u2_upsert_moved_date", f"""
+WITH {FACTS_CTE},
+u AS (SELECT *, 0 AS src FROM facts
+      UNION ALL SELECT * REPLACE (CAST(date + INTERVAL 366 DAY AS DATE) AS date), 1 FROM facts WHERE l_returnflag = 'R'),
+d AS ({_dedup_sql('u', 'src DESC, ' + ORDER_DESC)})
+SELECT {SEL}, strftime(date, '%Y') AS bucket FROM d""")
+def u2_upsert_moved_date(spark, base):
+    """A batch that corrects the dates of returned lines against the stored, year-bucketed table:
+    the key does not hold the date, so its rows move over a year's border and leave no old row behind."""
+    facts, path = fx.keyed_facts(spark, base), st.scratch_path(spark, "moved")
+    st.upsert_into_table(spark, facts, path, fx.FACT_KEY, fx.FACT_ORDER)
+    batch = facts.where("l_returnflag = 'R'").withColumn("date", F.date_add("date", 366))
+    return st.upsert_into_table(spark, batch, path, fx.FACT_KEY, fx.FACT_ORDER).select(*FACT_COLS, "date", F.col("bucket").cast("string").alias("bucket"))
+
+
 _FREQ_CASE = "CASE l_returnflag " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in fx.FACT_ITEM_FREQ) + " END"
 
 
@@ -175,7 +190,7 @@ def j2_change_detection(spark, base):
         .select("path", "fingerprint", "needs_processing", "changed_since_success")
 
 
-@register("u4_job_state_upsert", f"""
+U4_SQL = f"""
 WITH {SRC_CTE}, {STATE_CTE},
 nw AS (SELECT path, {FP.format('size_bytes', 'mtime')} AS hash, mtime AS source_mtime, size_bytes AS source_size,
               'success' AS status,
@@ -190,15 +205,15 @@ SELECT regexp_extract(COALESCE(nw.path, state.path), '[^/]+$') AS file, COALESCE
        CASE WHEN nw.path IS NOT NULL THEN nw.status ELSE state.status END AS status,
        CASE WHEN nw.path IS NOT NULL THEN COALESCE(nw.date, state.date) ELSE state.date END AS date,
        CASE WHEN nw.path IS NOT NULL THEN COALESCE(nw.item, state.item) ELSE state.item END AS item
-FROM state FULL OUTER JOIN nw ON state.path = nw.path""")
-def u4_job_state_upsert(spark, base):
-    """A run over the files of 2000-2001 upserts their state; a NULL date or
-    item in the batch keeps the stored one."""
+FROM state FULL OUTER JOIN nw ON state.path = nw.path"""
+
+
+def _u4_frames(spark, base):
+    """(stored state, the state rows of a run over the files of 2000-2001, some with NULL date and item)."""
     src = fx.source_manifest(spark, base)
     old = fx.job_state(spark, base).select(
-        F.lit(None).cast("string").alias("file"), "path", F.lit(None).cast("string").alias("dir"),
-        "hash", "source_mtime", "source_size", "status", "date", "item")
-    old = old.withColumn("file", F.regexp_extract("path", "[^/]+$", 0))
+        F.regexp_extract("path", "[^/]+$", 0).alias("file"), "path", F.lit(None).cast("string").alias("dir"),
+        "hash", "source_mtime", "source_size", "status", "date", "item", F.lit(None).cast("timestamp").alias("last_processed_at"))
     new = src.where(F.year("mtime") >= 2000).select(
         F.regexp_extract("path", "[^/]+$", 0).alias("file"), "path",
         F.concat(F.lit("source/"), F.regexp_extract("path", "^source/([^/]+)/", 1)).alias("dir"),
@@ -206,9 +221,24 @@ def u4_job_state_upsert(spark, base):
         F.col("mtime").alias("source_mtime"), F.col("size_bytes").alias("source_size"),
         F.lit("success").alias("status"),
         F.when(F.year("mtime") != 2001, F.date_format("mtime", "yyyy-MM-dd")).alias("date"),
-        F.when(F.year("mtime") != 2001, F.col("item")).alias("item"))
-    out = st.upsert_job_state(old, new)
-    return out.drop("last_processed_at")
+        F.when(F.year("mtime") != 2001, F.col("item")).alias("item"), F.lit(None).cast("timestamp").alias("last_processed_at"))
+    return old, new
+
+
+@register("u4_job_state_upsert", U4_SQL)
+def u4_job_state_upsert(spark, base):
+    """A run over the files of 2000-2001 upserts their state; a NULL date or
+    item in the batch keeps the stored one."""
+    return st.upsert_job_state(*_u4_frames(spark, base)).drop("last_processed_at")
+
+
+@register("u4_job_state_log", U4_SQL)
+def u4_job_state_log(spark, base):
+    """The same through the stored state: the run appends its own rows, readers take the latest of a file."""
+    log = st.job_state_log(spark, st.scratch_path(spark, "state"))
+    for rows in _u4_frames(spark, base):
+        log.append(rows)
+    return log.read().drop("last_processed_at")
 
 
 @register("n7_bucket_keys", f"""

@@ -15,6 +15,7 @@ files go through the batch job's change detection (J2) instead.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,12 +43,24 @@ def document_stream(spark: SparkSession, root: str, layout: str = "records",
     return raw
 
 
+def stream_id(checkpoint: str) -> str:
+    """A stream is known by its checkpoint folder, also after a restart."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def clean_batch_writer(target_root: str, catalogue_rows, specs: dict, bucket_mode: str = "year",
-                       update_old_non_daily: bool = False) -> Callable[[DataFrame, int], None]:
+                       update_old_non_daily: bool = False, stream: str = "stream") -> Callable[[DataFrame, int], None]:
     """foreachBatch function: clean the batch's documents and upsert every
     sub-table into ``target_root/<item>/<subitem>``; errors go to
-    ``target_root/quarantine``."""
+    ``target_root/quarantine``.
+
+    Late data of datasets that are not daily (keys that are stored already)
+    follows the write policy: dropped, or upserted with ``update_old_non_daily``.
+    Each table keeps a ledger of (stream, batch): a batch that is run again, perhaps
+    after batches of another stream, does not touch a table that has it.
+    """
     from .. import catalog
+    from ..operators.store import BatchId
     from ..plans.clean_job import clean_documents, store_result
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -59,7 +72,8 @@ def clean_batch_writer(target_root: str, catalogue_rows, specs: dict, bucket_mod
         docs = docsrc.documents_from_text(batch)
         res = clean_documents(docs, cat, specs, strict=False, update_old_non_daily=update_old_non_daily)
         # errors are stored before the batch is committed; a replay replaces them
-        store_result(spark, res, target_root, freq, f"stream-{batch_id}", bucket_mode, update_old_non_daily)
+        store_result(spark, res, target_root, freq, f"stream-{stream}-{batch_id}", bucket_mode, update_old_non_daily,
+                     BatchId(stream, batch_id))
     return run
 
 
@@ -69,7 +83,7 @@ def start_ingest_stream(spark: SparkSession, landing_root: str, target_root: str
                         update_old_non_daily: bool = False, available_now: bool = True) -> StreamingQuery:
     stream = document_stream(spark, landing_root, layout, max_files_per_trigger)
     w = (stream.writeStream.foreachBatch(clean_batch_writer(target_root, catalogue_rows, specs, bucket_mode,
-                                                            update_old_non_daily))
+                                                            update_old_non_daily, stream_id(checkpoint)))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
