@@ -4,7 +4,7 @@
 Everything per document runs on executors: object keys are exploded from the
 VARIANT, numbered blocks are regrouped by a (tiny, per document) group-by,
 rows are exploded and cells picked by header position.  The only values that
-reach the driver are the distinct header lists of each sub-table - schema
+reach the driver are the final column names of each sub-table - schema
 metadata, comparable to JSON schema inference - because Spark needs the output
 columns at plan time.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import catalog
 from ..functions import scalars as S
+from . import headers
 
 IDS = ["item", "source_file", "date_key"]
 ROLES = ("title", "fields", "data", "groups", "notes")
@@ -37,15 +38,18 @@ class DataCleanError(Exception):
         super().__init__(f"{message} ({detail})" if detail else message)
 
 
-def error_struct(message, file=None, item=None, subitem=None, column=None, value=None, hint=None) -> Column:
+#: the context of a quarantined error
+ERROR_FIELDS = ("message", "file", "item", "subitem", "column", "value", "value_type", "date", "hint")
+
+
+def error_struct(message, file=None, item=None, subitem=None, column=None, value=None, value_type=None, date=None,
+                 hint=None) -> Column:
     def lit_or_col(x):
         if x is None:
             return F.lit(None).cast("string")
         return x.cast("string") if isinstance(x, Column) else F.lit(str(x))
-    return F.struct(lit_or_col(message).alias("message"), lit_or_col(file).alias("file"),
-                    lit_or_col(item).alias("item"), lit_or_col(subitem).alias("subitem"),
-                    lit_or_col(column).alias("column"), lit_or_col(value).alias("value"),
-                    lit_or_col(hint).alias("hint"))
+    given = (message, file, item, subitem, column, value, value_type, date, hint)
+    return F.struct(*[lit_or_col(x).alias(name) for name, x in zip(ERROR_FIELDS, given)])
 
 
 def raise_first_error(errors: DataFrame) -> None:
@@ -351,36 +355,36 @@ def default_spec(item: str, subitem: str) -> TableSpec:
                      spans=catalog.FIELD_SPANS.get(subitem))
 
 
-def header_variants(blocks: DataFrame) -> list[tuple]:
-    """Distinct (item, subitem, fields) header lists: schema metadata, not data."""
-    rows = blocks.where(F.col("subitem").isNotNull()).select("item", "subitem", "fields").distinct().collect()
-    return sorted((r["item"], r["subitem"], list(r["fields"])) for r in rows)
+def header_of(fields: Column, item: Column, subitem: Column, specs: Sequence[TableSpec], rename: dict) -> Column:
+    """The final names of a block's header.  Only the column spans depend on the table; they are
+    configuration (given specs, else the shipped spans of the sub-table)."""
+    spans = {(None, sub): s for sub, s in catalog.FIELD_SPANS.items()} | {(x.item, x.subitem): x.spans for x in specs}
+    out = headers.final_names(fields, None, rename)
+    for (of_item, of_sub), s in spans.items():  # given specs come last and count first
+        mine = subitem == of_sub if of_item is None else (item == of_item) & (subitem == of_sub)
+        out = F.when(mine, headers.final_names(fields, s, rename)).otherwise(out)
+    return out
 
 
 # X3 + finalize -------------------------------------------------------------
-def frame_up(blocks: DataFrame, spec: TableSpec, variants: Sequence[tuple],
-             global_rename: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """X3/X4 + P1-P6 + N3-N6: one typed frame for (``spec.item``, ``spec.subitem``).
+def frame_up(blocks: DataFrame, spec: TableSpec, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """X3/X4 + P1-P6 + N3-N6: one typed frame of the blocks of (``spec.item``, ``spec.subitem``).
 
-    Returns (table, errors).  The table carries ``source_file``, ``block_k``
-    and ``row_pos`` (arrival order for keep-last).  Cells are picked by
-    header position; short rows give NULL, surplus cells are dropped (X7).
+    ``names`` are the table's final column names; each block carries the final names of its
+    own header (``final``), by whose positions its cells are picked: short rows give NULL,
+    surplus cells are dropped (X7).  Returns (table, errors).  The table carries ``source_file``,
+    ``block_k`` and ``row_pos`` (arrival order for keep-last).
     """
-    mine = [(list(f), final_header(f, spec, global_rename)) for i, s, f in variants
-            if (i, s) == (spec.item, spec.subitem)]
-    if not mine:
+    if not names:
         raise DataCleanError("no header seen for sub-table", item=spec.item, subitem=spec.subitem)
-    names = list(dict.fromkeys(c for _, fin in mine for c in fin if not c.startswith("_pad")))
-    # the known headers are plan-time metadata: each gives its final names as a literal
-    final = F.lit(None).cast("array<string>")
-    for header, fin in mine:
-        same = F.col("fields") == F.array(*[F.lit(c).cast("string") for c in header])
-        final = F.when(same, F.array(*[F.lit(c) for c in fin])).otherwise(final)
-    rows = (blocks.where((F.col("item") == spec.item) & (F.col("subitem") == spec.subitem))
-            .select(*IDS, "subitem", F.col("k").alias("block_k"), "container", final.alias("final"), "data")
-            .select(*IDS, "subitem", "block_k", "container", "final", F.posexplode("data").alias("row_pos", "row")))
-    cells = [F.get(F.col("row"), F.array_position(F.col("final"), F.lit(c)).cast("int") - 1).alias(c)
-             for c in names]
+    # one map a block from names to places, so that a row looks a name up once
+    place = F.map_from_arrays("final", F.sequence(F.lit(0), F.size("final") - 1))
+    rows = (blocks.where((F.col("item") == spec.item) & (F.col("subitem") == spec.subitem) & (F.size("final") > 0))
+            .select(*IDS, "subitem", F.col("k").alias("block_k"), "container", place.alias("place"), "data")
+            .select(*IDS, "subitem", "block_k", "container",
+                    F.array(*[F.try_element_at("place", F.lit(c)) for c in names]).alias("at"), "data")
+            .select(*IDS, "subitem", "block_k", "container", "at", F.posexplode("data").alias("row_pos", "row")))
+    cells = [F.get("row", F.get("at", F.lit(i))).alias(c) for i, c in enumerate(names)]
     df = rows.select(*IDS, "subitem", "container", "block_k", "row_pos", *cells)
     return finalize(df, spec)
 
@@ -404,6 +408,7 @@ def finalize(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     errs = [F.when(F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull(),
                    error_struct("date parse failed", file=F.col("source_file"), item=F.col("item"),
                                 subitem=F.col("subitem"), column=c, value=F.col(f"_raw_{c}"),
+                                value_type=F.typeof(F.col(f"_raw_{c}")), date=F.col("date_key"),
                                 hint="add a date rule for this column"))
             for c in parsed]
     df = df.withColumn("_error", F.coalesce(*errs) if errs else F.lit(None))

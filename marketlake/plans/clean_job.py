@@ -14,8 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import catalog
+from ..operators import headers
 from ..operators import ingest as ig
 from ..operators import store as st
+from ..operators.keyed_log import KeyedLog
 from ..sources import documents as docsrc
 from ..sources import manifest as mf
 
@@ -30,26 +32,41 @@ class CleanResult:
     tables: dict[tuple[str, str], DataFrame]  # (item, subitem) -> cleaned frame
     errors: DataFrame
     keys: dict[tuple[str, str], list[str]]
+    registry: DataFrame  # header variants
 
 
-def block_table(docs: DataFrame, catalogue: DataFrame, global_rename: dict) -> DataFrame:
-    """Non-empty blocks with their sub-table, or the reason why they have none
-    (documents without any block included), written once as Parquet in the
-    shared folder, one partition per sub-table: a table's scan reads its own
+def block_table(docs: DataFrame, catalogue: DataFrame, global_rename: dict, specs: Sequence[ig.TableSpec] = ()) -> DataFrame:
+    """Non-empty blocks with their sub-table and the final names of their columns, or the
+    reason why they have none (documents without any block included), written once as Parquet in
+    the shared folder, one partition per sub-table: a table's scan reads its own
     partition only and a lost executor recomputes no document."""
     blocks = ig.extract_subtables(docs, keep_bare=True)
     bare = F.col("kind").isNull()
     blocks = ig.match_titles(blocks.where(bare | (F.size("fields") > 0) & (F.size("data") > 0)),
                              ig.subtitle_config(catalogue), rename=global_rename)
-    blocks = blocks.select(*ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem",
-                           F.when(bare, ig.no_table_error()).otherwise(F.col("match_error")).alias("reason"))
-    kept = blocks.withColumns({f"p_{c}": F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("-"))
-                               for c in ("item", "subitem")})
+    matched = F.col("match_error").isNull() & ~bare
+    blocks = blocks.select(
+        *ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem", "is_object", "match_error",
+        F.when(matched, ig.header_of(F.col("fields"), F.col("item"), F.col("subitem"), specs, global_rename)).alias("final"))
+    blocks = blocks.select(
+        *ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem", "final",
+        F.when(bare, ig.no_table_error()).when(F.col("match_error").isNotNull(), F.col("match_error"))
+         .when(F.col("final").isNull(), F.lit(headers.BAD_HEADER)).alias("reason"))
+    kept = blocks.withColumns({
+        "p_item": F.coalesce(F.nullif("item", F.lit("")), F.lit("-")),
+        "p_subitem": F.coalesce(F.when(F.col("reason").isNull(), F.nullif("subitem", F.lit(""))), F.lit("-"))})
     path = st.scratch_path(docs.sparkSession, "blocks")
     kept.write.partitionBy("p_item", "p_subitem").parquet(path)
     return docs.sparkSession.read.schema(kept.schema).parquet(path)
 
 
+def header_registry(spark: SparkSession, root: str) -> KeyedLog:
+    """The header variants that a target has seen, by table and id."""
+    return KeyedLog(spark, f"{root.rstrip('/')}/headers", ["item", "subitem", "variant"],
+                    "item string, subitem string, variant string, fields array<string>, final array<string>, "
+                    "n_blocks bigint, first_file string")
+
+
 def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.TableSpec] | None = None,
                     global_rename: dict | None = None, strict: bool = False,
                     update_old_non_daily: bool = False) -> CleanResult:
@@ -62,17 +79,24 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     by_table = {(x.item, x.subitem): x for x in (specs or {}).values()}
     # the global rename of headers and sub-tables always applies (pass {} to switch it off)
     global_rename = catalog.GLOBAL_RENAME if global_rename is None else global_rename
-    blocks = block_table(docs, catalogue, global_rename)
+    blocks = block_table(docs, catalogue, global_rename, list(by_table.values()))
+    bad_header = F.col("reason") == headers.BAD_HEADER
+    value = F.when(bad_header, F.array_join("fields", ",", "")).otherwise(F.col("title"))
     errors = [blocks.where("p_subitem = '-' and reason is not null").select(*ig.IDS, ig.error_struct(
-        F.col("reason"), file=F.col("source_file"), item=F.col("item"), value=F.col("title")).alias("error"))]
-    variants = ig.header_variants(blocks)
+        F.col("reason"), file=F.col("source_file"), item=F.col("item"), subitem=F.when(bad_header, F.col("subitem")),
+        value=value, value_type=F.typeof(F.when(bad_header, F.col("fields").cast("string")).otherwise(F.col("title"))),
+        date=F.col("date_key")).alias("error"))]
+    path = st.scratch_path(docs.sparkSession, "headers")
+    headers.registry_of(blocks.where("p_subitem <> '-'")).write.parquet(path)
+    registry = docs.sparkSession.read.parquet(path)
+    names = headers.column_names(registry)
     # configuration rows (bounded by the catalogue, not by the data)
     freq = {r["item"]: r["freq"] for r in catalogue.select("item", "freq").collect()}
     tables, keys = {}, {}
-    for item, subitem in sorted({(i, s) for i, s, _ in variants}):
+    for item, subitem in sorted(names):
         spec = by_table.get((item, subitem)) or ig.default_spec(item, subitem)
         own = blocks.where((F.col("p_item") == item) & (F.col("p_subitem") == subitem))
-        t, e = ig.frame_up(own, spec, variants, global_rename)
+        t, e = ig.frame_up(own, spec, names[item, subitem])
         errors.append(e)
         t = st.latest_date_only(t, freq=freq.get(item, st.DAILY), doc_cols=("source_file", "subitem"),
                                 update_old_non_daily=update_old_non_daily)
@@ -81,7 +105,7 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     err = st.union_by_name(errors)
     if strict:
         ig.raise_first_error(err)
-    return CleanResult(tables, err, keys)
+    return CleanResult(tables, err, keys, registry)
 
 
 def store_result(spark: SparkSession, res: CleanResult, target_root: str, freq: dict[str, str],
@@ -102,8 +126,12 @@ def store_result(spark: SparkSession, res: CleanResult, target_root: str, freq:
                              order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
                              freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily,
                              batch_id=batch_id)
-    stored = spark.read.schema("item string, source_file string, date_key string, error struct<message:string,"
-                               "file:string,item:string,subitem:string,column:string,value:string,hint:string>,"
+    seen = header_registry(spark, root)
+    fresh = res.registry.join(seen.read().select(*seen.key), seen.key, "left_anti") if seen.exists() else res.registry
+    if not fresh.isEmpty():
+        seen.append(fresh)
+    error = ",".join(f"{c}:string" for c in ig.ERROR_FIELDS)
+    stored = spark.read.schema(f"item string, source_file string, date_key string, error struct<{error}>, "
                                "batch string").parquet(f"{root}/{QUARANTINE}")
     return stored.where(F.col("batch") == batch)
 
