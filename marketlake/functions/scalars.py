@@ -16,6 +16,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .date_labels import date_of_label
+
 # workers need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -173,20 +175,14 @@ def response_outcome(status_code, stat, exception_type=None) -> Column:
 
 
 # N14 ---------------------------------------------------------------------
-# Text formats accepted when normalising a date key.
-KEY_FORMATS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy-M-d", "yyyy/M/d", "yyyy-MM-dd HH:mm:ss", "yyyy.MM.dd")
-
-
 def is_nan_like(c) -> Column:
     x = _c(c)
     return x.isNull() | F.lower(F.trim(x.cast("string"))).isin("", "nan", "nat")
 
 
 def normalize_key(c) -> Column:
-    """Parsable label -> 'YYYY-MM-DD', otherwise NULL."""
-    x = F.trim(_c(c).cast("string"))
-    parsed = F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in KEY_FORMATS])
-    return F.date_format(parsed, "yyyy-MM-dd")
+    """Parsable label -> 'YYYY-MM-DD', otherwise NULL (spellings: ``date_labels``)."""
+    return F.date_format(date_of_label(_c(c)), "yyyy-MM-dd")
 
 
 def matches_ymd(c) -> Column:

@@ -9,17 +9,14 @@ driver reads the final column names from it, nothing else.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BAD_HEADER = "duplicate column names cannot be repaired"
-
+from ..functions.date_labels import let
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+BAD_HEADER = "duplicate column names cannot be repaired"
 
 
 def normalized(names: Column, rename: dict[str, str]) -> Column:
@@ -82,10 +79,9 @@ def final_names(fields: Column, spans: Sequence[tuple] | None, rename: dict[str,
 
 
 def registry_of(blocks: DataFrame) -> DataFrame:
-    """One row per header variant: its id, table, fields, final names, number of blocks and first document."""
-    return blocks.groupBy("item", "subitem", F.format_string("%016x", F.xxhash64("fields")).alias("variant")).agg(
-        F.min("fields").alias("fields"), F.min("final").alias("final"), F.count("*").alias("n_blocks"),
-        F.min("source_file").alias("first_file"))
+    """One row per header variant: its id, table, fields, final names and number of blocks."""
+    variants = blocks.groupBy("item", "subitem", "fields", "final").agg(F.count("*").alias("n_blocks"))
+    return variants.select("item", "subitem", F.format_string("%016x", F.xxhash64("fields")).alias("variant"), "fields", "final", "n_blocks")
 
 
 def column_names(registry: DataFrame) -> dict[tuple[str, str], list[str]]:

@@ -64,7 +64,7 @@ def header_registry(spark: SparkSession, root: str) -> KeyedLog:
     """The header variants that a target has seen, by table and id."""
     return KeyedLog(spark, f"{root.rstrip('/')}/headers", ["item", "subitem", "variant"],
                     "item string, subitem string, variant string, fields array<string>, final array<string>, "
-                    "n_blocks bigint, first_file string")
+                    "n_blocks bigint")
 
 
 def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.TableSpec] | None = None,

@@ -250,9 +250,9 @@ def present_cells(spark: SparkSession, base: str) -> DataFrame:
 
 
 # How each dataset wrote the date label of an old status log (F5);
-# 'error' used a day-first form that no key rule accepts.
+# 'error' used a worded form that no key rule accepts.
 LABEL_STYLE = {"click": "yyyy-MM-dd", "view": "yyyy/MM/dd", "purchase": "yyyyMMdd", "signup": "yyyy-M-d",
-               "error": "dd.MM.yyyy"}
+               "error": "yyyy年M月d日"}
 
 
 def raw_status_log(spark: SparkSession, base: str) -> DataFrame:
@@ -268,6 +268,19 @@ def raw_status_log(spark: SparkSession, base: str) -> DataFrame:
                       F.when(F.col("mv") >= PRESENT_MIN_VALUE, F.lit("succeed")).otherwise(F.lit("wait")).alias("status"))
 
 
+# Spellings of a date that name it (F5b); the last two have the day in front, which is read
+# month first where it can be a month.
+LABEL_SPELLINGS = ["yyyy-MM-dd", "yyyy.M.d", "yyyyMMdd", "yyyy-MM-dd'T'09:08:07", "yyyy-M-d 9:08", "yyyy/MM/dd'T'23:59:59'Z'",
+                   "MMM d, yyyy", "d MMMM yyyy", "EEEE, dd MMM yyyy", "yyyy-MMM-dd 11:59 'PM'", "dd.MM.yyyy", "d/M/yyyy 08:00"]
+
+
+def spelled_dates(spark: SparkSession, base: str) -> DataFrame:
+    """(date, spelling, label): every day of the events in every spelling."""
+    days = read_table(spark, base, "events").select(F.to_date("ts").alias("date")).distinct()
+    spelled = [F.struct(F.lit(i).alias("spelling"), F.date_format("date", f).alias("label")) for i, f in enumerate(LABEL_SPELLINGS)]
+    return days.select("date", F.explode(F.array(*spelled)).alias("s")).select("date", "s.*")
+
+
 # F6 ----------------------------------------------------------------------
 # HTTP status codes cycled through by props.k, and the
 # exception kinds used when a request fails without a response.

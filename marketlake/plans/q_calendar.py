@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import catalog
+from ..functions import scalars as S
 from ..operators import calendar as cal
 from . import fixtures as fx
 from .catalog_frames import event_catalogue
@@ -91,7 +92,7 @@ per AS (SELECT CAST(ts AS DATE) AS d, event_type AS item, MAX(value) AS mv FROM
 lg AS (SELECT CASE item WHEN 'click' THEN strftime(d, '%Y-%m-%d') WHEN 'view' THEN strftime(d, '%Y/%m/%d')
                        WHEN 'purchase' THEN strftime(d, '%Y%m%d')
                        WHEN 'signup' THEN CAST(year(d) AS VARCHAR) || '-' || CAST(month(d) AS VARCHAR) || '-' || CAST(day(d) AS VARCHAR)
-                       WHEN 'error' THEN strftime(d, '%d.%m.%Y') END AS label,
+                       WHEN 'error' THEN year(d) || '年' || month(d) || '月' || day(d) || '日' END AS label,
               item, CASE WHEN mv >= {fx.PRESENT_MIN_VALUE} THEN 'succeed' ELSE 'wait' END AS status,
               {_KEY_SQL} AS key, d FROM per)"""
 
@@ -171,6 +172,21 @@ def n14_label_checks(spark, base):
     return cal.label_checks(fx.raw_status_log(spark, base))
 
 
+_SPELLED = ["%Y-%m-%d", "%Y.%-m.%-d", "%Y%m%d", "%Y-%m-%dT09:08:07", "%Y-%-m-%-d 9:08", "%Y/%m/%dT23:59:59Z", "%b %-d, %Y",
+            "%-d %B %Y", "%A, %d %b %Y", "%Y-%b-%d 11:59 PM", "%d.%m.%Y", "%-d/%-m/%Y 08:00"]
+_SPELLED_SQL = " UNION ALL ".join(f"SELECT d, {i} AS spelling, strftime(d, '{f}') AS label FROM days" for i, f in enumerate(_SPELLED))
+
+
+@register("n14_label_spellings", f"""
+WITH days AS (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events), s AS ({_SPELLED_SQL})
+SELECT CAST(d AS VARCHAR) AS date, spelling, label,
+       CASE WHEN spelling >= {len(_SPELLED) - 2} AND day(d) <= 12 THEN strftime(make_date(year(d), day(d), month(d)), '%Y-%m-%d')
+            ELSE strftime(d, '%Y-%m-%d') END AS key FROM s""")
+def n14_label_spellings(spark, base):
+    """Normalised key of every event day in a dozen spellings: dotted, packed, ISO with time and zone, month names."""
+    return fx.spelled_dates(spark, base).withColumn("key", S.normalize_key("label"))
+
+
 DECLARED_PANEL = T.StructType([T.StructField("code", T.StringType()), T.StructField("date", T.DateType()),
                                T.StructField("value", T.DoubleType()), T.StructField("n_events", T.IntegerType()),
                                T.StructField("note", T.StringType())])
