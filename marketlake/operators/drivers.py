@@ -9,17 +9,22 @@ name); its children are the top ``top_k`` values by |delta| (ties by value)
 whose |delta| >= ``min_node_share`` x |root delta|.  Growth stops at
 ``max_depth`` or when no child qualifies.
 
-One Spark job per level: the facts are unpivoted per dimension and
-aggregated by (node, dim, value) with map-side combine; the frontier (at most
-top_k ** depth nodes - bounded by the parameters) is small and broadcast.
+Which dimension splits a node and which values follow depend only on the set of (dimension, value)
+pairs on its path, not on their order.  So all candidate nodes are the cells of one lattice: the fact
+aggregated once by grouping sets (every set of at most ``max_depth`` dimensions).  Each cell is a pivot
+row of the cells that leave out one of its dimensions; cells that change by less than the
+share can be no nodes, and only the pivots of the others are ranked.  The tree is then walked by
+joins with the few ranked children.  Two jobs prepare it (the lattice, the root's row), a third
+evaluates the nodes, whatever the depth.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,31 +41,40 @@ class DriverTree:
 
 
 def _facts(df: DataFrame, dims: Sequence[str], target_col: str, time_col: str, base_period, comp_period) -> DataFrame:
-    """The fact at the grain of the dimensions, written once: every level of the tree reads this table."""
+    """The fact at the grain of the dimensions."""
     t, kind = F.col(time_col), df.schema[target_col].dataType
     exact = isinstance(kind, T.DecimalType)
     amt = F.col(target_col).cast(T.DecimalType(38, kind.scale) if exact else "double")
     zero = F.lit(0).cast(T.DecimalType(38, kind.scale) if exact else "double")
-    grain = (df.where(t.isin(base_period, comp_period))
+    return (df.where(t.isin(base_period, comp_period))
              .groupBy(*[F.col(d).cast("string").alias(d) for d in dims])
              .agg(F.sum(F.when(t == base_period, amt).otherwise(zero)).alias("_base"),
                   F.sum(F.when(t == comp_period, amt).otherwise(zero)).alias("_comp")))
-    path = scratch_path(df.sparkSession, "drivers")
-    grain.write.parquet(path)
-    return df.sparkSession.read.schema(grain.schema).parquet(path)
 
 
-def level_pivots(rows: DataFrame, dims: Sequence[str], used: DataFrame | None = None) -> DataFrame:
-    """(node_id, dim, value, base, comp, delta, abs_delta) for every dimension
-    not used on the node's path."""
-    stack = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("value")) for d in dims]))
-    long = rows.select("node_id", "_base", "_comp", stack.alias("dv")).select(
-        "node_id", "dv.dim", "dv.value", "_base", "_comp")
-    if used is not None:
-        long = long.join(F.broadcast(used), ["node_id", "dim"], "left_anti")
-    agg = long.groupBy("node_id", "dim", "value").agg(F.sum("_base").alias("base"), F.sum("_comp").alias("comp"))
-    return (agg.withColumn("delta", F.col("comp") - F.col("base"))
-               .withColumn("abs_delta", F.abs(F.col("delta"))))
+def _lattice(facts: DataFrame, dims: Sequence[str], max_depth: int) -> DataFrame:
+    """One row per set of at most ``max_depth`` dimensions and values of them; ``gid`` has a bit for each dimension left out."""
+    sets = [list(c) for k in range(min(max_depth, len(dims)) + 1) for c in itertools.combinations(dims, k)]
+    cells = facts.groupingSets(sets, *dims).agg(
+        F.grouping_id().cast("int").alias("gid"), F.sum("_base").alias("base"), F.sum("_comp").alias("comp"))
+    cells = cells.withColumn("delta", F.col("comp") - F.col("base")).withColumn("abs_delta", F.abs("delta"))
+    path = scratch_path(facts.sparkSession, "lattice")
+    cells.write.parquet(path)
+    return facts.sparkSession.read.schema(cells.schema).parquet(path)
+
+
+def _pivot_rows(cells: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Every cell below the root as a pivot row of each cell that leaves out one of its dimensions."""
+    def key(gid: Column, left_out: str | None = None) -> Column:  # a cell by its set and values
+        return F.to_json(F.struct(gid.alias("gid"), *[F.col(d).alias(d) for d in dims if d != left_out]))
+    gid = F.col("gid")
+    bits = {d: 1 << (len(dims) - 1 - i) for i, d in enumerate(dims)}  # the first dimension is the highest bit
+    steps = F.array_compact(F.array(*[
+        F.when(gid.bitwiseAND(F.lit(bit)) == 0, F.struct(
+            key(gid.bitwiseOR(F.lit(bit)), d).alias("parent"), F.lit(d).alias("dim"), F.col(d).alias("value")))
+        for d, bit in bits.items()]))
+    return cells.select(F.explode(steps).alias("s"), key(gid).alias("cell"), "base", "comp", "delta", "abs_delta").select(
+        "s.*", "cell", "base", "comp", "delta", "abs_delta")
 
 
 def driver_tree(df: DataFrame, base_period, comp_period, dims: Sequence[str], target_col: str,
@@ -68,63 +82,47 @@ def driver_tree(df: DataFrame, base_period, comp_period, dims: Sequence[str], ta
                 split_policy: str = "best_overall") -> DriverTree:
     if split_policy != "best_overall":
         raise ValueError("only split_policy='best_overall' is defined")
-    spark = df.sparkSession
-    facts = _facts(df, dims, target_col, time_col, base_period, comp_period)
-    root_tot = facts.agg(F.sum("_base").alias("base"), F.sum("_comp").alias("comp")).first()
-    base0, comp0 = root_tot["base"] or 0, root_tot["comp"] or 0
+    spark, dims = df.sparkSession, list(dims)
+    cells = _lattice(_facts(df, dims, target_col, time_col, base_period, comp_period), dims, max_depth)
+    everything = (1 << len(dims)) - 1
+    total = cells.where(F.col("gid") == everything).select("base", "comp").first()
+    base0, comp0 = (total["base"] or 0, total["comp"] or 0) if total else (0, 0)
     root_delta = comp0 - base0
     threshold = abs(float(root_delta)) * float(min_node_share)
-    node_rows = [(ROOT, None, 0, "", float(base0), float(comp0), float(root_delta))]
-    split_of: dict[str, str | None] = {ROOT: None}
-    rows = facts.withColumn("node_id", F.lit(ROOT))
-    used_rows: list[tuple] = []
-    all_pivots = None
-    frontier = [ROOT]
-    for depth in range(max_depth):
-        if not frontier:
-            break
-        used = spark.createDataFrame(used_rows, "node_id string, dim string") if used_rows else None
-        piv = level_pivots(rows, dims, used)
-        all_pivots = piv if all_pivots is None else all_pivots.unionByName(piv)
-        best = (piv.withColumn("_r", F.row_number().over(
-                    Window.partitionBy("node_id").orderBy(F.desc("abs_delta"), F.asc("dim"))))
-                   .where("_r = 1").select("node_id", F.col("dim").alias("split_dim")))
-        cand = piv.join(best, (piv.node_id == best.node_id) & (piv.dim == best.split_dim)).drop(best.node_id)
-        ranked = cand.withColumn("_r", F.row_number().over(
-            Window.partitionBy("node_id").orderBy(F.desc("abs_delta"), F.asc_nulls_last("value"))))
-        children = ranked.where((F.col("_r") <= top_k) & (F.col("abs_delta") >= F.lit(threshold)))
-        # frontier metadata: at most top_k ** (depth + 1) rows
-        kids = children.select("node_id", "split_dim", "value", "base", "comp", "delta").collect()
-        if not kids:
-            break
-        new_frontier = []
-        for k in kids:
-            parent = k["node_id"]
-            child = f"{'' if parent == ROOT else parent + '/'}{k['split_dim']}={k['value']}"
-            split_of[parent] = k["split_dim"]
-            node_rows.append((child, parent, depth + 1, child, float(k["base"]), float(k["comp"]), float(k["delta"])))
-            split_of.setdefault(child, None)
-            new_frontier.append((parent, k["split_dim"], k["value"], child))
-        parents_used = {r[0]: [d for (n, d) in used_rows if n == r[0]] for r in new_frontier}
-        used_rows = [(c, d) for (p, sd, v, c) in new_frontier for d in parents_used.get(p, []) + [sd]]
-        edges = spark.createDataFrame([(p, sd, v, c) for (p, sd, v, c) in new_frontier],
-                                      "node_id string, split_dim string, value string, child string")
-        dim_value = F.lit(None).cast("string")
-        for d in dims:
-            dim_value = F.when(F.col("split_dim") == d, F.col(d)).otherwise(dim_value)
-        sd_map = F.broadcast(edges.select("node_id", "split_dim").distinct())
-        rows = (rows.join(sd_map, "node_id").withColumn("value", dim_value)
-                    .join(F.broadcast(edges.drop("split_dim")), ["node_id", "value"])
-                    .drop("node_id", "value", "split_dim").withColumnRenamed("child", "node_id"))
-        frontier = [c for (_, _, _, c) in new_frontier]
-    nodes = spark.createDataFrame(
-        [(n, p, d, split_of.get(n), path, b, c, dl, (dl / float(root_delta)) if root_delta else None)
-         for (n, p, d, path, b, c, dl) in node_rows],
-        "node_id string, parent_id string, depth int, split_dim string, path string, base double, comp double, "
-        "delta double, share_of_root double")
-    pivots = all_pivots if all_pivots is not None else level_pivots(rows, dims).limit(0)
-    root = {"node_id": ROOT, "split_dim": split_of.get(ROOT), "base": float(base0), "comp": float(comp0),
-            "delta": float(root_delta),
+    # pivots of the root and of the cells that change enough to be nodes
+    rows = _pivot_rows(cells, dims)
+    able = rows.where(F.col("abs_delta") >= F.lit(threshold)).select(F.col("cell").alias("parent")).distinct()
+    top = F.to_json(F.struct(F.lit(everything).alias("gid")))
+    pivots = rows.where(F.col("parent") == top).unionByName(rows.where(F.col("parent") != top).join(able, "parent", "left_semi"))
+    best = pivots.groupBy("parent").agg(F.min_by("dim", F.struct(-F.col("abs_delta"), "dim")).alias("split_dim"))
+    first = Window.partitionBy("parent").orderBy(F.desc("abs_delta"), F.asc_nulls_last("value"))
+    children = (pivots.join(best, "parent").where(F.col("dim") == F.col("split_dim")).withColumn("rank", F.row_number().over(first))
+                .where((F.col("rank") <= top_k) & (F.col("abs_delta") >= F.lit(threshold)))
+                .select(F.col("parent").alias("of"), "split_dim", "value", F.col("cell").alias("child"), *[
+                    F.col(c).cast("double").alias(f"c_{c}") for c in ("base", "comp", "delta")]))
+    level = spark.range(1).select(
+        F.lit(ROOT).alias("node_id"), F.lit(None).cast("string").alias("parent_id"), F.lit(0).alias("depth"), top.alias("cell"),
+        *[F.lit(float(x)).alias(c) for c, x in (("base", base0), ("comp", comp0), ("delta", root_delta))])
+    nodes = level
+    for depth in range(1, max_depth + 1):
+        name = F.concat(F.when(F.col("node_id") == ROOT, "").otherwise(F.concat("node_id", F.lit("/"))),
+                        "split_dim", F.lit("="), F.coalesce("value", F.lit("None")))
+        level = level.join(children, F.col("cell") == F.col("of")).select(
+            name.alias("node_id"), F.col("node_id").alias("parent_id"), F.lit(depth).alias("depth"), F.col("child").alias("cell"),
+            *[F.col(f"c_{c}").alias(c) for c in ("base", "comp", "delta")])
+        nodes = nodes.unionByName(level)
+    path = scratch_path(spark, "driver-nodes")
+    splits = children.select(F.col("of").alias("cell"), "split_dim").distinct()
+    share = F.col("delta") / F.lit(float(root_delta)) if root_delta else F.lit(None).cast("double")
+    nodes.join(splits, "cell", "left").select(
+        "node_id", "parent_id", "depth", F.when(F.col("depth") < max_depth, F.col("split_dim")).alias("split_dim"),
+        F.when(F.col("node_id") == ROOT, "").otherwise(F.col("node_id")).alias("path"), "base", "comp", "delta",
+        share.alias("share_of_root"), "cell").write.parquet(path)
+    stored = spark.read.parquet(path)
+    inner = stored.where(F.col("depth") < max_depth).select("node_id", F.col("cell").alias("parent"))
+    out = inner.join(pivots, "parent").select("node_id", "dim", "value", "base", "comp", "delta", "abs_delta")
+    split = stored.where(F.col("node_id") == ROOT).first()["split_dim"]
+    root = {"node_id": ROOT, "split_dim": split, "base": float(base0), "comp": float(comp0), "delta": float(root_delta),
             "summary": f"change {float(root_delta):,.2f} from {base_period} to {comp_period}"
-                       + (f"; largest driver: {split_of.get(ROOT)}" if split_of.get(ROOT) else "")}
-    return DriverTree(nodes, pivots, root)
+                       + (f"; largest driver: {split}" if split else "")}
+    return DriverTree(stored.drop("cell"), out, root)

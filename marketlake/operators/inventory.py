@@ -275,13 +275,15 @@ def lag_ranking_with_backlog(summary: DataFrame, relation_status: DataFrame, n:
 
 # D2 / A6 / A9 -------------------------------------------------------------------
 def flatten_error_log(cells: DataFrame, date_col: str = "date", item_col: str = "item",
-                      errors_col: str = "errors") -> DataFrame:
+                      errors_col: str = "errors", order_field: str | None = None) -> DataFrame:
     """(date, item, errors ARRAY<STRUCT>) -> one row per error, with the
-    reason / message coalesced over the record generations (N17)."""
+    reason / message coalesced over the record generations (N17).  With ``order_field`` (a field of the
+    records that orders the lists of a day) the rows carry ``arrival``: date, that field, place in the list."""
     kind = cells.schema[errors_col].dataType
     one = kind.elementType if isinstance(kind, T.ArrayType) else kind
     listed = F.col(errors_col) if isinstance(kind, T.ArrayType) else F.array(F.col(errors_col))
-    e = cells.select(F.col(date_col).alias("date"), F.col(item_col).alias("item"), F.explode(listed).alias("e"))
+    e = cells.select(F.col(date_col).alias("date"), F.col(item_col).alias("item"), F.posexplode(listed).alias("at", "e"))
+    arrival = [F.struct("date", F.col(f"e.{order_field}").alias("order"), "at").alias("arrival")] if order_field else []
     fields = set(one.fieldNames()) if isinstance(one, T.StructType) else set()  # bare values name no reason
 
     def f(name):
@@ -291,7 +293,7 @@ def flatten_error_log(cells: DataFrame, date_col: str = "date", item_col: str =
     log_time = f("log_time")
     return e.select("date", "item", reason.alias("error_reason"), message.alias("error_message"),
                     f("requeststatus").alias("requeststatus"), f("exception_type").alias("exception_type"),
-                    log_time.alias("log_time"), F.to_date(log_time).alias("log_date"))
+                    log_time.alias("log_time"), F.to_date(log_time).alias("log_date"), *arrival)
 
 
 def error_reason_stats(flat: DataFrame) -> DataFrame:
@@ -310,13 +312,25 @@ def error_item_stats(flat: DataFrame) -> DataFrame:
     return flat.groupBy("item").agg(F.count(F.lit(1)).alias("n_errors")).orderBy(F.desc("n_errors"), "item")
 
 
-def error_profile_by_item(flat: DataFrame) -> DataFrame:
-    """Count, distinct reasons (sorted) and first / last date: of the item's
-    log dates if it has any, else of its data dates."""
-    return flat.groupBy("item").agg(F.coalesce(F.min("log_date"), F.min("date")).alias("first_date"),
-                                    F.coalesce(F.max("log_date"), F.max("date")).alias("last_date"),
-                                    F.count(F.lit(1)).alias("n_errors"),
-                                    F.array_sort(F.collect_set("error_reason")).alias("reasons"))
+def error_profile_by_item(flat: DataFrame, max_reasons: int = 1000) -> DataFrame:
+    """Count, distinct reasons and first / last date: of the item's log dates if it has any, else of its data dates.
+
+    Reasons stand in the order of their first arrival (by date where the rows carry no ``arrival``, equal ones
+    by name); those beyond ``max_reasons``, a limit of the report, are counted in ``n_more_reasons``.  Reasons are free text:
+    each (item, reason) is one row before an item's rows meet, and no more than ``max_reasons`` of them make its list.
+    """
+    arrival = F.col("arrival") if "arrival" in flat.columns else F.struct(F.coalesce("date", "log_date"))
+    each = flat.groupBy("item", "error_reason").agg(
+        F.min(arrival).alias("first"), F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{name}_{c}") for name, f in (("min", F.min), ("max", F.max)) for c in ("log_date", "date")])
+    place = F.row_number().over(Window.partitionBy("item").orderBy("first", "error_reason"))
+    listed = (F.col("place") <= max_reasons) & F.col("error_reason").isNotNull()
+    reasons = F.array_sort(F.collect_list(F.when(listed, F.struct("place", "error_reason"))))
+    return each.withColumn("place", place).groupBy("item").agg(
+        F.coalesce(F.min("min_log_date"), F.min("min_date")).alias("first_date"),
+        F.coalesce(F.max("max_log_date"), F.max("max_date")).alias("last_date"), F.sum("n").alias("n_errors"),
+        F.transform(reasons, lambda r: r["error_reason"]).alias("reasons"),
+        F.count_if(F.col("place") > max_reasons).alias("n_more_reasons"))
 
 
 # A7 -------------------------------------------------------------------------

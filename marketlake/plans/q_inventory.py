@@ -353,7 +353,19 @@ SELECT item, CAST(COALESCE(MIN(log_date), MIN(date)) AS VARCHAR) AS first_date,
 FROM flat GROUP BY item""")
 def a9_error_profile(spark, base):
     p = inv.error_profile_by_item(error_flat(spark, base))
-    return p.withColumn("reasons", F.array_join("reasons", ","))
+    return p.withColumn("reasons", F.array_join(F.array_sort("reasons"), ",")).drop("n_more_reasons")
+
+
+@register("a9_first_seen_reasons", f"""WITH {ERR_CTE},
+each AS (SELECT item, reason, MIN((date, event_id)) AS first FROM rc GROUP BY item, reason),
+placed AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY item ORDER BY first) AS place FROM each)
+SELECT item, string_agg(reason, ',' ORDER BY place) FILTER (place <= 3) AS reasons,
+       COUNT(*) FILTER (place > 3) AS n_more_reasons FROM placed GROUP BY item""")
+def a9_first_seen_reasons(spark, base):
+    """Reasons of each item in the order in which they first came up, three at most (a report), the others counted."""
+    flat = inv.flatten_error_log(fx.error_log_cells(spark, base), order_field="event_id")
+    p = inv.error_profile_by_item(flat, max_reasons=3)
+    return p.select("item", F.array_join("reasons", ",").alias("reasons"), "n_more_reasons")
 
 
 @register("n12_n13_response_classes", f"""WITH {ERR_CTE}
