@@ -60,18 +60,40 @@ def summarize_source_by_item(detail: DataFrame) -> DataFrame:
     return detail.where(F.col("item").isNotNull()).groupBy("item").agg(*_summary_aggs())
 
 
+def _cleaned_aggs() -> list[Column]:
+    schema = F.col("is_schema")
+    return [*_summary_aggs(~schema), F.count(F.when(schema, F.col("path"))).alias("n_schema_files"),
+            (F.count_if(~schema) > 0).alias("_data")]
+
+
+def _cleaned_items(per: DataFrame) -> DataFrame:
+    any_data = F.max("_data").over(Window.partitionBy(F.lit(1)))  # one row an item
+    return (per.withColumn("_any", any_data).where("_data or not _any").drop("_data", "_any")
+            .withColumn("has_schema", F.col("n_schema_files") > 0))
+
+
 def summarize_cleaned_by_item(detail: DataFrame) -> DataFrame:
     """A2: as A1 over data files plus n_schema_files / has_schema.
 
     Items holding only schema files appear only when no data file exists at
     all (then with zero counts); that is decided on the rows per item."""
-    schema = F.col("is_schema")
-    per = detail.where(F.col("item").isNotNull()).groupBy("item").agg(
-        *_summary_aggs(~schema), F.count(F.when(schema, F.col("path"))).alias("n_schema_files"),
-        (F.count_if(~schema) > 0).alias("_data"))
-    any_data = F.max("_data").over(Window.partitionBy(F.lit(1)))  # one row an item
-    return (per.withColumn("_any", any_data).where("_data or not _any").drop("_data", "_any")
-            .withColumn("has_schema", F.col("n_schema_files") > 0))
+    return _cleaned_items(detail.where(F.col("item").isNotNull()).groupBy("item").agg(*_cleaned_aggs()))
+
+
+def item_rows(source_detail: DataFrame, cleaned_detail: DataFrame) -> DataFrame:
+    """One aggregate over both manifests: a row per (layer, item) from which A1, A2 and A8 follow."""
+    cols = ["item", "subitem", "path", "mtime", "days_lag", "status", "is_schema"]
+    # schema files are told apart on the cleaned side only
+    both = source_detail.select(*cols[:-1], F.lit(False).alias("is_schema"), F.lit("source").alias("side")).unionByName(
+        cleaned_detail.select(*cols, F.lit("cleaned").alias("side")))
+    return both.where(F.col("item").isNotNull()).groupBy("side", "item").agg(*_cleaned_aggs())
+
+
+def summaries_of(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(source summary, cleaned summary, schema files by item) of ``item_rows``."""
+    cleaned = items.where("side = 'cleaned'").drop("side")
+    return (items.where("side = 'source'").drop("side", "n_schema_files", "_data"), _cleaned_items(cleaned),
+            cleaned.where("n_schema_files > 0").select("item", "n_schema_files"))
 
 
 def schema_count_by_item(detail: DataFrame) -> DataFrame:

@@ -398,3 +398,50 @@ def s2_table_file_manifest(spark, base):
      .write.partitionBy("item").parquet(path))
     m = scan_manifest(spark, path, layer="source", suffix=".parquet")
     return m.groupBy("layer", "item").agg((F.sum("size_bytes") > 0).alias("has_content"))
+
+
+# the bundle (D3): several members as (frame, key, metric, value) rows
+_D3 = [("source_item_summary", "ssum2", "item", ["n_subitems", "n_files", "max_days_lag", "n_ok", "n_stale"]),
+       ("cleaned_item_summary", "csum", "item", ["n_subitems", "n_files", "max_days_lag", "n_lagging", "n_schema_files"]),
+       ("lag_item", "csum", "item", ["max_days_lag"]),
+       ("schema_item_summary", "sch", "item", ["n_schema_files"]),
+       ("relation_counts", "relc", "item", ["both", "source_only", "cleaned_only"]),
+       ("missing", "rel_m", "item", ["n"]), ("orphan", "orph_t", "item", ["n"]), ("orphan_candidate", "orph_a", "item", ["n"]),
+       ("expected_item_status", "est", "item", ["has_source", "has_cleaned", "missing_source", "missing_schema"]),
+       ("unexpected_items", "unexp", "item", ["in_source", "in_cleaned"]),
+       ("overall_summary", "kpi", "as_of", ["n_source_files", "n_cleaned_files", "n_pairs_total", "n_orphan_pairs"]),
+       ("error_item_summary", "err_i", "item", ["n_errors"]), ("error_reason_summary", "err_r", "item", ["count"]),
+       ("error_date_summary", "err_d", "date", ["n_errors"])]
+_D3_SQL = " UNION ALL ".join(f"SELECT '{f}' AS frame, CAST({k} AS VARCHAR) AS key, '{m}' AS metric, CAST(\"{m}\" AS BIGINT) AS value FROM {t}"
+                             for f, t, k, ms in _D3 for m in ms)
+
+
+@register("d3_dashboard_frames", f"""WITH {EXP_CTE}, {ERR_CTE},
+ssum2 AS ({_summary_sql("(SELECT * REPLACE (CASE WHEN landed THEN path END AS path) FROM sd)")}),
+relc AS (SELECT item, COUNT(*) FILTER (WHERE relation = 'both') AS both, COUNT(*) FILTER (WHERE relation = 'source_only') AS source_only,
+                COUNT(*) FILTER (WHERE relation = 'cleaned_only') AS cleaned_only FROM rel GROUP BY item),
+rel_m AS (SELECT item, COUNT(*) AS n FROM rel WHERE relation = 'source_only' GROUP BY item),
+its AS (SELECT DISTINCT item FROM rel WHERE COALESCE(source_path <> '', FALSE)),
+orph_a AS (SELECT item, COUNT(*) AS n FROM rel WHERE relation = 'cleaned_only' GROUP BY item),
+orph_t AS (SELECT * FROM orph_a WHERE item NOT IN (SELECT item FROM its)),
+kpi AS (SELECT '{TODAY}' AS as_of, (SELECT COUNT(*) FROM sd) AS n_source_files, (SELECT COUNT(*) FROM cd) AS n_cleaned_files,
+               (SELECT COUNT(*) FROM rel) AS n_pairs_total, (SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) FROM orph_a) AS n_orphan_pairs),
+err_i AS (SELECT item, COUNT(*) AS n_errors FROM flat GROUP BY item),
+err_r AS (SELECT item || '/' || error_reason AS item, COUNT(*) AS count FROM flat GROUP BY ALL),
+err_d AS (SELECT date, COUNT(*) AS n_errors FROM flat GROUP BY date)
+{_D3_SQL}""")
+def d3_dashboard_frames(spark, base):
+    """Fourteen members of the dashboard bundle, one row per (frame, key, metric)."""
+    from .dashboard import build_dashboard
+    dash = build_dashboard(spark, fx.source_manifest(spark, base, gaps=True), fx.cleaned_manifest(spark, base),
+                           catalog.catalogue_frame(spark, INVENTORY_CATALOGUE), TODAY, error_cells=fx.error_log_cells(spark, base))
+    for pairs in ("missing", "orphan", "orphan_candidate"):
+        dash[pairs] = dash[pairs].groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    dash["error_reason_summary"] = dash["error_reason_summary"].withColumn("item", F.concat_ws("/", "item", "error_reason"))
+    out = None
+    for frame, _, key, metrics in _D3:
+        values = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("bigint").alias("value")) for m in metrics])
+        rows = dash[frame].select(F.lit(frame).alias("frame"), F.col(key).cast("string").alias("key"), F.explode(values).alias("m"))
+        rows = rows.select("frame", "key", "m.metric", "m.value")
+        out = rows if out is None else out.unionByName(rows)
+    return out

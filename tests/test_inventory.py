@@ -91,3 +91,29 @@ def test_schema_only_beside_data(spark):
             for r in inv.summarize_cleaned_by_item(d.where("is_schema")).collect()}
     assert only == {("a", 0, 1, None), ("b", 0, 1, None)}
     assert inv.summarize_cleaned_by_item(d.limit(0)).collect() == []
+
+
+def test_dashboard_is_released(spark):
+    from marketlake import catalog
+    from marketlake.plans import fixtures as fx
+    from marketlake.plans.dashboard import build_dashboard
+    base = "/root/testdata/sf0.001"
+    with build_dashboard(spark, fx.source_manifest(spark, base), fx.cleaned_manifest(spark, base),
+                         catalog.catalogue_frame(spark), "2001-08-03") as dash:
+        source, cleaned = inv.summarize_source_by_item(dash["source_detail"]), inv.summarize_cleaned_by_item(dash["cleaned_detail"])
+        for name, want in (("source_item_summary", source), ("cleaned_item_summary", cleaned),
+                           ("schema_item_summary", inv.schema_count_by_item(dash["cleaned_detail"]))):
+            assert sorted(map(tuple, dash[name].select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+        folder = dash.folder.removeprefix("file:")
+        assert os.path.isdir(folder)
+    assert not dash and not os.path.exists(folder)
+
+
+def test_reasons_in_first_seen_order(spark):
+    rows = [("2024-01-02", "x", [("b", 1), ("a", 2)]), ("2024-01-01", "x", [("c", 5)]), ("2024-01-02", "x", [("d", 0), ("b", 3)]), ("2024-01-01", "y", [(None, 1)])]
+    cells = spark.createDataFrame(rows, "date string, item string, errors array<struct<error_reason:string,seq:int>>").withColumn("date", F.to_date("date"))
+    flat = inv.flatten_error_log(cells, order_field="seq")
+    got = {r.item: (r.reasons, r.n_errors, r.n_more_reasons) for r in inv.error_profile_by_item(flat).collect()}
+    assert got == {"x": (["c", "d", "b", "a"], 5, 0), "y": (["unknown"], 1, 0)}
+    few = {r.item: (r.reasons, r.n_errors, r.n_more_reasons) for r in inv.error_profile_by_item(flat, max_reasons=2).collect()}
+    assert few["x"] == (["c", "d"], 5, 2)
