@@ -160,6 +160,28 @@ def monthly_documents(spark: SparkSession, base: str, number: int) -> DataFrame:
     return docs.select(F.lit(MONTHLY_ITEM).alias("item"), name.alias("source_file"), F.to_json(body).alias("json"))
 
 
+# F3e: documents of an old layout.  Fixed values: dataset, sub-table and raw header.
+OLD_ITEM, OLD_TABLE = "orders_old", "舊制彙總"
+OLD_HEADER_RAW = ["證券代號", "金額", "金額", "漲跌(+/-)", "舊</br>名"]
+
+
+def old_layout_documents(spark: SparkSession, base: str) -> DataFrame:
+    """Documents per (order date, page) whose only table is ``fields5`` / ``data5``: a repeated name, a column that
+    is dropped, one that the dataset renames; rows with a surplus cell, and short ones (orders in status P)."""
+    o = read_table(spark, base, "orders")
+    cells = [F.col("o_orderkey").cast("string"), _commas(F.col("o_totalprice"), 2), F.col("o_custkey").cast("string"), F.lit("+")]
+    row = F.when(F.col("o_orderstatus") == "P", F.array(*cells)).otherwise(F.array(*cells, F.col("o_orderstatus"), F.lit("surplus")))
+    docs = (o.select(F.to_date("o_orderdate").alias("d"), F.floor(F.col("o_orderkey") / F.lit(DOC_PAGE_ORDERS)).cast("bigint").alias("page"),
+                     F.struct("o_orderkey", row.alias("row")).alias("r"))
+            .groupBy("d", "page").agg(F.sort_array(F.collect_list("r")).alias("rows")))
+    ymd = F.date_format("d", "yyyyMMdd")
+    body = F.struct(F.concat(ymd, F.lit(" " + OLD_TABLE)).alias("subtitle5"), F.array(*map(F.lit, OLD_HEADER_RAW)).alias("fields5"),
+                    F.transform("rows", lambda x: x["row"]).alias("data5"),
+                    F.struct(F.struct(ymd.alias("date")).alias("payload")).alias("crawlerdic"))
+    return docs.select(F.lit(OLD_ITEM).alias("item"), F.concat(F.lit(f"source/{OLD_ITEM}/"), ymd, F.lit("_p"), F.col("page").cast("string"),
+                                                              F.lit(".json")).alias("source_file"), F.to_json(body).alias("json"))
+
+
 # F4 ----------------------------------------------------------------------
 def source_manifest(spark: SparkSession, base: str, gaps: bool = False) -> DataFrame:
     """Source file list: one landed file per order, grouped by priority.

@@ -211,3 +211,10 @@ FROM events GROUP BY 1, 2""")
 def q3_cast_to_declared(spark, base):
     """The panel migrated to the declared types (missing columns added as NULL)."""
     return cal.cast_to_declared(fx.entity_day_panel(spark, base), DECLARED_PANEL)
+
+
+@register("q2_renamed_label", f"""WITH {LOG_CTE}
+SELECT CASE WHEN label = '2024/01/05' THEN '2023-12-31' ELSE label END AS label, item, status FROM lg""")
+def q2_renamed_label(spark, base):
+    """A slashed label gets a key that no row bears yet."""
+    return cal.rename_label(fx.raw_status_log(spark, base), "2024/01/05", "2023-12-31").select("label", "item", "status")

@@ -209,3 +209,40 @@ def x4_grouped_header(spark, base):
     res = clean_documents(docs, catalog.catalogue_frame(spark), {fx.MARGIN_SUBTITLE: spec},
                           global_rename=catalog.GLOBAL_RENAME)
     return res.tables[fx.MARGIN_ITEM, fx.MARGIN_SUBTITLE].select(*_MARGIN_COLS)
+
+
+def _margin_clean(spark, base, pk):
+    docs = docsrc.documents_from_text(fx.grouped_header_docs(spark, base))
+    num = [c for c in _MARGIN_COLS if c.startswith(("融資_", "融券_"))]
+    spec = ig.TableSpec(item=fx.MARGIN_ITEM, subitem=fx.MARGIN_SUBTITLE, float_cols=num,
+                        spans=catalog.FIELD_SPANS[fx.MARGIN_SUBTITLE], pk=pk)
+    res = clean_documents(docs, catalog.catalogue_frame(spark), {fx.MARGIN_SUBTITLE: spec})
+    return res.tables[fx.MARGIN_ITEM, fx.MARGIN_SUBTITLE]
+
+
+@register("x4_grouped_header_keyed", """
+WITH l AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY CAST(l_shipdate AS DATE) DESC,
+             CAST(l_quantity AS VARCHAR) DESC, format('{:,.2f}', l_extendedprice) DESC, CAST(l_discount AS VARCHAR) DESC,
+             CAST(l_tax AS VARCHAR) DESC, CAST(l_partkey AS VARCHAR) DESC, CAST(l_suppkey AS VARCHAR) DESC, l_returnflag DESC) AS rn
+           FROM lineitem)
+SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, CAST(l_orderkey AS VARCHAR) AS "代號", CAST(l_linenumber AS VARCHAR) AS "名稱",
+       l_quantity AS "融資_買進", l_extendedprice AS "融資_賣出", l_extendedprice AS "融券_今日餘額", l_returnflag AS "資券互抵" FROM l WHERE rn = 1""")
+def x4_grouped_header_keyed(spark, base):
+    """The grouped header under the key of its rows: the last document's, and in it the last, row of a key stays."""
+    t = _margin_clean(spark, base, ["代號", "名稱"])
+    return t.select("date", "代號", "名稱", "融資_買進", "融資_賣出", "融券_今日餘額", "資券互抵")
+
+
+@register("p_old_layout", """
+SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, CAST(o_orderkey AS VARCHAR) AS "代號", o_totalprice AS "金額",
+       o_custkey AS "金額__2", CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS "新名",
+       'date,代號,金額,金額__2,新名' AS column_order FROM orders""")
+def p_old_layout(spark, base):
+    """Documents of an old layout: high-numbered table found by the legacy scan, repeated name repaired, shipped
+    column dropped, dataset rename, surplus cells unread and missing ones null, key columns in front."""
+    spec = ig.TableSpec(item=fx.OLD_ITEM, subitem=fx.OLD_TABLE, rename={"舊名": "新名"}, float_cols=["金額"], int_cols=["金額__2"])
+    cat = catalog.catalogue_frame(spark, [(fx.OLD_ITEM, "D", "1992-01-01", [fx.OLD_TABLE], "X")])
+    docs = docsrc.documents_from_text(fx.old_layout_documents(spark, base))
+    t = clean_documents(docs, cat, {fx.OLD_TABLE: spec}).tables[fx.OLD_ITEM, fx.OLD_TABLE]
+    body = t.drop("item", "source_file", "date_key", "subitem", "container", "block_k", "row_pos")
+    return body.withColumn("column_order", F.lit(",".join(body.columns)))
