@@ -162,6 +162,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int =
     """At most ``rows`` labelled documents that are not held out, one of each id: doc_id, label, text, n_chars."""
     votes = (labels.select(F.col("doc_id"), col(label).cast("double").alias("label"))
              .where(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+             .join(docs.select("doc_id"), "doc_id", "left_semi")  # the bound is one of documents, not of labels
              .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label")))
     rank = F.xxhash64(F.lit(SEED), "doc_id")
     usable = votes.count()
