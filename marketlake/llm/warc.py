@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer and reader.
 
 Records are sorted by page id into shards of about SHARD_BYTES, whose borders
-come from an exact histogram of ids (bins that are too heavy are divided again),
+come from an exact histogram of ids (ranges that are too heavy are divided again),
 so the same table always gives the same files.  Every record is a gzip member
 with regenerated headers and digests; a file is rolled when its compressed size
 reaches ROLL_BYTES.  Tasks write under temporary names of their own attempt and
@@ -33,7 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -160,35 +160,39 @@ def _committer(folder: str):
 
 
 def shard_borders(narrow: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[int]:
-    """First page id of every shard but the first, from exact weights of id ranges."""
-    weight = F.col("n_bytes") + RECORD_OVERHEAD
+    """First page id of every shard but the first, from exact weights of id ranges.
+
+    Ids fall into BINS equal ranges; ranges heavier than a shard are divided again, all of them in one
+    join on the range's first id.  Weights are summed up over the ranges where they lie; only
+    the borders reach the driver.
+    """
+    weight = (F.col("n_bytes") + RECORD_OVERHEAD).alias("weight")
     low, high, total = narrow.agg(F.min("page_id"), F.max("page_id"), F.sum(weight)).first()
     if low is None:
         return []
-    target = max(shard_bytes, -(-total // MAX_SHARDS))
-    ranges, final = [(low, high)], []
-    while ranges:
-        cut = [(a, max(1, -(-(z - a + 1) // BINS)), z) for a, z in ranges]
-        table = narrow.sparkSession.createDataFrame([(i, a, w, z) for i, (a, w, z) in enumerate(cut)],
-                                                    "i int, a long, w long, z long")
-        inside = narrow.join(F.broadcast(table), F.col("page_id").between(F.col("a"), F.col("z"))) if len(cut) > 1 else \
-            narrow.where(F.col("page_id").between(cut[0][0], cut[0][2])).crossJoin(F.broadcast(table))
-        bins = inside.groupBy("i", F.expr("(page_id - a) div w").alias("bin")).agg(F.sum(weight).alias("weight")).collect()
-        ranges = []
-        for r in bins:
-            a, w, z = cut[r["i"]]
-            begin = a + r["bin"] * w
-            if r["weight"] > target and w > 1:
-                ranges.append((begin, min(z, begin + w - 1)))
-            else:
-                final.append((begin, r["weight"]))
-    borders, filled = [], 0
-    for begin, weight in sorted(final):
-        if filled and filled + weight > target:
-            borders.append(begin)
-            filled = 0
-        filled += weight
-    return borders
+    target, width = max(shard_bytes, -(-total // MAX_SHARDS)), high - low + 1
+    live = narrow.where(F.col("page_id").isNotNull()).select("page_id", weight, F.lit(low).cast("long").alias("begin"))
+    ranges = None
+    while True:
+        width = max(1, -(-width // BINS))
+        live = live.withColumn("begin", F.col("begin") + F.expr(f"((page_id - begin) div {width})") * width)
+        bins = stored(live.groupBy("begin").agg(F.sum("weight").alias("weight")), "warc-bins")
+        heavy = bins.where(F.col("weight") > target)
+        done = width == 1 or heavy.isEmpty()
+        found = bins if done else bins.where(F.col("weight") <= target)
+        ranges = found if ranges is None else ranges.unionByName(found)
+        if done:
+            break
+        live = live.join(heavy.select("begin"), "begin", "left_semi")
+    placed = stored(ranges.repartitionByRange("begin").sortWithinPartitions("begin")
+                    .withColumn("place", F.monotonically_increasing_id()), "warc-ranges").withColumn("task", F.shiftright("place", 33))
+    earlier = lambda w: F.coalesce(F.sum("weight").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    tasks = placed.groupBy("task").agg(F.sum("weight").alias("weight"))  # a row a task
+    tasks = tasks.select("task", earlier(Window.partitionBy(F.lit(0)).orderBy("task")).alias("before"))
+    summed = placed.withColumn("inside", earlier(Window.partitionBy("task").orderBy("place"))).join(tasks, "task")
+    shard = F.floor((F.col("before") + F.col("inside")) / target)
+    first = summed.groupBy(shard.alias("shard")).agg(F.min("begin").alias("begin"))
+    return sorted(r.begin for r in first.select("begin").collect())[1:]
 
 
 def _shard_udf(borders: list[int]):
