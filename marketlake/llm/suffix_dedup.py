@@ -348,14 +348,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     long_ones = d.where(F.octet_length("body") >= LENGTH).select("a", "b", "body")
     runs = stored(long_ones.mapInPandas(_emit_runs, RUNS), "runs")
     again = runs.groupBy("key").agg(F.sum("seen").alias("seen")).where("seen > 1").select("key")
-    runs = stored(runs.join(again, "key", "left_semi"), "candidates")
-    texts = runs.groupBy("key", "seg", "n").agg(F.count("*").alias("copies"), F.max("seen").alias("seen"))
+    # the runs of equal rows (same id and text) stand once, with the number of the rows
+    equal = stored(long_ones.groupBy("a", "b").agg(F.count("*").alias("rows")).where("rows > 1"), "equal")
+    told_again = runs.join(again, "key", "left_semi").join(equal.select("a", "b"), ["a", "b"], "left_semi")
+    names = runs.columns
+    told_again = told_again.groupBy(*names).agg(F.count("*").alias("times"))
+    alone = runs.join(again, "key", "left_semi").join(equal.select("a", "b"), ["a", "b"], "left_anti")
+    runs = stored(alone.withColumn("times", F.lit(1).cast("long")).unionByName(told_again), "candidates")
+    texts = runs.groupBy("key", "seg", "n").agg(F.sum("times").alias("copies"), F.max("seen").alias("seen"))
     keys = texts.groupBy("key").agg(
         F.count("*").alias("different"), F.sum(F.col("n") + LENGTH - 1).alias("bytes"),
         F.max((F.col("copies") == 1).cast("int")).alias("any_single"), F.max("seen").alias("any_seen"))
     keys = keys.select("key", F.when((F.col("any_single") == 1) & ((F.col("different") > 1) | (F.col("any_seen") > 1)),
                                      F.when(F.col("bytes") > HOT_BYTES, 2).otherwise(1)).otherwise(0).alias("kind"))
-    told = runs.join(texts.select("key", "seg", "n", "copies"), ["key", "seg", "n"]).join(keys, "key")
+    told = runs.drop("times").join(texts.select("key", "seg", "n", "copies"), ["key", "seg", "n"]).join(keys, "key")
     # 0: repeats as a whole; 1, 2: to be sorted or counted.  Of a repeated text one run goes along for the others
     told = stored(told.where("copies > 1 or kind > 0"), "told")
     first = told.where("copies > 1 and kind > 0").groupBy("key", "seg", "n", "kind").agg(
@@ -372,8 +378,12 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     half = stored(joined.select(
         "doc_id", "a", "b", F.octet_length("body").cast("long").alias("n_bytes"),
         _cut_udf(keep_bytes)(now, "starts", "stops").alias("done"), F.when(F.col("waits"), F.col("body")).alias("body"),
-        "starts", "stops", F.when(F.col("waits"), F.col("runs")).alias("runs")), "half")
-    waiting = half.where("body is not null").select(
+        "starts", "stops", F.when(F.col("waits"), F.col("runs")).alias("runs"), F.monotonically_increasing_id().alias("row_no")), "half")
+    # of equal rows one goes to the suffix arrays, for all of them
+    kept = half.where("body is not null").join(equal.select("a", "b"), ["a", "b"], "left_semi").select("a", "b", "row_no")
+    least = kept.groupBy("a", "b").agg(F.min("row_no").alias("least"))
+    others = kept.join(least, ["a", "b"]).where("row_no > least").select("row_no")
+    waiting = half.where("body is not null").join(others, "row_no", "left_anti").select(
         "a", "b", "body", *[F.expr(f"transform(runs, r -> r.{f})").alias(n)
                             for f, n in (("key", "keys"), ("start", "starts"), ("n", "counts"), ("kind", "kinds"))])
     sorted_ = (waiting.mapInPandas(_emit_segments, SEGMENTS).repartition("key").sortWithinPartitions("key")

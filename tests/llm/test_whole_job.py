@@ -165,3 +165,59 @@ def test_op2_repeated_id_is_one_training_row(spark):
     assert sorted(got) == sorted(quality_fm.training_sample(docs.repartition(7), labels, "quality").collect())
     assert (hot, got[[r.doc_id for r in got].index(hot)].text) in {r[:2] for r in rows}
     assert quality_fm.training_sample(docs, labels, "quality", rows=10).count() == 10
+
+
+def brute_cut(texts, length=200):
+    """Bytes covered by a string of ``length`` bytes that starts anywhere else, over all rows."""
+    seen = Counter(t[i:i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for t in texts:
+        hit = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i:i + length]] > 1:
+                hit[i:i + length] = b"\x01" * length
+        out.append((len(t), sum(hit), bytes(x for x, h in zip(t, hit) if not h)))
+    return out
+
+
+def test_op9_equal_rows(spark):
+    """Hundreds of equal rows beside rows that share parts of them: every byte as by brute force, in time that follows the rows."""
+    import hashlib
+    import time
+    from marketlake.llm import suffix_dedup
+    rng = random.Random(21)
+    prose = prose_of(rng)
+    long_text, shared = prose(160), prose(60)
+    rows = [(7, long_text)] * 300 + [(i, f"{prose(40)} {long_text[100 * i:100 * i + 400]} {prose(30)}") for i in range(1, 8)]
+    rows += [(20 + i, f"{prose(50)} {shared} {prose(20)}") for i in range(3)] + [(30, shared + prose(5))] * 40 + [(31, prose(90))]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    want = [(i, n, gone, hashlib.sha256(rest).hexdigest()) for (i, _), (n, gone, rest) in
+            zip(rows, brute_cut([t.encode() for _, t in rows]))]
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in got) == sorted(want)
+    took = {}
+    for name, ids in (("distinct", list(range(800))), ("equal", [1] * 800)):
+        df = spark.createDataFrame([(i, prose_of(random.Random(1))(1200)) for i in ids], "doc_id long, text string")
+        t0 = time.time()
+        assert {r.n_removed for r in suffix_dedup.remove_repeats(df).collect()} == {len(df.first().text)}
+        took[name] = time.time() - t0
+    assert took["equal"] < 3 * took["distinct"] + 5
+
+
+def test_op5_borders_of_many_ranges(spark):
+    from marketlake.llm import warc
+    ids = spark.range(60_000).select((F.col("id") * 37).alias("page_id"), F.lit(1200).cast("long").alias("n_bytes"))
+    skewed = ids.unionByName(ids.limit(3000).withColumn("page_id", F.col("page_id") % 11 + 10 ** 12))
+    borders = warc.shard_borders(skewed.unionByName(spark.createDataFrame([(None, 5)], skewed.schema)), 20_000)
+    weights = Counter()
+    for r in skewed.collect():
+        weights[np.searchsorted(borders, r.page_id, side="right")] += r.n_bytes + warc.RECORD_OVERHEAD
+    assert borders == sorted(set(borders)) and len(borders) > 5000
+    assert all(w <= 40_000 for k, w in weights.items() if k < len(borders) - 12)  # an id of its own cannot be divided
+    assert warc.shard_borders(ids.limit(0)) == []
+
+
+def test_op2_sample_holds_documents_only(spark):
+    docs = spark.createDataFrame([(i, f"text number {i}", 10) for i in range(60)], "doc_id long, text string, n_chars long")
+    labels = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    ids = {r.doc_id for r in quality_fm.training_sample(docs, labels, "quality", rows=100).collect()}
+    assert ids == {i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1}
