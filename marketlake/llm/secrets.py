@@ -61,30 +61,55 @@ REFUSE_Z = 3.29
 GRID = 50
 MAX_BIN = 1000
 MARK = "[SECRET]"
+#: items of an array that are folded together
+BLOCK = 128
 
 
 def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def _blocks(items: Column) -> Column:
+    """An array in stretches of BLOCK items."""
+    starts = F.when(F.size(items) > 0, F.sequence(F.lit(1), F.size(items), F.lit(BLOCK)))
+    return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.slice(items, i, BLOCK))
+
+
+def _before(items: Column, zero: Column, join) -> Column:
+    """For each item the join of all before it (``zero`` before the first); ``join`` is associative.
+
+    Within blocks first, then over the blocks: an array that grows by one item is copied BLOCK times at most
+    per item, instead of once for every item of the text.
+    """
+    empty = F.slice(F.array(zero), 1, 0)
+
+    def fold(values: Column, value) -> Column:
+        return F.aggregate(values, F.struct(zero.alias("at"), empty.alias("out")), lambda s, x: F.struct(
+            join(s["at"], value(x)).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")))
+
+    def over(folded: Column) -> Column:
+        outer = fold(folded, lambda f: f["at"])["out"]
+        return F.flatten(F.zip_with(folded, outer, lambda f, o: F.transform(f["out"], lambda v: join(o, v))))
+    return _let(F.transform(_blocks(items), lambda block: fold(block, lambda x: x)), over)
+
+
 def _spans(text: Column, pattern: str, group: int | None = None, least: int = 0) -> Column:
     """array<struct<start,end,token>> of all matches; ``least``: code points of the group, else dropped."""
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
                          F.regexp_extract_all(text, F.lit(pattern), F.lit(group or 0)).alias("value"))
-    empty = F.array().cast("array<struct<start:bigint,end:bigint,token:string>>")
+    # the last gap has no hit after it
+    sizes = F.transform(F.filter(found, lambda x: x["hit"].isNotNull()), lambda x: F.struct(
+        F.length(x["gap"]).cast("long").alias("gap"), F.length(x["hit"]).cast("long").alias("long"), x["hit"].alias("hit"),
+        (F.length(x["value"]) >= least).alias("kept")))
 
-    def step(s: Column, x: Column) -> Column:
-        begin = s["at"] + F.length(x["gap"])
-        end = begin + F.length(x["hit"])
-        span = F.struct(begin.alias("start"), end.alias("end"), x["hit"].alias("token"))
-        return F.struct(end.alias("at"),
-                        F.when(F.length(x["value"]) >= least, F.concat(s["out"], F.array(span))).otherwise(s["out"])
-                        .alias("out"))
+    def placed(hits: Column) -> Column:
+        before = _before(F.transform(hits, lambda h: h["gap"] + h["long"]), F.lit(0).cast("long"), lambda a, b: a + b)
+        return F.zip_with(hits, before, lambda h, at: F.struct(
+            (at + h["gap"]).alias("start"), (at + h["gap"] + h["long"]).alias("end"), h["hit"].alias("token"), h["kept"].alias("kept")))
 
-    # the last gap has no hit after it
-    return F.aggregate(F.filter(found, lambda x: x["hit"].isNotNull()),
-                       F.struct(F.lit(0).cast("long").alias("at"), empty.alias("out")), step, lambda s: s["out"])
+    kept = F.filter(_let(sizes, placed), lambda x: x["kept"])
+    return F.transform(kept, lambda x: F.struct(x["start"], x["end"], x["token"]))
 
 
 def _lower_tail(z: Column) -> Column:
@@ -176,6 +201,36 @@ def _thresholds(runs: DataFrame) -> DataFrame:
     return least.agg(F.map_from_entries(F.collect_list(F.struct("size", "bin"))).alias("threshold"))
 
 
+def _apart(runs: Column, base: Column) -> Column:
+    """The runs that overlap no base span."""
+    far = F.lit((1 << 62) - 1)
+    event = lambda x, kind: F.struct(x["start"].cast("long").alias("start"), F.lit(kind).alias("kind"), x["end"].cast("long").alias("end"))
+    # by start, base spans first: a run meets an earlier span that ends after its start, or a later one that starts before its end
+    events = F.array_sort(F.concat(F.transform(base, lambda b: event(b, 0)), F.transform(runs, lambda r: event(r, 1))))
+
+    def judged(e: Column) -> Column:
+        reach = _before(F.transform(e, lambda x: F.when(x["kind"] == 0, x["end"]).otherwise(F.lit(-1).cast("long"))), F.lit(-1).cast("long"), F.greatest)
+        ahead = F.reverse(_before(F.reverse(F.transform(e, lambda x: F.when(x["kind"] == 0, x["start"]).otherwise(far))), far, F.least))
+        told = F.zip_with(e, F.arrays_zip(reach.alias("reach"), ahead.alias("ahead")), lambda x, o: F.struct(
+            x.alias("x"), (o["reach"] > x["start"]).alias("earlier"), (o["ahead"] < x["end"]).alias("later")))
+        free = F.filter(told, lambda t: (t["x"]["kind"] == 1) & ~t["earlier"] & ~t["later"])
+        return F.transform(free, lambda t: F.struct(t["x"]["start"].alias("start"), t["x"]["end"].alias("end")))
+
+    return F.when(F.size(runs) == 0, runs).when(F.size(base) == 0, runs).otherwise(_let(events, judged))
+
+
+def _longest(runs: Column) -> Column:
+    """The runs (all different) that lie in no other."""
+    by_start = F.array_sort(F.transform(runs, lambda r: F.struct(r["start"].alias("start"), (-r["end"]).alias("back"))))
+
+    def outer(e: Column) -> Column:
+        reach = _before(F.transform(e, lambda x: -x["back"]), F.lit(-1).cast("long"), F.greatest)
+        told = F.zip_with(e, reach, lambda x, r: F.struct(x["start"].alias("start"), (-x["back"]).alias("end"), (r >= -x["back"]).alias("inside")))
+        return F.transform(F.filter(told, lambda t: ~t["inside"]), lambda t: F.struct(t["start"], t["end"]))
+
+    return F.when(F.size(runs) < 2, runs).otherwise(_let(by_start, outer))
+
+
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_row: bool = False) -> DataFrame:
     """One row per document: doc_id, base and spans (array<struct<start,kind,end>>, sorted), n_assign, n_access, n_hex.
 
@@ -188,7 +243,8 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
         "assign": F.when(F.col("t").rlike(ASSIGN_HEAD), _spans(F.col("t"), ASSIGN, 2, ASSIGN_VALUE)).otherwise(none),
         "access": F.when(F.col("t").contains("AKIA"), _spans(F.col("t"), ACCESS)).otherwise(none),
         "hex": F.when(F.col("t").rlike(HEX), _spans(F.col("t"), HEX)).otherwise(none),
-        "run": F.array_union(*[F.when(F.col("t").rlike(run), _spans(F.col("t"), run)).otherwise(none) for run in RUNS])})
+        "run": _let(F.array_sort(F.concat(*[F.when(F.col("t").rlike(run), _spans(F.col("t"), run)).otherwise(none) for run in RUNS])),
+                    lambda runs: F.filter(runs, lambda r, i: (i == 0) | (F.get(runs, i - 1) != r)))})
     bare = [_of_kind(F.col(k), i) for i, k in enumerate(KINDS[:3])]
     d = d.select(*(["row"] if keep_row else []), "doc_id",
                  *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
@@ -197,10 +253,8 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ke
     d = stored(d, "secrets")
     limits = _thresholds(d.select(F.explode("run").alias("r")).select("r.size", "r.bin"))
     d = d.crossJoin(F.broadcast(limits))
-    found = F.filter("run", lambda r: (r["bin"] >= F.coalesce(F.try_element_at("threshold", r["size"]), F.lit(MAX_BIN + 1)))
-                     & ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    added = _let(found, lambda f: F.filter(f, lambda r: ~F.exists(f, lambda o: (
-        o["start"] <= r["start"]) & (o["end"] >= r["end"]) & (o["end"] - o["start"] > r["end"] - r["start"]))))
+    found = F.filter("run", lambda r: r["bin"] >= F.coalesce(F.try_element_at("threshold", r["size"]), F.lit(MAX_BIN + 1)))
+    added = _let(_apart(F.transform(found, lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end"))), F.col("base")), _longest)
     return d.withColumn("spans", F.array_sort(F.concat("base", _of_kind(added, 3)))).drop("run", "threshold")
 
 
@@ -212,16 +266,20 @@ def joined(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with every maximal stretch of spans replaced by a mark."""
-    def step(s: Column, x: Column) -> Column:
-        fresh = x["start"] >= s["at"]
-        return F.struct(
-            F.greatest(s["at"], x["end"]).alias("at"),
-            F.when(fresh, F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), (x["start"] - s["at"]).cast("int")),
-                                   F.lit(MARK))).otherwise(s["out"]).alias("out"))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(
-        spans, start, step, lambda s: F.concat(s["out"], F.substring(text, (s["at"] + 1).cast("int"), F.length(text)))))
+    """The text with every maximal stretch of spans (sorted by start) replaced by a mark."""
+    def cut(marks: Column) -> Column:
+        def of_block(block: Column) -> Column:  # its stretch of the text is cut out once
+            begin = block[0]["covered"]
+            stretch = F.substring(text, (begin + 1).cast("int"), (F.element_at(block, -1)["start"] - begin).cast("int"))
+            fresh = F.filter(block, lambda m: m["start"] >= m["covered"])
+            return _let(stretch, lambda t: F.array_join(F.transform(fresh, lambda m: F.concat(F.substring(
+                t, (m["covered"] - begin + 1).cast("int"), (m["start"] - m["covered"]).cast("int")), F.lit(MARK))), ""))
+        rest = F.array_max(F.transform(spans, lambda x: x["end"]))
+        return F.concat(F.array_join(F.transform(_blocks(marks), of_block), ""), F.substring(text, (rest + 1).cast("int"), F.length(text)))
+
+    covered = _before(F.transform(spans, lambda x: x["end"].cast("long")), F.lit(0).cast("long"), F.greatest)
+    marks = F.zip_with(spans, covered, lambda x, c: F.struct(x["start"].cast("long").alias("start"), c.alias("covered")))
+    return F.when(F.size(spans) == 0, text).otherwise(_let(marks, cut))
 
 
 def redact_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:

@@ -221,3 +221,41 @@ def test_op2_sample_holds_documents_only(spark):
     labels = spark.range(50_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
     ids = {r.doc_id for r in quality_fm.training_sample(docs, labels, "quality", rows=100).collect()}
     assert ids == {i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1}
+
+
+@pytest.mark.parametrize("block", [3, 128])
+def test_op4_rules_of_spans(spark, monkeypatch, block):
+    """Runs beside base spans and within each other, and redaction, against plain loops."""
+    monkeypatch.setattr(secrets, "BLOCK", block)
+    rng, rows = random.Random(5), []
+    for i in range(300):
+        base = sorted({(a, rng.randrange(3), a + rng.randrange(1, 9)) for a in rng.choices(range(200), k=rng.randrange(0, 20))})
+        runs = list({(a, a + rng.randrange(1, 14)) for a in rng.choices(range(200), k=rng.randrange(0, 30))})
+        rows.append((i, base, runs, "".join(rng.choices("abcdé🙂 ", k=230))))
+    df = spark.createDataFrame(rows, "i int, base array<struct<start:bigint,kind:int,end:bigint>>, runs array<struct<start:bigint,end:bigint>>, t string")
+    got = df.select("i", secrets._let(secrets._apart(F.col("runs"), F.col("base")), secrets._longest).alias("runs"),
+                    secrets.redact(F.col("t"), F.col("base")).alias("clean")).collect()
+    for r in got:
+        _, base, runs, text = rows[r.i]
+        free = [x for x in runs if not any(b[0] < x[1] and x[0] < b[2] for b in base)]
+        free = [x for x in free if not any(o != x and o[0] <= x[0] and o[1] >= x[1] for o in free)]
+        assert sorted(map(tuple, r.runs)) == sorted(free)
+        out, at = "", 0
+        for a, _, z in base:
+            out += text[at:a] + secrets.MARK if a >= at else ""
+            at = max(at, z)
+        assert r.clean == out + text[at:]
+
+
+def test_op4_many_keys_in_one_text(spark):
+    import time
+    rng = random.Random(6)
+    texts = {n: " ".join("".join(rng.choices(string.ascii_letters + string.digits, k=40)) for _ in range(n)) for n in (1000, 6000, 24000)}
+    took = {}
+    for n, text in texts.items():
+        t0 = time.time()
+        (row,) = secrets.scan_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+        took[n] = time.time() - t0
+        starts = [s.start for s in row.spans]
+        assert len(starts) > .97 * n and starts == sorted(starts) and all(s % 41 == 0 for s in starts)
+    assert took[24000] < 4 * took[6000] + 5
