@@ -108,7 +108,7 @@ def align_pair_ranked(df: DataFrame, pair: DataFrame, value_col: str, mode: str
 
     Only the pair's rows enter the lag; the two sides meet in one aggregation
     by date (each code has one row a date)."""
-    side = F.broadcast(pair.select(F.explode(F.array(
+    side = F.broadcast(pair.limit(1).select(F.explode(F.array(
         F.struct(F.lit("a").alias("side"), F.col("a_code").alias("code")),
         F.struct(F.lit("b").alias("side"), F.col("b_code").alias("code")))).alias("s")).select("s.*"))
     codes = side.groupBy("code").agg(F.collect_list("side").alias("sides"))
@@ -227,7 +227,7 @@ def match_reference_period(df: DataFrame, value_col: str, ref_start, ref_end, st
 def compare_threshold_dates(df: DataFrame, value_col: str, codes: DataFrame, threshold, start_date,
                             direction: str = "forward") -> DataFrame:
     """W4 for several entities in one plan; one row per entity."""
-    sub = df.join(F.broadcast(codes.select("code")), "code", "left_semi")
+    sub = df.join(codes.select("code"), "code", "left_semi")  # any number of codes
     return cumulative_to_threshold(sub, value_col, start_date, threshold, None, direction, entities=codes)
 
 

@@ -19,8 +19,8 @@ def build_security_master(pages: DataFrame, rename: dict | None = None, slices:
     """S6 -> P1 rename -> N2 (U+3000 removed from every cell) -> N11 code
     slice by market model -> one frame for every model.
 
-    Output columns are the renamed listing headers (discovered from the
-    distinct header lists: schema metadata) plus model, 代號, page_id, row_no.
+    Output columns are the renamed listing headers (only their distinct names reach the
+    driver, in the order of the least header that has them) plus model, 代號, page_id, row_no.
     """
     rename = catalog.GLOBAL_RENAME if rename is None else rename
     slices = catalog.ISIN_CODE_SLICE if slices is None else slices
@@ -30,8 +30,9 @@ def build_security_master(pages: DataFrame, rename: dict | None = None, slices:
     parsed.write.parquet(path)
     rows = pages.sparkSession.read.schema(parsed.schema).parquet(path)
     rows = rows.withColumn("header", F.transform("header", lambda h: F.coalesce(F.try_element_at(_map(rename), h), h)))
-    headers = [list(r["header"]) for r in rows.select("header").distinct().collect()]
-    names = list(dict.fromkeys(c for h in sorted(headers) for c in h))
+    places = rows.select("header").distinct().select("header", F.posexplode("header").alias("at", "name"))
+    first = places.groupBy("name").agg(F.min(F.struct("header", "at")).alias("first"))
+    names = [r["name"] for r in first.orderBy("first").select("name").collect()]
     cells = [S.strip_ideographic_space(F.get(F.col("cells"), F.array_position("header", F.lit(c)).cast("int") - 1)).alias(c)
              for c in names]
     model = F.regexp_extract("url", r"strMode=(\d+)", 1).try_cast("int")

@@ -206,3 +206,19 @@ def test_monthly_documents_overlap(spark):
     base = "/root/testdata/sf0.001"
     assert len(fx.MONTHLY_ROUNDS) == 3 and fx.monthly_documents(spark, base, 1).count() > 0
     assert "st2_stream_late_monthly" in q_extras.__dict__
+
+
+def test_a_key_moves_in_a_stream(spark, tmpdir_path):
+    import json
+    from marketlake.operators.ingest import TableSpec
+    spec = {"Quotes": TableSpec(item="q", subitem="Quotes", float_cols=["v"], pk=["代號"])}
+    args = f"{tmpdir_path}/land", f"{tmpdir_path}/t", f"{tmpdir_path}/ckpt", [("q", "daily", "2020-01-01", ["Quotes"], "Q")], spec
+    for name, date, rows in (("f1", "20231231", [["a", "1"], ["b", "2"]]), ("f2", "20240101", [["a", "3"]]), ("f3", "20240102", [["b", "4"]])):
+        doc = {"title": "Quotes", "fields": ["證券代號", "v"], "data": rows, "crawlerdic": {"payload": {"date": date}}}
+        spark.createDataFrame([("q", name, json.dumps(doc))], "item string, source_file string, json string").write.mode("append").parquet(args[0])
+        start_ingest_stream(spark, *args).awaitTermination()
+        if name == "f2":
+            assert sorted(os.path.basename(b) for b in glob.glob(f"{args[1]}/q/Quotes/bucket=*")) == ["bucket=2023", "bucket=2024"]
+    t = spark.read.parquet(f"{args[1]}/q/Quotes")
+    assert sorted((r["代號"], str(r.date), r.v) for r in t.collect()) == [("a", "2024-01-01", 3.0), ("b", "2024-01-02", 4.0)]
+    assert [os.path.basename(b) for b in glob.glob(f"{args[1]}/q/Quotes/bucket=*")] == ["bucket=2024"]
