@@ -10,7 +10,7 @@ from __future__ import annotations
 import sys
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,7 +52,7 @@ def strip_ideographic_space(c) -> Column:
 # N3 ----------------------------------------------------------------------
 def parse_number(c, target: str = "double") -> Column:
     """Tolerant numeric parse: thousands commas removed, unparsable -> NULL."""
-    txt = F.regexp_replace(_c(c).cast("string"), ",", "")
+    txt = F.replace(_c(c).cast("string"), F.lit(","), F.lit(""))
     if target in ("bigint", "long", "int", "integer"):
         # integers may arrive as "1,234.0": go through decimal so the value is kept exactly
         return F.when(txt.rlike(r"^\s*[+-]?\d+(\.0*)?\s*$"),
@@ -195,10 +195,12 @@ def is_valid_key(c) -> Column:
 
 
 # N15 ---------------------------------------------------------------------
-@F.pandas_udf(T.StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    """Unicode NFKC normalisation (no Spark built-in); apply to distinct values."""
-    return s.map(lambda v: unicodedata.normalize("NFKC", v) if isinstance(v, str) else None)
+@F.arrow_udf(T.StringType())
+def nfkc(s: pa.Array) -> pa.Array:
+    """Unicode NFKC normalisation (no Spark built-in); a batch of nulls only is passed on."""
+    if s.null_count == len(s):
+        return s
+    return pa.array([None if v is None else unicodedata.normalize("NFKC", v) for v in s.to_pylist()], pa.string())
 
 
 def nfkc_strip(c) -> Column:

@@ -68,7 +68,8 @@ def repaired(names: Column, groups: Sequence[str]) -> Column:
         return F.coalesce(let(let(first, segmented), unique), let(numbered, unique))
 
     ranked = F.transform(names, lambda c, i: F.struct(c.alias("name"), _equal_to(F.slice(names, F.lit(1), i + 1), c).alias("rank")))
-    return let(ranked, lambda r: F.when(F.coalesce(F.array_max(r["rank"]), F.lit(1)) == 1, r["name"]).otherwise(repair(r)))
+    # most headers repeat nothing: they are told by their distinct names, without a rank for every place
+    return F.coalesce(unique(names), let(ranked, repair))
 
 
 def final_names(fields: Column, spans: Sequence[tuple] | None, rename: dict[str, str]) -> Column:

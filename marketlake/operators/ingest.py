@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import catalog
 from ..functions import scalars as S
+from ..functions.date_labels import let
 from . import headers
 
 IDS = ["item", "source_file", "date_key"]
@@ -63,8 +64,12 @@ def raise_first_error(errors: DataFrame) -> None:
 # X1 / X2 / X5 -------------------------------------------------------------
 # All block logic runs inside each document row with higher-order functions:
 # no shuffle regroups document content, whatever the number of documents.
-_BLOCK_ARRAY = ("array<struct<container:int,kind:string,k:bigint,title:variant,fields:variant,data:variant,"
-                "groups:variant,notes:variant>>")
+# Values are read from the VARIANT where the block is built: as columns after the explode they
+# would be read again by every filter that is pushed below them.
+ROLE_TYPES = {"title": "string", "fields": "array<string>", "data": "array<array<string>>", "groups": "string",
+              "notes": "string"}
+_BLOCK_ARRAY = ("array<struct<container:int,kind:string,k:bigint,"
+                + ",".join(f"{role}:{kind}" for role, kind in ROLE_TYPES.items()) + ">>")
 
 
 def _no_blocks() -> Column:
@@ -77,16 +82,15 @@ def _suffix_numbers(m: Column, pattern: str, bare: int | None = None) -> Column:
     found = F.transform(F.filter(F.map_keys(m), lambda x: x.rlike(pattern)),
                         lambda x: F.regexp_extract(x, pattern, 1))
     numbers = F.transform(found, lambda x: F.when(x == "", F.lit(bare).cast("bigint")).otherwise(x.try_cast("bigint")))
-    return F.array_sort(F.array_distinct(F.filter(numbers, lambda k: k.isNotNull())))
+    return F.sort_array(F.array_distinct(F.filter(numbers, lambda k: k.isNotNull())))
 
 
 def _main_block_keys(m: Column) -> Column:
     """Numbers of the main blocks: 0 and 1 may be missing, from 2 on the
     numbering stops at the first gap (the n-th number from 2 on must be n + 2)."""
     aliases = [a for names in catalog.MAIN_BLOCK_ALIASES.values() for a in names]
-    ks = _suffix_numbers(m, "^(?:" + "|".join(aliases) + ")([1-9][0-9]*|)$", bare=0)
-    return F.concat(F.filter(ks, lambda k: k < 2),
-                    F.filter(F.filter(ks, lambda k: k >= 2), lambda k, i: k == i + 2))
+    return let(_suffix_numbers(m, "^(?:" + "|".join(aliases) + ")([1-9][0-9]*|)$", bare=0), lambda ks: F.concat(
+        F.filter(ks, lambda k: k < 2), F.filter(F.filter(ks, lambda k: k >= 2), lambda k, i: k == i + 2)))
 
 
 def _block(m: Column, container: Column, kind: str, k: Column, aliases: dict, suffix: Column) -> Column:
@@ -94,8 +98,8 @@ def _block(m: Column, container: Column, kind: str, k: Column, aliases: dict, su
         names = aliases.get(role, [])
         vals = [F.try_element_at(m, F.concat(F.lit(a), suffix)) for a in names]
         if not vals:
-            return F.lit(None).cast("variant")
-        return F.coalesce(*vals) if len(vals) > 1 else vals[0]
+            return F.lit(None).cast(ROLE_TYPES[role])
+        return F.try_variant_get(F.coalesce(*vals) if len(vals) > 1 else vals[0], "$", ROLE_TYPES[role])
     return F.struct(container.cast("int").alias("container"), F.lit(kind).alias("kind"), k.cast("bigint").alias("k"),
                     *[pick(r).alias(r) for r in ROLES])
 
@@ -114,12 +118,8 @@ def _legacy_blocks(m: Column) -> Column:
     """``fieldsN`` / ``dataN`` / ``subtitleN`` of any number; blocks without fields or data are dropped."""
     blocks = F.transform(_suffix_numbers(m, r"^fields(\d+)$"), lambda i: _block(
         m, F.lit(0), KIND_LEGACY, i, {"title": ["subtitle"], "fields": ["fields"], "data": ["data"]}, i.cast("string")))
-    return F.filter(blocks, lambda b: (_length(b["fields"], "array<string>") > 0)
-                    & (_length(b["data"], "array<array<string>>") > 0))
-
-
-def _length(value: Column, kind: str) -> Column:
-    return F.coalesce(F.size(F.try_variant_get(value, "$", kind)), F.lit(0))
+    length = lambda value: F.coalesce(F.size(value), F.lit(0))
+    return F.filter(blocks, lambda b: (length(b["fields"]) > 0) & (length(b["data"]) > 0))
 
 
 def _with_maps(docs: DataFrame, *extra: str) -> DataFrame:
@@ -134,7 +134,7 @@ def _with_maps(docs: DataFrame, *extra: str) -> DataFrame:
 
 
 def block_array(m: Column, tabs: Column) -> Column:
-    """X1 + X2 for one document: array of raw blocks (VARIANT payloads)."""
+    """X1 + X2 for one document: array of blocks."""
     nested = F.flatten(F.transform(tabs, lambda t, i: _container_blocks(t, i + 1)))
     found = F.array(F.concat(_container_blocks(m, F.lit(0)), nested))  # one element: evaluated once
     return F.when(m.isNull(), _no_blocks()).otherwise(F.transform(
@@ -158,14 +158,7 @@ def extract_subtables(docs: DataFrame, keep_bare: bool = False) -> DataFrame:
     extra = ["is_object"] if keep_bare else []
     d = _with_maps(docs, *extra)
     explode = F.explode_outer if keep_bare else F.explode
-    b = d.select(*IDS, *extra, explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b")).select(*IDS, *extra, "b.*")
-    return b.select(
-        *IDS, *extra, "container", "kind", "k",
-        F.try_variant_get("title", "$", "string").alias("title"),
-        F.try_variant_get("fields", "$", "array<string>").alias("fields"),
-        F.try_variant_get("data", "$", "array<array<string>>").alias("data"),
-        F.try_variant_get("groups", "$", "string").alias("groups"),
-        F.try_variant_get("notes", "$", "string").alias("notes"))
+    return d.select(*IDS, *extra, explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b")).select(*IDS, *extra, "b.*")
 
 
 def _non_empty() -> Column:
@@ -187,20 +180,20 @@ def no_table_error() -> Column:
 KEY_CLASSES = {"col": ("field",), "value": ("data", "list"), "title": ("title",)}
 
 
-def _keys_of_class(m: Column, marks: Sequence[str]) -> Column:
-    return F.array_sort(F.filter(F.map_keys(m), lambda k: functools.reduce(
+def _keys_of_class(keys: Column, marks: Sequence[str]) -> Column:
+    return F.sort_array(F.filter(keys, lambda k: functools.reduce(
         lambda a, b: a | b, [F.lower(k).contains(x) for x in marks])))
 
 
 def classify_keys(docs: DataFrame) -> DataFrame:
     """Top-level keys classed by substring: 'field' -> col, 'data' or
     'list' -> value, 'title' -> title; a key may be of several classes."""
-    m = F.try_variant_get("doc", "$", "map<string,variant>")
+    keys_of = docs.where("is_object").select(*IDS, F.map_keys(F.try_variant_get("doc", "$", "map<string,variant>")).alias("_keys"))
 
     def named(keys: Column, name: str) -> Column:
         return F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(name).alias("key_class")))
-    by_class = F.flatten(F.array(*[named(_keys_of_class(m, marks), name) for name, marks in KEY_CLASSES.items()]))
-    return docs.where("is_object").select(*IDS, F.explode(by_class).alias("k")).select(*IDS, "k.key", "k.key_class")
+    by_class = F.flatten(F.array(*[named(_keys_of_class(F.col("_keys"), marks), name) for name, marks in KEY_CLASSES.items()]))
+    return keys_of.select(*IDS, F.explode(by_class).alias("k")).select(*IDS, "k.key", "k.key_class")
 
 
 def tables_by_key_class(docs: DataFrame) -> DataFrame:
@@ -208,7 +201,7 @@ def tables_by_key_class(docs: DataFrame) -> DataFrame:
     document into (title, fields, data), within the row; empty values are skipped."""
     m = F.col("m")
     d = docs.where("is_object").select(*IDS, F.try_variant_get("doc", "$", "map<string,variant>").alias("m"))
-    keys = F.arrays_zip(*[_keys_of_class(m, marks).alias(name) for name, marks in KEY_CLASSES.items()])
+    keys = F.arrays_zip(*[_keys_of_class(F.map_keys(m), marks).alias(name) for name, marks in KEY_CLASSES.items()])
     j = d.select(*IDS, "m", F.posexplode(keys).alias("at", "key"))
     out = j.select(
         *IDS, (F.col("at") + 1).alias("n"),
@@ -361,6 +354,8 @@ def header_of(fields: Column, item: Column, subitem: Column, specs: Sequence[Tab
     spans = {(None, sub): s for sub, s in catalog.FIELD_SPANS.items()} | {(x.item, x.subitem): x.spans for x in specs}
     out = headers.final_names(fields, None, rename)
     for (of_item, of_sub), s in spans.items():  # given specs come last and count first
+        if not s and of_sub not in catalog.FIELD_SPANS:
+            continue
         mine = subitem == of_sub if of_item is None else (item == of_item) & (subitem == of_sub)
         out = F.when(mine, headers.final_names(fields, s, rename)).otherwise(out)
     return out
@@ -379,13 +374,14 @@ def frame_up(blocks: DataFrame, spec: TableSpec, names: Sequence[str]) -> tuple[
         raise DataCleanError("no header seen for sub-table", item=spec.item, subitem=spec.subitem)
     # one map a block from names to places, so that a row looks a name up once
     place = F.map_from_arrays("final", F.sequence(F.lit(0), F.size("final") - 1))
+    doc_date = parse_any_date(F.col("date_key")).alias("_doc_date")
     rows = (blocks.where((F.col("item") == spec.item) & (F.col("subitem") == spec.subitem) & (F.size("final") > 0))
-            .select(*IDS, "subitem", F.col("k").alias("block_k"), "container", place.alias("place"), "data")
-            .select(*IDS, "subitem", "block_k", "container",
+            .select(*IDS, doc_date, "subitem", F.col("k").alias("block_k"), "container", place.alias("place"), "data")
+            .select(*IDS, "_doc_date", "subitem", "block_k", "container",
                     F.array(*[F.try_element_at("place", F.lit(c)) for c in names]).alias("at"), "data")
-            .select(*IDS, "subitem", "block_k", "container", "at", F.posexplode("data").alias("row_pos", "row")))
+            .select(*IDS, "_doc_date", "subitem", "block_k", "container", "at", F.posexplode("data").alias("row_pos", "row")))
     cells = [F.get("row", F.get("at", F.lit(i))).alias(c) for i, c in enumerate(names)]
-    df = rows.select(*IDS, "subitem", "container", "block_k", "row_pos", *cells)
+    df = rows.select(*IDS, "subitem", "container", "block_k", "row_pos", "_doc_date", *cells)
     return finalize(df, spec)
 
 
@@ -401,10 +397,13 @@ def finalize(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     casts.update({c: S.parse_number(c, "double") for c in spec.float_cols if c in df.columns})
     if casts:
         df = df.withColumns(casts)
-    if "date" not in df.columns:
+    of_document = "date" not in df.columns
+    if of_document:
         df = df.withColumn("date", F.col("date_key"))
     parsed = {c: parse_any_date(F.col(c)) for c in spec.date_cols if c in df.columns}
-    df = df.withColumns({f"_raw_{c}": F.col(c) for c in parsed}).withColumns(parsed)
+    if of_document and "date" in parsed and "_doc_date" in df.columns:
+        parsed["date"] = F.col("_doc_date")
+    df = df.withColumns({f"_raw_{c}": F.col(c) for c in parsed}).withColumns(parsed).drop("_doc_date")
     errs = [F.when(F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull(),
                    error_struct("date parse failed", file=F.col("source_file"), item=F.col("item"),
                                 subitem=F.col("subitem"), column=c, value=F.col(f"_raw_{c}"),
@@ -421,9 +420,19 @@ def finalize(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
 
 def parse_any_date(c: Column) -> Column:
     """Compact ('yyyyMMdd'), Minguo ('yyy/mm/dd'), ISO ('yyyy-M-d') or
-    slashed ('yyyy/M/d') text -> DATE; NULL when none fits.  Each form is
-    recognised by a cheap pattern test and parsed by one parser."""
-    t = F.trim(c.cast("string"))
+    slashed ('yyyy/M/d') text -> DATE; NULL when none fits.  The usual spellings of a
+    form are cast; what is left, dates that do not exist among it, goes to the formatters."""
+    def cut(t: Column) -> Column:  # the plain forms as 'y-m-d' text
+        year = F.substring_index(t, "/", 1)
+        return (F.when(t.rlike(r"\A(?!0000)[0-9]{8}\z"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)))
+                .when(t.rlike(r"\A[0-9]{2,3}/[0-9]{1,2}/[0-9]{1,2}\z"), F.concat(
+                    (year.try_cast("int") + F.lit(1911)).cast("string"), F.translate(F.substr(t, F.length(year) + 1), "/", "-")))
+                .when(t.rlike(r"\A(?!0000)[0-9]{4}([-/])[0-9]{1,2}[-/][0-9]{1,2}\z"), F.translate(t, "/", "-")))
+    text = F.trim(c.cast("string"))
+    return F.coalesce(cut(text).try_cast("date"), let(text, _formatted_date))
+
+
+def _formatted_date(t: Column) -> Column:
     parts = F.split(t, "/")
     minguo = F.concat_ws("-", (F.get(parts, 0).try_cast("int") + F.lit(1911)).cast("string"),
                          F.get(parts, 1), F.get(parts, 2))

@@ -49,11 +49,15 @@ def dedup_keep_last(df: DataFrame, pk: Sequence[str], order_cols: Sequence[str])
     pk = list(pk or [])
     if not pk or any(k not in df.columns for k in pk):
         return df
-    payload = [c for c in df.columns if c not in pk]
-    packed = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                      F.struct(*[F.col(c) for c in payload]).alias("_p"))
-    out = df.groupBy(*pk).agg(F.max(packed).alias("_m"))
-    return out.select(*[F.col(c) for c in pk], *[F.col(f"_m._p.{c}").alias(c) for c in payload]).select(*df.columns)
+    # each value travels once: in the order if it is part of it, else in the payload behind
+    order = [c for c in dict.fromkeys(order_cols) if c not in pk]
+    payload = [c for c in df.columns if c not in pk and c not in order]
+    behind = [F.struct(*[F.col(c) for c in payload]).alias("_p")] if payload else []
+    if not order and not behind:
+        return df.select(*pk).distinct().select(*df.columns)
+    out = df.groupBy(*pk).agg(F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *behind)).alias("_m"))
+    place = {**{c: f"_m._o{i}" for i, c in enumerate(order)}, **{c: f"_m._p.`{c}`" for c in payload}}
+    return out.select(*[F.col(place[c]).alias(c) if c in place else F.col(c) for c in df.columns])
 
 
 # W8 ----------------------------------------------------------------------
