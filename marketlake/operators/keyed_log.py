@@ -85,15 +85,24 @@ class KeyedLog:
 
     def history(self) -> DataFrame:
         """All live rows with the generation that wrote them (``_gen``, -1 for the base)."""
+        base, late = self._parts()
+        if base is None and late is None:
+            return self.spark.createDataFrame([], self.schema).withColumn("_gen", F.lit(-1).cast("bigint"))
+        # the base holds nearly all rows: only those of the generations take their number from the file's path
+        parts = []
+        if base is not None:
+            parts.append(base.withColumn("_gen", F.lit(-1).cast("bigint")))
+        if late is not None:
+            number = F.regexp_extract(F.col("_metadata.file_path"), r"/_log/gen-(\d+)/[^/]*$", 1)
+            parts.append(late.withColumn("_gen", number.cast("bigint")))
+        return parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+
+    def _parts(self) -> tuple[DataFrame | None, DataFrame | None]:
+        """The base and the live generations; None where there is none."""
         home = self._home()
         folders = list(self._generations(home).values())
-        if "_SUCCESS" in child_names(self.spark, home):
-            folders.append(home)
-        if not folders:
-            return self.spark.createDataFrame([], self.schema).withColumn("_gen", F.lit(-1).cast("bigint"))
-        rows = self.spark.read.schema(self.schema).parquet(*folders)
-        number = F.regexp_extract(F.col("_metadata.file_path"), r"/_log/gen-(\d+)/[^/]*$", 1)
-        return rows.withColumn("_gen", F.coalesce(number.try_cast("bigint"), F.lit(-1).cast("bigint")))
+        read = self.spark.read.schema(self.schema).parquet
+        return read(home) if "_SUCCESS" in child_names(self.spark, home) else None, read(*folders) if folders else None
 
     def read(self) -> DataFrame:
         """One row per key, the latest."""
@@ -121,8 +130,8 @@ class KeyedLog:
         return number
 
     def _merge_if_due(self) -> None:
-        counts = self.history().agg(F.count_if(F.col("_gen") < 0), F.count_if(F.col("_gen") >= 0)).first()
-        if counts[1] > MERGE_SHARE * counts[0]:
+        base, late = (0 if rows is None else rows.count() for rows in self._parts())
+        if late > MERGE_SHARE * base:
             self.merge()
 
     def merge(self) -> None:

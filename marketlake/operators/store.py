@@ -228,7 +228,7 @@ def read_replaced(spark: SparkSession, path: str) -> DataFrame | None:
 #   new/bucket=*      the batch, one row per key
 #   rows/bucket=*     the new content of each touched bucket that still has rows
 #   emptied/bucket=*  buckets that lose their last row (empty folders)
-#   keys              keys that are new or have moved, for the key index
+#   keys              keys that are new or have moved, with the bucket they leave, for the key index
 #   ledger            what is known of the batch, for the batch ledger
 #   READY             all of it is there
 # ``finish_staged`` puts it in place and can be repeated; a write that was cut
@@ -287,8 +287,8 @@ def finish_staged(spark: SparkSession, path: str, pk: Sequence[str] = ()) -> Non
         delete_folder(spark, stage)
 
 
-def _key_changes(spark: SparkSession, path: str, batch: DataFrame, pk: Sequence[str]) -> tuple[DataFrame, set[str]]:
-    """Keys of the batch that are new or move, with their bucket; the buckets that moving keys leave."""
+def _key_changes(spark: SparkSession, path: str, batch: DataFrame, pk: Sequence[str]) -> DataFrame:
+    """Keys of the batch that are new or move, with their bucket and the one they leave (``was``)."""
     index = key_index(spark, path, pk, batch)
     place = F.coalesce(F.col("bucket"), F.lit(NULL_BUCKET)).alias("bucket")
     if not index.exists():  # a table from before it had an index
@@ -297,10 +297,7 @@ def _key_changes(spark: SparkSession, path: str, batch: DataFrame, pk: Sequence[
     now = batch.select(*pk, place)
     before = index.read().withColumnsRenamed({"bucket": "was", **{k: f"_{k}" for k in pk}})
     same = functools.reduce(lambda a, b: a & b, [now[k].eqNullSafe(before[f"_{k}"]) for k in pk])
-    changed = now.join(before, same, "left").where(~F.col("was").eqNullSafe(F.col("bucket"))).select(*pk, "bucket", "was")
-    # bucket keys are years, months or days: a short list
-    left = {f"bucket={r['was']}" for r in changed.where("was is not null").select("was").distinct().collect()}
-    return changed.select(*pk, "bucket"), left
+    return now.join(before, same, "left").where(~F.col("was").eqNullSafe(F.col("bucket"))).select(*pk, "bucket", "was")
 
 
 def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequence[str],
@@ -332,10 +329,13 @@ def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequen
     batch = spark.read.schema(new_b.schema).parquet(f"{stage}/new")
     existing = set(_buckets(spark, path))
     if may_move:
-        changed, left = _key_changes(spark, path, batch, pk) if existing else (
-            batch.select(*pk, F.coalesce("bucket", F.lit(NULL_BUCKET)).alias("bucket")), set())
+        changed = _key_changes(spark, path, batch, pk) if existing else (
+            batch.select(*pk, F.coalesce("bucket", F.lit(NULL_BUCKET)).alias("bucket"), F.lit(None).cast("string").alias("was")))
+        # read back, not computed again: the key index is read and joined once a batch
         changed.write.parquet(f"{stage}/keys")
-        touched |= left
+        gone = spark.read.schema(changed.schema).parquet(f"{stage}/keys").where("was is not null").select("was").distinct()
+        # bucket keys are years, months or days: a short list
+        touched |= {f"bucket={r['was']}" for r in gone.collect()}
     # the batch can meet rows of the touched buckets only
     stored = _read_buckets(spark, path, sorted(touched & existing)) if touched & existing else None
     merged = batch if stored is None else apply_write_policy(stored, batch, pk, freq, update_old_non_daily, order_cols)

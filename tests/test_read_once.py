@@ -1,5 +1,7 @@
 """Values of documents and rows are read once, whatever filters stand above them."""
 
+import datetime as dt
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -7,6 +9,7 @@ from marketlake.functions import scalars as S
 from marketlake.operators import headers
 from marketlake.operators import ingest as ig
 from marketlake.operators import store as st
+from marketlake.operators.keyed_log import KeyedLog
 from marketlake.sources import documents as docsrc
 
 
@@ -66,3 +69,36 @@ def test_nfkc_passes_batches_of_nulls(spark):
     assert S.nfkc.func(nulls) is nulls
     df = spark.createDataFrame([("Ａ　",), (None,), ("a",)], "t string")
     assert [r.n for r in df.select(S.nfkc("t").alias("n")).collect()] == ["A ", None, "a"]
+
+
+def test_the_key_index_is_read_once_a_batch(spark, tmpdir_path, monkeypatch):
+    path, schema, year = f"{tmpdir_path}/t", "id int, date date, v double", lambda y: dt.date(y, 5, 1)
+    st.upsert_into_table(spark, spark.createDataFrame([(k, year(2020 + k % 2), 0.0) for k in range(100)], schema), path, ["id"])
+    read, seen = KeyedLog.read, spark.sparkContext.accumulator(0)
+
+    def counted(log):
+        if not log.path.endswith("/_index/keys"):
+            return read(log)
+
+        @F.udf("string")
+        def tell(bucket):
+            seen.add(1)
+            return bucket
+        return read(log).withColumn("bucket", tell.asNondeterministic()("bucket"))
+    monkeypatch.setattr(KeyedLog, "read", counted)
+    got = st.upsert_into_table(spark, spark.createDataFrame([(0, year(2023), 1.0), (101, year(2021), 2.0)], schema), path, ["id"])
+    assert seen.value == 100
+    rows = {r.id: (r.date, r.v) for r in got.collect()}
+    assert len(rows) == got.count() == 101 and rows[0] == (year(2023), 1.0) and rows[101] == (year(2021), 2.0)
+
+
+def test_rows_of_a_base_take_no_number_from_their_path(spark, tmpdir_path):
+    log = KeyedLog(spark, f"{tmpdir_path}/log", ["k"], "k int, v string")
+    log.append(spark.createDataFrame([(k, "a") for k in range(40)], log.schema))
+    assert "regexp_extract" not in log.history()._jdf.queryExecution().optimizedPlan().toString()
+    log.append(spark.createDataFrame([(1, "b"), (None, "c")], log.schema))
+    log.append(spark.createDataFrame([(1, "d")], log.schema))
+    assert sorted((r["_gen"], r.k is None, r.k, r.v) for r in log.history().where("_gen >= 0 or k = 1").collect()) == [
+        (-1, False, 1, "a"), (1, False, 1, "b"), (1, True, None, "c"), (2, False, 1, "d")]
+    got = {r.k: r.v for r in log.read().collect()}
+    assert len(got) == 41 and got[1] == "d" and got[None] == "c" and got[0] == "a"
