@@ -101,7 +101,11 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
         t = st.latest_date_only(t, freq=freq.get(item, st.DAILY), doc_cols=("source_file", "subitem"),
                                 update_old_non_daily=update_old_non_daily)
         keys[item, subitem] = spec.pk or st.infer_key(t.columns, code_col="代號", name_col="名稱")
-        tables[item, subitem] = st.dedup_keep_last(t, keys[item, subitem], ARRIVAL_ORDER)
+        # item and sub-table are the same in every row: keep-last does not carry them through its sorts and shuffle
+        same = {c: F.lit(v) for c, v in (("item", item), ("subitem", subitem))
+                if c not in keys[item, subitem] and t.columns.count(c) == 1}
+        tables[item, subitem] = (st.dedup_keep_last(t.drop(*same), keys[item, subitem], ARRIVAL_ORDER)
+                                 .withColumns(same).select(*t.columns))
     err = st.union_by_name(errors)
     if strict:
         ig.raise_first_error(err)

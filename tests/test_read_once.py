@@ -6,12 +6,14 @@ import json
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from marketlake import catalog
 from marketlake.functions import scalars as S
 from marketlake.operators import headers
 from marketlake.operators import ingest as ig
 from marketlake.operators import store as st
 from marketlake.operators.keyed_log import KeyedLog
 from marketlake.plans import fixtures as fx
+from marketlake.plans.clean_job import clean_documents
 from marketlake.sources import documents as docsrc
 
 
@@ -123,3 +125,17 @@ def test_landed_documents_join_the_line_items_once(spark, tmp_path):
     assert doc["tables"][0]["data"] == [["1", None, "8.00", "2"], ["1", "A", "11.00", "6"], ["1", "R", None, "2"]]
     assert [r[1] for r in doc["data1"]] == [None, None, "1", "1", "1", "1", "2", "2", "3", "3"]
     assert [r[0] for r in doc["data"]] == ["1", "1", "2"]
+
+
+def test_keep_last_of_a_table_does_not_carry_its_constants(spark):
+    docs = _docs(spark, *['{"title": "t", "fields": ["code", "v"], "data": [["a", "%d"], ["b", "0"]], "crawlerdic": {"payload": {"date": "20010203"}}}' % i
+                          for i in (1, 2)])
+    cat = catalog.catalogue_frame(spark, [("it", "D", "2000-01-01", ["t"], "X")])
+    table = clean_documents(docs, cat, {"t": ig.TableSpec(item="it", subitem="t", pk=["code"])}).tables["it", "t"]
+    aggregate = next(line for line in _plan(table).splitlines() if "max(struct(" in line)
+    assert not any(f", {c}, " in aggregate.split("max(struct(")[1] for c in ("item", "subitem"))
+    assert sorted((r.code, r.v, r.item, r.subitem, r.source_file) for r in table.collect()) == [
+        ("a", "2", "it", "t", "f1"), ("b", "0", "it", "t", "f1")]
+    # a key that names them still holds
+    keyed = clean_documents(docs, cat, {"t": ig.TableSpec(item="it", subitem="t", pk=["item", "code"])}).tables["it", "t"]
+    assert keyed.columns == table.columns and keyed.count() == 2
