@@ -2,14 +2,16 @@
 
 The final names of a block's columns are computed in the block's own row, so a plan is the
 same for ten header variants and for ten thousand, no join moves document content by its
-header (one header usually holds nearly all documents), and a header that cannot be
-repaired costs its own blocks only.  The distinct variants form the registry table; the
-driver reads the final column names from it, nothing else.
+header, and a header that cannot be repaired costs its own blocks only.  One header usually
+holds nearly all documents of a table: it stands in the plan with its final names, which are
+computed for the others only.  The distinct variants form the registry table; the driver reads
+from it the final column names, the most frequent variant of each table and which tables have a
+header that cannot be repaired, nothing else.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,8 +23,9 @@ BAD_HEADER = "duplicate column names cannot be repaired"
 
 def normalized(names: Column, rename: dict[str, str]) -> Column:
     """Dictionary rename, then remove '</br>' tags."""
+    # few names are renamed: a set tells them, so that the map is not walked through for every name
     table = F.create_map(*[F.lit(x) for pair in rename.items() for x in pair]) if rename else None
-    renamed = (lambda c: F.coalesce(F.try_element_at(table, c), c)) if rename else (lambda c: c)
+    renamed = (lambda c: F.when(c.isin(list(rename)), F.try_element_at(table, c)).otherwise(c)) if rename else (lambda c: c)
     return F.transform(names, lambda c: F.replace(renamed(c), F.lit("</br>"), F.lit("")))
 
 
@@ -79,10 +82,22 @@ def final_names(fields: Column, spans: Sequence[tuple] | None, rename: dict[str,
     return let(normalized(filled, rename), lambda names: repaired(names, [s[0] for s in spans] if spans else []))
 
 
-def registry_of(blocks: DataFrame) -> DataFrame:
-    """One row per header variant: its id, table, fields, final names and number of blocks."""
-    variants = blocks.groupBy("item", "subitem", "fields", "final").agg(F.count("*").alias("n_blocks"))
-    return variants.select("item", "subitem", F.format_string("%016x", F.xxhash64("fields")).alias("variant"), "fields", "final", "n_blocks")
+def registry_of(blocks: DataFrame, final: Callable[[Column], Column]) -> DataFrame:
+    """One row per header variant: its id, table, fields, final names (null if they cannot be repaired) and number of blocks."""
+    variants = blocks.groupBy("item", "subitem", "fields").agg(F.count("*").alias("n_blocks"))
+    return variants.select("item", "subitem", F.format_string("%016x", F.xxhash64("fields")).alias("variant"), "fields",
+                           final(F.col("fields")).alias("final"), "n_blocks")
+
+
+def usual_headers(registry: DataFrame) -> dict[tuple[str, str], tuple[list, list[str]]]:
+    """(item, sub-table) -> fields and final names of the variant that most of its blocks have."""
+    rows = registry.groupBy("item", "subitem").agg(F.max(F.struct("n_blocks", "fields", "final")).alias("most")).collect()
+    return {(r["item"], r["subitem"]): (list(r["most"]["fields"]), list(r["most"]["final"])) for r in rows}
+
+
+def tables_with_bad_headers(seen: DataFrame) -> set[tuple[str, str]]:
+    """The tables of which a variant could not be repaired."""
+    return {(r["item"], r["subitem"]) for r in seen.where(F.col("final").isNull()).select("item", "subitem").distinct().collect()}
 
 
 def column_names(registry: DataFrame) -> dict[tuple[str, str], list[str]]:

@@ -156,9 +156,21 @@ def extract_subtables(docs: DataFrame, keep_bare: bool = False) -> DataFrame:
     document without any block, and the column ``is_object``.
     """
     extra = ["is_object"] if keep_bare else []
-    d = _with_maps(docs, *extra)
     explode = F.explode_outer if keep_bare else F.explode
-    return d.select(*IDS, *extra, explode(block_array(F.col("_m"), F.col("_tabs"))).alias("b")).select(*IDS, *extra, "b.*")
+    if "plain" in docs.columns:
+        d = _with_maps(docs.withColumn("doc", F.when(F.col("plain").isNull(), F.col("doc"))), *extra, "plain")
+        found = F.when(F.col("plain").isNotNull(), F.array(_plain_block(F.col("plain")))).otherwise(
+            block_array(F.col("_m"), F.col("_tabs")))
+    else:
+        d, found = _with_maps(docs, *extra), block_array(F.col("_m"), F.col("_tabs"))
+    return d.select(*IDS, *extra, explode(found).alias("b")).select(*IDS, *extra, "b.*")
+
+
+def _plain_block(table: Column) -> Column:
+    """The main block of a plain document (``sources.documents``), whose table is its only one."""
+    of = {"container": F.lit(0), "kind": F.lit(KIND_MAIN), "k": F.lit(0).cast("bigint")}
+    roles = {r: table[r] if r in ("title", "fields", "data") else F.lit(None).cast(ROLE_TYPES[r]) for r in ROLES}
+    return F.struct(*[c.alias(n) for n, c in {**of, **roles}.items()])
 
 
 def _non_empty() -> Column:
@@ -362,23 +374,31 @@ def header_of(fields: Column, item: Column, subitem: Column, specs: Sequence[Tab
 
 
 # X3 + finalize -------------------------------------------------------------
-def frame_up(blocks: DataFrame, spec: TableSpec, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def frame_up(blocks: DataFrame, spec: TableSpec, names: Sequence[str], rename: dict,
+             usual: tuple[Sequence, Sequence[str]]) -> tuple[DataFrame, DataFrame]:
     """X3/X4 + P1-P6 + N3-N6: one typed frame of the blocks of (``spec.item``, ``spec.subitem``).
 
-    ``names`` are the table's final column names; each block carries the final names of its
-    own header (``final``), by whose positions its cells are picked: short rows give NULL,
-    surplus cells are dropped (X7).  Returns (table, errors).  The table carries ``source_file``,
-    ``block_k`` and ``row_pos`` (arrival order for keep-last).
+    ``names`` are the table's final column names; the cells of a block are picked by the places of
+    the final names of its own header: short rows give NULL, surplus cells are dropped (X7).
+    ``usual`` holds the fields and the final names of one header, whose places stand in the plan; those of
+    any other header are found in the block's row, and blocks whose header cannot be repaired are left out.
+    Returns (table, errors).  The table carries ``source_file``, ``block_k`` and ``row_pos`` (arrival
+    order for keep-last).
     """
     if not names:
         raise DataCleanError("no header seen for sub-table", item=spec.item, subitem=spec.subitem)
-    # one map a block from names to places, so that a row looks a name up once
-    place = F.map_from_arrays("final", F.sequence(F.lit(0), F.size("final") - 1))
+    text = lambda values: F.array(*[F.lit(v).cast("string") for v in values])
+    place = {c: i for i, c in enumerate(usual[1])}
+
+    def places(final: Column) -> Column:  # one map a block from names to places, so that a row looks a name up once
+        return F.when(F.size(final) > 0, let(F.map_from_arrays(final, F.sequence(F.lit(0), F.size(final) - 1)),
+                                             lambda m: F.array(*[F.try_element_at(m, F.lit(c)) for c in names])))
+    at = F.when(F.col("fields") == text(usual[0]), F.array(*[F.lit(place.get(c)).cast("int") for c in names])).otherwise(
+        let(headers.final_names(F.col("fields"), spec.spans, rename), places))
     doc_date = parse_any_date(F.col("date_key")).alias("_doc_date")
-    rows = (blocks.where((F.col("item") == spec.item) & (F.col("subitem") == spec.subitem) & (F.size("final") > 0))
-            .select(*IDS, doc_date, "subitem", F.col("k").alias("block_k"), "container", place.alias("place"), "data")
-            .select(*IDS, "_doc_date", "subitem", "block_k", "container",
-                    F.array(*[F.try_element_at("place", F.lit(c)) for c in names]).alias("at"), "data")
+    rows = (blocks.where((F.col("item") == spec.item) & (F.col("subitem") == spec.subitem))
+            .select(*IDS, doc_date, "subitem", F.col("k").alias("block_k"), "container", at.alias("at"), "data")
+            .where(F.col("at").isNotNull())
             .select(*IDS, "_doc_date", "subitem", "block_k", "container", "at", F.posexplode("data").alias("row_pos", "row")))
     cells = [F.get("row", F.get("at", F.lit(i))).alias(c) for i, c in enumerate(names)]
     df = rows.select(*IDS, "subitem", "container", "block_k", "row_pos", "_doc_date", *cells)

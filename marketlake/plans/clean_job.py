@@ -10,7 +10,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import catalog
@@ -35,23 +35,17 @@ class CleanResult:
     registry: DataFrame  # header variants
 
 
-def block_table(docs: DataFrame, catalogue: DataFrame, global_rename: dict, specs: Sequence[ig.TableSpec] = ()) -> DataFrame:
-    """Non-empty blocks with their sub-table and the final names of their columns, or the
-    reason why they have none (documents without any block included), written once as Parquet in
-    the shared folder, one partition per sub-table: a table's scan reads its own
-    partition only and a lost executor recomputes no document."""
+def block_table(docs: DataFrame, catalogue: DataFrame, global_rename: dict) -> DataFrame:
+    """Non-empty blocks with their sub-table, or the reason why they have none (documents without
+    any block included), written once as Parquet in the shared folder, one partition per sub-table:
+    a table's scan reads its own partition only and a lost executor recomputes no document."""
     blocks = ig.extract_subtables(docs, keep_bare=True)
     bare = F.col("kind").isNull()
     blocks = ig.match_titles(blocks.where(bare | (F.size("fields") > 0) & (F.size("data") > 0)),
                              ig.subtitle_config(catalogue), rename=global_rename)
-    matched = F.col("match_error").isNull() & ~bare
     blocks = blocks.select(
-        *ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem", "is_object", "match_error",
-        F.when(matched, ig.header_of(F.col("fields"), F.col("item"), F.col("subitem"), specs, global_rename)).alias("final"))
-    blocks = blocks.select(
-        *ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem", "final",
-        F.when(bare, ig.no_table_error()).when(F.col("match_error").isNotNull(), F.col("match_error"))
-         .when(F.col("final").isNull(), F.lit(headers.BAD_HEADER)).alias("reason"))
+        *ig.IDS, "container", "kind", "k", "title", "fields", "data", "subitem",
+        F.when(bare, ig.no_table_error()).otherwise(F.col("match_error")).alias("reason"))
     kept = blocks.withColumns({
         "p_item": F.coalesce(F.nullif("item", F.lit("")), F.lit("-")),
         "p_subitem": F.coalesce(F.when(F.col("reason").isNull(), F.nullif("subitem", F.lit(""))), F.lit("-"))})
@@ -79,24 +73,30 @@ def clean_documents(docs: DataFrame, catalogue: DataFrame, specs: dict[str, ig.T
     by_table = {(x.item, x.subitem): x for x in (specs or {}).values()}
     # the global rename of headers and sub-tables always applies (pass {} to switch it off)
     global_rename = catalog.GLOBAL_RENAME if global_rename is None else global_rename
-    blocks = block_table(docs, catalogue, global_rename, list(by_table.values()))
-    bad_header = F.col("reason") == headers.BAD_HEADER
-    value = F.when(bad_header, F.array_join("fields", ",", "")).otherwise(F.col("title"))
-    errors = [blocks.where("p_subitem = '-' and reason is not null").select(*ig.IDS, ig.error_struct(
-        F.col("reason"), file=F.col("source_file"), item=F.col("item"), subitem=F.when(bad_header, F.col("subitem")),
-        value=value, value_type=F.typeof(F.when(bad_header, F.col("fields").cast("string")).otherwise(F.col("title"))),
-        date=F.col("date_key")).alias("error"))]
+    spec_of = lambda item, subitem: by_table.get((item, subitem)) or ig.default_spec(item, subitem)
+    blocks = block_table(docs, catalogue, global_rename)
+
+    def error(reason: Column, bad_header: bool) -> Column:
+        value = F.array_join("fields", ",", "") if bad_header else F.col("title")
+        return ig.error_struct(reason, file=F.col("source_file"), item=F.col("item"), subitem=F.col("subitem") if bad_header else None,
+                               value=value, value_type="string", date=F.col("date_key")).alias("error")
+    errors = [blocks.where("p_subitem = '-' and reason is not null").select(*ig.IDS, error(F.col("reason"), False))]
     path = st.scratch_path(docs.sparkSession, "headers")
-    headers.registry_of(blocks.where("p_subitem <> '-'")).write.parquet(path)
-    registry = docs.sparkSession.read.parquet(path)
-    names = headers.column_names(registry)
+    headers.registry_of(blocks.where("p_subitem <> '-'"), lambda fields: ig.header_of(
+        fields, F.col("item"), F.col("subitem"), list(by_table.values()), global_rename)).write.parquet(path)
+    seen = docs.sparkSession.read.parquet(path)
+    registry = seen.where(F.col("final").isNotNull())
+    names, usual, bad = headers.column_names(registry), headers.usual_headers(registry), headers.tables_with_bad_headers(seen)
+    of_table = lambda item, subitem: blocks.where((F.col("p_item") == item) & (F.col("p_subitem") == subitem))
+    for item, subitem in sorted(bad):
+        final = headers.final_names(F.col("fields"), spec_of(item, subitem).spans, global_rename)
+        errors.append(of_table(item, subitem).where(final.isNull()).select(*ig.IDS, error(F.lit(headers.BAD_HEADER), True)))
     # configuration rows (bounded by the catalogue, not by the data)
     freq = {r["item"]: r["freq"] for r in catalogue.select("item", "freq").collect()}
     tables, keys = {}, {}
     for item, subitem in sorted(names):
-        spec = by_table.get((item, subitem)) or ig.default_spec(item, subitem)
-        own = blocks.where((F.col("p_item") == item) & (F.col("p_subitem") == subitem))
-        t, e = ig.frame_up(own, spec, names[item, subitem])
+        spec = spec_of(item, subitem)
+        t, e = ig.frame_up(of_table(item, subitem), spec, names[item, subitem], global_rename, usual[item, subitem])
         errors.append(e)
         t = st.latest_date_only(t, freq=freq.get(item, st.DAILY), doc_cols=("source_file", "subitem"),
                                 update_old_non_daily=update_old_non_daily)
@@ -165,7 +165,7 @@ def run_clean_job(spark: SparkSession, source_root: str, target_root: str, state
     raw = (spark.read.option("wholetext", True).text(batch)
            .select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("json")))
     raw = raw.withColumn("item", F.regexp_extract("source_file", r"/([^/]+)/[^/]+$", 1))
-    docs = docsrc.documents_from_text(raw)
+    docs = docsrc.documents_from_text(raw, plain=True)
     res = clean_documents(docs, catalogue, specs, strict=strict, update_old_non_daily=update_old_non_daily)
     freq = {r["item"]: r["freq"] for r in catalogue.select("item", "freq").collect()}
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)

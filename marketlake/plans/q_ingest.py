@@ -202,7 +202,7 @@ FROM lineitem""")
 def x4_grouped_header(spark, base):
     """Grouped header (repeated names) resolved by the configured column spans;
     the exchange catalogue identifies the sub-table; global rename gives the key names."""
-    docs = docsrc.documents_from_text(fx.grouped_header_docs(spark, base))
+    docs = docsrc.documents_from_text(fx.grouped_header_docs(spark, base), plain=True)
     num = [c for c in _MARGIN_COLS if c.startswith(("融資_", "融券_"))]
     spec = ig.TableSpec(item=fx.MARGIN_ITEM, subitem=fx.MARGIN_SUBTITLE, float_cols=num,
                         spans=catalog.FIELD_SPANS[fx.MARGIN_SUBTITLE], pk=list(_MARGIN_COLS))
@@ -212,7 +212,7 @@ def x4_grouped_header(spark, base):
 
 
 def _margin_clean(spark, base, pk):
-    docs = docsrc.documents_from_text(fx.grouped_header_docs(spark, base))
+    docs = docsrc.documents_from_text(fx.grouped_header_docs(spark, base), plain=True)
     num = [c for c in _MARGIN_COLS if c.startswith(("融資_", "融券_"))]
     spec = ig.TableSpec(item=fx.MARGIN_ITEM, subitem=fx.MARGIN_SUBTITLE, float_cols=num,
                         spans=catalog.FIELD_SPANS[fx.MARGIN_SUBTITLE], pk=pk)

@@ -9,25 +9,58 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import EXCLUDED_SOURCE_DIRS
 
 DATE_KEY_PATH = "$.crawlerdic.payload.date"
 
+# Shape of a plain document as ``schema_of_variant`` writes it: one table of strings under the bare keys, the
+# request's date, and single values under keys that name no block.  VOID, VARIANT and other types are not plain.
+_SINGLE = r"(?:STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\(\d+,\d+\))"
+_REQUEST = rf"crawlerdic: OBJECT<(?:\w+: {_SINGLE}, )*payload: OBJECT<(?:\w+: {_SINGLE}, )*date: STRING(?:, \w+: {_SINGLE})*>(?:, \w+: {_SINGLE})*>"
+_BESIDE = rf"(?:{_REQUEST}|(?!(?:(?:sub)?title|fields|data|groups|notes|tables|credit\w*|crawlerdic)\d*: )\w+: {_SINGLE})"
+PLAIN_SHAPE = (rf"\AOBJECT<(?:{_BESIDE}, )*data: ARRAY<ARRAY<STRING>>, (?:{_BESIDE}, )*fields: ARRAY<STRING>, "
+               rf"(?:{_BESIDE}, )*title: STRING(?:, {_BESIDE})*>\z")
+PLAIN_SHAPE_LENGTH = 1000
+PLAIN_TABLE = "title string, fields array<string>, data array<array<string>>"
 
-def _finish(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
+
+def plain_table(json: Column, doc: Column) -> Column:
+    """Title, fields and data of a plain document, read from its text in one pass; null for any other document.
+
+    The shape of the whole VARIANT is checked first: where every cell is a string or null, the text and the VARIANT hold
+    the same values, and the VARIANT need not be read cell by cell."""
+    shape = F.schema_of_variant(doc)
+    plain = (F.length(shape) <= PLAIN_SHAPE_LENGTH) & shape.rlike(PLAIN_SHAPE)
+    return F.when(plain, F.from_json(json, PLAIN_TABLE))
+
+
+def _finish(df: DataFrame, exclude: Sequence[str], plain: bool = False) -> DataFrame:
     doc = F.try_parse_json(F.col("json"))  # malformed text: null, quarantined later as no object
+    if plain:
+        return _finish_plain(df.select("item", "source_file", "json", doc.alias("doc")), exclude)
     out = df.select("item", "source_file", doc.alias("doc"))
     out = out.select(
         "item", "source_file",
         F.try_variant_get("doc", DATE_KEY_PATH, "string").alias("date_key"),
         "doc",
         F.try_variant_get("doc", "$", "map<string,variant>").isNotNull().alias("is_object"))
-    if exclude:
-        out = out.where(~F.col("item").isin(list(exclude)))
-    return out
+    return _included(out, exclude)
+
+
+def _finish_plain(df: DataFrame, exclude: Sequence[str]) -> DataFrame:
+    """The output with the column ``plain``; plain documents are objects without a look at their keys."""
+    out = df.select("item", "source_file", "doc", plain_table(F.col("json"), F.col("doc")).alias("plain"))
+    is_object = F.col("plain").isNotNull() | F.try_variant_get("doc", "$", "map<string,variant>").isNotNull()
+    out = out.select("item", "source_file", F.try_variant_get("doc", DATE_KEY_PATH, "string").alias("date_key"), "doc",
+                     is_object.alias("is_object"), "plain")
+    return _included(out, exclude)
+
+
+def _included(docs: DataFrame, exclude: Sequence[str]) -> DataFrame:
+    return docs.where(~F.col("item").isin(list(exclude))) if exclude else docs
 
 
 def read_landed_documents(spark: SparkSession, root: str, suffix: str = ".json",
@@ -44,9 +77,10 @@ def read_landed_documents(spark: SparkSession, root: str, suffix: str = ".json",
     return _finish(df.where(F.col("item") != ""), exclude)
 
 
-def documents_from_text(df: DataFrame, exclude: Sequence[str] = EXCLUDED_SOURCE_DIRS) -> DataFrame:
-    """Same output from a frame that already holds (item, source_file, json)."""
-    return _finish(df.select("item", "source_file", "json"), exclude)
+def documents_from_text(df: DataFrame, exclude: Sequence[str] = EXCLUDED_SOURCE_DIRS, plain: bool = False) -> DataFrame:
+    """Same output from a frame that already holds (item, source_file, json).  With ``plain``, the column
+    ``plain`` besides: the table of documents that hold one and nothing else (``plain_table``)."""
+    return _finish(df.select("item", "source_file", "json"), exclude, plain)
 
 
 def _regex_escape(s: str) -> str:
