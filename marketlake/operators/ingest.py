@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .. import catalog
 from ..functions import scalars as S
 from ..functions.date_labels import let
+from ..sources.documents import TABLE_SUFFIXES
 from . import headers
 
 IDS = ["item", "source_file", "date_key"]
@@ -157,7 +158,11 @@ def extract_subtables(docs: DataFrame, keep_bare: bool = False) -> DataFrame:
     """
     extra = ["is_object"] if keep_bare else []
     explode = F.explode_outer if keep_bare else F.explode
-    if "plain" in docs.columns:
+    if "text_tables" in docs.columns:
+        d = _with_maps(docs.withColumn("doc", F.when(F.col("text_tables").isNull(), F.col("doc"))), *extra, "text_tables")
+        found = F.when(F.col("text_tables").isNotNull(), _text_blocks(F.col("text_tables"))).otherwise(
+            block_array(F.col("_m"), F.col("_tabs")))
+    elif "plain" in docs.columns:
         d = _with_maps(docs.withColumn("doc", F.when(F.col("plain").isNull(), F.col("doc"))), *extra, "plain")
         found = F.when(F.col("plain").isNotNull(), F.array(_plain_block(F.col("plain")))).otherwise(
             block_array(F.col("_m"), F.col("_tabs")))
@@ -173,6 +178,24 @@ def _plain_block(table: Column) -> Column:
     return F.struct(*[c.alias(n) for n, c in {**of, **roles}.items()])
 
 
+def _text_blocks(tables: Column) -> Column:
+    """The main blocks of a document of text tables (``sources.documents``), in which a member is null only where it is missing."""
+    def block(container: Column, k: int, of: dict[str, Column]) -> Column:
+        first = {"container": container.cast("int"), "kind": F.lit(KIND_MAIN), "k": F.lit(k).cast("bigint")}
+        roles = {r: of.get(r, F.lit(None).cast(ROLE_TYPES[r])) for r in ROLES}
+        return F.struct(*[c.alias(n) for n, c in {**first, **roles}.items()])
+    numbered = [block(F.lit(0), k, {
+        "title": F.coalesce(tables[f"title{n}"], tables[f"subtitle{n}"]), "fields": tables[f"fields{n}"], "data": tables[f"data{n}"]})
+        for k, n in enumerate(TABLE_SUFFIXES)]
+    # without a block 2 the numbering has stopped: most documents need no look at the others
+    more = functools.reduce(lambda a, b: a | b, [tables[f"{role}2"].isNotNull() for role in ("title", "subtitle", "fields", "data")])
+    numbered = F.when(more, F.array(*numbered)).otherwise(F.array(*numbered[:2]))
+    there = F.filter(numbered, lambda b: b["title"].isNotNull() | b["fields"].isNotNull() | b["data"].isNotNull())
+    main = F.concat(F.filter(there, lambda b: b["k"] < 2), F.filter(F.filter(there, lambda b: b["k"] >= 2), lambda b, i: b["k"] == i + 2))
+    nested = F.transform(tables["tables"], lambda t, i: block(i + 1, 0, {r: t[r] for r in ("title", "fields", "data")}))
+    return F.concat(main, F.coalesce(nested, _no_blocks()))
+
+
 def _non_empty() -> Column:
     return (F.coalesce(F.size("fields"), F.lit(0)) > 0) & (F.coalesce(F.size("data"), F.lit(0)) > 0)
 
@@ -424,15 +447,17 @@ def finalize(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
     if of_document and "date" in parsed and "_doc_date" in df.columns:
         parsed["date"] = F.col("_doc_date")
     df = df.withColumns({f"_raw_{c}": F.col(c) for c in parsed}).withColumns(parsed).drop("_doc_date")
-    errs = [F.when(F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull(),
-                   error_struct("date parse failed", file=F.col("source_file"), item=F.col("item"),
-                                subitem=F.col("subitem"), column=c, value=F.col(f"_raw_{c}"),
-                                value_type=F.typeof(F.col(f"_raw_{c}")), date=F.col("date_key"),
-                                hint="add a date rule for this column"))
-            for c in parsed]
-    df = df.withColumn("_error", F.coalesce(*errs) if errs else F.lit(None))
-    errors = df.where(F.col("_error").isNotNull()).select(*IDS, F.col("_error").alias("error"))
-    good = df.where(F.col("_error").isNull()).drop("_error", *[f"_raw_{c}" for c in parsed])
+    # a bad row is told by plain columns: where they are the document's, the filters go below the explode of its rows
+    bad = {c: F.col(f"_raw_{c}").isNotNull() & F.col(c).isNull() for c in parsed}
+    is_bad = functools.reduce(lambda a, b: a | b, bad.values(), F.lit(False))
+    errs = [F.when(failed, error_struct("date parse failed", file=F.col("source_file"), item=F.col("item"),
+                                        subitem=F.col("subitem"), column=c, value=F.col(f"_raw_{c}"),
+                                        value_type=F.typeof(F.col(f"_raw_{c}")), date=F.col("date_key"),
+                                        hint="add a date rule for this column"))
+            for c, failed in bad.items()]
+    error = F.coalesce(*errs) if errs else F.lit(None)
+    errors = df.where(is_bad).select(*IDS, error.alias("error"))
+    good = df.where(~is_bad).drop(*[f"_raw_{c}" for c in parsed])
     front = [c for c in ("date", "代號", "名稱") if c in good.columns]
     rest = [c for c in good.columns if c not in front and c not in meta]
     return good.select(*front, *rest, *meta), errors
@@ -443,11 +468,11 @@ def parse_any_date(c: Column) -> Column:
     slashed ('yyyy/M/d') text -> DATE; NULL when none fits.  The usual spellings of a
     form are cast; what is left, dates that do not exist among it, goes to the formatters."""
     def cut(t: Column) -> Column:  # the plain forms as 'y-m-d' text
-        year = F.substring_index(t, "/", 1)
-        return (F.when(t.rlike(r"\A(?!0000)[0-9]{8}\z"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)))
-                .when(t.rlike(r"\A[0-9]{2,3}/[0-9]{1,2}/[0-9]{1,2}\z"), F.concat(
-                    (year.try_cast("int") + F.lit(1911)).cast("string"), F.translate(F.substr(t, F.length(year) + 1), "/", "-")))
-                .when(t.rlike(r"\A(?!0000)[0-9]{4}([-/])[0-9]{1,2}[-/][0-9]{1,2}\z"), F.translate(t, "/", "-")))
+        year, dashed = F.substring_index(t, "/", 1), lambda x: F.replace(x, F.lit("/"), F.lit("-"))
+        return (F.when(t.rlike(r"\A[0-9]{2,3}/[0-9]{1,2}/[0-9]{1,2}\z"), F.concat(
+                    (year.try_cast("int") + F.lit(1911)).cast("string"), dashed(F.substr(t, F.length(year) + 1))))
+                .when(t.rlike(r"\A(?!0000)[0-9]{8}\z"), F.concat_ws("-", F.substring(t, 1, 4), F.substring(t, 5, 2), F.substring(t, 7, 2)))
+                .when(t.rlike(r"\A(?!0000)[0-9]{4}([-/])[0-9]{1,2}[-/][0-9]{1,2}\z"), dashed(t)))
     text = F.trim(c.cast("string"))
     return F.coalesce(cut(text).try_cast("date"), let(text, _formatted_date))
 

@@ -129,6 +129,14 @@ class KeyedLog:
             self._replace_base(rows, number)
         return number
 
+    def append_folder(self, folder: str, generation: int) -> None:
+        """``append`` of rows that are complete in a folder of their own; the first ones are not written again, their folder
+        becomes the base (columns beside those of the log stay unread).  Can be repeated as long as the folder is there."""
+        if self.exists():
+            self.append(self.spark.read.schema(self.schema).parquet(folder), generation)
+        else:
+            self._move_base(folder, generation)
+
     def _merge_if_due(self) -> None:
         base, late = (0 if rows is None else rows.count() for rows in self._parts())
         if late > MERGE_SHARE * base:
@@ -140,6 +148,9 @@ class KeyedLog:
 
     def _replace_base(self, rows: DataFrame, upto: int) -> None:
         rows.write.mode("overwrite").parquet(self.fresh)
-        fs, mark = file_system(self.spark, f"{self.fresh}/_log/base-{upto:012d}")
+        self._move_base(self.fresh, upto)
+
+    def _move_base(self, folder: str, upto: int) -> None:
+        fs, mark = file_system(self.spark, f"{folder}/_log/base-{upto:012d}")
         fs.mkdirs(mark)
-        move_folder(self.spark, self.fresh, self.path)
+        move_folder(self.spark, folder, self.path)

@@ -226,7 +226,8 @@ def read_replaced(spark: SparkSession, path: str) -> DataFrame | None:
 # Everything a write needs is complete in <table>/_staging/<numbers>-<id> before the
 # first file of the table changes:
 #   new/bucket=*      the batch, one row per key
-#   rows/bucket=*     the new content of each touched bucket that still has rows
+#   rows/bucket=*     the new content of each touched bucket that still has rows; ``new`` itself, moved there, if the
+#                     table has nothing in the buckets of the batch and the files are large enough
 #   emptied/bucket=*  buckets that lose their last row (empty folders)
 #   keys              keys that are new or have moved, with the bucket they leave, for the key index
 #   ledger            what is known of the batch, for the batch ledger
@@ -235,6 +236,9 @@ def read_replaced(spark: SparkSession, path: str) -> DataFrame | None:
 # off after READY is finished by the next one, before READY it is thrown away.
 # A table has one writer at a time.
 LEDGER_SCHEMA = "stream string, batch bigint, policy string, n_rows bigint, n_late bigint, n_stored bigint"
+MAX_RECORDS_PER_FILE = 5_000_000
+#: rows a file on average from which the files of a first batch stay as they are; smaller ones are put together by range
+MOVE_ROWS = 10_000
 NULL_BUCKET = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -280,8 +284,8 @@ def finish_staged(spark: SparkSession, path: str, pk: Sequence[str] = ()) -> Non
             # the generations are part of the name: a repetition writes the same ones
             keys_gen, ledger_gen, _ = name.split("-", 2)
             if "keys" in there:
-                keys = spark.read.parquet(f"{stage}/keys")
-                key_index(spark, path, pk, keys).append(keys, int(keys_gen))
+                index = key_index(spark, path, pk, spark.read.parquet(f"{stage}/keys"))
+                index.append_folder(f"{stage}/keys", int(keys_gen))
             if "ledger" in there:
                 batch_ledger(spark, path).append(spark.read.schema(LEDGER_SCHEMA).parquet(f"{stage}/ledger"), int(ledger_gen))
         delete_folder(spark, stage)
@@ -303,13 +307,14 @@ def _key_changes(spark: SparkSession, path: str, batch: DataFrame, pk: Sequence[
 def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequence[str],
                       order_cols: Sequence[str] = (), bucket_mode: str = "year", freq: str = DAILY,
                       update_old_non_daily: bool = False, date_col: str = "date",
-                      batch_id: BatchId | None = None) -> DataFrame:
+                      batch_id: BatchId | None = None, one_row_per_key: bool = False) -> DataFrame:
     """U2/U3 against a stored table: only the buckets touched by ``new`` are read, merged and rewritten.
 
     Where the key does not hold the date, a key's bucket can change; a key index kept with the table
     names the bucket it leaves, which is rewritten without it.  The batch is computed once; the merged
     rows are written once, beside the table, and their folders moved in.  A ``batch_id`` that the
-    table's ledger knows already changes nothing.
+    table's ledger knows already changes nothing.  ``one_row_per_key`` says that ``new`` has been
+    through keep-last by the same key.
     """
     path, pk = path.rstrip("/"), list(pk or [])
     finish_staged(spark, path, pk)
@@ -321,7 +326,10 @@ def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequen
     may_move = keyed and date_col in new.columns and date_col not in pk and is_daily(freq) and bucket_mode != "all"
     keys_gen = key_index(spark, path, pk, new_b).next_generation() if may_move else 0
     stage = f"{path}/_staging/{keys_gen}-{ledger.next_generation() if batch_id else 0}-{uuid.uuid4().hex[:12]}"
-    dedup_keep_last(new_b, pk, order_cols).write.partitionBy("bucket").parquet(f"{stage}/new")
+    # in the order of the buckets and their dates: a table's first rows can stay as they are written here
+    by = ["bucket", *([date_col] if date_col in new_b.columns else [])]
+    last = new_b if one_row_per_key else dedup_keep_last(new_b, pk, order_cols)
+    last.sortWithinPartitions(*by).write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("bucket").parquet(f"{stage}/new")
     touched = set(_buckets(spark, f"{stage}/new"))
     if not touched:  # an empty batch
         delete_folder(spark, stage)
@@ -338,15 +346,20 @@ def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequen
         touched |= {f"bucket={r['was']}" for r in gone.collect()}
     # the batch can meet rows of the touched buckets only
     stored = _read_buckets(spark, path, sorted(touched & existing)) if touched & existing else None
-    merged = batch if stored is None else apply_write_policy(stored, batch, pk, freq, update_old_non_daily, order_cols)
-    _write_range(merged, f"{stage}/rows", date_col, pk)
+    n = batch.count() if batch_id or stored is None else None
+    if stored is None and n >= MOVE_ROWS * _n_files(spark, f"{stage}/new"):
+        # nothing to merge with: the batch, a row per key and in files worth having, is the content of its buckets
+        move_folder(spark, f"{stage}/new", f"{stage}/rows")
+    else:
+        merged = batch if stored is None else apply_write_policy(stored, batch, pk, freq, update_old_non_daily, order_cols)
+        _write_range(merged, f"{stage}/rows", date_col, pk)
     for bucket in touched - set(_buckets(spark, f"{stage}/rows")):
         _mark(spark, f"{stage}/emptied/{bucket}")
     if batch_id:
         late = batch.join(stored.select(*pk).distinct().withColumnsRenamed({k: f"_{k}" for k in pk}),
                           functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in pk]),
                           "left_semi").count() if keyed and stored is not None else 0
-        n, insert_only = batch.count(), freq is not None and not is_daily(freq) and not update_old_non_daily
+        insert_only = freq is not None and not is_daily(freq) and not update_old_non_daily
         row = (batch_id.stream, batch_id.batch, "insert" if insert_only else "upsert", n, late, n - late if insert_only else n)
         spark.createDataFrame([row], LEDGER_SCHEMA).coalesce(1).write.parquet(f"{stage}/ledger")
     _mark(spark, f"{stage}/READY")
@@ -359,7 +372,12 @@ def _mark(spark: SparkSession, folder: str) -> None:
     fs.mkdirs(where)
 
 
-def _write_range(df: DataFrame, path: str, date_col: str, pk: Sequence[str], max_records_per_file: int = 5_000_000) -> None:
+def _n_files(spark: SparkSession, folder: str) -> int:
+    fs, where = file_system(spark, folder)
+    return fs.getContentSummary(where).getFileCount()
+
+
+def _write_range(df: DataFrame, path: str, date_col: str, pk: Sequence[str], max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
     """A bucket, or a batch of one date, over several tasks: range partitions on bucket, date and key."""
     order = dict.fromkeys(["bucket", *([date_col] if date_col in df.columns else []), *[k for k in pk if k in df.columns]])
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -129,7 +129,7 @@ def store_result(spark: SparkSession, res: CleanResult, target_root: str, freq:
         st.upsert_into_table(spark, body, f"{root}/{item}/{subitem}", res.keys[item, subitem],
                              order_cols=["source_file", "row_pos"], bucket_mode=bucket_mode,
                              freq=freq.get(item, st.DAILY), update_old_non_daily=update_old_non_daily,
-                             batch_id=batch_id)
+                             batch_id=batch_id, one_row_per_key=True)
     seen = header_registry(spark, root)
     fresh = res.registry.join(seen.read().select(*seen.key), seen.key, "left_anti") if seen.exists() else res.registry
     if not fresh.isEmpty():

@@ -69,7 +69,7 @@ def clean_batch_writer(target_root: str, catalogue_rows, specs: dict, bucket_mod
             return
         cat = catalog.catalogue_frame(spark, catalogue_rows)
         freq = {r[0]: r[1] for r in catalogue_rows}
-        docs = docsrc.documents_from_text(batch)
+        docs = docsrc.documents_from_text(batch, text_tables=True)
         res = clean_documents(docs, cat, specs, strict=False, update_old_non_daily=update_old_non_daily)
         # errors are stored before the batch is committed; a replay replaces them
         store_result(spark, res, target_root, freq, f"stream-{stream}-{batch_id}", bucket_mode, update_old_non_daily,
