@@ -237,7 +237,8 @@ def read_replaced(spark: SparkSession, path: str) -> DataFrame | None:
 # A table has one writer at a time.
 LEDGER_SCHEMA = "stream string, batch bigint, policy string, n_rows bigint, n_late bigint, n_stored bigint"
 MAX_RECORDS_PER_FILE = 5_000_000
-#: rows a file on average from which the files of a first batch stay as they are; smaller ones are put together by range
+#: rows a file on average from which the files of a first batch stay as they are, if they are as many as the ranges would be;
+#: smaller or fewer ones (a batch in one bucket) are laid out by range
 MOVE_ROWS = 10_000
 NULL_BUCKET = "__HIVE_DEFAULT_PARTITION__"
 
@@ -347,7 +348,7 @@ def upsert_into_table(spark: SparkSession, new: DataFrame, path: str, pk: Sequen
     # the batch can meet rows of the touched buckets only
     stored = _read_buckets(spark, path, sorted(touched & existing)) if touched & existing else None
     n = batch.count() if batch_id or stored is None else None
-    if stored is None and n >= MOVE_ROWS * _n_files(spark, f"{stage}/new"):
+    if stored is None and _stays(spark, f"{stage}/new", n):
         # nothing to merge with: the batch, a row per key and in files worth having, is the content of its buckets
         move_folder(spark, f"{stage}/new", f"{stage}/rows")
     else:
@@ -372,9 +373,11 @@ def _mark(spark: SparkSession, folder: str) -> None:
     fs.mkdirs(where)
 
 
-def _n_files(spark: SparkSession, folder: str) -> int:
+def _stays(spark: SparkSession, folder: str, n_rows: int) -> bool:
+    """Whether the files of a first batch are large enough, and enough to hold a hot bucket apart, without a layout by range."""
     fs, where = file_system(spark, folder)
-    return fs.getContentSummary(where).getFileCount()
+    files = fs.getContentSummary(where).getFileCount()
+    return files >= int(spark.conf.get("spark.sql.shuffle.partitions")) and n_rows >= MOVE_ROWS * files
 
 
 def _write_range(df: DataFrame, path: str, date_col: str, pk: Sequence[str], max_records_per_file: int = MAX_RECORDS_PER_FILE) -> None:
